@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from .jaccard_join import op8_jaccard_join
 from .suffix_dedup import op6_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op6_suffix_dedup,)}
+QUERIES = {f.__name__: f for f in (op6_suffix_dedup, op8_jaccard_join)}
 ORACLES: dict[str, str] = {}
