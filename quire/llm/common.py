@@ -109,13 +109,13 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, row, start and end of each word `[^\\x20\\x09-\\x0D]+`; A-Z count as a-z."""
     n = len(data)
     if not n:
         return (np.zeros(0, U), *(np.zeros(0, np.int64) for _ in range(3)))
     low = _LOWER[data] if lower else data
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     left = inside.copy()
