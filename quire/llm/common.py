@@ -53,6 +53,13 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *mo
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 
+def replaced(docs: DataFrame, texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, with the texts (doc_id, text) given in place of their own where there is one."""
+    new = table(texts.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")), "texts")
+    joined = docs.join(new, docs[id_col] == new["__id"], "left")
+    return joined.select(*(F.coalesce("__text", F.col(k)).alias(k) if k == text_col else F.col(k) for k in docs.columns))
+
+
 def fold_bucket(column: str, mod: int):
     """crc32 of the id as text, modulo: the split between training and held-out rows."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % mod

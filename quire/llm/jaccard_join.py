@@ -299,5 +299,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return sets.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, with one of each component: the smallest id."""
+    kept = classes(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(kept, id_col, "left_semi")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))

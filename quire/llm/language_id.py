@@ -143,8 +143,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return {r["lang"]: (np.frombuffer(r["table"], np.int64), np.frombuffer(r["state"], np.int32)) for r in sorted(found, key=lambda r: r["lang"])}
 
 
-def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score, entropy); the score is the lead over the second language, 0 to 1."""
+def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, lang_pred, score, entropy) and the columns to keep; the score is the lead over the second language, 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = list(model)
 
@@ -188,10 +188,18 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 pred[ok] = np.array(names, object)[order[:, 0]]
                 score[ok] = np.clip(1 - best / np.maximum(second, 1e-9), 0, 1)
             low = np.where(ok, per.min(axis=1) if names else 0.0, 0.0)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(low)], names=["doc_id", "lang_pred", "score", "entropy"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(low), *(b.column(f"keep_{k}") for k in keep)], names=["doc_id", "lang_pred", "score", "entropy", *keep])
 
-    cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return cols.mapInArrow(run, "doc_id long, lang_pred string, score double, entropy double")
+    cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(k).alias(f"keep_{k}") for k in keep))
+    more = "".join(f", `{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
+    return cols.mapInArrow(run, "doc_id long, lang_pred string, score double, entropy double" + more)
+
+
+def known_language(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, whose language can be told."""
+    keep = tuple(k for k in docs.columns if k != id_col)
+    told = predict(docs, model, id_col, text_col, keep).where("lang_pred <> 'und'")
+    return told.select(*(F.col("doc_id").alias(id_col) if k == id_col else F.col(k) for k in docs.columns))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

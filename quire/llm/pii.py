@@ -212,6 +212,11 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return c.id_text(docs, id_col, text_col).join(spans, "doc_id").mapInArrow(_mask, "doc_id long, text string")
 
 
+def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, with personal data masked."""
+    return c.replaced(docs, masked(docs, id_col, text_col), id_col, text_col)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = spans_of(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     name = F.array(*map(F.lit, KINDS))

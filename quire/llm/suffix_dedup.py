@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
+from .common import replaced
 
 LENGTH, GRAM = 200, 32
 SEGMENT = 1 << 23
@@ -236,6 +237,18 @@ def shortened(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return c.id_text(docs, id_col, text_col).join(spans, "doc_id").mapInArrow(_kept, "doc_id long, kept binary, n_removed long, n_spans long")
 
 
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """The documents, all columns, their texts without repeated strings; a character that loses some of its bytes goes whole."""
+
+    def run(batches):
+        for b in batches:
+            texts = [bytes(x).decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    less = shortened(docs, id_col, text_col, length).select("doc_id", "kept").mapInArrow(run, "doc_id long, text string")
+    return replaced(docs, less, id_col, text_col)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     less = c.table(shortened(docs).select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")), "less")
