@@ -193,7 +193,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     same = kinds.groupBy("sha").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     anchors = c.table(_sampled(texts, length, gram), "anchors")
     anchors = anchors.join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    runs = anchors.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    # stored, so that the join below reads both sides from exchanges of its own and a hot key can be split
+    runs = c.table(anchors.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "runs")
     owned = c.table(anchors.join(runs, "key"), "owned")
     spark = docs.sparkSession
     # hot: more than twice the rows of an even share of one task, within what one task holds in memory
