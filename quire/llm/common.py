@@ -168,6 +168,28 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.
     return r[keep], s[keep]
 
 
+def marks(values: DataFrame, column: str, log2: int = 26) -> np.ndarray:
+    """Packed bits at the column's values modulo 2**log2: a filter of fixed size (8 MB) that passes every value given and, while it is sparse, few others."""
+    at = F.pmod(F.col(column), F.lit(1 << log2)) + 1
+    rows = values.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    out = np.zeros((1 << log2) // 8, np.uint8)
+    for r in rows:
+        out[(r["k"] - 1) * 4096 : r["k"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def passing(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """The rows whose value may be among those marked: thins what a join has to shuffle."""
+    shared, last = df.sparkSession.sparkContext.broadcast(bits), len(bits) * 8 - 1
+
+    def run(batches):
+        for b in batches:
+            at = b.column(column).to_numpy(zero_copy_only=False).astype(np.int64) & last
+            yield b.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of each node with an edge (a, b); component is the smallest node reachable.
 

@@ -39,19 +39,18 @@ def _first(row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(h: np.ndarray, n: int) -> bytes:
-    """Bitmap of one set: about as many bits as shingles, a power of two from 64; the first half of a larger one ORed with the second is the smaller one."""
+    """Bitmap of one set: half as many bits as shingles or more, a power of two from 64; the first half of a larger one ORed with the second is the smaller one."""
     size = 64
-    while size * 4 < n * 3:
+    while size * 2 < n:
         size *= 2
     bits = np.zeros(size, bool)
     bits[(h >> c.U(17)).astype(np.int64) & (size - 1)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def _common(docs: DataFrame) -> np.ndarray:
+def _common(docs: DataFrame, total: int) -> np.ndarray:
     """Shingles found in several documents of a bounded sample, sorted."""
-    n = docs.count()
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(SAMPLE / max(n, 1) * (1 << 20)) + 1)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(SAMPLE / total * (1 << 20)) + 1)
 
     def run(batches):
         for b in batches:
@@ -63,8 +62,8 @@ def _common(docs: DataFrame) -> np.ndarray:
     return np.sort(found["h"].to_numpy().view(c.U))
 
 
-def _sketched(docs: DataFrame, common) -> DataFrame:
-    """Size, digest, leader keys, prefix shingles and bitmap of each document's set."""
+def _sketched(docs: DataFrame, common, keep: int) -> DataFrame:
+    """Size, digest, leader keys, prefix shingles (their lower `keep` bits) and bitmap of each document's set."""
     schema = "doc_id long, n int, d1 long, d2 long, keys array<long>, prefix array<long>, bits binary"
 
     def run(batches):
@@ -91,7 +90,7 @@ def _sketched(docs: DataFrame, common) -> DataFrame:
                 most = n - -(-NUM * n // DEN) + 1
                 most[~full] = 0
                 take = np.arange(len(h)) - np.repeat(at, n) < np.repeat(most, n)
-                prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(most)).astype(np.int32)), pa.array(h[order][take].view(np.int64)))
+                prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(most)).astype(np.int32)), pa.array((h[order][take] & c.U((1 << keep) - 1)).view(np.int64)))
                 bits = [signatures(h[a : a + m], m) for a, m in zip(at.tolist(), n.tolist(), strict=True)]
                 three = pa.ListArray.from_arrays(pa.array(np.arange(0, 3 * rows + 1, 3, dtype=np.int32)), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(n.astype(np.int32)), pa.array(d[0]), pa.array(d[1]), three, prefix, pa.array(bits, pa.binary())], names=["doc_id", "n", "d1", "d2", "keys", "prefix", "bits"])
@@ -123,6 +122,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             keep = pa.array(np.concatenate(hit)) if hit else pa.array([], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
+    ids = c.marks(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))), "a")
+    docs = c.passing(docs.select("doc_id", "text"), "doc_id", ids)
     left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
@@ -273,26 +274,28 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(doc_id, n_shingles, component_id) of each document."""
     spark = docs.sparkSession
     texts = c.id_text(docs, id_col, text_col)
-    late = spark.sparkContext.broadcast(_common(texts))
-    sets = c.table(_sketched(texts, late), "sets")
+    total = max(texts.count(), 1)
+    late = spark.sparkContext.broadcast(_common(texts, total))
+    # prefix shingles need only be told apart mostly: 22 bits beyond the number of documents
+    sets = c.table(_sketched(texts, late, min(63, max(40, total.bit_length() + 22))), "sets")
     reps = c.table(sets.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "reps")
     heads = reps.select(F.col("rep").alias("doc_id"))
 
     # leaders: of the documents with the same minimal shingle, the first
-    keyed = sets.join(heads, "doc_id", "left_semi").select("doc_id", F.posexplode("keys").alias("k", "key"))
-    lead = keyed.groupBy("k", "key").agg(F.min("doc_id").alias("a"), F.count("*").alias("m")).where("m > 1")
-    pairs = keyed.join(lead, ["k", "key"]).where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
+    keyed = sets.select("doc_id", "n", "keys").join(heads, "doc_id", "left_semi").select("doc_id", "n", F.posexplode("keys").alias("k", "key"))
+    lead = keyed.groupBy("k", "key").agg(F.min(F.struct("doc_id", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1").select("k", "key", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na"))
+    near = f"doc_id <> a and {DEN} * n >= {NUM} * na and {DEN} * na >= {NUM} * n"
+    pairs = c.table(keyed.join(lead, ["k", "key"]).where(near).select("a", F.col("doc_id").alias("b")).distinct(), "led")
     links = c.table(verified(pairs, texts), "leaders")
     comp = c.table(c.components(links), "leads")
 
     # trees: of the shingles that several components have in their prefixes
-    member = sets.join(heads, "doc_id", "left_semi").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n", "prefix", "bits", F.coalesce("component", "doc_id").alias("comp"))
-    member = c.table(member, "members")
-    rows = member.select("doc_id", "n", "comp", F.explode("prefix").alias("h"))
-    shared = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
-    rows = c.table(rows.join(shared, "h"), "shared")
-    rows = rows.join(member.select("doc_id", "bits"), "doc_id")
-    pairs = _forest(rows).repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(_trees, "a long, b long").distinct()
+    member = c.table(reps.select(F.col("rep").alias("doc_id"), "n").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp")), "members")
+    rows = sets.select("doc_id", "prefix").join(member, "doc_id").select("doc_id", "comp", F.explode("prefix").alias("h"))
+    shared = c.table(rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h"), "shared")
+    rows = c.table(c.passing(rows, "h", c.marks(shared, "h")).join(shared, "h"), "rows")
+    rows = rows.join(sets.select("doc_id", "n", "bits"), "doc_id")
+    pairs = c.table(_forest(rows).repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(_trees, "a long, b long").distinct(), "opened")
     more = c.table(verified(pairs, texts), "links")
     final = c.components(links.unionByName(more))
     named = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
