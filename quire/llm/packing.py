@@ -17,7 +17,10 @@ table has no pieces.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 from . import common as c
 
 CAPACITY, END = 1024, 2
-CACHE = 400_000  # words of which a task keeps the ids
+_END = array("I", [END]).tobytes()
+CACHE, SLOTS = 100_000, 1 << 21  # words of which a task keeps the ids
 _state: dict = {}
 
 
@@ -37,32 +41,146 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-#: How the byte-level vocabulary splits a text before merging (fixed values).
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: The byte-level vocabulary's split into words (fixed values), for texts of Latin letters, ASCII and plain white space.
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s{_LETTER}0-9]+|\s+(?!\S)|\s+")
+_OTHER = re.compile(rf"[^{_LETTER}\t\n\r\x20-\x7e]")
+
+
+_KIND = np.full(256, 2, np.int8)  # letter 0, digit 1, other 2, space 3, line 4
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 0
+_KIND[48:58] = 1
+_KIND[32] = 3
+_KIND[[9, 10, 13]] = 4
+_RARE = np.zeros(256, bool)
+_RARE[[*(x for x in range(32) if x not in (9, 10, 13)), 127, *range(0xC0, 0xC3), *range(0xCA, 256)]] = True
+
+
+def plain(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Which texts `cut_words` splits rightly: Latin letters, ASCII and plain white space, no contraction."""
+    bad = _RARE[data]
+    bad[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+    at = np.flatnonzero(data[:-1] == 39)
+    nxt = data[at + 1]
+    bad[at[np.isin(nxt, np.frombuffer(b"stmdrvl", np.uint8))]] = True
+    return np.diff(np.append(0, np.cumsum(bad))[off]) == 0
+
+
+def cut_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text, start and end of the words of plain texts, as `_SPLIT` cuts them."""
+    n = len(data)
+    if not n:
+        return (np.zeros(0, c.U), *(np.zeros(0, np.int64) for _ in range(3)))
+    kind = _KIND[data]
+    edge = np.zeros(n + 1, bool)
+    edge[off] = True
+    white = kind >= 3
+    before = np.append(True, white[:-1])  # white space before, within the text
+    before[edge[:n]] = False
+    after = np.append(white[1:], True)
+    after[edge[1:]] = True  # nothing but white space follows at a text's end
+    change = np.append(True, kind[1:] != kind[:-1]) | edge[:n]
+    # white space: its first character, and its last before a word; words: unless a space was taken along
+    spaced = np.append(False, kind[:-1] == 3) & ~edge[:n]
+    left = np.where(white, ~before | ~after | edge[:n], change & ~spaced)
+    start = np.flatnonzero(left)
+    end = np.append(start[1:], n)
+    p, q = c.powers(n + 1)
+    sums = np.zeros(n + 1, c.U)
+    np.cumsum((data.astype(c.U) + c.U(1)) * p[:n], out=sums[1:])
+    h = c.mix((sums[end] - sums[start]) * q[start] ^ (end - start).astype(c.U) * c.U(0xD6E8FEB86659FD93))
+    return h, np.searchsorted(off, start, "right") - 1, start, end
 
 
 class Encoder:
-    """Ids of whole texts; ids of a word are found once, by the tokenizers library."""
+    """Ids of whole texts.
+
+    Words of plain texts are cut and hashed for a whole batch at once, and their ids looked up in a direct-mapped
+    cache of SLOTS words; texts with contractions are cut one by one, and those with characters beyond `_OTHER` go
+    to the tokenizers library whole.
+    """
 
     def __init__(self, path: str):
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.split = regex.compile(SPLIT)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = self.split.findall(text)
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = [w for w in set(words) if w not in known]
-        if new:
-            for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = e.ids
-        return np.array([i for w in words for i in known[w]] + [END], np.uint32)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        # the printable stand-ins of bytes in a byte-level vocabulary
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [x for x in range(256) if x not in plain]
+        byte = {chr(x): x for x in plain} | {chr(256 + k): x for k, x in enumerate(rest)}
+        ranks = {bytes(byte[ch] for ch in t): k for t, k in model["vocab"].items() if all(ch in byte for ch in t)}
+        made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        # merges in the order of ids are what a rank-based merger does
+        self.core = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}) if made == sorted(made) else None
+        self.known: dict[str, bytes] = {}
+        self.key, self.at, self.size = np.zeros(SLOTS, c.U), np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
+        self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def batch(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, end marks included, and how many each has."""
+        n = len(off) - 1
+        h, row, start, end = cut_words(data, off)
+        slot = (h & c.U(SLOTS - 1)).astype(np.int64)
+        miss = np.flatnonzero(self.key[slot] != h)
+        if len(miss):
+            _, first = np.unique(h[miss], return_index=True)
+            self.learn(data, h, slot, start, end, miss[first])
+        at, size = self.at[slot], self.size[slot]
+        # two words of this batch can claim one slot: the loser's ids are appended for this batch alone
+        lost = np.flatnonzero(self.key[slot] != h)
+        pool = self.pool
+        if len(lost):
+            word, back = np.unique(h[lost], return_inverse=True)
+            pick = np.zeros(len(word), np.int64)
+            pick[back] = lost
+            own = [np.frombuffer(self.word(data[start[i] : end[i]].tobytes().decode()), np.uint32) for i in pick.tolist()]
+            length = np.array([len(x) for x in own])
+            at[lost], size[lost] = (self.used + np.cumsum(length) - length)[back], length[back]
+            pool = np.concatenate([pool[: self.used], *own])
+        total = np.bincount(row, size, minlength=n).astype(np.int64) + 1
+        out = np.empty(int(total.sum()), np.uint32)
+        ends = np.cumsum(total) - 1
+        mask = np.ones(len(out), bool)
+        mask[ends] = False
+        out[ends] = END
+        out[mask] = pool[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        return out, total
+
+    def learn(self, data, h, slot, start, end, rows) -> None:
+        if self.used > 1 << 23:
+            self.key[:], self.used = 0, 0
+        own = [np.frombuffer(self.word(data[start[i] : end[i]].tobytes().decode()), np.uint32) for i in rows.tolist()]
+        length = np.array([len(x) for x in own])
+        flat = np.concatenate(own)
+        if self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(flat), len(self.pool)), np.uint32)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.key[slot[rows]] = h[rows]
+        won = self.key[slot[rows]] == h[rows]
+        self.at[slot[rows[won]]] = (self.used + np.cumsum(length) - length)[won]
+        self.size[slot[rows[won]]] = length[won]
+        self.used += len(flat)
+
+    def word(self, w: str) -> bytes:
+        ids = self.core.encode_ordinary(w) if self.core else self.tok.encode(w, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def __call__(self, text: str) -> bytes:
+        if _OTHER.search(text):
+            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes() + _END
+        words, known = _SPLIT.findall(text), self.known
+        try:
+            return b"".join(map(known.__getitem__, words)) + _END
+        except KeyError:
+            if len(known) > CACHE:
+                known.clear()
+            for w in set(words).difference(known):
+                known[w] = self.word(w)
+            return b"".join(map(known.__getitem__, words)) + _END
 
 
 def encoder(path: str) -> Encoder:
@@ -78,15 +196,26 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def run(batches):
         enc = encoder(tokenizer)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                rows = []
-                for i, text in zip(b.column("doc_id").slice(at, 500).to_pylist(), b.column("text").slice(at, 500).to_pylist(), strict=True):
-                    ids = enc(text)
-                    start, end = 0, (len(ids) - 1) % capacity + 1
-                    k = 0
-                    while start < len(ids):
-                        rows.append((i, k, start, end - start, zlib.crc32(ids[start:end].tobytes())))
-                        start, end, k = end, end + capacity, k + 1
+            data, off = c.strings(b.column("text"))
+            ids_of = b.column("doc_id").to_numpy(zero_copy_only=False)
+            for i, j in c.pieces(off, 1 << 20):
+                part, at = data[off[i] : off[j]], off[i : j + 1] - off[i]
+                easy = plain(part, at) if len(part) else np.ones(j - i, bool)
+                size = np.diff(at)
+                ids, count = enc.batch(part[np.repeat(easy, size)], np.append(0, np.cumsum(size[easy])))
+                raw, cuts = ids.tobytes(), iter(np.append(0, np.cumsum(count)).tolist())
+                low, rows = next(cuts), []
+                for k in range(i, j):
+                    if easy[k - i]:
+                        high = next(cuts)
+                        text, low = raw[4 * low : 4 * high], high
+                    else:
+                        text = enc(part[at[k - i] : at[k - i + 1]].tobytes().decode())
+                    n = len(text) // 4
+                    start, end, piece = 0, (n - 1) % capacity + 1, 0
+                    while start < n:
+                        rows.append((ids_of[k], piece, start, end - start, zlib.crc32(text[4 * start : 4 * end])))
+                        start, end, piece = end, end + capacity, piece + 1
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return c.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
