@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 BASE_INV = U(pow(int(BASE), -1, 1 << 64))
-CHUNK = 1 << 21  # bytes of text that numpy works on at once
+CHUNK = 1 << 20  # bytes of text that numpy works on at once
 _powers: dict[str, np.ndarray] = {}
 
 

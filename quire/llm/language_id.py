@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-ROWS, BYTES = 400, 160_000
-SLOTS = 1 << 21
+ROWS, BYTES = 400, 100_000
+SLOTS = 1 << 20
 _APART = np.ones(256, bool)
 _APART[97:123] = False
 _APART[65:91] = False

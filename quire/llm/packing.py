@@ -21,6 +21,7 @@ import json
 import re
 import zlib
 from array import array
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from . import common as c
 
 CAPACITY, END = 1024, 2
 _END = array("I", [END]).tobytes()
-CACHE, SLOTS = 100_000, 1 << 21  # words of which a task keeps the ids
+CACHE, SLOTS = 50_000, 1 << 20  # words of which a task keeps the ids
 _state: dict = {}
 
 
@@ -102,10 +103,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.path = path
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         # the printable stand-ins of bytes in a byte-level vocabulary
@@ -117,8 +116,8 @@ class Encoder:
         # merges in the order of ids are what a rank-based merger does
         self.core = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}) if made == sorted(made) else None
         self.known: dict[str, bytes] = {}
-        self.key, self.at, self.size = np.zeros(SLOTS, c.U), np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
-        self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.key, self.at, self.size = np.zeros(SLOTS, c.U), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def batch(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end marks included, and how many each has."""
@@ -129,7 +128,7 @@ class Encoder:
         if len(miss):
             _, first = np.unique(h[miss], return_index=True)
             self.learn(data, h, slot, start, end, miss[first])
-        at, size = self.at[slot], self.size[slot]
+        at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
         # two words of this batch can claim one slot: the loser's ids are appended for this batch alone
         lost = np.flatnonzero(self.key[slot] != h)
         pool = self.pool
@@ -151,7 +150,7 @@ class Encoder:
         return out, total
 
     def learn(self, data, h, slot, start, end, rows) -> None:
-        if self.used > 1 << 23:
+        if self.used > 1 << 22:
             self.key[:], self.used = 0, 0
         own = [np.frombuffer(self.word(data[start[i] : end[i]].tobytes().decode()), np.uint32) for i in rows.tolist()]
         length = np.array([len(x) for x in own])
@@ -165,6 +164,14 @@ class Encoder:
         self.size[slot[rows[won]]] = length[won]
         self.used += len(flat)
 
+    @cached_property
+    def tok(self):
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(self.path)
+        tok.encode_special_tokens = True
+        return tok
+
     def word(self, w: str) -> bytes:
         ids = self.core.encode_ordinary(w) if self.core else self.tok.encode(w, add_special_tokens=False).ids
         return array("I", ids).tobytes()

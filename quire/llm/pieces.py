@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-MARK, LONG, SLOTS = 0x2581, 400, 1 << 21
+MARK, LONG, SLOTS = 0x2581, 400, 1 << 20
 _state: dict = {}
 
 
@@ -70,12 +70,12 @@ class Vocabulary:
         order = np.argsort(h)
         self.keys, self.ids, self.scores = h[order], np.array(ids)[order], np.array(scores, float)[order]
         self.unknown = float(min(scores)) - 10
-        self.known, self.at, self.size = np.zeros(SLOTS, c.U), np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
-        self.pool, self.used = np.zeros(1 << 20, np.int64), 0
+        self.known, self.at, self.size = np.zeros(SLOTS, c.U), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        self.pool, self.used = np.zeros(1 << 18, np.int32), 0
 
     def learn(self, slot: np.ndarray, h: np.ndarray, flat: np.ndarray, count: np.ndarray) -> None:
         """Keeps the ids of words in a direct-mapped cache; full pools start afresh."""
-        if self.used + len(flat) > 1 << 23:
+        if self.used + len(flat) > 1 << 22:
             self.known[:], self.used = 0, 0
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -86,7 +86,7 @@ class Vocabulary:
         self.used += len(flat)
 
     def recall(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at, size = self.at[slot], self.size[slot]
+        at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
         return self.pool[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))], size
 
 
