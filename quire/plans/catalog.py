@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.functions import identifiers as ids
+from quire.functions import text
+from quire.operators import cluster, convert, documents, holdings, search, sinks, stats
+from quire.operators import relational as rel
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -32,3 +37,509 @@ def preservation_by_type(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderpriority").alias("release_type"), kinds[F.col("o_orderstatus")].alias("preservation"))
     wide = o.groupBy("release_type").pivot("preservation", ["bright", "dark", "none"]).count().fillna(0)
     return wide.withColumn("total", F.col("bright") + F.col("dark") + F.col("none"))
+
+
+def rd(spark, sf, name):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def release(spark, sf):
+    """Orders as releases: one row each, with year, month and preservation."""
+    kinds = F.create_map(*[F.lit(x) for x in ("F", "bright", "O", "dark", "P", "none")])
+    o = rd(spark, sf, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("container_id"), F.to_date("o_orderdate").alias("release_date"), F.year("o_orderdate").alias("year"),
+        F.month("o_orderdate").alias("month"), F.col("o_orderpriority").alias("release_type"), kinds[F.col("o_orderstatus")].alias("preservation"), "o_totalprice",
+    )
+
+
+REL = """rel AS (SELECT o_orderkey AS id, o_custkey AS container_id, CAST(o_orderdate AS DATE) AS release_date, CAST(year(o_orderdate) AS INT) AS year,
+  CAST(month(o_orderdate) AS INT) AS month, o_orderpriority AS release_type,
+  CASE o_orderstatus WHEN 'F' THEN 'bright' WHEN 'O' THEN 'dark' WHEN 'P' THEN 'none' END AS preservation, o_totalprice FROM orders)"""
+COUNTS = """count(*) FILTER (preservation = 'bright') AS bright, count(*) FILTER (preservation = 'dark') AS dark,
+  count(*) FILTER (preservation = 'none') AS "none", count(*) AS total"""
+KINDS = ("bright", "dark", "none")
+
+
+def both(sql: str, *tables: str, name: str):
+    """Registers a query that is the same SQL text in Spark and in the oracle."""
+
+    def run(spark, sf):
+        text = sql
+        for t in tables:
+            text = text.replace(f"@{t}", "{" + t + "}")
+        return spark.sql(text, **{t: rd(spark, sf, t) for t in tables})
+
+    QUERIES[name] = run
+    text = sql
+    for t in tables:
+        text = text.replace(f"@{t}", t)
+    ORACLES[name] = text
+
+
+@query(f"""WITH {REL}, y AS (SELECT year, {COUNTS} FROM rel GROUP BY 1)
+SELECT CAST(s.year AS INT) AS year, coalesce(bright, 0) AS bright, coalesce(dark, 0) AS dark, coalesce("none", 0) AS "none", coalesce(total, 0) AS total
+FROM (SELECT unnest(range((SELECT min(year) FROM y), (SELECT max(year) + 1 FROM y))) AS year) s LEFT JOIN y ON y.year = s.year""")
+def preservation_by_year_gapfill(spark, sf):
+    r = release(spark, sf).where(~F.col("release_type").isin("stub", "component"))
+    return stats.fill_years(stats.preservation_by(r, "year", kinds=KINDS), "year", KINDS)
+
+
+@query("""SELECT CAST(regexp_extract(p_brand, '[0-9]+') AS INT) AS volume, count(*) FILTER (l_returnflag = 'A') AS bright,
+  count(*) FILTER (l_returnflag = 'N') AS dark, count(*) FILTER (l_returnflag = 'R') AS "none", count(*) AS total
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE regexp_extract(p_brand, '[0-9]+') <> '' GROUP BY 1""")
+def preservation_by_volume(spark, sf):
+    flag = F.create_map(*[F.lit(x) for x in ("A", "bright", "N", "dark", "R", "none")])
+    p = rd(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.regexp_extract("p_brand", "([0-9]+)", 1).alias("volume"))
+    rows = rd(spark, sf, "lineitem").select("l_partkey", flag[F.col("l_returnflag")].alias("preservation")).join(p, "l_partkey")
+    return stats.by_volume(rows, "volume", kinds=KINDS)
+
+
+@query(f"""WITH {REL}, d AS (SELECT release_date AS day, {COUNTS} FROM rel GROUP BY 1)
+SELECT s.day, coalesce(bright, 0) AS bright, coalesce(dark, 0) AS dark, coalesce("none", 0) AS "none", coalesce(total, 0) AS total
+FROM (SELECT CAST(unnest(range(DATE '2000-01-01' - INTERVAL 59 DAY, DATE '2000-01-02', INTERVAL 1 DAY)) AS DATE) AS day) s LEFT JOIN d ON d.day = s.day""")
+def preservation_by_date_spine(spark, sf):
+    r = release(spark, sf).withColumnRenamed("release_date", "day").where("day BETWEEN DATE'2000-01-01' - INTERVAL 59 DAY AND DATE'2000-01-01'")
+    return stats.fill_days(stats.preservation_by(r, "day", kinds=KINDS), "day", "2000-01-01", 60, KINDS)
+
+
+@query(f"""WITH {REL} SELECT container_id, count(*) AS total, count(*) FILTER (preservation = 'bright') AS bright, count(*) FILTER (preservation = 'dark') AS dark,
+  count(*) FILTER (preservation = 'none') AS "none", count(*) FILTER (release_type = '1-URGENT') AS urgent FROM rel GROUP BY 1""")
+def container_stats(spark, sf):
+    s = stats.container_stats(release(spark, sf), "container_id")
+    return s.select("container_id", "total", *KINDS, F.coalesce(F.try_element_at("release_type", F.lit("1-URGENT")), F.lit(0)).alias("urgent"))
+
+
+@query(f"""WITH {REL} SELECT year, CAST(month AS VARCHAR) AS volume, release_type AS issue, count(*) AS n,
+  sum(count(*)) OVER (PARTITION BY year)::BIGINT AS year_n FROM rel GROUP BY year, month, release_type""")
+def browse_tree(spark, sf):
+    r = release(spark, sf).withColumn("month", F.col("month").cast("string"))
+    t = stats.browse_tree(r, "year", "month", "release_type").select("year", F.col("n").alias("year_n"), F.explode("volumes").alias("v"))
+    return t.select("year", F.col("v.volume").alias("volume"), "year_n", F.explode("v.issues").alias("i")).select("year", "volume", F.col("i.issue").alias("issue"), F.col("i.n").alias("n"), "year_n")
+
+
+@query("""SELECT (SELECT count(*) FROM orders) AS total, (SELECT count(*) FROM lineitem) AS refs,
+  (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS bright, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT') AS dark_urgent,
+  (SELECT count(DISTINCT o_custkey) FROM orders) AS containers""")
+def global_stats_one_pass(spark, sf):
+    li = rd(spark, sf, "lineitem").agg(F.count("*").alias("refs"))
+    o = rd(spark, sf, "orders").agg(
+        F.count("*").alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("bright"),
+        F.count_if((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT")).alias("dark_urgent"), F.count_distinct("o_custkey").alias("containers"),
+    )
+    return o.join(F.broadcast(li)).select("total", "refs", "bright", "dark_urgent", "containers")  # one row each
+
+
+@query(f"""WITH {REL} SELECT release_type, {COUNTS} FROM rel WHERE release_date > DATE '2000-01-01' - INTERVAL 60 DAY AND release_date <= DATE '2000-01-01' GROUP BY 1""")
+def coverage_recent(spark, sf):
+    r = release(spark, sf).where("release_date > DATE'2000-01-01' - INTERVAL 60 DAY AND release_date <= DATE'2000-01-01'")
+    return stats.preservation_by(r, "release_type", kinds=KINDS)
+
+
+@query("""SELECT CASE WHEN coalesce(event_type, '') = '' THEN 'unknown' ELSE event_type END AS access_type, count(*) AS n,
+  count(*) FILTER (ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20') AS in_window FROM events GROUP BY 1""")
+def access_breakdown(spark, sf):
+    kind = F.when(F.coalesce("event_type", F.lit("")) == "", "unknown").otherwise(F.col("event_type"))
+    inside = (F.col("ts") >= F.lit("2024-01-10").cast("timestamp")) & (F.col("ts") < F.lit("2024-01-20").cast("timestamp"))
+    return rd(spark, sf, "events").groupBy(kind.alias("access_type")).agg(F.count("*").alias("n"), F.count_if(inside).alias("in_window"))
+
+
+@query("""SELECT event_type, count(*) FILTER (ts >= TIMESTAMP '2024-01-15') AS cur, count(*) FILTER (ts < TIMESTAMP '2024-01-15') AS prev,
+  round((count(*) FILTER (ts >= TIMESTAMP '2024-01-15') - count(*) FILTER (ts < TIMESTAMP '2024-01-15')) * 100.0 / nullif(count(*) FILTER (ts < TIMESTAMP '2024-01-15'), 0), 1)::DOUBLE AS pct
+FROM events GROUP BY 1""")
+def access_period_change(spark, sf):
+    late = F.col("ts") >= F.lit("2024-01-15").cast("timestamp")
+    e = rd(spark, sf, "events").groupBy("event_type").agg(F.count_if(late).alias("cur"), F.count_if(~late).alias("prev"))
+    return e.withColumn("pct", stats.period_change(F.col("cur").cast("double"), F.col("prev")))
+
+
+@query("""SELECT regexp_extract(lower(url), '^https?://([^/?#]+)', 1) AS host, count(*) AS total, count(*) FILTER (page_id % 3 <> 0) AS hits,
+  count(*) FILTER (page_id % 3 <> 0 AND page_id % 2 = 0) AS direct, count(*) FILTER (page_id % 3 = 0) AS misses,
+  round(count(*) FILTER (page_id % 3 <> 0) / count(*), 4) AS hit_rate,
+  round(count(*) FILTER (page_id % 3 <> 0 AND page_id % 2 = 0) / nullif(count(*) FILTER (page_id % 3 <> 0), 0), 4) AS direct_rate
+FROM pages GROUP BY 1 HAVING count(*) >= 2""")
+def host_hit_stats(spark, sf):
+    p = rd(spark, sf, "pages").select(ids.url_host(F.col("url")).alias("host"), (F.col("page_id") % 3 != 0).alias("hit"), (F.col("page_id") % 2 == 0).alias("direct"))
+    return stats.hit_stats(p, "host", "hit", "direct", 2)
+
+
+both("SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT CAST(ts AS DATE)) AS days FROM @events GROUP BY event_type", "events", name="exact_distinct")
+
+
+@query()
+def approx_distinct(spark, sf):
+    return rd(spark, sf, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.01).alias("users"))
+
+
+both("SELECT md5(text) AS digest, count(*) AS n, min(doc_id) AS first_id FROM @documents GROUP BY md5(text) HAVING count(*) > 1", "documents", name="dup_key_having")
+both("SELECT source, count(*) AS n, count(*) - count(text) AS null_text, count(*) - count(lang) AS null_lang, sum(CASE WHEN n_chars < 200 THEN 1 ELSE 0 END) AS short FROM @documents GROUP BY source", "documents", name="null_profile")
+
+
+@query("""WITH t AS (SELECT doc_id, regexp_replace(lower(split_part(text, chr(10), 1)), '[^\\p{L}]', '', 'g') AS title_key FROM documents)
+SELECT title_key, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id FROM t WHERE title_key <> '' GROUP BY 1 HAVING count(*) > 1""")
+def title_cluster(spark, sf):
+    d = rd(spark, sf, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
+    return cluster.clusters(d, "doc_id", "title").select("title_key", "n", F.col("members")[0].alias("first_id"), F.element_at("members", -1).alias("last_id"))
+
+
+both("SELECT o_orderstatus AS status, count(*) AS n FROM @orders GROUP BY o_orderstatus ORDER BY n DESC, status", "orders", name="status_tally")
+
+
+@query("SELECT lang, min(n_chars) AS lo, quantile_cont(n_chars, 0.5) AS p50, quantile_cont(n_chars, 0.9) AS p90, max(n_chars) AS hi FROM documents GROUP BY 1")
+def length_quantiles(spark, sf):
+    return rd(spark, sf, "documents").groupBy("lang").agg(F.min("n_chars").alias("lo"), F.percentile("n_chars", 0.5).alias("p50"), F.percentile("n_chars", 0.9).alias("p90"), F.max("n_chars").alias("hi"))
+
+
+@query("""SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(text), '[^\\p{L}]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1 HAVING count(*) > 50""")
+def term_frequency(spark, sf):
+    w = rd(spark, sf, "documents").select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
+    return w.groupBy("word").agg(F.count("*").alias("n")).where("n > 50")
+
+
+@query("""SELECT CAST(floor((epoch(ts) - epoch(TIMESTAMP '2024-01-01')) / 3600) AS BIGINT) AS bucket, round(avg(value), 4) AS mean, count(*) AS n FROM events
+WHERE ts >= TIMESTAMP '2024-01-01' GROUP BY 1""")
+def bucket_mean(spark, sf):
+    return stats.fixed_buckets(rd(spark, sf, "events"), "ts", "value", "2024-01-01", 3600)
+
+
+both("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM @events GROUP BY CAST(ts AS DATE), event_type", "events", name="daily_counter_upsert")
+
+
+@query("""WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1)
+SELECT day, n, n - lag(n) OVER (ORDER BY day) AS n_diff, round((n - lag(n) OVER (ORDER BY day)) / nullif(lag(n) OVER (ORDER BY day), 0), 4) AS n_pct FROM d""")
+def ts_diff_pct(spark, sf):
+    d = rd(spark, sf, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    return stats.series_change(d, "day", ["n"])
+
+
+@query("""WITH d AS (SELECT CAST(floor((epoch(ts) - epoch(TIMESTAMP '2024-01-01')) / 604800) AS BIGINT) AS week, count(*) AS n FROM events GROUP BY 1),
+l AS (SELECT week, n, lag(n) OVER (ORDER BY week) AS p FROM d)
+SELECT week, n, CASE WHEN p IS NULL THEN '?' WHEN p = 0 AND n = 0 THEN '0' WHEN p = 0 THEN '∞' ELSE CAST(CAST(trunc((n - p) * 100 / p) AS INT) AS VARCHAR) END AS change FROM l""")
+def period_change_label(spark, sf):
+    d = stats.fixed_buckets(rd(spark, sf, "events"), "ts", "value", "2024-01-01", 604800).select(F.col("bucket").alias("week"), "n")
+    return d.select("week", "n", stats.change_label(F.col("n"), F.lag("n").over(Window.orderBy("week"))).alias("change"))
+
+
+@query("""SELECT CAST(date_trunc('day', TIMESTAMP '2024-01-01' + INTERVAL 7 DAY * CAST(floor((epoch(ts) - epoch(TIMESTAMP '2024-01-01')) / 604800) AS INT)) AS DATE) AS week_start,
+  count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1""")
+def resample_7d(spark, sf):
+    w = F.window("ts", "7 days", startTime="4 days")
+    return rd(spark, sf, "events").groupBy(w).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")).select(F.to_date("window.start").alias("week_start"), "n", "total")
+
+
+@query(f"""WITH {REL}, d AS (SELECT DISTINCT container_id, year FROM rel), r AS (SELECT *, year - row_number() OVER (PARTITION BY container_id ORDER BY year) AS island FROM d)
+SELECT container_id, min(year) AS first, max(year) AS last, count(*) AS size FROM r GROUP BY container_id, island""")
+def contiguity_islands(spark, sf):
+    return stats.islands(release(spark, sf), "container_id", "year")
+
+
+@query(f"""WITH {REL} SELECT container_id, min(year) AS first, max(year) AS last, count(DISTINCT year) AS distinct_values, max(year) - min(year) + 1 = count(DISTINCT year) AS contiguous FROM rel GROUP BY 1""")
+def contiguity_test(spark, sf):
+    return stats.contiguous(release(spark, sf), "container_id", "year")
+
+
+@query(f"""WITH {REL} SELECT container_id, arg_min(id, (release_date, id)) AS first_id, arg_max(id, (release_date, id)) AS last_id, min(release_date) AS first_date,
+  CASE WHEN max(year) = 2001 THEN 2000 ELSE max(year) END AS last_year FROM rel GROUP BY 1""")
+def first_last_span(spark, sf):
+    at = F.struct("release_date", "id")
+    last = F.max("year")
+    return release(spark, sf).groupBy("container_id").agg(
+        F.min_by("id", at).alias("first_id"), F.max_by("id", at).alias("last_id"), F.min("release_date").alias("first_date"), F.when(last == 2001, 2000).otherwise(last).alias("last_year")
+    )
+
+
+@query("""SELECT l_orderkey, l_partkey, l_returnflag, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey
+  ORDER BY CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END, l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) = 1""")
+def best_url_rank(spark, sf):
+    rank = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    top = rel.first_of(rd(spark, sf, "lineitem"), "l_orderkey", [rank, F.desc("l_shipdate"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")])
+    return top.select("l_orderkey", "l_partkey", "l_returnflag", "l_extendedprice")
+
+
+both("SELECT source, lang, min(doc_id) AS doc_id FROM @documents WHERE lang IS NOT NULL AND n_chars >= 75 GROUP BY source, lang", "documents", name="first_per_language")
+
+
+@query("""SELECT doc_id, lang, n_chars, count(*) OVER (PARTITION BY md5(text)) AS inner_count FROM documents
+QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY n_chars DESC, doc_id) = 1""")
+def collapse_with_inner_count(spark, sf):
+    d = rd(spark, sf, "documents").withColumn("k", F.md5("text"))
+    return rel.collapse(d.select("doc_id", "lang", "n_chars", "k"), "k", [F.desc("n_chars"), F.col("doc_id")]).drop("k")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25 OFFSET 50")
+def paged_topk(spark, sf):
+    return rel.page(rd(spark, sf, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")], 50, 25)
+
+
+@query("SELECT least(count(*), 1000) AS total, count(*) > 1000 AS estimated FROM orders")
+def capped_total(spark, sf):
+    return rel.capped_total(rd(spark, sf, "orders").select("o_orderkey"), 1000)
+
+
+@query("SELECT event_id, ts, user_id FROM events WHERE (ts, event_id) < (TIMESTAMP '2024-01-15', 500) ORDER BY ts DESC, event_id DESC LIMIT 21")
+def keyset_older(spark, sf):
+    return rel.keyset(rd(spark, sf, "events").select("event_id", "ts", "user_id"), "ts", "event_id", ("2024-01-15", 500), 20)
+
+
+@query("SELECT event_id, ts, user_id FROM events WHERE (ts, event_id) > (TIMESTAMP '2024-01-15', 500) ORDER BY ts, event_id LIMIT 21")
+def keyset_newer(spark, sf):
+    return rel.keyset(rd(spark, sf, "events").select("event_id", "ts", "user_id"), "ts", "event_id", ("2024-01-15", 500), 20, older=False)
+
+
+both("SELECT p_partkey, p_brand, nullif(p_size, 10) AS size FROM @part ORDER BY size DESC NULLS LAST, p_partkey LIMIT 50", "part", name="nulls_last_sort")
+
+
+@query("SELECT p_partkey, p_name, coalesce(try_cast(regexp_extract(p_brand, '[0-9]+') AS INT), 99999999) AS page_key FROM part ORDER BY page_key, p_partkey LIMIT 40")
+def numeric_string_sort(spark, sf):
+    p = rd(spark, sf, "part").select("p_partkey", "p_name", rel.numeric_key(F.regexp_extract("p_brand", "([0-9]+)", 1)).alias("page_key"))
+    return p.orderBy("page_key", "p_partkey").limit(40)
+
+
+both("SELECT n.n_name, r.r_name, count(*) AS customers FROM @customer c JOIN @nation n ON c.c_nationkey = n.n_nationkey JOIN @region r ON n.n_regionkey = r.r_regionkey GROUP BY n.n_name, r.r_name", "customer", "nation", "region", name="ident_rev_join")
+both("SELECT s.s_suppkey, s.s_name, (SELECT n.n_name FROM @nation n WHERE n.n_nationkey = s.s_nationkey) AS nation FROM @supplier s", "supplier", "nation", name="scalar_subquery_as_join")
+
+
+@query("""SELECT p_partkey, s_suppkey, s_name, l_orderkey FROM part JOIN lineitem ON l_partkey = p_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN orders ON o_orderkey = l_orderkey
+WHERE p_brand LIKE 'Brand#1%' QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY l_orderkey, s_suppkey) = 1""")
+def multi_join_like_limit1(spark, sf):
+    p = rd(spark, sf, "part").where("p_brand LIKE 'Brand#1%'").select("p_partkey")
+    li = rd(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey")
+    j = li.join(p, li.l_partkey == p.p_partkey).join(rd(spark, sf, "orders").select("o_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    j = j.join(rd(spark, sf, "supplier").select("s_suppkey", "s_name"), F.col("s_suppkey") == F.col("l_suppkey"))
+    best = j.groupBy("p_partkey").agg(F.min(F.struct("l_orderkey", "s_suppkey", "s_name")).alias("b"))
+    return best.select("p_partkey", "b.s_suppkey", "b.s_name", "b.l_orderkey")
+
+
+@query("""SELECT c_custkey, coalesce(s.s_suppkey, n.n_nationkey) AS id FROM customer
+LEFT JOIN supplier s ON s.s_suppkey = c_custkey % 7 LEFT JOIN nation n ON n.n_nationkey = c_nationkey""")
+def lookup_priority_fallback(spark, sf):
+    rows = rd(spark, sf, "customer").select(F.col("c_custkey").alias("row_id"), (F.col("c_custkey") % 7).alias("supp"), F.col("c_nationkey").alias("nat"))
+    s = rd(spark, sf, "supplier").select(F.lit("supp").alias("key"), F.col("s_suppkey").cast("string").alias("value"), F.col("s_suppkey").cast("long").alias("id"))
+    n = rd(spark, sf, "nation").select(F.lit("nat").alias("key"), F.col("n_nationkey").cast("string").alias("value"), F.col("n_nationkey").cast("long").alias("id"))
+    return rel.lookup_first(rows, s.unionByName(n), ["supp", "nat"], "id").select(F.col("row_id").alias("c_custkey"), "id")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def new_rows_anti(spark, sf):
+    o = rd(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return rel.new_rows(rd(spark, sf, "customer").select("c_custkey", "c_name"), o, ["c_custkey"])
+
+
+@query("""SELECT o_orderkey, o_totalprice, 'old' AS origin FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT o_orderkey, o_totalprice, 'new' FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0""")
+def upsert_do_nothing(spark, sf):
+    o = rd(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return rel.insert_ignore(o.where("o_orderkey % 2 = 0").withColumn("origin", F.lit("old")), o.where("o_orderkey % 3 = 0").withColumn("origin", F.lit("new")), ["o_orderkey"])
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 0.0 ELSE o_totalprice END AS price FROM orders""")
+def replace_merge(spark, sf):
+    o = rd(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    return rel.replace_rows(o, o.where("o_orderkey % 3 = 0").withColumn("price", F.lit(0.0)), ["o_orderkey"])
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0")
+def delete_listed(spark, sf):
+    o = rd(spark, sf, "orders").select("o_orderkey")
+    return rel.delete_rows(o, o.where("o_orderkey % 5 = 0"), ["o_orderkey"])
+
+
+@query("""SELECT CASE WHEN o_totalprice < 1000 THEN 'skipped:cheap' WHEN o_custkey % 4 = 0 THEN 'existing' ELSE 'created' END AS outcome, count(*) AS n FROM orders GROUP BY 1""")
+def ingest_outcomes(spark, sf):
+    o = rd(spark, sf, "orders").select("o_custkey", "o_totalprice")
+    return rel.outcome_counts(o, o.where("o_custkey % 4 = 0"), ["o_custkey"], F.when(F.col("o_totalprice") < 1000, "cheap"))
+
+
+both("SELECT o_orderkey, o_custkey FROM @orders o LEFT SEMI JOIN (SELECT l_orderkey FROM @lineitem WHERE l_returnflag = 'R') l ON l.l_orderkey = o.o_orderkey", "orders", "lineitem", name="semi_by_extid")
+ORACLES["semi_by_extid"] = "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"
+both("SELECT c_custkey, c_name FROM @customer WHERE c_custkey = 17 OR c_nationkey = 3 OR c_name LIKE '%00042'", "customer", name="or_lookup")
+
+
+@query("""SELECT o_orderkey, count(l_orderkey) AS n_lines, coalesce(string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey), '') AS parts FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")
+def prefetch_nested(spark, sf):
+    li = rd(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list("l_partkey")).alias("parts"))
+    o = rd(spark, sf, "orders").select("o_orderkey").join(li, "o_orderkey", "left")
+    return o.select("o_orderkey", F.when(F.col("parts").isNull(), 0).otherwise(F.size("parts")).cast("long").alias("n_lines"), F.coalesce(F.array_join(F.transform("parts", lambda x: x.cast("string")), ","), F.lit("")).alias("parts"))
+
+
+both("SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name AS title FROM @lineitem l LEFT JOIN @part p ON p.p_partkey = l.l_partkey AND p.p_size > 10", "lineitem", "part", name="enrich_refs_out")
+both("SELECT l.l_partkey AS target, count(DISTINCT l.l_orderkey) AS cited_by, CAST(min(o.o_orderdate) AS DATE) AS first_cited FROM @lineitem l JOIN @orders o ON o.o_orderkey = l.l_orderkey GROUP BY l.l_partkey", "lineitem", "orders", name="enrich_refs_in")
+
+
+@query("""WITH s AS (SELECT DISTINCT regexp_extract(lower(url), '^https?://([^/?#]+)', 1) AS host FROM pages)
+SELECT p.page_id, s.host FROM pages p JOIN s ON ends_with(regexp_extract(lower(p.url), '^https?://([^/?#]+)', 1), s.host)""")
+def suffix_theta_join(spark, sf):
+    hosts = rd(spark, sf, "pages").select("page_id", ids.url_host(F.col("url")).alias("own"))
+    suffixes = hosts.select(F.col("own").alias("host")).distinct()
+    # every suffix of a host is a key, so this is an equi-join instead of a nested loop
+    keys = hosts.select("page_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("own")), lambda i: F.substr("own", i)))).alias("host"))
+    return keys.join(suffixes, "host").select("page_id", "host")
+
+
+both("SELECT event_id, user_id, event_type FROM @events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-08'", "events", name="change_window")
+
+SETS_SQL = """s AS (SELECT DISTINCT 'cust' AS d, CAST(o_custkey AS VARCHAR) AS k FROM orders UNION ALL SELECT DISTINCT 'part', CAST(l_partkey AS VARCHAR) FROM lineitem
+  UNION ALL SELECT DISTINCT 'user', CAST(user_id AS VARCHAR) FROM events)"""
+
+
+@query(f"""WITH {SETS_SQL}, n AS (SELECT d, count(*) AS n FROM s GROUP BY 1), b AS (SELECT x.d AS a, y.d AS b, count(*) AS c FROM s x JOIN s y ON x.k = y.k AND x.d < y.d GROUP BY 1, 2),
+p AS (SELECT * FROM (VALUES ('cust', 'part'), ('cust', 'user'), ('part', 'user')) t(a, b))
+SELECT p.a, p.b, x.n AS size_a, y.n AS size_b, coalesce(c, 0) AS "both", x.n - coalesce(c, 0) AS only_a, y.n - coalesce(c, 0) AS only_b,
+  round(coalesce(c, 0) / (x.n + y.n - coalesce(c, 0)), 4) AS jaccard FROM p JOIN n x ON x.d = p.a JOIN n y ON y.d = p.b LEFT JOIN b ON b.a = p.a AND b.b = p.b""")
+def pairwise_overlap(spark, sf):
+    sets = {"cust": rd(spark, sf, "orders").select(F.col("o_custkey").alias("k")), "part": rd(spark, sf, "lineitem").select(F.col("l_partkey").alias("k")), "user": rd(spark, sf, "events").select(F.col("user_id").alias("k"))}
+    return rel.overlaps(sets, "k")
+
+
+both("SELECT DISTINCT CAST(o_custkey AS BIGINT) AS k FROM @orders WHERE o_custkey NOT IN (SELECT user_id FROM @events) UNION SELECT l_partkey AS k FROM @lineitem WHERE l_partkey NOT IN (SELECT user_id FROM @events)", "orders", "lineitem", "events", name="missing_union")
+
+
+def _journals(spark, sf):
+    """Customers as journals, orders as their releases: years from the date, volumes from the year."""
+    c = rd(spark, sf, "customer")
+    name = F.col("c_custkey").cast("string")
+    containers = c.select(
+        F.col("c_custkey").alias("container_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("publisher"), F.when(F.col("c_custkey") % 11 == 0, "magazine").alias("container_type"),
+        F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("L"), name)).alias("issnl"), F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("E"), name)).alias("issne"), F.lit(None).cast("string").alias("issnp"),
+        F.lit("{}").alias("extra"), F.lit(None).cast("string").alias("publisher_type"),
+    )
+    r = release(spark, sf).select("container_id", F.lit("article-journal").alias("release_type"), F.when(F.col("preservation") == "none", "none").otherwise("bright").alias("preservation"), "year", (F.col("year") - 1990).cast("string").alias("volume"))
+    return containers, r
+
+
+@query(f"""WITH {REL}, s AS (SELECT container_id, count(*) FILTER (preservation <> 'none') AS bright, count(*) FILTER (preservation = 'none') AS n FROM rel GROUP BY 1)
+SELECT container_id, bright, n AS "none" FROM s WHERE ((bright >= 20 AND n <= 5) OR (bright >= 200 AND n <= 20) OR (bright >= 1000 AND n <= 100)) AND container_id % 5 <> 0 AND container_id % 7 <> 0""")
+def holdings_candidates(spark, sf):
+    c, r = _journals(spark, sf)
+    s = stats.preservation_by(r, "container_id")
+    return holdings.candidates(c.join(s, "container_id")).select("container_id", "bright", "none")
+
+
+@query(f"""WITH {REL}, r AS (SELECT container_id, year, CASE WHEN preservation = 'none' THEN 'none' ELSE 'bright' END AS p FROM rel),
+y AS (SELECT container_id, year, count(*) FILTER (p = 'bright') AS b, count(*) FILTER (p <> 'bright') AS x FROM r GROUP BY 1, 2),
+f AS (SELECT container_id, count(*) AS years, sum(b) AS yb, count(*) FILTER (b > 0 AND x = 0) AS full_years, min(year) FILTER (b > 0 AND x = 0) AS lo, max(year) FILTER (b > 0 AND x = 0) AS hi FROM y GROUP BY 1),
+t AS (SELECT container_id, count(*) AS total, count(*) FILTER (p = 'bright') AS bright FROM r GROUP BY 1)
+SELECT c_custkey AS container_id, CASE WHEN c_custkey % 11 = 0 THEN 'container-type' WHEN c_custkey % 7 = 0 THEN 'missing-issnl' WHEN c_custkey % 5 = 0 THEN 'missing-issn'
+  WHEN coalesce(total, 0) < 15 THEN 'few-releases' WHEN bright / total < 0.8 THEN 'low-overall-preservation-fraction' WHEN bright < 15 THEN 'few-preserved-papers'
+  WHEN full_years = 0 THEN 'no-preserved-year-spans' WHEN full_years < 2 THEN 'short-preserved-year-spans' WHEN yb < 15 THEN 'few-preserved-with-year'
+  WHEN hi - lo + 1 <> full_years THEN 'non-contiguous-years' ELSE 'success' END AS status
+FROM customer LEFT JOIN t ON t.container_id = c_custkey LEFT JOIN f ON f.container_id = c_custkey""")
+def holdings_eligibility(spark, sf):
+    c, r = _journals(spark, sf)
+    return holdings.eligibility(c, holdings.spans(r)).select("container_id", "status")
+
+
+@query()
+def holdings_rows(spark, sf):
+    c, r = _journals(spark, sf)
+    return holdings.rows(holdings.eligibility(c, holdings.spans(r)), 2001)
+
+
+@query("""SELECT CASE WHEN text IS NULL THEN 'no-titles' WHEN octet_length(encode(split_part(text, chr(10), 1))) < 2 THEN 'short-title' WHEN lower(split_part(text, chr(10), 1)) = 'oup accepted manuscript' THEN 'filtered-title'
+  WHEN lang = 'es' THEN 'filtered-type' ELSE 'ok' END AS reason, count(*) AS n FROM documents GROUP BY 1""")
+def skip_reasons(spark, sf):
+    d = rd(spark, sf, "documents").select(F.when(F.col("text").isNotNull(), F.array(F.substring_index("text", "\n", 1))).alias("title"), F.when(F.col("lang") == "es", "journal").otherwise("journal-article").alias("type"), F.lit("10.1/x").alias("DOI"))
+    return d.groupBy(F.coalesce(convert.crossref_skip(F.col("title"), F.col("type"), F.col("DOI"), F.lit(0), F.lit(0)), F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT page_id, CASE WHEN url NOT LIKE 'http%' THEN 'not-http' WHEN url LIKE '%/a%' THEN 'url-blocked' ELSE 'crawl' END AS decision FROM pages""")
+def crawl_eligibility(spark, sf):
+    return rd(spark, sf, "pages").select("page_id", search.first_reason([("not-http", ~F.col("url").startswith("http")), ("url-blocked", F.col("url").contains("/a"))], "crawl").alias("decision"))
+
+
+@query("""SELECT doc_id FROM documents WHERE lang IN ('en', 'de') AND n_chars >= 500 AND NOT (source = 'src3')""")
+def facet_filters(spark, sf):
+    d = rd(spark, sf, "documents")
+    return d.where(search.bool_filter(must=[F.col("lang").isin("en", "de"), F.col("n_chars") >= 500], must_not=[F.col("source") == "src3"])).select("doc_id")
+
+
+@query("""SELECT doc_id FROM documents WHERE (lang = 'en' OR lang = 'fr') AND n_chars >= 1000 AND source IS NOT NULL AND NOT (source = 'src1') AND contains(lower(text), 'the')""")
+def query_string_filter(spark, sf):
+    d = rd(spark, sf, "documents")
+    return d.where(search.query_string("(lang:en OR lang:fr) n_chars:>=1000 source:* !source:src1 the", d.columns, ["text"])).select("doc_id")
+
+
+@query("""SELECT doc_id, 4 * (len(lower(split_part(text, chr(10), 1))) - len(replace(lower(split_part(text, chr(10), 1)), 'ation', ''))) // 5 + (len(lower(text)) - len(replace(lower(text), 'ation', ''))) // 5 AS score
+FROM documents WHERE contains(lower(text), 'ation') ORDER BY score DESC, doc_id LIMIT 100""")
+def scored_search(spark, sf):
+    d = rd(spark, sf, "documents").withColumn("title", F.substring_index("text", "\n", 1))
+    hit = d.where(F.contains(F.lower("text"), F.lit("ation")))
+    return hit.select("doc_id", search.weighted_hits("ation", {"title": 4, "text": 1}).alias("score")).orderBy(F.desc("score"), "doc_id").limit(100)
+
+
+@query()
+def title_overlap_match(spark, sf):
+    left = rd(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.substring("text", 1, 120).alias("title"))
+    right = rd(spark, sf, "documents").select(F.col("doc_id").alias("target"), F.substring_index("text", "\n", 1).alias("title"))
+    return cluster.match_titles(left, right)
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, json_extract_string(props, '$.missing') AS missing FROM events""")
+def json_extra_probe(spark, sf):
+    return rd(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"), F.get_json_object("props", "$.missing").alias("missing"))
+
+
+@query("""SELECT event_id, array_to_string(list_sort(list_filter([CASE WHEN event_type = 'purchase' THEN 'jstor' END, CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) % 2 = 0 THEN 'oa' END,
+  CASE WHEN user_id % 3 = 0 THEN 'doaj' END], lambda x: x IS NOT NULL)), ',') AS tags FROM events""")
+def tag_set(spark, sf):
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    return rd(spark, sf, "events").select("event_id", F.array_join(documents.tag_set({"jstor": F.col("event_type") == "purchase", "oa": k % 2 == 0, "doaj": F.col("user_id") % 3 == 0}), ",").alias("tags"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN true WHEN o_custkey % 3 = 0 THEN o_custkey % 2 = 0 WHEN o_orderstatus = 'F' THEN true ELSE false END AS is_oa FROM orders""")
+def oa_cascade(spark, sf):
+    return rd(spark, sf, "orders").select("o_orderkey", search.first_value([(F.col("o_orderpriority").startswith("1"), F.lit(True)), (F.col("o_custkey") % 3 == 0, F.col("o_custkey") % 2 == 0), (F.col("o_orderstatus") == "F", F.lit(True))], F.lit(False)).alias("is_oa"))
+
+
+@query("""SELECT page_id, regexp_extract(lower(url), '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^(https?)://', 1) AS scheme FROM pages""")
+def url_parts(spark, sf):
+    return rd(spark, sf, "pages").select("page_id", ids.url_host(F.col("url")).alias("host"), F.try_parse_url("url", F.lit("PROTOCOL")).alias("scheme"))
+
+
+@query("""SELECT page_id, '/work/wayback/20240101000000/' || url AS access FROM pages""")
+def url_rewrite(spark, sf):
+    return rd(spark, sf, "pages").select("page_id", ids.access_url(ids.wayback_url(F.lit("20240101000000"), F.col("url"))).alias("access"))
+
+
+@query("""SELECT page_id, array_to_string(list_sort(list_distinct(regexp_extract_all(html, '(https?://[^\\s"''<>)]+)', 1))), ' ') AS links FROM pages""")
+def weblinks(spark, sf):
+    return rd(spark, sf, "pages").select("page_id", F.array_join(text.weblinks(F.col("html")), " ").alias("links"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE '10.5555/' || md5(text) END AS doi, 'web-' || sha1('10.5555/' || md5(text)) AS id FROM documents""")
+def identifier_clean(spark, sf):
+    doi = F.concat(F.lit("10.5555/"), F.md5("text"))
+    raw = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("10.5555/ "), F.md5("text"))).when(F.col("doc_id") % 4 == 1, F.concat(F.lit(" doi:https://doi.org/"), F.upper(doi))).otherwise(doi)
+    return rd(spark, sf, "documents").select("doc_id", ids.clean_doi(raw).alias("doi"), ids.source_id("web", doi).alias("id"))
+
+
+@query("""SELECT event_type, sum(CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0 END)::BIGINT AS created, sum(CASE WHEN user_id % 2 = 1 THEN 1 ELSE 0 END)::BIGINT AS skipped FROM events GROUP BY 1""")
+def counters_monoid(spark, sf):
+    e = rd(spark, sf, "events").select("event_type", (F.col("user_id") % 2 == 0).cast("long").alias("created"), (F.col("user_id") % 2 == 1).cast("long").alias("skipped"))
+    return stats.add_counters(e, ["event_type"], ["created", "skipped"])
+
+
+@query("""SELECT c_custkey AS id, 'name' AS id_type, c_name AS id_value FROM customer UNION ALL SELECT c_custkey, 'segment', c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+def legacy_unpivot(spark, sf):
+    c = rd(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("segment"))
+    return c.unpivot("id", ["name", "segment"], "id_type", "id_value").where("id_value IS NOT NULL AND id_value <> ''")
+
+
+@query("""SELECT page_id, url, CAST((row_number() OVER (ORDER BY page_id) - 1) // 100 AS BIGINT) AS shard FROM pages""")
+def sitemap_shards(spark, sf):
+    return sinks.sharded(rd(spark, sf, "pages").select("page_id", "url"), "page_id", 100)
+
+
+@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+def tumbling_window(spark, sf):
+    return rd(spark, sf, "events").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "event_type", "n")
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new FROM events),
+s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, s""")
+def session_window(spark, sf):
+    return rd(spark, sf, "events").groupBy("user_id", F.session_window("ts", "30 minutes")).agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("start"), "n")
+
+
+both("SELECT year(o_orderdate) AS y, o_orderpriority AS p, count(*) AS n FROM @orders GROUP BY ROLLUP (year(o_orderdate), o_orderpriority)", "orders", name="browse_totals_rollup")
+ORACLES["browse_totals_rollup"] = "SELECT CAST(year(o_orderdate) AS INT) AS y, o_orderpriority AS p, count(*) AS n FROM orders GROUP BY ROLLUP (y, p)"
