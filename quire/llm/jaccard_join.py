@@ -30,7 +30,7 @@ from . import common as c
 
 WORDS, NUM, DEN = 5, 4, 5  # similarity of NUM / DEN or more
 SAMPLE, COMMON = 16384, 4  # documents sampled for frequent shingles; frequent from this many
-NODE, LEAF = 512, 16
+NODE, LEAF, DIRECT = 512, 16, 64  # documents of a dealt subtree, of a leaf, and of a shingle that needs no tree
 
 
 def _first(row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -246,14 +246,57 @@ def _trees(batches):
         yield solve(pa.Table.from_batches(kept))
 
 
-def _forest(rows: DataFrame) -> DataFrame:
-    """The rows (h, doc_id, n, comp, bits) dealt as trees: of each shingle one, or the pairs of its subtrees."""
-    size = rows.groupBy("h").agg(F.count("*").alias("members"))
-    rows = rows.join(size, "h")
-    small = rows.where(F.col("members") <= NODE).select("h", F.lit(0).alias("part"), F.lit(0).alias("side"), "doc_id", "n", "comp", "bits")
-    large = c.cut(rows.where(F.col("members") > NODE).drop("bits"))
-    if not large.limit(1).count():
-        return small
+def _direct(batches):
+    """Rows sorted by shingle, of shingles with few documents, in; pairs that sizes and components allow out."""
+    for b in batches:
+        h, ids, n, comp = (b.column(k).to_numpy() for k in ("h", "doc_id", "n", "comp"))
+        found, step = [np.zeros((0, 2), np.int64)], 1
+        while step < len(h):
+            same = np.flatnonzero(h[step:] == h[:-step])
+            if not len(same):
+                break
+            p, q = same, same + step
+            ok = (comp[p] != comp[q]) & (DEN * n[p] >= NUM * n[q]) & (DEN * n[q] >= NUM * n[p])
+            x, y = ids[p[ok]], ids[q[ok]]
+            found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
+            step += 1
+        both = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].astype(np.int64)), pa.array(both[:, 1].astype(np.int64))], names=["a", "b"])
+
+
+def _whole_runs(batches):
+    """The same rows in batches that split no run of equal shingles."""
+    kept: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 8000):
+            part = batch.slice(at, 8000)
+            kept.append(part)
+            size += part.num_rows
+            if size >= 30000:
+                h = part.column("h").to_numpy()
+                split = int(np.searchsorted(h, h[-1], "left"))
+                if split:
+                    yield pa.Table.from_batches([*kept[:-1], part.slice(0, split)]).combine_chunks().to_batches()[0]
+                    kept, size = [part.slice(split)], part.num_rows - split
+    if size:
+        yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+
+
+def _signed(batches):
+    """The pairs whose signatures allow a link."""
+    for b in batches:
+        keep = []
+        for na, nb, x, y in zip(b.column("na").to_pylist(), b.column("nb").to_pylist(), b.column("xa").to_pylist(), b.column("xb").to_pylist(), strict=True):
+            keep.append(may_link(na, nb, np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)))
+        mask = pa.array(keep, pa.bool_())
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(mask), b.column("b").filter(mask)], names=["a", "b"])
+
+
+def _forest(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """The rows (h, doc_id, n, comp, members) dealt as trees: of each shingle one, or the pairs of its subtrees."""
+    small = rows.where(F.col("members") <= NODE).select("h", F.lit(0).alias("part"), F.lit(0).alias("side"), "doc_id", "n", "comp")
+    large = rows.where(F.col("members") > NODE)
     # a component with many members gets subtrees of its own, the others share theirs
     own = large.groupBy("h", "comp").agg(F.count("*").alias("own"))
     large = large.join(own, ["h", "comp"])
@@ -266,8 +309,8 @@ def _forest(rows: DataFrame) -> DataFrame:
     pairs = pairs.where(f"{DEN} * highx >= {NUM} * lowy and {DEN} * highy >= {NUM} * lowx").select("h", "subx", "suby", F.xxhash64("subx", "suby").alias("pair"))
     part = (F.pmod("pair", F.lit((1 << 31) - 2)) + 1).cast("int").alias("part")
     sides = pairs.select("h", F.col("subx").alias("sub"), part, F.lit(0).alias("side")).unionByName(pairs.where("subx <> suby").select("h", F.col("suby").alias("sub"), part, F.lit(1).alias("side")))
-    bits = rows.select("doc_id", "bits").dropDuplicates(["doc_id"])
-    return small.unionByName(large.join(sides, ["h", "sub"]).select("h", "part", "side", "doc_id", "n", "comp").join(bits, "doc_id").select(small.columns))
+    every = small.unionByName(large.join(sides, ["h", "sub"]).select(small.columns))
+    return every.join(bits, "doc_id").repartition("h", "part").sortWithinPartitions("h", "part")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,23 +328,33 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     keyed = sets.select("doc_id", "n", "keys").join(heads, "doc_id", "left_semi").select("doc_id", "n", F.posexplode("keys").alias("k", "key"))
     lead = keyed.groupBy("k", "key").agg(F.min(F.struct("doc_id", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1").select("k", "key", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na"))
     near = f"doc_id <> a and {DEN} * n >= {NUM} * na and {DEN} * na >= {NUM} * n"
-    pairs = c.table(keyed.join(lead, ["k", "key"]).where(near).select("a", F.col("doc_id").alias("b")).distinct(), "led")
-    links = c.table(verified(pairs, texts), "leaders")
+    pairs = keyed.join(lead, ["k", "key"]).where(near).select("a", F.col("doc_id").alias("b")).distinct()
+    links = c.table(linked(pairs, sets, texts), "leaders")
     comp = c.table(c.components(links), "leads")
 
     # trees: of the shingles that several components have in their prefixes
-    member = c.table(reps.select(F.col("rep").alias("doc_id"), "n").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp")), "members")
-    rows = sets.select("doc_id", "prefix").join(member, "doc_id").select("doc_id", "comp", F.explode("prefix").alias("h"))
-    shared = c.table(rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h"), "shared")
+    member = c.table(reps.select(F.col("rep").alias("doc_id")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp")), "members")
+    rows = sets.select("doc_id", "n", "prefix").join(member, "doc_id").select("doc_id", "n", "comp", F.explode("prefix").alias("h"))
+    shared = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("h", "members")
+    shared = c.table(shared, "shared")
     rows = c.table(c.passing(rows, "h", c.marks(shared, "h")).join(shared, "h"), "rows")
-    rows = rows.join(sets.select("doc_id", "n", "bits"), "doc_id")
-    pairs = c.table(_forest(rows).repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(_trees, "a long, b long").distinct(), "opened")
-    more = c.table(verified(pairs, texts), "links")
+    few = rows.where(F.col("members") <= DIRECT).select("h", "doc_id", "n", "comp").repartition("h").sortWithinPartitions("h")
+    pairs = few.mapInArrow(lambda batches: _direct(_whole_runs(batches)), "a long, b long")
+    many = rows.where(F.col("members") > DIRECT)
+    if many.limit(1).count():
+        pairs = pairs.unionByName(_forest(many, sets.select("doc_id", "bits")).mapInArrow(_trees, "a long, b long"))
+    more = c.table(linked(pairs.distinct(), sets, texts), "links")
     final = c.components(links.unionByName(more))
     named = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     return sets.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs that link: first by signatures, then by their texts."""
+    x, y = (sets.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"x{k}")) for k in "ab")
+    return verified(c.table(pairs.join(x, "a").join(y, "b").mapInArrow(_signed, "a long, b long"), "signed"), docs)
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, with one of each component: the smallest id."""
     kept = classes(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
