@@ -83,7 +83,7 @@ def hit_stats(df: DataFrame, host: str, hit: str, direct: str, least: int) -> Da
 
 def fixed_buckets(df: DataFrame, ts: str, value: str, start: str, seconds: int) -> DataFrame:
     """Mean by fixed buckets from `start`; empty buckets do not appear."""
-    bucket = F.floor((F.unix_seconds(ts) - F.unix_seconds(F.lit(start).cast("timestamp"))) / seconds)
+    bucket = F.floor((F.unix_timestamp(ts) - F.unix_timestamp(F.lit(start).cast("timestamp"))) / seconds)
     return df.where(F.col(ts) >= F.lit(start).cast("timestamp")).groupBy(bucket.alias("bucket")).agg(F.round(F.avg(value), 4).alias("mean"), F.count("*").alias("n"))
 
 

@@ -172,7 +172,7 @@ def approx_distinct(spark, sf):
 
 
 both("SELECT md5(text) AS digest, count(*) AS n, min(doc_id) AS first_id FROM @documents GROUP BY md5(text) HAVING count(*) > 1", "documents", name="dup_key_having")
-both("SELECT source, count(*) AS n, count(*) - count(text) AS null_text, count(*) - count(lang) AS null_lang, sum(CASE WHEN n_chars < 200 THEN 1 ELSE 0 END) AS short FROM @documents GROUP BY source", "documents", name="null_profile")
+both("SELECT source, count(*) AS n, count(*) - count(text) AS null_text, count(*) - count(lang) AS null_lang, CAST(sum(CASE WHEN n_chars < 200 THEN 1 ELSE 0 END) AS BIGINT) AS short FROM @documents GROUP BY source", "documents", name="null_profile")
 
 
 @query("""WITH t AS (SELECT doc_id, regexp_replace(lower(split_part(text, chr(10), 1)), '[^\\p{L}]', '', 'g') AS title_key FROM documents)
