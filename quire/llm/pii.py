@@ -222,5 +222,6 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.array(*map(F.lit, KINDS))
     text = lambda x: F.concat_ws(":", name[x["kind"]], x["start"].cast("string"), x["end"].cast("string"))
     base = F.filter("spans", lambda x: x["strict"])
-    counts = [F.size(F.filter(base, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    of = lambda k: F.size(F.filter(base, lambda x: x["kind"] == k))
+    counts = [of(k).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return spans.select("doc_id", *counts, F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"), F.array_join(F.transform("spans", text), ",").alias("spans"))
