@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Characters that count as a plain apostrophe (fixed values).
 SINGLE_QUOTES = "`‘’‛⸂⸃⸌⸍⸜⸝"
@@ -85,7 +86,7 @@ def licence_slug(url: Column) -> Column:
     return lookup(F.concat(F.lit("//"), host, path), LICENCES)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def detag(values: pd.Series) -> pd.Series:
     """Rendered text of HTML."""
     from html.parser import HTMLParser

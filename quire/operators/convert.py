@@ -140,7 +140,7 @@ def crossref(df: DataFrame) -> DataFrame:
     doi = ids.clean_doi(F.col("DOI"))
     body = text.clean_string(text.detag(F.col("abstract")))
     return releases(df, {
-        "id": ids.source_id("crossref", doi), "source": F.lit("crossref"), "title": F.col("title")[0], "subtitle": F.try_element_at("subtitle", F.lit(1)), "original_title": F.try_element_at("original-title", F.lit(1)),
+        "id": ids.source_id("crossref", doi), "source": F.lit("crossref"), "title": F.try_element_at("title", F.lit(1)), "subtitle": F.try_element_at("subtitle", F.lit(1)), "original_title": F.try_element_at("original-title", F.lit(1)),
         "release_type": text.lookup(F.col("type"), CROSSREF_TYPES), "release_stage": F.lit("published"), "release_date": date, "release_year": F.when(date.isNull(), F.try_element_at(parts, F.lit(1))),
         "volume": F.col("volume"), "issue": F.col("issue"), "pages": F.col("page"), "publisher": F.col("publisher"), "language": lang,
         "license_slug": text.licence_slug(F.try_element_at(F.transform(vor, lambda x: x["URL"]), F.lit(-1))),
@@ -163,7 +163,8 @@ def datacite(df: DataFrame, today: str) -> DataFrame:
         kind = F.coalesce(text.lookup(F.col(f"types.{schema}"), table), kind)
     figshare = F.col("doi").rlike(r"^(10\.6084/|10\.25384)") & (F.col("types.resourceType") == "Collection")
     parsed = lambda x: dates.partial_date(x, today)
-    dated = [parsed(F.try_element_at(F.filter("dates", lambda d, k=k: d["dateType"] == k), F.lit(1))["date"]) for k in DATE_ORDER]
+    of_type = lambda k: F.try_element_at(F.filter("dates", lambda d: d["dateType"] == k), F.lit(1))["date"]
+    dated = [parsed(of_type(k)) for k in DATE_ORDER]
     date = F.coalesce(*dated, parsed(F.try_element_at("dates", F.lit(1))["date"]))
     person = lambda role: lambda x, i: {"raw_name": F.coalesce(F.nullif(F.concat_ws(" ", x["givenName"], x["familyName"]), F.lit("")), x["name"]), "given_name": x["givenName"], "surname": x["familyName"], "role": role(x), "raw_affiliation": F.try_element_at(x["affiliation"], F.lit(1))["name"], "position": i}
     known = lambda c: F.filter(c, lambda x: ~F.coalesce(is_unknown(x["name"]), F.lit(False)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.operators.search import first_value
 
@@ -29,7 +30,7 @@ def is_html(mimetype: Column) -> Column:
     return F.coalesce(F.lower(mimetype).rlike("html|xhtml"), F.lit(False))
 
 
-@F.pandas_udf("struct<url:string,rule:string>")
+@F.pandas_udf(StructType([StructField("url", StringType()), StructField("rule", StringType())]))
 def full_text_link(html: pd.Series, base: pd.Series) -> pd.DataFrame:
     """The first full-text link of a page: meta tags in order, then embeds, then links to .pdf; made absolute."""
     from html.parser import HTMLParser
