@@ -49,15 +49,15 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
-    """Only the columns an operator reads, null texts as empty; rows without an id are left out of results by none."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
+    """Only the columns an operator reads, null texts as empty; rows without an id are left out."""
+    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 
 def replaced(docs: DataFrame, texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, with the texts (doc_id, text) given in place of their own where there is one."""
-    new = table(texts.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")), "texts")
-    joined = docs.join(new, docs[id_col] == new["__id"], "left")
-    return joined.select(*(F.coalesce("__text", F.col(k)).alias(k) if k == text_col else F.col(k) for k in docs.columns))
+    new = texts.select(F.col("doc_id").alias("__quire_id"), F.col("text").alias("__quire_text")).dropDuplicates(["__quire_id"])
+    joined = docs.join(new, docs[id_col] == new["__quire_id"], "left")
+    return joined.select(*(F.coalesce("__quire_text", F.col(k)).alias(k) if k == text_col else F.col(k) for k in docs.columns))
 
 
 def fold_bucket(column: str, mod: int):

@@ -15,8 +15,8 @@ a minimal shingle are first verified against one leader, so a large group of nea
 component before any tree is built, and pairs within a component are neither opened nor emitted.
 
 Cases: null and empty texts have no shingles and link with nothing; under five words the whole sequence
-is one shingle; equal sets link; repeated ids count once, as the first text in order.
-Shingles are 64-bit hashes.
+is one shingle; equal sets link; rows that are repeated give a row each in one class; rows without an
+id are left out; other columns may have any name.  Shingles are 64-bit hashes.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ The automata are learned from at most ROWS sampled rows and BYTES bytes a langua
 that is broadcast.  Case is folded, and everything that is no letter separates words.
 
 Cases: null texts and texts without a letter give `und` with score 0; ties go to the first language by
-name; without labelled rows all is `und`; labels, source and id are never read while predicting.
+name; without labelled rows all is `und`; labels, source and id are never read while predicting; repeated
+rows are predicted each, rows without an id are left out, other columns may have any name.
 """
 
 from __future__ import annotations
@@ -144,7 +145,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, lang_pred, score, entropy) and the columns to keep; the score is the lead over the second language, 0 to 1."""
+    """(doc_id, lang_pred, score, entropy) and the columns to keep, as keep_<name>; the score is the lead over the second language, 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = list(model)
 
@@ -188,10 +189,10 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 pred[ok] = np.array(names, object)[order[:, 0]]
                 score[ok] = np.clip(1 - best / np.maximum(second, 1e-9), 0, 1)
             low = np.where(ok, per.min(axis=1) if names else 0.0, 0.0)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(low), *(b.column(f"keep_{k}") for k in keep)], names=["doc_id", "lang_pred", "score", "entropy", *keep])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(low), *(b.column(f"keep_{k}") for k in keep)], names=["doc_id", "lang_pred", "score", "entropy", *(f"keep_{k}" for k in keep)])
 
-    cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(k).alias(f"keep_{k}") for k in keep))
-    more = "".join(f", `{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
+    cols = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(k).alias(f"keep_{k}") for k in keep))
+    more = "".join(f", `keep_{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
     return cols.mapInArrow(run, "doc_id long, lang_pred string, score double, entropy double" + more)
 
 
@@ -199,7 +200,7 @@ def known_language(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
     """The documents, all columns, whose language can be told."""
     keep = tuple(k for k in docs.columns if k != id_col)
     told = predict(docs, model, id_col, text_col, keep).where("lang_pred <> 'und'")
-    return told.select(*(F.col("doc_id").alias(id_col) if k == id_col else F.col(k) for k in docs.columns))
+    return told.select(*(F.col("doc_id").alias(id_col) if k == id_col else F.col(f"keep_{k}").alias(k) for k in docs.columns))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ A candidate's votes and shape are one small code (at most CODES values), so what
 see is a histogram of bounded size, counted over all texts by Spark.
 
 Cases: null and empty texts have no spans; offsets are code points, end exclusive; repeated ids are
-separate rows; extra columns are ignored here and kept by `masked`.
+separate rows, rows without an id are left out of spans; other columns may have any name and are kept by
+`mask_documents`; without candidates nothing is learned and the strict patterns stand.
 """
 
 from __future__ import annotations
@@ -112,6 +113,18 @@ def votes(text: str, kind: int, start: int, end: int, strict: bool) -> int:
     return code * SHAPES + 2 * (len(span) > 16) + bool(re.search(r"[ ().-]", span))
 
 
+def candidates(text: str) -> list[tuple[int, int, int, bool, int]]:
+    """(kind, start, end, strict, code) of a text's strict spans and wider candidates beside them."""
+    strict = base_spans(text)
+    spans = [(k, s, e, True) for k, s, e in strict]
+    for name, pattern, needs in _WIDE:
+        if needs is None or needs in text:
+            for m in pattern.finditer(text):
+                if not any(s < m.end() and m.start() < e for _, s, e in strict):
+                    spans.append((KINDS.index(name), m.start(), m.end(), False))
+    return [(*x, votes(text, *x)) for x in spans]
+
+
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans array<struct<kind,start,end,strict,code>>) of every text: strict spans and candidates."""
     one = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("strict", pa.bool_()), ("code", pa.int32())])
@@ -120,14 +133,7 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for b in batches:
             out = []
             for text in b.column("text").to_pylist():
-                strict = base_spans(text)
-                spans = [(k, s, e, True) for k, s, e in strict]
-                for name, pattern, needs in _WIDE:
-                    if needs is None or needs in text:
-                        for m in pattern.finditer(text):
-                            if not any(s < m.end() and m.start() < e for _, s, e in strict):
-                                spans.append((KINDS.index(name), m.start(), m.end(), False))
-                out.append([(*x, votes(text, *x)) for x in spans])
+                out.append(candidates(text))
             at = np.append(0, np.cumsum([len(x) for x in out])).astype(np.int32)
             flat = list(zip(*(y for x in out for y in x), strict=True)) or [()] * 5
             values = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(flat, one, strict=True)], fields=list(one))
@@ -184,37 +190,43 @@ def train(spans: DataFrame) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(features(every) @ w, -30, 30)))
 
 
+def _accepted(every: DataFrame, accept: float) -> list[int]:
+    return np.flatnonzero(train(every) >= accept).tolist()
+
+
 def spans_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
     """(doc_id, spans array<struct<kind,start,end,strict>>) ordered by kind and start: strict spans, and candidates that the classifier takes."""
     every = c.table(found(docs, id_col, text_col), "spans")
-    good = np.flatnonzero(train(every) >= accept).tolist()
+    good = _accepted(every, accept)
     taken = F.array(*map(F.lit, good)) if good else F.array().cast("array<int>")
     kept = F.filter("spans", lambda x: x["strict"] | F.array_contains(taken, x["code"]))
     return every.select("doc_id", F.array_sort(F.transform(kept, lambda x: F.struct(*(x[k].alias(k) for k in ("kind", "start", "end", "strict"))))).alias("spans"))
 
 
-def _mask(batches):
-    for b in batches:
-        out = []
-        for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-            parts, at = [], 0
-            for s, e, k in sorted((x["start"], x["end"], x["kind"]) for x in spans):
-                if e > at:
-                    parts.append(text[at:s] + f"<{KINDS[k].upper()}>" if s >= at else "")
-                    at = e
-            out.append("".join(parts) + text[at:])
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
+def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with spans (start, end, kind) replaced by their kinds; what overlaps is replaced once."""
+    parts, at = [], 0
+    for s, e, k in sorted(spans):
+        if e > at:
+            parts.append(text[at:s] + f"<{KINDS[k].upper()}>" if s >= at else "")
+            at = e
+    return "".join(parts) + text[at:]
 
 
-def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) of the texts that hold personal data, each span replaced by its kind; overlapping spans are replaced once."""
-    spans = spans_of(docs, id_col, text_col).where(F.size("spans") > 0)
-    return c.id_text(docs, id_col, text_col).join(spans, "doc_id").mapInArrow(_mask, "doc_id long, text string")
+def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
+    """The documents, all columns, with personal data masked: a first pass counts votes, a second rewrites texts where they are."""
+    good = set(_accepted(found(docs, id_col, text_col), accept))
+    at = docs.columns.index(text_col)
 
+    def run(batches):
+        for b in batches:
+            texts = []
+            for text in b.column(at).to_pylist():
+                spans = [(s, e, k) for k, s, e, strict, code in candidates(text) if strict or code in good] if text else []
+                texts.append(mask(text, spans) if spans else text)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field(i).type) if i == at else x for i, x in enumerate(b.columns)], schema=b.schema)
 
-def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, with personal data masked."""
-    return c.replaced(docs, masked(docs, id_col, text_col), id_col, text_col)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

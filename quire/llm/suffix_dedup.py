@@ -12,8 +12,9 @@ needed for the verdict, so tuples compare by fingerprint instead of byte order,
 level: the sampled strings are compared over `length` bytes, not renamed and sorted again.
 
 Cases: null and empty texts have no bytes and lose none; texts under `length` bytes lose none; copies of
-a whole text are collapsed first and lose everything when long enough; ids that repeat are treated as
-separate texts only if their texts differ; extra columns are kept by `remove_repeats` and ignored here.
+a whole text are collapsed first and lose everything when long enough; a row that is repeated whole is a copy
+of itself, and an id is expected to have one text; rows without an id are left out; other columns may have any
+name and are kept by `remove_repeats`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -209,6 +210,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = plain.unionByName(wide) if owned.where(hot).limit(1).count() else plain
     spans = parts.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     whole = kinds.join(same.where("copies > 1"), "sha").select("doc_id", F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").alias("end"))).alias("spans"))
+    whole = whole.dropDuplicates(["doc_id"])
     return spans.join(whole.select("doc_id"), "doc_id", "left_anti").unionByName(whole)
 
 
@@ -252,7 +254,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    less = c.table(shortened(docs).select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")), "less")
+    less = shortened(docs).select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")).dropDuplicates(["doc_id"])
     whole = c.id_text(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     return whole.join(less, "doc_id", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256")
