@@ -30,6 +30,7 @@ from . import common as c
 from .common import replaced
 
 LENGTH, GRAM = 200, 32
+HOT = (2048, 32768)  # a run is hot from twice a task's share, but within these
 SEGMENT = 1 << 23
 _LOW = c.U((1 << 24) - 1)
 
@@ -198,9 +199,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = c.table(anchors.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "runs")
     owned = c.table(anchors.join(runs, "key"), "owned")
     spark = docs.sparkSession
-    # hot: more than twice the rows of an even share of one task, within what one task holds in memory
     share = 2 * owned.count() // max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot = F.col("members") > min(max(2048, share), 32768)
+    hot = F.col("members") > min(max(HOT[0], share), HOT[1])
     lists = owned.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "n", hot.alias("hot"))).alias("owned"))
     contexts = texts.join(lists, "doc_id").mapInArrow(_contexts(length), "key long, doc_id long, first int, ctx binary, hot boolean")
     plain = contexts.where("not hot").drop("hot").repartition("key").sortWithinPartitions("key").mapInArrow(_induced(length), "doc_id long, start int, end int")
