@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import identifiers as ids
-from quire.functions import text
-from quire.operators import cluster, convert, documents, holdings, search, sinks, stats
+from quire.functions import dates, text
+from quire.operators import cluster, convert, documents, holdings, search, sinks, stats, webarchive
 from quire.operators import relational as rel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -543,3 +543,115 @@ def session_window(spark, sf):
 
 both("SELECT year(o_orderdate) AS y, o_orderpriority AS p, count(*) AS n FROM @orders GROUP BY ROLLUP (year(o_orderdate), o_orderpriority)", "orders", name="browse_totals_rollup")
 ORACLES["browse_totals_rollup"] = "SELECT CAST(year(o_orderdate) AS INT) AS y, o_orderpriority AS p, count(*) AS n FROM orders GROUP BY ROLLUP (y, p)"
+
+
+@query("SELECT o_custkey, coalesce(count(*) FILTER (o_orderstatus = 'F') / nullif(count(*) FILTER (o_orderstatus <> 'P'), 0), 1.0)::DOUBLE AS ratio FROM orders GROUP BY 1")
+def success_ratio(spark, sf):
+    ok, all_ = F.count_if(F.col("o_orderstatus") == "F"), F.count_if(F.col("o_orderstatus") != "P")
+    return rd(spark, sf, "orders").groupBy("o_custkey").agg(stats.success_ratio(ok, all_).cast("double").alias("ratio"))
+
+
+both("SELECT md5(text) AS digest, count(*) AS n, max(source) AS url FROM @documents GROUP BY md5(text)", "documents", name="group_max_url")
+both("SELECT o_custkey, CAST(sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END) AS BIGINT) AS papers, count(*) AS total FROM @orders GROUP BY o_custkey", "orders", name="papers_basis")
+
+
+@query()
+def random_row(spark, sf):
+    return rd(spark, sf, "orders").orderBy(F.rand(seed=7)).limit(1)
+
+
+@query("""SELECT page_id, 'web-' || page_id || '_' || strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') AS cursor FROM pages""")
+def cursor_encode(spark, sf):
+    at = F.timestamp_add("HOUR", F.col("page_id"), F.lit("2024-01-01").cast("timestamp"))
+    return rd(spark, sf, "pages").select("page_id", F.concat_ws("_", F.concat(F.lit("web-"), F.col("page_id")), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")).alias("cursor"))
+
+
+@query("""SELECT c_custkey, array_to_string(list_sort(list_filter(['name=' || c_name, 'segment=' || nullif(c_mktsegment, 'BUILDING'), 'nation=' || c_nationkey], lambda x: x IS NOT NULL)), ';') AS metadata FROM customer""")
+def entity_metadata(spark, sf):
+    c = rd(spark, sf, "customer")
+    m = F.map_filter(F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.nullif("c_mktsegment", F.lit("BUILDING")), F.lit("nation"), F.col("c_nationkey").cast("string")), lambda _, v: v.isNotNull())
+    return c.select("c_custkey", F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";").alias("metadata"))
+
+
+@query("""SELECT user_id, count(*) FILTER (event_type = 'click') AS busy, count(*) AS slots, round(100.0 * count(*) FILTER (event_type = 'click') / nullif(count(*), 0), 1)::DOUBLE AS saturation FROM events GROUP BY 1""")
+def slot_saturation(spark, sf):
+    e = rd(spark, sf, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "click").alias("busy"), F.count("*").alias("slots"))
+    return e.withColumn("saturation", F.round(F.lit(100.0) * F.col("busy") / F.nullif("slots", F.lit(0)), 1))
+
+
+@query("SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) AS item FROM pages")
+def item_of_url(spark, sf):
+    return rd(spark, sf, "pages").select("page_id", F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1).alias("item"))
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars >= 1000000 THEN printf('%.1f MB', n_chars / 1000000) WHEN n_chars >= 1000 THEN (n_chars // 1000) || ' kB' ELSE n_chars || ' B' END AS label FROM documents""")
+def size_labels(spark, sf):
+    return rd(spark, sf, "documents").select("doc_id", text.size_label(F.col("n_chars")).alias("label"))
+
+
+@query("SELECT doc_id, substr(sha1(text), 1, 2) || '/' || substr(sha1(text), 3, 2) || '/' || sha1(text) AS path, octet_length(encode(text)) AS size, md5(text) AS md5 FROM documents")
+def blob_paths(spark, sf):
+    d = F.sha1(F.col("text").cast("binary"))
+    return rd(spark, sf, "documents").select("doc_id", ids.blob_path(d).alias("path"), F.octet_length("text").cast("long").alias("size"), F.md5("text").alias("md5"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'doi:"10.5555/' || o_orderkey || '"' WHEN o_orderkey % 5 = 1 THEN 'pmcid:"PMC' || o_orderkey || '"' ELSE 'order ' || o_orderkey END AS q FROM orders""")
+def identifier_queries(spark, sf):
+    k = F.col("o_orderkey").cast("string")
+    q = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit(" 10.5555/"), k)).when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit("PMC"), k)).otherwise(F.concat(F.lit("order "), k))
+    return rd(spark, sf, "orders").select("o_orderkey", ids.identifier_query(q).alias("q"))
+
+
+@query("SELECT doc_id, CASE lang WHEN 'en' THEN 'en' WHEN 'de' THEN 'de' WHEN 'fr' THEN 'fr' END AS language FROM documents")
+def languages(spark, sf):
+    codes = F.create_map(*[F.lit(x) for x in ("en", "eng", "de", "de-AT", "fr", "FRE", "es", "xxx")])
+    return rd(spark, sf, "documents").select("doc_id", text.language(codes[F.col("lang")]).alias("language"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) END AS date, CAST(year(o_orderdate) AS INT) AS year FROM orders""")
+def partial_dates(spark, sf):
+    raw = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyy-MM")).otherwise(F.date_format("o_orderdate", "yyyy"))
+    d = rd(spark, sf, "orders").select("o_orderkey", dates.partial_date(raw, "2026-01-01").alias("d"))
+    return d.select("o_orderkey", "d.date", "d.year")
+
+
+@query("""SELECT u.user_id, s.day FROM (SELECT user_id, CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b FROM events GROUP BY 1) u, LATERAL (SELECT CAST(unnest(range(u.a::TIMESTAMP, u.b::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day) s""")
+def day_intervals(spark, sf):
+    u = rd(spark, sf, "events").groupBy("user_id").agg(F.date_trunc("day", F.min("ts").cast("timestamp")).alias("a"), F.date_trunc("day", F.max("ts").cast("timestamp")).alias("b"))
+    one = u.select("user_id", F.explode(dates.intervals(F.col("a"), F.col("b") + F.expr("INTERVAL 1 DAY"), "day")).alias("i"))
+    return one.select("user_id", F.to_date("i.start").alias("day"))
+
+
+@query("""SELECT doc_id, CASE WHEN position('the' IN lower(text)) > 0 THEN substr(text, greatest(position('the' IN lower(text)) - 75, 1), 150) END AS fragment FROM documents""")
+def highlight(spark, sf):
+    return rd(spark, sf, "documents").select("doc_id", text.highlight(F.col("text"), "the").alias("fragment"))
+
+
+@query("""SELECT l_orderkey, count(*) AS file_count, bool_or(l_returnflag = 'R') AS in_ia FROM lineitem GROUP BY 1""")
+def best_pdf(spark, sf):
+    host = F.when(F.col("l_returnflag") == "R", "https://web.archive.org/web/1/").otherwise("https://example.org/")
+    urls = rd(spark, sf, "lineitem").select("l_orderkey", F.concat(host, F.col("l_partkey").cast("string")).alias("u")).groupBy("l_orderkey").agg(F.count("*").alias("file_count"), F.array_sort(F.collect_set("u")).alias("urls"))
+    return urls.select("l_orderkey", "file_count", documents.best_pdf(F.col("urls"))["in_ia"].alias("in_ia"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 'google' WHEN o_custkey % 3 = 1 THEN 'none' ELSE 'other' END AS bucket FROM orders""")
+def referrer_buckets(spark, sf):
+    ref = F.when(F.col("o_custkey") % 3 == 0, "https://www.google.de/search?q=x").when(F.col("o_custkey") % 3 == 1, "").otherwise("https://example.org/")
+    return rd(spark, sf, "orders").select("o_orderkey", ids.referrer_bucket(ref).alias("bucket"))
+
+
+@query()
+def archived_full_texts(spark, sf):
+    """Full-text links of captured pages."""
+    p = rd(spark, sf, "pages")
+    return p.select("page_id", webarchive.full_text_link("html", "url").alias("l")).select("page_id", "l.url", "l.rule").where("url IS NOT NULL")
+
+
+@query("""SELECT role, count(*) AS n, count(DISTINCT conv_id) AS conversations, max(turn) AS last_turn FROM conversations GROUP BY 1""")
+def ordered_contributors(spark, sf):
+    return rd(spark, sf, "conversations").groupBy("role").agg(F.count("*").alias("n"), F.count_distinct("conv_id").alias("conversations"), F.max("turn").alias("last_turn"))
+
+
+@query("""SELECT conv_id, arg_min(role, turn) AS first_role, count(*) AS n FROM conversations GROUP BY 1""")
+def first_contributor(spark, sf):
+    return rd(spark, sf, "conversations").groupBy("conv_id").agg(F.min_by("role", "turn").alias("first_role"), F.count("*").alias("n"))
