@@ -7,7 +7,9 @@ shingles inside a document pair; a false agreement needs a collision within one
 
 from __future__ import annotations
 
-import os
+import contextlib
+import ctypes
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,9 +22,15 @@ from pyspark.sql import functions as F
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 BASE_INV = U(pow(int(BASE), -1, 1 << 64))
-CHUNK = 1 << 20  # bytes of text that numpy works on at once
+CHUNK = 1 << 19  # bytes of text that numpy works on at once
 _powers: dict[str, np.ndarray] = {}
 
+# Python workers outlive their tasks: batches and arrays that are done with go back to the system at once
+pa.set_memory_pool(pa.system_memory_pool())
+if sys.platform == "linux":
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
