@@ -29,7 +29,7 @@ _powers: dict[str, np.ndarray] = {}
 pa.set_memory_pool(pa.system_memory_pool())
 if sys.platform == "linux":
     with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 23)  # M_MMAP_THRESHOLD
 
 
 def shared_dir(spark: SparkSession) -> str:
