@@ -43,10 +43,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it again: cuts lineage, survives lost executors."""
+    """Writes df as a Parquet table in the shared folder and reads it again: cuts lineage, survives lost executors.
+
+    Shuffle files behind it are of no more use; Spark drops them when the driver collects its garbage, which is
+    asked for here, so that scratch disks hold about one step's shuffles.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

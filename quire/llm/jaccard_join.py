@@ -122,10 +122,9 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             keep = pa.array(np.concatenate(hit)) if hit else pa.array([], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
-    ids = c.marks(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))), "a")
-    docs = c.passing(docs.select("doc_id", "text"), "doc_id", ids)
-    left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    docs = docs.select("doc_id", "text")
+    left = c.passing(docs, "doc_id", c.marks(pairs, "a")).select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
+    right = c.passing(docs, "doc_id", c.marks(pairs, "b")).select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
@@ -335,9 +334,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # trees: of the shingles that several components have in their prefixes
     member = c.table(reps.select(F.col("rep").alias("doc_id")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp")), "members")
     rows = sets.select("doc_id", "n", "prefix").join(member, "doc_id").select("doc_id", "n", "comp", F.explode("prefix").alias("h"))
-    shared = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("h", "members")
-    shared = c.table(shared, "shared")
+    shared = c.table(rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h"), "shared")
     rows = c.table(c.passing(rows, "h", c.marks(shared, "h")).join(shared, "h"), "rows")
+    rows = rows.join(c.table(rows.groupBy("h").agg(F.count("*").alias("members")), "members"), "h")
     few = rows.where(F.col("members") <= DIRECT).select("h", "doc_id", "n", "comp").repartition("h").sortWithinPartitions("h")
     pairs = few.mapInArrow(lambda batches: _direct(_whole_runs(batches)), "a long, b long")
     many = rows.where(F.col("members") > DIRECT)
