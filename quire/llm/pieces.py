@@ -23,7 +23,6 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import common as c
 
