@@ -245,22 +245,45 @@ def _trees(batches):
         yield solve(pa.Table.from_batches(kept))
 
 
+def _signed_pairs(pairs: np.ndarray, n: np.ndarray, bits: list[np.ndarray]) -> np.ndarray:
+    """Which pairs (rows of n and bits) may link by their signatures; `may_link` for many at once."""
+    keep = np.zeros(len(pairs), bool)
+    size = np.array([len(x) for x in bits])
+    least = np.minimum(size[pairs[:, 0]], size[pairs[:, 1]])
+    for w in np.unique(least).tolist():
+        rows = np.flatnonzero(least == w)
+        used, at = np.unique(pairs[rows], return_inverse=True)
+        flat = np.stack([_fold(bits[k], w) for k in used.tolist()]).view(np.uint64)
+        at = at.reshape(-1, 2)
+        for i in range(0, len(rows), 20000):
+            x, y = flat[at[i : i + 20000, 0]], flat[at[i : i + 20000, 1]]
+            gx, gy = (np.bitwise_count(u & ~v).sum(axis=1, dtype=np.int64) for u, v in ((x, y), (y, x)))
+            na, nb = n[pairs[rows[i : i + 20000], 0]], n[pairs[rows[i : i + 20000], 1]]
+            keep[rows[i : i + 20000]] = (NUM + DEN) * np.minimum(na - gx, nb - gy) >= NUM * (na + nb)
+    return keep
+
+
 def _direct(batches):
-    """Rows sorted by shingle, of shingles with few documents, in; pairs that sizes and components allow out."""
+    """Rows sorted by shingle, of shingles with few documents (leaves), in; pairs that sizes, components and signatures allow out."""
     for b in batches:
-        h, ids, n, comp = (b.column(k).to_numpy() for k in ("h", "doc_id", "n", "comp"))
+        h, ids, comp = (b.column(k).to_numpy() for k in ("h", "doc_id", "comp"))
+        n = b.column("n").to_numpy().astype(np.int64)
         found, step = [np.zeros((0, 2), np.int64)], 1
+        docs, first, own = np.unique(ids, return_index=True, return_inverse=True)
         while step < len(h):
             same = np.flatnonzero(h[step:] == h[:-step])
             if not len(same):
                 break
             p, q = same, same + step
             ok = (comp[p] != comp[q]) & (DEN * n[p] >= NUM * n[q]) & (DEN * n[q] >= NUM * n[p])
-            x, y = ids[p[ok]], ids[q[ok]]
-            found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
+            x, y = own[p[ok]], own[q[ok]]
+            found.append(np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0))
             step += 1
         both = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].astype(np.int64)), pa.array(both[:, 1].astype(np.int64))], names=["a", "b"])
+        if len(both):
+            data, off = c.strings(b.column("bits"))
+            both = both[_signed_pairs(both, n[first], [data[off[i] : off[i + 1]] for i in first.tolist()])]
+        yield pa.RecordBatch.from_arrays([pa.array(docs[both[:, 0]].astype(np.int64)), pa.array(docs[both[:, 1]].astype(np.int64))], names=["a", "b"])
 
 
 def _whole_runs(batches):
@@ -337,12 +360,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shared = c.table(rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h"), "shared")
     rows = c.table(c.passing(rows, "h", c.marks(shared, "h")).join(shared, "h"), "rows")
     rows = rows.join(c.table(rows.groupBy("h").agg(F.count("*").alias("members")), "members"), "h")
-    few = rows.where(F.col("members") <= DIRECT).select("h", "doc_id", "n", "comp").repartition("h").sortWithinPartitions("h")
+    few = rows.where(F.col("members") <= DIRECT).select("h", "doc_id", "n", "comp").join(sets.select("doc_id", "bits"), "doc_id").repartition("h").sortWithinPartitions("h")
     pairs = few.mapInArrow(lambda batches: _direct(_whole_runs(batches)), "a long, b long")
     many = rows.where(F.col("members") > DIRECT)
     if many.limit(1).count():
         pairs = pairs.unionByName(_forest(many, sets.select("doc_id", "bits")).mapInArrow(_trees, "a long, b long"))
-    more = c.table(linked(pairs.distinct(), sets, texts), "links")
+    more = c.table(verified(c.table(pairs.distinct(), "opened"), texts), "links")
     final = c.components(links.unionByName(more))
     named = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     return sets.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
