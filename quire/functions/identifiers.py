@@ -67,12 +67,12 @@ def base32_to_hex(text: Column, digits: int) -> Column:
     return F.lower(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(digits - 1)), lambda i: F.conv(F.substr(bits, i * 4 + 1, F.lit(4)), 2, 16)), ""))
 
 
-def uuid_to_fcid(uuid: Column) -> Column:
+def uuid_to_short(uuid: Column) -> Column:
     """A UUID's 128 bits as 26 base32 characters."""
     return hex_to_base32(F.regexp_replace(F.lower(uuid), "-", ""), 32)
 
 
-def fcid_to_uuid(text: Column) -> Column:
+def short_to_uuid(text: Column) -> Column:
     h = base32_to_hex(text, 32)
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
     return F.when(text.rlike("^[a-zA-Z2-7]{26}$"), F.concat_ws("-", *(F.substring(h, *k) for k in cuts)))

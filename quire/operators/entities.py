@@ -13,7 +13,7 @@ from quire.operators.relational import insert_ignore, new_rows
 def current(idents: DataFrame, revisions: DataFrame) -> DataFrame:
     """Live entities (ident, rev_id, is_live, redirect_id) with their revision (rev_id, ...)."""
     live = idents.where("is_live AND redirect_id IS NULL").select("ident", "rev_id")
-    return live.join(revisions, "rev_id").withColumn("id", ids.fcid_to_uuid(F.col("ident")))
+    return live.join(revisions, "rev_id").withColumn("id", ids.short_to_uuid(F.col("ident")))
 
 
 def without_tests(df: DataFrame, kind: str = "type") -> DataFrame:

@@ -41,10 +41,10 @@ def test_orcid(spark, raw, want):
 
 
 @pytest.mark.parametrize("u", ["00112233-4455-6677-8899-aabbccddeeff", "ffffffff-ffff-ffff-ffff-ffffffffffff", "00000000-0000-0000-0000-000000000001"])
-def test_fcid_round_trip(spark, u):
+def test_short_id_round_trip(spark, u):
     want = base64.b32encode(uuid.UUID(u).bytes).decode().lower().rstrip("=")
-    assert one(spark, ids.uuid_to_fcid, u) == want
-    assert one(spark, ids.fcid_to_uuid, want) == u
+    assert one(spark, ids.uuid_to_short, u) == want
+    assert one(spark, ids.short_to_uuid, want) == u
 
 
 def test_sha1_base32(spark):
