@@ -66,6 +66,21 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *mo
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 
+ROW = "__quire_row"
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, bool]:
+    """The documents with a key of each row in ROW, and whether it is the id.
+
+    Ids serve where each row has one of its own; else rows are numbered and stored, so that rows with one id, or
+    without one, stay apart.
+    """
+    shared = docs.groupBy(id_col).agg(F.count("*").alias("__quire_n")).where((F.col("__quire_n") > 1) | F.col(id_col).isNull())
+    if not shared.limit(1).count():
+        return docs.withColumn(ROW, F.col(id_col)), True
+    return table(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows"), False
+
+
 def replaced(docs: DataFrame, texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, with the texts (doc_id, text) given in place of their own where there is one."""
     new = texts.select(F.col("doc_id").alias("__quire_id"), F.col("text").alias("__quire_text")).dropDuplicates(["__quire_id"])

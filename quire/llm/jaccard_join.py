@@ -378,9 +378,20 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, with one of each component: the smallest id."""
-    kept = classes(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(kept, id_col, "left_semi")
+    """The documents, all columns, with one row of each component: the smallest id, and of rows with that id the first by text.
+
+    Texts without shingles link with nothing; of these, rows with the same id and text are one.  Rows without an id come last.
+    """
+    rows, unique = c.keyed(docs, id_col)
+    found = classes(rows, c.ROW, text_col)
+    if unique:
+        kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(c.ROW))
+    else:
+        found = found.join(rows.select(F.col(c.ROW).alias("doc_id"), F.col(id_col).alias("id"), F.sha2(F.col(text_col), 256).alias("sha")), "doc_id")
+        alone = F.when(F.col("n_shingles") == 0, F.struct("id", F.when(F.col("id").isNull(), F.col("doc_id")).alias("row"), "sha"))
+        first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "sha", "doc_id")).alias("first")
+        kept = found.groupBy(F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component"), alone.alias("alone")).agg(first).select(F.col("first.doc_id").alias(c.ROW))
+    return rows.join(kept, c.ROW, "left_semi").select(*docs.columns)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ level: the sampled strings are compared over `length` bytes, not renamed and sor
 
 Cases: null and empty texts have no bytes and lose none; texts under `length` bytes lose none; copies of
 a whole text are collapsed first and lose everything when long enough; a row that is repeated whole is a copy
-of itself, and an id is expected to have one text; rows without an id are left out; other columns may have any
-name and are kept by `remove_repeats`; an empty table gives an empty result.
+of itself, and an id is expected to have one text; rows without an id are left out; `remove_repeats` works on rows,
+whatever their ids, and keeps other columns, which may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -248,8 +248,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             texts = [bytes(x).decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    less = shortened(docs, id_col, text_col, length).select("doc_id", "kept").mapInArrow(run, "doc_id long, text string")
-    return replaced(docs, less, id_col, text_col)
+    rows, _ = c.keyed(docs, id_col)
+    less = shortened(rows, c.ROW, text_col, length).select("doc_id", "kept").mapInArrow(run, "doc_id long, text string")
+    return replaced(rows, less, c.ROW, text_col).select(*docs.columns)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

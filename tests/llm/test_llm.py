@@ -354,6 +354,34 @@ def test_pipeline(spark, sf):
     assert out.select("doc_id").distinct().count() == docs.count()
 
 
+def test_pipeline_repeated_rows(spark):
+    """Rows repeated whole, two texts of one id and rows without an id: one row of each component, and each row's own text."""
+    import corpus_pipeline as p
+
+    text = {k: " ".join(f"{k}{i * 7919 % 997}" for i in range(80)) for k in "abcdef"}
+    rows = [(1, text["a"]), (1, text["a"]), (2, text["b"]), (2, text["c"]), (3, text["d"]), (3, text["d"] + " tail"), (4, text["d"]), (5, text["a"]), (None, text["e"]), (None, text["e"]), (6, ""), (6, ""), (7, None)]
+    shared = "one passage of two texts that is longer than two hundred bytes " * 4
+    rows += [(8, "head " + text["f"] + " " + shared), (8, " ".join(f"g{i}" for i in range(80)) + " " + shared)]
+    docs = common.table(spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA).repartition(3), "t-rows")
+    one = common.table(p.join_near_copies(spark, docs, ""), "t-one")
+    got = sorted(((r["doc_id"], r["text"]) for r in one.collect()), key=repr)
+    d = min((text["d"], text["d"] + " tail"), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert got == sorted([(1, text["a"]), (2, text["b"]), (2, text["c"]), (3, d), (None, text["e"]), (6, ""), (7, None), *rows[-2:]], key=repr)
+    raw = [(i, (t or "").encode()) for i, t in got]
+    count = collections.Counter(b[k : k + 200] for _, b in raw for k in range(len(b) - 199))
+    want = []
+    for i, b in raw:
+        cover = np.zeros(len(b), bool)
+        for k in range(len(b) - 199):
+            if count[b[k : k + 200]] > 1:
+                cover[k : k + 200] = True
+        want.append((i, np.frombuffer(b, np.uint8)[~cover].tobytes().decode()))
+    assert sorted(((r["doc_id"], r["text"] or "") for r in p.drop_repeats(spark, one, "").collect()), key=repr) == sorted(want, key=repr)
+    assert sum(len(t) for _, t in want) < sum(len(b) for _, b in raw)
+    masked = p.mask_personal_data(spark, one, "")
+    assert sorted(((r["doc_id"], r["text"]) for r in masked.collect()), key=repr) == got
+
+
 def test_registry():
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
