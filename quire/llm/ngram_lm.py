@@ -1,15 +1,18 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
 Method: a word's id is the rank of its hash among all training words, so the first level is one monotone
-sequence of hashes; the second level is the monotone sequence of context id * V + word id of the bigrams
-found more than once.  Each is kept in Elias-Fano form: upper halves as unary pointers, lower halves packed,
-about log2(universe / n) + 2 bits an entry.  Beside the levels lie exact unigram counts and smoothed
-probabilities and back-off weights quantised to one byte.  Levels are written by Spark tasks as files in the
+sequence of hashes; the second level is the monotone sequence of context id * V + word id of the bigrams, and
+the third that of bigram rank * V + word id of the trigrams.  Each is kept in Elias-Fano form: upper halves as
+unary pointers, lower halves packed, about log2(universe / n) + 2 bits an entry.  Beside the levels lie exact
+unigram counts and smoothed probabilities and back-off weights quantised to one byte.  Levels are written by Spark tasks as files in the
 shared folder and memory-mapped by the tasks that score; a look-up selects the context's bucket and searches
 for the successor within it, for all distinct n-grams of a few megabytes of text at once.
 
 Probabilities: p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)); p(w|a) = (c(aw) - D) / c(a) + b(a) p(w) where aw is
 kept, b(a) p(w) otherwise, b(a) being the mass that the kept successors leave; contexts never seen: p(w).
+Likewise p(w|ab) = (c(abw) - D) / c(ab) + b(ab) p(w|b), where ab lies within one text; the trie holds the first
+summand, as p(w|b) is looked up anyway.  The query keeps all bigrams and trigrams that training texts have;
+`least` leaves out rarer bigrams and `order` 2 the third level, for a compact model.
 The end mark stands before the first word.  All training texts are counted; counts and levels grow with
 them, and the driver sees one row for each level file.
 
@@ -263,6 +266,7 @@ class Model:
         self.total, self.kinds = sum(s[4] for s in words), sum(s[2] for s in words)
         self.words = [s[:4] for s in words]
         self.pairs = [s[:4] for s in pairs]
+        self.width, self.triples = 1, []
 
     def ids(self, tok: np.ndarray, *columns: str):
         """Id (or -1), count and further columns of each token."""
@@ -276,14 +280,43 @@ class Model:
         before = np.append(end, rank[:-1])
         return np.where((before >= 0) & (rank >= 0), before * self.kinds + rank, -1)
 
+    def pair_ranks(self, rank: np.ndarray, columns: tuple[str, ...]):
+        """Rank (or -1) and columns of the bigram that each token ends."""
+        pair, at = np.unique(self.keys(rank), return_inverse=True)
+        found, values = Level(self.folder, "pairs", self.pairs).find(pair, columns)
+        return found[at], *(v[at] for v in values)
 
-def _pair_counts(texts: DataFrame, model: Model, parts: int) -> DataFrame:
-    """(key, n) of the bigrams found more than once; sorted key lists travel as compressed blobs."""
+    def contexts(self, tok: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """Rank of the bigram before each token, -1 where it is unknown or ends another text."""
+        out = np.append(np.int64(-1), pairs[:-1])
+        out[1:][tok[:-1] == END] = -1
+        return out
+
+    def third(self, ctx: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First summand and back-off weight of the trigrams that tokens end."""
+        key, at = np.unique(np.where((ctx >= 0) & (rank >= 0), ctx * self.kinds + rank, -1), return_inverse=True)
+        found, (gain,) = Level(self.folder, "triples", self.triples).find(key, ("gain",))
+        gain = np.where(found >= 0, 10 ** (gain / 255 * FLOOR), 0.0)[at]
+        some, at = np.unique(ctx, return_inverse=True)
+        rest = np.ones(len(some))
+        part = np.where(some >= 0, some // self.width, -1)
+        for number, *_ in self.triples:
+            lo, hi = np.searchsorted(part, [number, number + 1])
+            if lo < hi:
+                rest[lo:hi] = 10 ** (load(self.folder, f"triples-{number}")["rest3"][some[lo:hi] - number * self.width] / 255 * FLOOR)
+        return gain, rest[at]
+
+
+def _counted(texts: DataFrame, keys_of, part_of, parts: int, solve, schema: str) -> DataFrame:
+    """What solve(part, keys, counts) makes of the n-grams of each part; sorted key lists travel as compressed blobs.
+
+    keys_of gives the keys of a chunk's tokens (negative: none), part_of the part of each key.
+    """
 
     def flush(kept):
         key, at = np.unique(np.concatenate([k for k, _ in kept]), return_inverse=True)
         n = np.bincount(at, np.concatenate([m for _, m in kept])).astype(np.uint32)
-        part = (c.mix(key.astype(c.U)) % c.U(parts)).astype(np.int64)
+        part = part_of(key)
         order = np.argsort(part, kind="stable")
         cut = np.searchsorted(part[order], np.arange(parts + 1))
         zip_, names, blobs = zstandard.ZstdCompressor(level=1), [], []
@@ -298,7 +331,7 @@ def _pair_counts(texts: DataFrame, model: Model, parts: int) -> DataFrame:
     def emit(batches):
         kept, size = [], 0
         for _, _, _, tok, _ in _chunks(batches):
-            key = model.keys(model.ids(tok)[0])
+            key = keys_of(tok)
             kept.append(np.unique(key[key >= 0], return_counts=True))
             size += len(kept[-1][0])
             if size > 1_500_000:
@@ -314,7 +347,8 @@ def _pair_counts(texts: DataFrame, model: Model, parts: int) -> DataFrame:
             if held:
                 k, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
                 m = np.bincount(at, np.concatenate([y for _, y in held])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(k[m > 1]), pa.array(m[m > 1])], names=["key", "n"])
+                held.clear()
+                yield from solve(part, k, m)
 
         unzip = zstandard.ZstdDecompressor()
         for b in batches:
@@ -329,11 +363,54 @@ def _pair_counts(texts: DataFrame, model: Model, parts: int) -> DataFrame:
         yield from done()
 
     blobs = texts.mapInArrow(emit, "part int, blob binary")
-    return blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, "key long, n long")
+    return blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, schema)
+
+
+def _pair_counts(texts: DataFrame, model: Model, parts: int, least: int) -> DataFrame:
+    """(key, n) of the bigrams found `least` times or more."""
+
+    def rows(_, k, m):
+        yield pa.RecordBatch.from_arrays([pa.array(k[m >= least]), pa.array(m[m >= least])], names=["key", "n"])
+
+    return _counted(texts, lambda tok: model.keys(model.ids(tok)[0]), lambda key: (c.mix(key.astype(c.U)) % c.U(parts)).astype(np.int64), parts, rows, "key long, n long")
+
+
+def _third(texts: DataFrame, model: Model, parts: int) -> tuple[int, list[tuple[int, int, int, int]]]:
+    """Writes the level of trigrams and returns bigram ranks a file, and the files.
+
+    Files are ranges of bigram ranks, so the task that merges a range has all successors of its contexts and writes
+    its file: counts are neither stored nor sorted again.  A bigram within a text has a successor each time, so the
+    counts of its successors sum up to its own.
+    """
+    size, kinds, folder = max(model.kinds, 1), sum(s[2] for s in model.pairs), model.folder
+    width = -(-max(kinds, 1) // parts)
+
+    def keys(tok):
+        rank = model.ids(tok)[0]
+        ctx = model.contexts(tok, model.pair_ranks(rank, ())[0])
+        return np.where((ctx >= 0) & (rank >= 0), ctx * size + rank, -1)
+
+    def write(part, k, m):
+        ctx = k // size
+        first = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1]))
+        many = np.diff(np.append(first, len(k)))
+        whole = np.add.reduceat(m, first)
+        rest = np.ones(min(width, kinds - part * width))
+        rest[ctx[first] - part * width] = DISCOUNT * many / whole
+        gain = (m - DISCOUNT) / np.repeat(whole, many)
+        save(folder, f"triples-{part}", ef_build(k - k[0], int(k[-1] - k[0]) + 1) | {"gain": quantised(gain), "rest3": quantised(rest)})
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, int(k[0]), len(k))], names=["number", "first", "n"])
+
+    found = _counted(texts, keys, lambda key: key // size // width, parts, write, "number long, first long, n long").collect()  # a row for each file
+    out, before = [], 0
+    for r in sorted(found, key=lambda r: r["first"]):
+        out.append((r["number"], r["first"], r["n"], before))
+        before += r["n"]
+    return width, out
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Counts all texts and writes the levels."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 2, order: int = 2) -> Model:
+    """Counts all texts and writes the levels: bigrams found `least` times or more, and with order 3 (needs least 1) all trigrams."""
     spark = docs.sparkSession
     folder = f"{c.shared_dir(spark)}/quire-trie-{uuid.uuid4().hex}"
     folder = folder if "://" in folder else f"file://{folder}"
@@ -343,7 +420,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     count = lambda keys, t: {"n": t["n"].to_numpy()}
     model = Model(folder, _stored(words, kinds // SHARD + 1, folder, "words", count), [])
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), model.total // 20_000_000 + 1)
-    pairs = c.table(_pair_counts(texts, model, parts), "pairs")
+    pairs = c.table(_pair_counts(texts, model, parts, least), "pairs")
     size = max(model.kinds, 1)
 
     # mass that the kept successors of a context take, and from it the back-off weight by word id
@@ -385,6 +462,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     total = model.total
     found = _stored(pairs, pairs.count() // SHARD + 1, folder, "pairs", smooth)
     model.pairs = [s[:4] for s in found]
+    if order > 2 and model.pairs:
+        model.width, model.triples = _third(texts, model, max(parts, model.total // SHARD + 1))
     return model
 
 
@@ -409,12 +488,13 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             n = j - i
             rank, count, rest = model.ids(tok, "rest")
             base = np.log10((count + 0.5) / (model.total + 0.5 * (model.kinds + 1)))
-            key = model.keys(rank)
-            pair, at = np.unique(key, return_inverse=True)
-            found, (p,) = Level(model.folder, "pairs", model.pairs).find(pair, ("p",))
+            found, p = model.pair_ranks(rank, ("p",))
             end = model.ids(np.array([END]), "rest")[2][0]
             left = np.append(end, rest[:-1]) / 255 * FLOOR  # unknown contexts have a weight of one
-            each = np.where(found[at] >= 0, p[at] / 255 * FLOOR, left + base)
+            each = np.where(found >= 0, p / 255 * FLOOR, left + base)
+            if model.triples:
+                gain, left = model.third(model.contexts(tok, found), rank)
+                each = np.log10(gain + left * 10**each)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").slice(i, n), pa.array(np.bincount(row, minlength=n)), pa.array(np.bincount(row, count > 0, minlength=n).astype(np.int64)), pa.array(np.bincount(row, base, minlength=n)), pa.array(np.bincount(row, each, minlength=n))],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
@@ -425,5 +505,5 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = train(docs.where(c.fold_bucket("doc_id", 5) != 1))
+    model = train(docs.where(c.fold_bucket("doc_id", 5) != 1), least=1, order=3)
     return scored(docs, model).select("doc_id", (c.fold_bucket("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -234,6 +234,39 @@ def test_ngram_lm(spark, rows, docs, empty):
     assert none.total == 0 and ngram_lm.scored(docs, none).where("n_known = 0").count() == len(rows) and ngram_lm.scored(empty, model).count() == 0
 
 
+def test_ngram_lm_whole(spark, rows, docs, empty, tmp_path):
+    """The query's model: all bigrams and trigrams count, those found once too."""
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in ngram_lm.op4_ngram_lm(spark, str(tmp_path)).collect()}
+    tok = {i: [*words(t), "\n"] for i, t in texts(rows).items()}
+    fit = [i for i in tok if zlib.crc32(str(i).encode()) % 5 != 1]
+    c, pairs, triples = collections.Counter(), collections.Counter(), collections.Counter()
+    for i in fit:
+        t = ["\n", *tok[i]]
+        c.update(tok[i])
+        pairs.update(zip(t, t[1:]))
+        triples.update(zip(t, t[1:], t[2:]))
+    n, v = sum(c.values()), len(c)
+    next1, next2, c2 = collections.Counter(a for a, _ in pairs), collections.Counter(k[:2] for k in triples), collections.Counter()
+    for k, m in triples.items():
+        c2[k[:2]] += m
+    p1 = lambda w: (c[w] + 0.5) / (n + 0.5 * (v + 1))
+    q = lambda x: 10 ** (min(max(round(math.log10(x) / -10 * 255), 0), 255) / 255 * -10)  # noqa: E731  one byte's rounding
+
+    def p2(a, w):
+        rest = q(0.75 * next1[a] / c[a]) if c[a] else 1
+        return q((pairs[a, w] - 0.75) / c[a] + rest * p1(w)) if pairs[a, w] else rest * p1(w)
+
+    def p3(a, b, w):
+        first = q((triples[a, b, w] - 0.75) / c2[a, b]) if triples[a, b, w] else 0
+        return first + (q(0.75 * next2[a, b] / c2[a, b]) if c2[a, b] else 1) * p2(b, w)
+
+    assert any(m == 1 for m in pairs.values()) and any(m == 1 for m in triples.values())
+    for i, t in tok.items():
+        score = math.log10(p2("\n", t[0])) + sum(math.log10(p3(a, b, w)) for a, b, w in zip(["\n", *t], t, t[1:]))
+        assert got[i]["train_tokens"] == n and math.isclose(got[i]["score"], score, rel_tol=1e-6)
+
+
 def test_elias_fano():
     rng = np.random.default_rng(0)
     for n, u in ((1, 1), (5, 1 << 40), (1000, 3000), (20000, 1 << 50), (3000, 1 << 12)):
