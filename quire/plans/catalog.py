@@ -469,7 +469,7 @@ def scored_search(spark, sf):
 
 @query()
 def title_overlap_match(spark, sf):
-    left = rd(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.substring("text", 1, 120).alias("title"))
+    left = rd(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("title"))
     right = rd(spark, sf, "documents").select(F.col("doc_id").alias("target"), F.substring_index("text", "\n", 1).alias("title"))
     return cluster.match_titles(left, right)
 
