@@ -1,36 +1,44 @@
 """Exact n-gram Jaccard join: documents whose five-word shingle sets overlap by 0.8 or more, as components.
 
-Method: signature trees.  A document's signature is a bitmap of its shingles and its set's size; a tree
-node holds the OR of its members' bitmaps and their range of sizes.  Two nodes are compared by the most
-that any two of their members can share: bits set on one side only are shingles that the other side
-cannot have.  A dual traversal opens the pairs of nodes that may still reach the threshold; what is left
-at the leaves is verified exactly on the texts.
-
-The forest is dealt over tasks by prefix shingle: two sets with similarity t share one of their first
-n - ceil(t * n) + 1 shingles in any common order, so each shingle roots a tree of the documents that have
-it in their prefix.  Shingles that are frequent in a bounded sample come last in the order; the sample
-affects the cost only.  Trees of more than NODE documents are cut into subtrees whose pairs are dealt
-apart.  Work is for links between components only: equal sets are one document, and documents that share
-a minimal shingle are first verified against one leader, so a large group of near copies is one
-component before any tree is built, and pairs within a component are neither opened nor emitted.
-
-Cases: null and empty texts have no shingles and link with nothing; under five words the whole sequence
-is one shingle; equal sets link; rows that are repeated give a row each in one class; rows without an
-id are left out; other columns may have any name.  Shingles are 64-bit hashes.
+Method: signature trees.  A document's signature is a bitmap of its shingles, its set's size and the number of
+shingles that share a bit with another; a tree node holds the OR of its members' bitmaps and their range of
+sizes.  Two members of two nodes share at most the bits that both ORs have, and as many shingles more as fell on
+one bit in either.  A dual traversal opens the pairs of nodes that may still reach the threshold by that bound;
+what is left at the leaves is decided by the whole sets, within the task, so that only links leave it, at most one
+fewer than a tree has documents: once two documents are linked, pairs within their component are not opened.
+
+Which documents meet in a tree: two sets with similarity t share one of their first n - ceil(t * n) + 1 shingles in
+any common order.  The order is by exact document frequency, rarest first: each shingle of each text is counted by
+one shuffle of packed hashes, a second one brings those found twice or more back to their documents, so that a
+text of which a fifth occurs nowhere else has no prefix and goes no further.  Documents that share a prefix shingle
+with another component form clusters, a tree each; a cluster too large for a task is dealt by shingle, and a shingle
+too hot for a task by pairs of subtrees.  Before that, equal sets become one document, and documents with the same
+minimal shingle are checked against the most central of them, so that a group of near copies is mostly one component.
+
+Shingles in a large share of a bounded sample of texts count as last in the order and are dealt out by document, not
+by shingle: the sample decides where work is done, not what is found.
+
+Cases: null and empty texts have no shingles and link with nothing; under five words the whole sequence is one
+shingle; equal sets link; rows that are repeated, and rows with one id and several texts, give a row each, the
+smallest id of a class being that of its rows; rows without an id are left out; other columns may have any name.
+Shingles are 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
 
 WORDS, NUM, DEN = 5, 4, 5  # similarity of NUM / DEN or more
-SAMPLE, COMMON = 16384, 4  # documents sampled for frequent shingles; frequent from this many
-NODE, LEAF, DIRECT = 512, 16, 64  # documents of a dealt subtree, of a leaf, and of a shingle that needs no tree
+BLOCK, PART = 1 << 21, 1 << 21  # bytes of text whose hashes travel together; shingles counted in one step
+SAMPLE, HOT = 1 << 26, 1 / 256  # bytes of the sample for hot shingles; share of its texts that makes a shingle hot
+TREE, NODE, LEAF = 1 << 22, 512, 64  # shingles of a cluster that is one tree; documents of a dealt subtree, of a leaf
+SPREAD = 256  # members that a leader is checked against in one group
 
 
 def _first(row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,343 +46,384 @@ def _first(row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return at[:-1], np.diff(at)
 
 
-def signatures(h: np.ndarray, n: int) -> bytes:
-    """Bitmap of one set: half as many bits as shingles or more, a power of two from 64; the first half of a larger one ORed with the second is the smaller one."""
-    size = 64
-    while size * 2 < n:
-        size *= 2
-    bits = np.zeros(size, bool)
-    bits[(h >> c.U(17)).astype(np.int64) & (size - 1)] = True
-    return np.packbits(bits, bitorder="little").tobytes()
+def _lists(values: np.ndarray, count: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(values))
 
 
-def _common(docs: DataFrame, total: int) -> np.ndarray:
-    """Shingles found in several documents of a bounded sample, sorted."""
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(SAMPLE / total * (1 << 20)) + 1)
+def _sets(batches, most: int = c.CHUNK):
+    """Ids, row, shingles, first shingle and size of each text, some megabytes at a time."""
+    for b in batches:
+        data, off = c.strings(b.column("text"))
+        ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        for i, j in c.pieces(off, most):
+            row, h = c.shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], WORDS)
+            yield ids[i:j], row, h, *_first(row, j - i)
 
-    def run(batches):
-        for b in batches:
-            data, off = c.strings(b.column("text"))
-            for i, j in c.pieces(off):
-                yield pa.RecordBatch.from_arrays([pa.array(c.shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], WORDS)[1].view(np.int64))], names=["h"])
 
-    found = sample.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).select("h").toArrow()
-    return np.sort(found["h"].to_numpy().view(c.U))
+def _sized(batches):
+    """Size and digest of each text's set."""
+    for ids, _, h, at, n in _sets(batches):
+        sums = [np.append(c.U(0), np.cumsum(c.mix(h, seed))) for seed in (11, 12)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int32)), *(pa.array((s[at + n] - s[at]).view(np.int64)) for s in sums)], names=["doc_id", "n", "d1", "d2"])
 
 
-def _sketched(docs: DataFrame, common, keep: int) -> DataFrame:
-    """Size, digest, leader keys, prefix shingles (their lower `keep` bits) and bitmap of each document's set."""
-    schema = "doc_id long, n int, d1 long, d2 long, keys array<long>, prefix array<long>, bits binary"
+def _whole(batches):
+    """The sets themselves, and three minimal shingles of each under other orders."""
+    for ids, _, h, at, n in _sets(batches):
+        keys = np.zeros((len(ids), 3), np.int64)
+        for k in range(3):
+            if len(h):
+                keys[n > 0, k] = np.minimum.reduceat(c.mix(h, 21 + k), at[n > 0]).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), _lists(keys.ravel(), np.full(len(ids), 3)), _lists(h.view(np.int64), n)], names=["doc_id", "keys", "shingles"])
+
+
+# --- prefixes by exact frequency ------------------------------------------------------------------------
+
+
+def squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of integers below 2**63 as one compressed value, byte by byte."""
+    head = np.array([len(columns), *map(len, columns)], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(x, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for x in columns))
+
+
+def unsqueezed(blob: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    sizes = raw[8 : 8 + 8 * int(raw[:8].view(np.int64)[0])].view(np.int64).tolist()
+    at, out = 8 * (1 + len(sizes)), []
+    for n in sizes:
+        out.append(np.ascontiguousarray(raw[at : at + 8 * n].reshape(8, n).T).view(np.int64).ravel())
+        at += 8 * n
+    return out
+
+
+def _blobs(to: np.ndarray, key: np.ndarray, doc: np.ndarray, n: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
+    """Entries (key, document with its size, more) dealt to `to`, one compressed value for each destination."""
+    order = np.lexsort((key, to))
+    to, key, doc, n, more = to[order], key[order], doc[order], n[order], [x[order] for x in more]
+    cut = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to)) if len(to) else np.zeros(1, np.int64)
+    out = []
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        own, first, back = np.unique(doc[a:b], return_index=True, return_inverse=True)
+        out.append(squeezed(np.diff(own, prepend=0), n[a:b][first], np.diff(key[a:b], prepend=0), back, *(x[a:b] for x in more)))
+    return pa.RecordBatch.from_arrays([pa.array(to[cut[:-1]].astype(np.int32)), pa.array(out, pa.binary())], names=["to", "blob"])
 
-    def run(batches):
-        late = common.value
-        for b in batches:
-            data, off = c.strings(b.column("text"))
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            for i, j in c.pieces(off):
-                rows = j - i
-                row, h = c.shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], WORDS)
-                at, n = _first(row, rows)
-                full = n > 0
-                d = []
-                for seed in (11, 12):
-                    sums = np.append(c.U(0), np.cumsum(c.mix(h, seed)))
-                    d.append((sums[at + n] - sums[at]).view(np.int64))
-                keys = np.zeros((rows, 3), np.int64)
-                if len(h):
-                    for k in range(3):
-                        keys[full, k] = np.minimum.reduceat(c.mix(h, 21 + k), at[full]).view(np.int64)
-                where = np.searchsorted(late, h)
-                frequent = (where < len(late)) & (late[np.minimum(where, len(late) - 1)] == h) if len(late) else np.zeros(len(h), bool)
-                order = np.lexsort((h, frequent, row))
-                most = n - -(-NUM * n // DEN) + 1
-                most[~full] = 0
-                take = np.arange(len(h)) - np.repeat(at, n) < np.repeat(most, n)
-                prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(most)).astype(np.int32)), pa.array((h[order][take] & c.U((1 << keep) - 1)).view(np.int64)))
-                bits = [signatures(h[a : a + m], m) for a, m in zip(at.tolist(), n.tolist(), strict=True)]
-                three = pa.ListArray.from_arrays(pa.array(np.arange(0, 3 * rows + 1, 3, dtype=np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(n.astype(np.int32)), pa.array(d[0]), pa.array(d[1]), three, prefix, pa.array(bits, pa.binary())], names=["doc_id", "n", "d1", "d2", "keys", "prefix", "bits"])
-
-    return docs.mapInArrow(run, schema)
-
-
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of documents that link, by their whole texts."""
+
+def _gathered(batches):
+    """(key, document, size, more) of all entries of each destination; batches are sorted by it."""
+    now, held = None, []
+    for b in batches:
+        for to, blob in zip(b.column("to").to_pylist(), b.column("blob").to_pylist(), strict=True):
+            if to != now and held:
+                yield [np.concatenate(x) for x in zip(*held, strict=True)]
+                held = []
+            now = to
+            own, n, key, back, *more = unsqueezed(blob)
+            held.append((np.cumsum(key), np.cumsum(own)[back], n[back], *more))
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartition(parts, "to").sortWithinPartitions("to")
+
+
+def _hot(texts: DataFrame, size: int, bits: int) -> np.ndarray:
+    """Upper bits of the shingles that a share HOT of a sample of SAMPLE bytes or so has, sorted: SAMPLE * HOT numbers at most."""
+    sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1.0, SAMPLE / max(1, size)) * (1 << 30)) + 1)
+    least = max(64, int(sample.count() * HOT))
 
     def run(batches):
-        for b in batches:
-            x, y = b.column("ta"), b.column("tb")
-            hit = []
-            for i in range(0, b.num_rows, 256):
-                sides = []
-                for col in (x.slice(i, 256), y.slice(i, 256)):
-                    data, off = c.strings(col)
-                    parts = [c.shingles(data[off[p] : off[q]], off[p : q + 1] - off[p], WORDS) + (p,) for p, q in c.pieces(off)]
-                    sides.append((np.concatenate([r + p for r, _, p in parts]), np.concatenate([h for _, h, _ in parts])))
-                (ra, ha), (rb, hb) = sides
-                m = min(256, b.num_rows - i)
-                row, h = np.concatenate([ra, rb]), np.concatenate([ha, hb])
-                order = np.lexsort((h, row))
-                row, h = row[order], h[order]
-                shared = np.bincount(row[1:][(row[1:] == row[:-1]) & (h[1:] == h[:-1])], minlength=m)
-                union = np.bincount(row, minlength=m) - shared
-                hit.append((DEN * shared >= NUM * union) & (union > 0))
-            keep = pa.array(np.concatenate(hit)) if hit else pa.array([], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
-
-    docs = docs.select("doc_id", "text")
-    left = c.passing(docs, "doc_id", c.marks(pairs, "a")).select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = c.passing(docs, "doc_id", c.marks(pairs, "b")).select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
-
-
-def _fold(bits: np.ndarray, size: int) -> np.ndarray:
-    while len(bits) > size:
-        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
-    return bits
-
-
-_POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+        for _, _, h, _, _ in _sets(batches):
+            key, n = np.unique(h >> c.U(64 - bits), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    found = sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h").toArrow()
+    return np.sort(found["h"].to_numpy())
+
+
+def _in(sorted_: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return sorted_[np.minimum(np.searchsorted(sorted_, key), len(sorted_) - 1)] == key if len(sorted_) else np.zeros(len(key), bool)
+
+
+def prefixes(texts: DataFrame) -> DataFrame:
+    """(doc_id, n, rare, prefix array<long>): of each text, how many shingles no other has, and the prefix shingles that another has, where there are any."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // 6 // PART + 1)
+    bits = min(50, max(24, size.bit_length() + 4))  # a sixty-fourth of the single shingles or fewer look shared
+    hot = texts.sparkSession.sparkContext.broadcast(_hot(texts, size, bits))
+
+    def spread(ids):
+        return (c.mix(ids.astype(c.U), 31) % c.U(parts)).astype(np.int64)
+
+    def emit(batches):
+        for ids, row, h, _, n in _sets(batches, BLOCK):
+            key = (h >> c.U(64 - bits)).view(np.int64)
+            to = ((key >> max(0, bits - 32)) * parts) >> min(32, bits)
+            often = _in(hot.value, key)
+            to[often] = spread(ids[row[often]])
+            yield _blobs(to, key, ids[row], n[row])
+
+    def count(batches):
+        for key, doc, n in _gathered(batches):
+            order = np.argsort(key, kind="stable")
+            key, doc, n = key[order], doc[order], n[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            many = np.diff(np.append(first, len(key)))
+            kind = np.where(_in(hot.value, key[first]), 63, np.minimum(62, (2 * np.log2(many)).astype(np.int64)))
+            keep = np.repeat((many > 1) | (kind == 63), many)
+            yield _blobs(spread(doc[keep]), key[keep], doc[keep], n[keep], np.repeat(kind, many)[keep])
+
+    def choose(batches):
+        for key, doc, n, kind in _gathered(batches):
+            order = np.lexsort((key, kind, doc))
+            key, doc, n = key[order], doc[order], n[order]
+            first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+            many, n = np.diff(np.append(first, len(doc))), n[first]
+            rare = n - many
+            most = np.maximum(0, n - -(-NUM * n // DEN) + 1 - rare)
+            take = np.arange(len(doc)) - np.repeat(first, many) < np.repeat(most, many)
+            ok = most > 0
+            yield pa.RecordBatch.from_arrays([pa.array(doc[first][ok]), pa.array(n[ok].astype(np.int32)), pa.array(rare[ok].astype(np.int32)), _lists(key[take], np.minimum(most, many)[ok])], names=["doc_id", "n", "rare", "prefix"])
+
+    blobs = "to int, blob binary"
+    back = _dealt(_dealt(texts.mapInArrow(emit, blobs), parts).mapInArrow(count, blobs), parts)
+    return back.mapInArrow(choose, "doc_id long, n int, rare int, prefix array<long>")
+
+
+# --- leaders --------------------------------------------------------------------------------------------
+
+
+def _led(batches):
+    """Rows (a, part, doc_id, n, shingles) sorted by group, the leader's (doc_id = a) first in its own; links (a, b) out."""
+    group, known = None, np.zeros(0, np.int64)
+    for b in batches:
+        a, part, ids, n = (b.column(k).to_numpy() for k in ("a", "part", "doc_id", "n"))
+        lists = b.column("shingles")
+        flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+        at = at - at[0]
+        hit = np.zeros(len(ids), bool)
+        cut = np.append(np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (part[1:] != part[:-1]))), len(ids))
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if (a[lo], part[lo]) != group:
+                group, known = (a[lo], part[lo]), flat[at[lo] : at[lo + 1]].view(c.U)  # sorted, as shingles are
+                lo += 1
+            if lo < hi and len(known):
+                own = flat[at[lo] : at[hi]].view(c.U)
+                inside = np.append(0, np.cumsum(known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own))
+                shared = inside[at[lo + 1 : hi + 1] - at[lo]] - inside[at[lo:hi] - at[lo]]
+                hit[lo:hi] = DEN * shared >= NUM * (n[lo:hi] + len(known) - shared)
+        yield pa.RecordBatch.from_arrays([pa.array(a[hit]), pa.array(ids[hit])], names=["a", "b"])
+
+
+def _leaders(sets: DataFrame) -> DataFrame:
+    """Links (a, b) between documents and the most central one of those with the same minimal shingle."""
+    keyed = sets.select("doc_id", "n", "rare", F.posexplode("keys").alias("k", "key"))
+    lead = keyed.groupBy("k", "key").agg(F.min(F.struct((F.col("rare") / F.col("n")).alias("odd"), "doc_id", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1")
+    lead = lead.select("k", "key", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na"))
+    near = f"doc_id <> a and {DEN} * n >= {NUM} * na and {DEN} * na >= {NUM} * n"
+    pairs = c.table(keyed.join(lead, ["k", "key"]).where(near).select("a", "doc_id").distinct(), "led")
+    count = pairs.groupBy("a").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("parts"))
+    member = pairs.join(count, "a").select("a", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"), "doc_id")
+    heads = count.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("doc_id"))
+    groups = member.unionByName(heads).join(sets.select("doc_id", "n", "shingles"), "doc_id").select("a", "part", "doc_id", "n", "shingles")
+    return groups.repartition("a", "part").sortWithinPartitions("a", "part", F.col("doc_id") != F.col("a")).mapInArrow(_led, "a long, b long")
 
 
-class Node:
-    """A subtree: members, OR of their bitmaps, range of sizes, the component if all have the same."""
+# --- trees ----------------------------------------------------------------------------------------------
 
-    __slots__ = ("rows", "bits", "low", "high", "comp", "kids")
 
-    def __init__(self, rows, n, comp, bitmaps, leaf=LEAF):
-        self.rows, self.low, self.high = rows, int(n[rows].min()), int(n[rows].max())
-        own = comp[rows]
-        self.comp = int(own[0]) if (own == own[0]).all() else None
-        if len(rows) > leaf:
-            half = len(rows) // 2
-            self.kids = [Node(rows[:half], n, comp, bitmaps, leaf), Node(rows[half:], n, comp, bitmaps, leaf)]
-            parts = [k.bits for k in self.kids]
-        else:
-            self.kids = []
-            parts = [bitmaps[r] for r in rows]
-        size = min(len(p) for p in parts)
-        self.bits = np.bitwise_or.reduce([_fold(p, size) for p in parts])
+class Forest:
+    """Sets of documents, and which of them are one component by now."""
 
+    def __init__(self, ids: np.ndarray, comp: np.ndarray, flat: np.ndarray, at: np.ndarray):
+        self.ids, self.flat, self.at, self.n = ids, flat, at, np.diff(at)
+        _, self.root = np.unique(comp, return_inverse=True)
+        width = 64
+        while width < 4 * min(int(self.n.max()), 1 << 16):
+            width *= 2
+        bits = np.zeros((len(ids), width), bool)
+        bits[np.repeat(np.arange(len(ids)), self.n), ((flat >> c.U(11)) & c.U(width - 1)).astype(np.int64)] = True
+        self.excess = self.n - bits.sum(axis=1)
+        self.bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+        self.links: list[tuple[int, int]] = []
 
-def _gone(a: np.ndarray, b: np.ndarray) -> int:
-    """Bits of one document's bitmap a that b lacks: so many shingles at least are on a's side only."""
-    size = min(len(a), len(b))
-    return int(_POP[_fold(a, size) & ~_fold(b, size)].sum())
+    def link(self, p: int, q: int) -> None:
+        if self.root[p] != self.root[q]:
+            self.root[self.root == self.root[q]] = self.root[p]
+            self.links.append((p, q))
 
 
-def may_link(na: int, nb: int, a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two documents of sizes na and nb with bitmaps a and b can have similarity NUM / DEN."""
-    if DEN * na < NUM * nb or DEN * nb < NUM * na:
-        return False
-    return (NUM + DEN) * min(na - _gone(a, b), nb - _gone(b, a)) >= NUM * (na + nb)
+class Node:
+    """A subtree: members, OR of their bitmaps, range of sizes, most shingles that fell on a bit taken."""
 
+    __slots__ = ("rows", "bits", "low", "high", "excess", "kids")
 
-def _apart(x: Node, y: Node) -> bool:
-    """True if sizes forbid any link between members of x and y, or all are of one component."""
-    return DEN * x.high < NUM * y.low or DEN * y.high < NUM * x.low or (x.comp is not None and x.comp == y.comp)
+    def __init__(self, f: Forest, rows: np.ndarray, leaf: int):
+        self.rows = rows
+        if len(rows) > leaf:
+            half = len(rows) // 2
+            self.kids = (Node(f, rows[:half], leaf), Node(f, rows[half:], leaf))
+            self.bits = self.kids[0].bits | self.kids[1].bits
+        else:
+            self.kids = ()
+            self.bits = np.bitwise_or.reduce(f.bits[rows])
+        self.low, self.high, self.excess = int(f.n[rows].min()), int(f.n[rows].max()), int(f.excess[rows].max())
 
 
-def traverse(x: Node, y: Node, n, comp, bitmaps, out: list) -> None:
-    """Pairs of rows that may link, one of x and one of y; x is y for the pairs within."""
+def may_link(x: Node, y: Node) -> bool:
+    """Whether sizes and the most that a member of x and one of y can share allow a link."""
+    if DEN * x.high < NUM * y.low or DEN * y.high < NUM * x.low:
+        return False
+    most = int(np.bitwise_count(x.bits & y.bits).sum()) + min(x.excess, y.excess)
+    return (NUM + DEN) * min(most, x.high, y.high) >= NUM * (x.low + y.low)
+
+
+def _leaves(f: Forest, x: np.ndarray, y: np.ndarray) -> None:
+    """Links the members of two leaves (or of one) by their whole sets."""
+    rows = x if x is y else np.concatenate([x, y])
+    size = f.n[rows]
+    own = np.repeat(np.arange(len(rows)), size)
+    h = f.flat[np.repeat(f.at[rows] - (np.cumsum(size) - size), size) + np.arange(len(own))]
+    _, kind, many = np.unique(h, return_inverse=True, return_counts=True)
+    keep = many[kind] > 1
+    own, kind = own[keep], kind[keep]
+    shared = np.zeros((len(rows), len(rows)), np.int64)
+    used, kind = np.unique(kind, return_inverse=True)
+    for lo in range(0, len(used), 8192):
+        part = (kind >= lo) & (kind < lo + 8192)
+        has = np.zeros((len(rows), min(8192, len(used) - lo)), np.float32)
+        has[own[part], kind[part] - lo] = 1
+        shared += (has @ has.T).astype(np.int64)
+    hit = (NUM + DEN) * shared >= NUM * (size[:, None] + size[None, :])
+    p, q = np.nonzero(np.triu(hit, 1) if x is y else hit[: len(x), len(x) :])
+    for a, b in zip(rows[p].tolist(), rows[q if x is y else q + len(x)].tolist(), strict=True):
+        f.link(a, b)
+
+
+def traverse(f: Forest, x: Node, y: Node) -> None:
+    """Links between members of x and y; x is y for those within."""
     stack = [(x, y)]
     while stack:
         p, q = stack.pop()
-        if p is q and p.comp is not None:
-            continue
-        if p is not q and _apart(p, q):
+        own = f.root[p.rows[0]]
+        if (f.root[p.rows] == own).all() and (p is q or (f.root[q.rows] == own).all()):
             continue
-        if p.kids or q.kids:
-            if p is q:
-                a, b = p.kids
-                stack += [(a, a), (b, b), (a, b)]
-            elif p.kids and (not q.kids or len(p.rows) >= len(q.rows)):
-                stack += [(k, q) for k in p.kids]
-            else:
-                stack += [(p, k) for k in q.kids]
+        if p is not q and not may_link(p, q):
             continue
-        for i, r in enumerate(p.rows):
-            if p is not q and DEN * (n[r] - _gone(bitmaps[r], q.bits)) < NUM * n[r]:
-                continue  # what no member of q has leaves too little to share
-            for s in p.rows[i + 1 :] if p is q else q.rows:
-                if comp[r] != comp[s] and may_link(n[r], n[s], bitmaps[r], bitmaps[s]):
-                    out.append((r, s))
+        if not p.kids and not q.kids:
+            _leaves(f, p.rows, p.rows if p is q else q.rows)
+        elif p is q:
+            a, b = p.kids
+            stack += [(a, b), (b, b), (a, a)]
+        elif p.kids and (not q.kids or len(p.rows) >= len(q.rows)):
+            stack += [(k, q) for k in p.kids]
+        else:
+            stack += [(p, k) for k in q.kids]
+
+
+def linked(ids, side, comp, flat, at, leaf: int = LEAF) -> np.ndarray:
+    """Links found in one tree, or between the trees of side 0 and side 1, as pairs of ids."""
+    f = Forest(ids, comp, flat, at)
+    like = np.minimum.reduceat(flat, at[:-1]) if len(flat) else np.zeros(len(ids), c.U)  # the smallest shingle: like sets stand together
+    order = np.lexsort((like, f.n))
+    sides = [order[side[order] == k] for k in (0, 1)]
+    nodes = [Node(f, rows, leaf) for rows in sides if len(rows)]
+    if nodes and len(sides[0]):
+        traverse(f, nodes[0], nodes[-1])
+    return ids[np.array(f.links, np.int64).reshape(-1, 2)]
 
 
 def _trees(batches):
-    """Rows sorted by tree (shingle, part), in; candidate pairs of documents out. A tree is held whole, NODE documents a side at most."""
-
-    def solve(t: pa.Table):
-        ids, n, comp, side = (t[k].to_numpy() for k in ("doc_id", "n", "comp", "side"))
-        root = np.column_stack([t["h"].to_numpy(), t["part"].to_numpy()])
-        cuts = np.flatnonzero(np.append(True, (root[1:] != root[:-1]).any(axis=1)))
-        data, off = c.strings(t["bits"])
-        bitmaps = [data[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-        n, found = n.tolist(), []
-        whole = np.asarray(n)
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(ids)], strict=True):
-            if b - a == 2 and side[a] == side[b - 1]:
-                if comp[a] != comp[a + 1] and may_link(n[a], n[a + 1], bitmaps[a], bitmaps[a + 1]):
-                    found.append((a, a + 1))
-                continue
-            rows = a + np.lexsort((whole[a:b], comp[a:b]))
-            left, right = rows[side[rows] == 0], rows[side[rows] == 1]
-            if not len(left):
-                continue
-            x = Node(left, whole, comp, bitmaps)
-            traverse(x, Node(right, whole, comp, bitmaps) if len(right) else x, n, comp, bitmaps, found)
-        pairs = np.asarray(found, np.int64).reshape(-1, 2)
-        p, q = ids[pairs[:, 0]], ids[pairs[:, 1]]
-        both = np.unique(np.column_stack([np.minimum(p, q), np.maximum(p, q)]), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0].astype(np.int64)), pa.array(both[:, 1].astype(np.int64))], names=["a", "b"])
-
-    kept: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        for at in range(0, batch.num_rows, 4000):
-            part = batch.slice(at, 4000)
-            kept.append(part)
-            size += part.num_rows
-            if size >= 20000:
-                h = part.column("h").to_numpy()
-                split = int(np.searchsorted(h, h[-1], "left"))
-                if split:
-                    yield solve(pa.Table.from_batches([*kept[:-1], part.slice(0, split)]))
-                    kept, size = [part.slice(split)], part.num_rows - split
-    if kept:
-        yield solve(pa.Table.from_batches(kept))
-
-
-def _signed_pairs(pairs: np.ndarray, n: np.ndarray, bits: list[np.ndarray]) -> np.ndarray:
-    """Which pairs (rows of n and bits) may link by their signatures; `may_link` for many at once."""
-    keep = np.zeros(len(pairs), bool)
-    size = np.array([len(x) for x in bits])
-    least = np.minimum(size[pairs[:, 0]], size[pairs[:, 1]])
-    for w in np.unique(least).tolist():
-        rows = np.flatnonzero(least == w)
-        used, at = np.unique(pairs[rows], return_inverse=True)
-        flat = np.stack([_fold(bits[k], w) for k in used.tolist()]).view(np.uint64)
-        at = at.reshape(-1, 2)
-        for i in range(0, len(rows), 20000):
-            x, y = flat[at[i : i + 20000, 0]], flat[at[i : i + 20000, 1]]
-            gx, gy = (np.bitwise_count(u & ~v).sum(axis=1, dtype=np.int64) for u, v in ((x, y), (y, x)))
-            na, nb = n[pairs[rows[i : i + 20000], 0]], n[pairs[rows[i : i + 20000], 1]]
-            keep[rows[i : i + 20000]] = (NUM + DEN) * np.minimum(na - gx, nb - gy) >= NUM * (na + nb)
-    return keep
-
-
-def _direct(batches):
-    """Rows sorted by shingle, of shingles with few documents (leaves), in; pairs that sizes, components and signatures allow out."""
-    for b in batches:
-        h, ids, comp = (b.column(k).to_numpy() for k in ("h", "doc_id", "comp"))
-        n = b.column("n").to_numpy().astype(np.int64)
-        found, step = [np.zeros((0, 2), np.int64)], 1
-        docs, first, own = np.unique(ids, return_index=True, return_inverse=True)
-        while step < len(h):
-            same = np.flatnonzero(h[step:] == h[:-step])
-            if not len(same):
-                break
-            p, q = same, same + step
-            ok = (comp[p] != comp[q]) & (DEN * n[p] >= NUM * n[q]) & (DEN * n[q] >= NUM * n[p])
-            x, y = own[p[ok]], own[q[ok]]
-            found.append(np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0))
-            step += 1
-        both = np.unique(np.concatenate(found), axis=0)
-        if len(both):
-            data, off = c.strings(b.column("bits"))
-            both = both[_signed_pairs(both, n[first], [data[off[i] : off[i + 1]] for i in first.tolist()])]
-        yield pa.RecordBatch.from_arrays([pa.array(docs[both[:, 0]].astype(np.int64)), pa.array(docs[both[:, 1]].astype(np.int64))], names=["a", "b"])
-
-
-def _whole_runs(batches):
-    """The same rows in batches that split no run of equal shingles."""
-    kept: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        for at in range(0, batch.num_rows, 8000):
-            part = batch.slice(at, 8000)
-            kept.append(part)
-            size += part.num_rows
-            if size >= 30000:
-                h = part.column("h").to_numpy()
-                split = int(np.searchsorted(h, h[-1], "left"))
-                if split:
-                    yield pa.Table.from_batches([*kept[:-1], part.slice(0, split)]).combine_chunks().to_batches()[0]
-                    kept, size = [part.slice(split)], part.num_rows - split
-    if size:
-        yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
-
-
-def _signed(batches):
-    """The pairs whose signatures allow a link."""
-    for b in batches:
-        keep = []
-        for na, nb, x, y in zip(b.column("na").to_pylist(), b.column("nb").to_pylist(), b.column("xa").to_pylist(), b.column("xb").to_pylist(), strict=True):
-            keep.append(may_link(na, nb, np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)))
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([b.column("a").filter(mask), b.column("b").filter(mask)], names=["a", "b"])
+    """Rows sorted by tree in; links (a, b) out."""
+    now, held = None, []
 
+    def done():
+        if len(held) > 1:
+            ids, side, comp = (np.array([x[k] for x in held], np.int64) for k in range(3))
+            both = linked(ids, side, comp, np.concatenate([x[3] for x in held]).view(c.U), np.append(0, np.cumsum([len(x[3]) for x in held])))
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
-def _forest(rows: DataFrame, bits: DataFrame) -> DataFrame:
-    """The rows (h, doc_id, n, comp, members) dealt as trees: of each shingle one, or the pairs of its subtrees."""
-    small = rows.where(F.col("members") <= NODE).select("h", F.lit(0).alias("part"), F.lit(0).alias("side"), "doc_id", "n", "comp")
+    for b in batches:
+        keys = zip(*(b.column(k).to_pylist() for k in ("tree", "part")), strict=True)
+        ids, side, comp = (b.column(k).to_numpy() for k in ("doc_id", "side", "comp"))
+        lists = b.column("shingles")
+        flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+        at = (at - at[0]).tolist()
+        for i, key in enumerate(keys):
+            if key != now:
+                yield from done()
+                now, held = key, []
+            held.append((ids[i], side[i], comp[i], flat[at[i] : at[i + 1]].copy()))
+    yield from done()
+
+
+def _by_shingle(rows: DataFrame) -> DataFrame:
+    """Rows (h, doc_id, n, comp) of clusters too large for a tree, dealt by shingle, and hot shingles by pairs of subtrees."""
+    rows = rows.join(rows.groupBy("h").agg(F.count("*").alias("members")), "h")
+    small = rows.where(F.col("members") <= NODE).select(F.col("h").alias("tree"), F.lit(0).alias("part"), F.lit(0).alias("side"), "doc_id", "comp")
     large = rows.where(F.col("members") > NODE)
-    # a component with many members gets subtrees of its own, the others share theirs
+    # a component with many members gets subtrees of its own, the others share theirs by size
     own = large.groupBy("h", "comp").agg(F.count("*").alias("own"))
     large = large.join(own, ["h", "comp"])
     alone = F.col("own") > NODE // 2
-    sub = F.when(alone, F.concat_ws(":", "comp", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("own") / NODE)))).otherwise(F.concat_ws(":", F.lit("x"), F.pmod(F.xxhash64("comp"), F.ceil(F.col("members") / NODE))))
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM))).cast("string")
+    sub = F.when(alone, F.concat_ws(":", "comp", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("own") / NODE)))).otherwise(F.concat_ws(":", F.lit("x"), step, F.pmod(F.xxhash64("comp"), F.ceil(F.col("members") / NODE))))
     large = large.withColumn("sub", sub).withColumn("pure", F.when(alone, F.col("comp")))
     nodes = large.groupBy("h", "sub").agg(F.first("pure").alias("pure"), F.min("n").alias("low"), F.max("n").alias("high"))
     x, y = (nodes.select("h", *[F.col(k).alias(k + s) for k in ("sub", "pure", "low", "high")]) for s in "xy")
     pairs = x.join(y, "h").where("subx <= suby and not (subx = suby and purex is not null) and not coalesce(purex = purey, false)")
-    pairs = pairs.where(f"{DEN} * highx >= {NUM} * lowy and {DEN} * highy >= {NUM} * lowx").select("h", "subx", "suby", F.xxhash64("subx", "suby").alias("pair"))
+    pairs = pairs.where(f"{DEN} * highx >= {NUM} * lowy and {DEN} * highy >= {NUM} * lowx").select("h", "subx", "suby", F.xxhash64("h", "subx", "suby").alias("pair"))
     part = (F.pmod("pair", F.lit((1 << 31) - 2)) + 1).cast("int").alias("part")
     sides = pairs.select("h", F.col("subx").alias("sub"), part, F.lit(0).alias("side")).unionByName(pairs.where("subx <> suby").select("h", F.col("suby").alias("sub"), part, F.lit(1).alias("side")))
-    every = small.unionByName(large.join(sides, ["h", "sub"]).select(small.columns))
-    return every.join(bits, "doc_id").repartition("h", "part").sortWithinPartitions("h", "part")
-
-
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each document."""
-    spark = docs.sparkSession
-    texts = c.id_text(docs, id_col, text_col)
-    total = max(texts.count(), 1)
-    late = spark.sparkContext.broadcast(_common(texts, total))
-    # prefix shingles need only be told apart mostly: 22 bits beyond the number of documents
-    sets = c.table(_sketched(texts, late, min(63, max(40, total.bit_length() + 22))), "sets")
-    reps = c.table(sets.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "reps")
-    heads = reps.select(F.col("rep").alias("doc_id"))
-
-    # leaders: of the documents with the same minimal shingle, the first
-    keyed = sets.select("doc_id", "n", "keys").join(heads, "doc_id", "left_semi").select("doc_id", "n", F.posexplode("keys").alias("k", "key"))
-    lead = keyed.groupBy("k", "key").agg(F.min(F.struct("doc_id", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1").select("k", "key", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na"))
-    near = f"doc_id <> a and {DEN} * n >= {NUM} * na and {DEN} * na >= {NUM} * n"
-    pairs = keyed.join(lead, ["k", "key"]).where(near).select("a", F.col("doc_id").alias("b")).distinct()
-    links = c.table(linked(pairs, sets, texts), "leaders")
+    return small.unionByName(large.join(sides, ["h", "sub"]).select(F.col("h").alias("tree"), "part", "side", "doc_id", "comp"))
+
+
+def _joined(rows: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
+    """Links (a, b) between components (node, component), of documents that share prefix shingles (rows h, doc_id, n)."""
+    rows = rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("h", "doc_id", "n", F.coalesce("component", "doc_id").alias("comp"))
+    shared = c.table(rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("doc_id").alias("head")).where("lo <> hi").select("h", "head"), "shared")
+    rows = c.table(rows.join(shared, "h"), "rows")
+    cluster = c.components(rows.select(F.col("head").alias("a"), F.col("doc_id").alias("b")))
+    member = c.table(rows.select("doc_id", "n", "comp").distinct().join(cluster.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("component", "cluster"), "member")
+    size = member.groupBy("cluster").agg(F.sum("n").alias("size"))
+    member = c.table(member.join(size, "cluster"), "clusters")
+    dealt = member.where(F.col("size") <= TREE).select(F.col("cluster").alias("tree"), F.lit(0).alias("part"), F.lit(0).alias("side"), "doc_id", "comp")
+    large = member.where(F.col("size") > TREE).select("doc_id")
+    if large.limit(1).count():
+        dealt = dealt.unionByName(_by_shingle(c.table(rows.join(large, "doc_id", "left_semi").select("h", "doc_id", "n", "comp"), "large")))
+    full = dealt.join(sets.select("doc_id", "shingles"), "doc_id")
+    return full.repartition("tree", "part").sortWithinPartitions("tree", "part").mapInArrow(_trees, "a long, b long")
+
+
+def components_of(texts: DataFrame) -> DataFrame:
+    """(doc_id, n, component) of each row of texts (doc_id, text) with unique ids, a component being named by its smallest id."""
+    sizes = c.table(texts.mapInArrow(_sized, "doc_id long, n int, d1 long, d2 long"), "sizes")
+    reps = c.table(sizes.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "reps")
+    found = c.table(prefixes(texts), "prefixes")
+    rows = found.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n", "rare", F.explode("prefix").alias("h"))
+    shared = rows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("h")
+    rows = c.table(rows.join(shared, "h"), "candidates")
+    some = c.table(rows.select("doc_id", "n", "rare").distinct(), "some")
+    sets = c.passing(texts, "doc_id", c.marks(some, "doc_id")).join(some.select("doc_id"), "doc_id", "left_semi").mapInArrow(_whole, "doc_id long, keys array<long>, shingles array<long>")
+    sets = c.table(sets.join(some, "doc_id"), "sets")
+    links = c.table(_leaders(sets), "leaders")
     comp = c.table(c.components(links), "leads")
-
-    # trees: of the shingles that several components have in their prefixes
-    member = c.table(reps.select(F.col("rep").alias("doc_id")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp")), "members")
-    rows = sets.select("doc_id", "n", "prefix").join(member, "doc_id").select("doc_id", "n", "comp", F.explode("prefix").alias("h"))
-    shared = c.table(rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h"), "shared")
-    rows = c.table(c.passing(rows, "h", c.marks(shared, "h")).join(shared, "h"), "rows")
-    rows = rows.join(c.table(rows.groupBy("h").agg(F.count("*").alias("members")), "members"), "h")
-    few = rows.where(F.col("members") <= DIRECT).select("h", "doc_id", "n", "comp").join(sets.select("doc_id", "bits"), "doc_id").repartition("h").sortWithinPartitions("h")
-    pairs = few.mapInArrow(lambda batches: _direct(_whole_runs(batches)), "a long, b long")
-    many = rows.where(F.col("members") > DIRECT)
-    if many.limit(1).count():
-        pairs = pairs.unionByName(_forest(many, sets.select("doc_id", "bits")).mapInArrow(_trees, "a long, b long"))
-    more = c.table(verified(c.table(pairs.distinct(), "opened"), texts), "links")
+    more = c.table(_joined(rows.select("h", "doc_id", "n").distinct(), sets, comp), "links")
     final = c.components(links.unionByName(more))
-    named = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    return sets.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
+    return sizes.join(named, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that link: first by signatures, then by their texts."""
-    x, y = (sets.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"x{k}")) for k in "ab")
-    return verified(c.table(pairs.join(x, "a").join(y, "b").mapInArrow(_signed, "a long, b long"), "signed"), docs)
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row with an id."""
+    rows, unique = c.keyed(docs.where(F.col(id_col).isNotNull()).select(id_col, text_col), id_col)
+    found = components_of(c.id_text(rows, c.ROW, text_col))
+    n = F.col("n").cast("long").alias("n_shingles")
+    if unique:
+        return found.select("doc_id", n, F.col("component").alias("component_id"))
+    found = found.withColumnRenamed("doc_id", c.ROW).join(rows.select(c.ROW, F.col(id_col).alias("doc_id")), c.ROW)
+    names = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return found.join(names, "component").select("doc_id", n, "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -383,14 +432,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Texts without shingles link with nothing; of these, rows with the same id and text are one.  Rows without an id come last.
     """
     rows, unique = c.keyed(docs, id_col)
-    found = classes(rows, c.ROW, text_col)
+    found = components_of(c.id_text(rows, c.ROW, text_col))
     if unique:
-        kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(c.ROW))
+        kept = found.where("doc_id = component").select(F.col("doc_id").alias(c.ROW))
     else:
         found = found.join(rows.select(F.col(c.ROW).alias("doc_id"), F.col(id_col).alias("id"), F.sha2(F.col(text_col), 256).alias("sha")), "doc_id")
-        alone = F.when(F.col("n_shingles") == 0, F.struct("id", F.when(F.col("id").isNull(), F.col("doc_id")).alias("row"), "sha"))
+        alone = F.when(F.col("n") == 0, F.struct("id", F.when(F.col("id").isNull(), F.col("doc_id")).alias("row"), "sha"))
         first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "sha", "doc_id")).alias("first")
-        kept = found.groupBy(F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component"), alone.alias("alone")).agg(first).select(F.col("first.doc_id").alias(c.ROW))
+        kept = found.groupBy(F.when(F.col("n") > 0, F.col("component")).alias("component"), alone.alias("alone")).agg(first).select(F.col("first.doc_id").alias(c.ROW))
     return rows.join(kept, c.ROW, "left_semi").select(*docs.columns)
 
 

@@ -92,16 +92,56 @@ def brute_classes(rows):
     return {i: (len(s), name[i]) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("direct, node, leaf", [(64, 512, 16), (1, 3, 1)])
-def test_jaccard_join(spark, rows, docs, monkeypatch, direct, node, leaf):
+@pytest.mark.parametrize("tree, node, leaf, hot", [(1 << 22, 512, 64, 1 / 256), (0, 3, 1, 1e-9), (0, 512, 2, 1 / 256)])
+def test_jaccard_join(spark, rows, docs, monkeypatch, tree, node, leaf, hot):
+    """Clusters as trees, dealt by shingle, and by pairs of subtrees; with hot shingles and without."""
     base = words(texts(rows)[3])[:200]
     near = [(2000 + i, " ".join(w for k, w in enumerate(base) if (k * 31 + i * 17) % 67 > i % 3), None, None, 1) for i in range(20)]
-    for k, v in (("DIRECT", direct), ("NODE", node), ("LEAF", leaf)):
+    near += [(2100 + i, " ".join([*base[:60], *(f"v{i}x{k}" for k in range(i))]), None, None, 1) for i in range(1, 16)]
+    for k, v in (("TREE", tree), ("NODE", node), ("HOT", hot)):
         monkeypatch.setattr(jaccard_join, k, v)
-    got = jaccard_join.classes(docs.select("doc_id", "text").unionByName(spark.createDataFrame(near, SCHEMA).select("doc_id", "text")))
+    monkeypatch.setattr(jaccard_join, "linked", lambda *a, f=jaccard_join.linked: f(*a, leaf))
+    more = spark.createDataFrame([*near, (None, "a b c d e f", None, None, 1)], SCHEMA).select("doc_id", "text")
+    got = jaccard_join.classes(docs.select("doc_id", "text").unionByName(more))
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_classes(rows + near)
 
 
+def test_jaccard_join_without_leaders(spark, monkeypatch):
+    """Chains of near copies of which no document is like all others, found by trees alone."""
+    some = [(i, " ".join(f"w{k}" for k in range(4 * i, 4 * i + 100)), None, None, 1) for i in range(40)]
+    some += [(100 + i, " ".join(f"w{k}" for k in range(6 * i, 6 * i + 50)), None, None, 1) for i in range(20)]
+    monkeypatch.setattr(jaccard_join, "_leaders", lambda sets: spark.createDataFrame([], "a long, b long"))
+    want = brute_classes(some)
+    for tree, node in ((1 << 22, 512), (0, 512), (0, 4)):
+        monkeypatch.setattr(jaccard_join, "TREE", tree)
+        monkeypatch.setattr(jaccard_join, "NODE", node)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.classes(spark.createDataFrame(some, SCHEMA)).collect()} == want
+
+
+def test_jaccard_join_repeated_ids(spark):
+    t = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abc"}
+    some = [(7, t["a"]), (7, t["a"]), (7, t["b"]), (9, t["b"] + " x"), (9, t["c"]), (3, None), (3, "")]
+    got = sorted(tuple(r) for r in jaccard_join.classes(spark.createDataFrame(some, "doc_id long, text string")).collect())
+    assert got == [(3, 0, 3), (3, 0, 3), (7, 26, 7), (7, 26, 7), (7, 26, 7), (9, 26, 9), (9, 27, 7)]
+
+
+def test_node_bound_is_never_too_small():
+    """Nodes are never cut while two of their members link."""
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        base = np.unique(rng.integers(0, 1 << 63, 60).astype(np.uint64))
+        sets = [np.sort(base[rng.random(len(base)) < rng.uniform(0.7, 1)]) for _ in range(12)]
+        at = np.append(0, np.cumsum([len(s) for s in sets]))
+        f = jaccard_join.Forest(np.arange(12), np.arange(12), np.concatenate(sets), at)
+        x, y = jaccard_join.Node(f, np.arange(6), 2), jaccard_join.Node(f, np.arange(6, 12), 2)
+        link = lambda a, b: 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))
+        for p in (x, *x.kids):
+            for q in (y, *y.kids):
+                assert jaccard_join.may_link(p, q) or not any(link(a, b) for a in p.rows for b in q.rows)
+        got = {frozenset(map(int, r)) for r in jaccard_join.linked(np.arange(12), np.zeros(12, int), np.arange(12), np.concatenate(sets), at, 2)}
+        assert all(link(*p) for p in got)
+
+
 def test_jaccard_join_empty(empty):
     assert jaccard_join.classes(empty).count() == 0
 
