@@ -13,9 +13,12 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,44 +28,81 @@ BASE_INV = U(pow(int(BASE), -1, 1 << 64))
 CHUNK = 1 << 19  # bytes of text that numpy works on at once
 _powers: dict[str, np.ndarray] = {}
 
-# Python workers outlive their tasks: batches and arrays that are done with go back to the system at once
-pa.set_memory_pool(pa.system_memory_pool())
-if sys.platform == "linux":
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 23)  # M_MMAP_THRESHOLD
+BATCH = 1 << 23  # bytes of an Arrow batch
+
+
+@lru_cache(maxsize=1)
+def _lean() -> None:
+    """Python workers outlive their tasks: batches and arrays that are done with go back to the system at once."""
+    if TaskContext.get() is None:
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 23)  # M_MMAP_THRESHOLD
+
+
+def settle(spark: SparkSession) -> None:
+    """Batches that Spark hands to Python are bounded in bytes, as texts may be long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(name)).removesuffix("b")) > BATCH:
+        spark.conf.set(name, str(BATCH))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a temporary one where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quire-shared-")
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+_scratch: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch():
+    """Tables written inside are dropped at the end, but for those that `table` is told to keep."""
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield
+    finally:
+        _scratch.remove(made)
+        for path in made:
+            with contextlib.suppress(OSError, pa.ArrowException):  # a store that only Spark writes to keeps them until its folder is cleared
+                store, at = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+                store.delete_dir(at)
+
+
+def table(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it again: cuts lineage, survives lost executors.
 
-    Shuffle files behind it are of no more use; Spark drops them when the driver collects its garbage, which is
-    asked for here, so that scratch disks hold about one step's shuffles.
+    The shuffle files behind it are of no more use, and Spark is told to drop them when it is written, so that scratch
+    disks hold one step's shuffles.
     """
     spark = df.sparkSession
+    settle(spark)
     path = f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    if _scratch and not keep:
+        _scratch[-1].append(path)
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(clean)
+    spark.conf.set(clean, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(clean, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the columns an operator reads, null texts as empty; rows without an id are left out."""
+    settle(docs.sparkSession)
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 
@@ -119,6 +159,7 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 def strings(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (from 0) of a string or binary column without nulls."""
+    _lean()
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if col.null_count:
@@ -196,8 +237,12 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.
     return r[keep], s[keep]
 
 
-def marks(values: DataFrame, column: str, log2: int = 26) -> np.ndarray:
-    """Packed bits at the column's values modulo 2**log2: a filter of fixed size (8 MB) that passes every value given and, while it is sparse, few others."""
+def marks(values: DataFrame, column: str) -> np.ndarray:
+    """Packed bits at the column's values modulo their number: a filter that passes every value given and, while it is sparse, few others.
+
+    It has eight bits a value, from 32 kB to 32 MB, so it is sparse up to 2**26 values; beyond that it passes more.
+    """
+    log2 = min(28, max(18, (8 * values.count()).bit_length()))
     at = F.pmod(F.col(column), F.lit(1 << log2)) + 1
     rows = values.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
     out = np.zeros((1 << log2) // 8, np.uint8)
@@ -222,7 +267,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of each node with an edge (a, b); component is the smallest node reachable.
 
     Alternates large-star and small-star steps, so a hub's edges are moved to its smallest neighbour and
-    path lengths shrink geometrically; each round is checkpointed and nothing comes to the driver but a count.
+    path lengths shrink geometrically; each round is stored and nothing comes to the driver but a count.
     """
     def both(e):
         return e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -238,9 +283,9 @@ def components(edges: DataFrame) -> DataFrame:
         moved = e.join(m, "a")
         return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(moved.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
-    e, seen = cut(edges.select("a", "b").where("a <> b").distinct()), None
+    e, seen = table(edges.select("a", "b").where("a <> b").distinct(), "edges"), None
     while True:
-        e = cut(small(large(e)))
+        e = table(small(large(e)), "edges")
         state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first())
         if state == seen:
             break

@@ -397,6 +397,11 @@ def _joined(rows: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
 
 def components_of(texts: DataFrame) -> DataFrame:
     """(doc_id, n, component) of each row of texts (doc_id, text) with unique ids, a component being named by its smallest id."""
+    with c.scratch():
+        return _components_of(texts)
+
+
+def _components_of(texts: DataFrame) -> DataFrame:
     sizes = c.table(texts.mapInArrow(_sized, "doc_id long, n int, d1 long, d2 long"), "sizes")
     reps = c.table(sizes.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "reps")
     found = c.table(prefixes(texts), "prefixes")
@@ -411,7 +416,7 @@ def components_of(texts: DataFrame) -> DataFrame:
     more = c.table(_joined(rows.select("h", "doc_id", "n").distinct(), sets, comp), "links")
     final = c.components(links.unionByName(more))
     named = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
-    return sizes.join(named, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+    return c.table(sizes.join(named, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("component")), "components", keep=True)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
