@@ -1,18 +1,23 @@
 """Packing of tokenised documents into sequences of a fixed length, as few as can be found.
 
-Method: bin completion.  Take the largest piece that is left, enumerate the undominated ways to fill the
-rest of its sequence (a filling is dominated if another has pieces that are larger one for one and still
-fit), follow them depth first, and cut a branch once its waste so far proves that it cannot beat the
-incumbent; the incumbent starts as the best-fit solution.
-
-Whatever the corpus, pieces have one of `capacity` lengths, so the search runs on counts by length: one
-filling is laid `times` times at once.  Only this histogram (capacity numbers at most) comes to the driver.
-The answer is a table of fillings; pieces of one length are numbered by partition offsets, not by one
-sorted task, and the number of a piece within its length picks its sequence and offset.
-
-Cases: null and empty texts have one token, the end mark; texts with more than `capacity` tokens are cut
-into full pieces and one shorter first piece; repeated ids are packed as separate documents; an empty
-table has no pieces.
+Method: bin completion.  Take the largest piece that is left, enumerate the undominated ways to fill the rest of its
+sequence, fullest first, and follow them depth first.  A filling is left out if another piece still fits in, or if a
+filling seen before at the same place dominates it: its pieces can be laid, one or several each, into pieces of that
+one.  A branch is cut where the sequences used and a lower bound for what is left reach the incumbent's number; the
+waste that this allows also ends the enumeration of fillings.  The incumbent starts as the better of best fit and of
+the fullest filling at each step.
+
+Whatever the corpus, pieces have one of `capacity` lengths, so the search runs on counts by length: one filling is
+laid as often as its pieces allow, and less often only on the way back.  Only this histogram (capacity numbers at
+most) comes to the driver.  The answer is a table of fillings; pieces of one length are numbered by partition offsets,
+not by one sorted task, and the number of a piece within its length picks its sequence and offset.
+
+The search is whole for small sets; for large ones it ends with `budget` nodes, and `gap` tells how many sequences the
+answer can be above the least number.
+
+Cases: null and empty texts have one token, the end mark; texts with more than `capacity` tokens are cut into full
+pieces and one shorter first piece; a literal special token of the vocabulary is that token, as the tokenizers library
+has it; repeated ids are packed as separate documents, rows without an id are left out; an empty table has no pieces.
 """
 
 from __future__ import annotations
@@ -106,7 +111,9 @@ class Encoder:
 
         self.path = path
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            whole = json.load(f)
+        model = whole["model"]
+        self.special = [t["content"] for t in whole.get("added_tokens") or []]
         # the printable stand-ins of bytes in a byte-level vocabulary
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [x for x in range(256) if x not in plain]
@@ -168,16 +175,24 @@ class Encoder:
     def tok(self):
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(self.path)
-        tok.encode_special_tokens = True
-        return tok
+        return Tokenizer.from_file(self.path)
+
+    def simple(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Which texts `batch` can take."""
+        easy, raw = plain(data, off), data.tobytes()
+        for name in self.special:
+            at = raw.find(name.encode())
+            while at >= 0:
+                easy[np.searchsorted(off, at, "right") - 1] = False
+                at = raw.find(name.encode(), at + 1)
+        return easy
 
     def word(self, w: str) -> bytes:
         ids = self.core.encode_ordinary(w) if self.core else self.tok.encode(w, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if _OTHER.search(text):
+        if _OTHER.search(text) or any(t in text for t in self.special):
             return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes() + _END
         words, known = _SPLIT.findall(text), self.known
         try:
@@ -201,13 +216,18 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     tokenizer = tokenizer or default_tokenizer()
 
     def run(batches):
-        enc = encoder(tokenizer)
+        try:
+            yield from cut(encoder(tokenizer), batches)
+        finally:
+            _state.clear()  # workers outlive their tasks
+
+    def cut(enc, batches):
         for b in batches:
             data, off = c.strings(b.column("text"))
             ids_of = b.column("doc_id").to_numpy(zero_copy_only=False)
             for i, j in c.pieces(off, 1 << 20):
                 part, at = data[off[i] : off[j]], off[i : j + 1] - off[i]
-                easy = plain(part, at) if len(part) else np.ones(j - i, bool)
+                easy = enc.simple(part, at) if len(part) else np.ones(j - i, bool)
                 size = np.diff(at)
                 ids, count = enc.batch(part[np.repeat(easy, size)], np.append(0, np.cumsum(size[easy])))
                 raw, cuts = ids.tobytes(), iter(np.append(0, np.cumsum(count)).tolist())
@@ -228,52 +248,6 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     return c.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def fillings(largest: int, room: int, counts: np.ndarray, most: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of `room` with pieces up to `largest`, fullest first, at most `width` of them.
-
-    A full filling dominates all with waste; of the others, those whose any piece could be swapped for a
-    longer one at hand that still fits are dominated.
-    """
-    lengths = [int(x) for x in np.flatnonzero(counts[: min(largest, room) + 1])[::-1] if x]
-    found: list[tuple[int, ...]] = []
-    steps = [0]
-
-    def grow(at: int, left: int, chosen: tuple[int, ...]) -> None:
-        if len(found) >= width or steps[0] > 4000:
-            return
-        steps[0] += 1
-        while at < len(lengths) and lengths[at] > left:
-            at += 1
-        if not left or at == len(lengths) or len(chosen) == most:
-            found.append(chosen)
-            return
-        for k in range(at, min(at + 6, len(lengths))):
-            x = lengths[k]
-            if chosen.count(x) < counts[x]:
-                grow(k, left - x, (*chosen, x))
-                if found and sum(found[-1]) == room:
-                    return
-        if chosen:
-            found.append(chosen)
-
-    # two pieces that fill the room exactly, before anything else
-    here = set(lengths)
-    for x in lengths:
-        y = room - x
-        if x == room or (y in here and (y != x or counts[x] > 1) and y <= x):
-            found.append((x,) if x == room else (x, y))
-            if len(found) >= width:
-                break
-    if not found:
-        grow(0, room, ())
-    found = sorted(set(found), key=lambda f: (room - sum(f), len(f), tuple(-x for x in f)))
-    kept: list[tuple[int, ...]] = []
-    for f in found:
-        if not any(len(g) >= len(f) and all(a >= b for a, b in zip(g, f, strict=False)) and sum(g) > sum(f) for g in kept):
-            kept.append(f)
-    return kept[:width]
-
-
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
     """(times, lengths) of best-fit decreasing over counts: each piece joins the fullest open sequence that it fits."""
     left = counts.copy()
@@ -298,41 +272,141 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ..
         plan.append((times, tuple(fill)))
 
 
-def plan(counts: np.ndarray, capacity: int, width: int = 4, budget: int = 6000) -> list[tuple[int, tuple[int, ...]]]:
-    """Fillings and how often each is laid: depth-first bin completion with waste bounds, best fit as incumbent.
-
-    `budget` bounds the nodes opened; when it ends, or the bound by total length is met, the incumbent stands.
-    """
-    total = int((np.arange(len(counts)) * counts).sum())
-    floor = -(-total // capacity)
-    best = best_fit(counts, capacity)
-    best_n = sum(t for t, _ in best)
-    stack = [(counts.astype(np.int64), None, 0, 0)]
-    while stack and best_n > floor and budget:
-        left, laid, used, waste = stack.pop()
-        budget -= 1
-        over = np.flatnonzero(left)
-        if not len(over):
-            if used < best_n:
-                best, best_n = [], used
-                while laid:
-                    laid, step = laid
-                    best.append(step)
-            continue
-        if -(-(total + waste) // capacity) >= best_n:
-            continue  # the waste so far already costs as many sequences as the incumbent has
-        top = int(over[-1])
+def fullest(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(times, lengths) where each sequence is filled, around the largest piece left, as far as the pieces left allow."""
+    left, plan = counts.copy(), []
+    while left.any():
+        top = int(np.flatnonzero(left)[-1])
+        left[top] -= 1
+        fill = (top, *next(completions(left, capacity - top, capacity)))
+        left[top] += 1
+        plan.append((_lay(left, fill), fill))
+    return plan
+
+
+def _lay(left: np.ndarray, fill: tuple[int, ...], most: int | None = None) -> int:
+    """Takes the filling out of the counts as often as it goes, and returns how often."""
+    kinds, need = np.unique(fill, return_counts=True)
+    times = int((left[kinds] // need).min())
+    times = times if most is None else min(times, most)
+    left[kinds] -= times * need
+    return times
+
+
+def bound(counts: np.ndarray, capacity: int) -> int:
+    """Sequences that are needed at least: pieces above half of the capacity have one each, and what the others, from some length on, cannot lay beside those needs more."""
+    n, size = np.append(counts, 0), np.arange(len(counts) + 1)
+    above, total = np.cumsum(n[::-1])[::-1], np.cumsum((n * size)[::-1])[::-1]  # of pieces from a length on
+    k = np.arange(0, capacity // 2 + 1)  # pieces under k are left out
+    half, far = capacity // 2 + 1, np.minimum(capacity - k + 1, len(counts))
+    alone, beside = above[far], above[half] - above[far]
+    room = beside * capacity - (total[half] - total[far])
+    small = total[k] - total[half]
+    return int((alone + beside + np.maximum(0, -(-(small - room) // capacity))).max()) if len(k) and above[0] else 0
+
+
+def completions(counts: np.ndarray, room: int, slack: int):
+    """Ways to fill `room` with the pieces counted, wasting `slack` at most, fullest first, none that leaves room for a piece."""
+    lengths = [int(x) for x in np.flatnonzero(counts[: room + 1])[::-1] if x]
+    mask, reach = (1 << room + 1) - 1, [1]
+    for x in reversed(lengths):  # sums that the lengths from here on have
+        sums, rest, step = reach[-1], min(int(counts[x]), room // x), 1
+        while rest:
+            step = min(step, rest)
+            sums |= sums << step * x & mask
+            rest -= step
+            step *= 2
+        reach.append(sums)
+    reach.reverse()
+
+    def grow(k: int, target: int, chosen: tuple[int, ...]):
+        if not target:
+            yield chosen
+            return
+        for i in range(k, len(lengths)):
+            x = lengths[i]
+            for n in range(min(int(counts[x]), target // x), 0, -1):
+                if reach[i + 1] >> target - n * x & 1:
+                    yield from grow(i + 1, target - n * x, chosen + (x,) * n)
+            if not reach[i + 1] >> target & 1:
+                return
+
+    for waste in range(min(slack, room) + 1):
+        if reach[0] >> room - waste & 1:
+            for f in grow(0, room - waste, ()):
+                if not waste or all(counts[x] <= f.count(x) for x in lengths if x <= waste):
+                    yield f
+
+
+def dominates(g: tuple[int, ...], f: tuple[int, ...]) -> bool:
+    """Whether the pieces of f can be laid into those of g, several into one; both longest first."""
+    if sum(f) > sum(g):
+        return False
+    bins = list(g)
+
+    def lay(k: int) -> bool:
+        if k == len(f):
+            return True
+        for i in range(len(bins)):
+            if bins[i] >= f[k] and bins[i] not in bins[:i]:
+                bins[i] -= f[k]
+                if lay(k + 1):
+                    return True
+                bins[i] += f[k]
+        return False
+
+    return lay(0)
+
+
+def plan(counts: np.ndarray, capacity: int, budget: int = 4000) -> list[tuple[int, tuple[int, ...]]]:
+    """(times, lengths) of as few sequences as `budget` nodes of the search find."""
+    counts = counts.astype(np.int64)
+    size = np.arange(len(counts))
+    best = min((best_fit(counts, capacity), fullest(counts, capacity)), key=lambda p: sum(t for t, _ in p))
+    best_n, floor = sum(t for t, _ in best), bound(counts, capacity)
+
+    def branches(left: np.ndarray, used: int, banned: frozenset):
+        """(times, filling) around the largest piece, best first; then the same less often."""
+        top, seen = int(np.flatnonzero(left)[-1]), []
         rest = left.copy()
         rest[top] -= 1
-        for f in reversed(fillings(top, capacity - top, rest, capacity, width) or [()]):
-            kinds, need = np.unique((top, *f), return_counts=True)
-            times = int((left[kinds] // need).min())
-            after = left.copy()
-            after[kinds] -= times * need
-            stack.append((after, (laid, (times, (top, *f))), used + times, waste + times * (capacity - top - sum(f))))
+        for f in completions(rest, capacity - top, (best_n - 1 - used) * capacity - int((size * left).sum())):
+            if f in banned or any(dominates(g, f) for g in seen):
+                continue
+            seen.append(f)
+            most = _lay(left.copy(), (top, *f))
+            for times in range(most, 0, -1):
+                yield times, (top, *f), frozenset(banned | {f}) if times < most else frozenset()
+
+    stack = [(counts, (), 0, branches(counts, 0, frozenset()))] if best_n > floor else []
+    while stack and best_n > floor and budget:
+        left, laid, used, more = stack[-1]
+        step = next(more, None)
+        if step is None:
+            stack.pop()
+            continue
+        times, f, banned = step
+        budget -= 1
+        after = left.copy()
+        _lay(after, f, times)
+        if not after.any():
+            if used + times < best_n:
+                best_n, best, chain = used + times, [(times, f)], laid
+                while chain:
+                    chain, one = chain
+                    best.append(one)
+        elif used + times + bound(after, capacity) < best_n:
+            # pieces as long as this one that are left over may not be laid the same way again
+            same = banned if after[f[0]] else frozenset()
+            stack.append((after, (laid, (times, f)), used + times, branches(after, used + times, same)))
     return best
 
 
+def gap(counts: np.ndarray, capacity: int, found: list[tuple[int, tuple[int, ...]]]) -> int:
+    """How many sequences a plan may have above the least number."""
+    return sum(t for t, _ in found) - bound(counts, capacity)
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The pieces (a stored table) with sequence_id and offset.
 
