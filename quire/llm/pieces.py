@@ -1,18 +1,22 @@
 """SentencePiece encoding and decoding for batches of texts.
 
-Method: texts are cut into words (a run of spaces and what follows it; pieces hold spaces at their start
-only).  The distinct words of a few megabytes are grouped by length, and all words of one length advance
-together in numpy: hashes of substrings are looked up among the sorted hashes of the vocabulary's pieces, and
-vectorised maxima choose.  For a unigram vocabulary this is Viterbi: the maximum over the pieces that end at a
-place stores a backpointer.  A vocabulary trained by merges (such as the public one here) defines ids by
-merging, which no sum of scores reproduces; for it the same batches choose, step by step, the best
-adjacent pair of each word, the leftmost at ties, so that ids are those of the sentencepiece library.
-
-A character without a piece becomes the pieces of its UTF-8 bytes.  Decoding joins pieces, turns marks into
-spaces and drops the first, so texts come back exactly.
-
-Cases: null and empty texts have no ids; a literal mark (U+2581) is coded by its bytes; words of any length are
-whole (those of more than LONG characters are merged by the library); equal words are coded alike wherever they are.
+Method: Viterbi in batches.  Texts are cut into words (a run of spaces and what follows it; pieces hold spaces at their
+start only).  The distinct words of a few megabytes are grouped by length, and all words of one length advance
+together in numpy: at each place the hashes of the substrings that end there probe the sorted hashes of the
+vocabulary's pieces, and the vectorised maximum of the score before each plus its own stores a backpointer, the longest
+piece at ties.  A word's ids are those of the segmentation with the highest sum of piece scores.
+
+A vocabulary trained by merges, such as the public one here, has scores too (minus the rank of a piece's merge), and
+Viterbi segments by them; the ids that its own library gives come from merging, which no sum of scores reproduces.
+With `merging` the same batches choose, step by step, the best adjacent pair of each word, the leftmost at ties, and
+ids are those of the library.
+
+A character without a piece becomes the pieces of its UTF-8 bytes.  Decoding joins pieces, turns marks into spaces and
+drops the first, so texts come back exactly.
+
+Cases: null and empty texts have no ids; a literal mark (U+2581) is coded by its bytes; words of any length are whole
+(with `merging` those of more than LONG characters are merged by the library); equal words are coded alike wherever
+they are; repeated ids are coded each, rows without an id are left out, other columns may have any name.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ def default_model() -> str:
 
 
 class Vocabulary:
-    def __init__(self, path: str):
+    def __init__(self, path: str, merging: bool = False):
         import sentencepiece
 
         from sentencepiece import sentencepiece_model_pb2
@@ -45,7 +49,8 @@ class Vocabulary:
         proto = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as f:
             proto.ParseFromString(f.read())
-        merges = proto.trainer_spec.model_type == 2
+        if merging and proto.trainer_spec.model_type != 2:
+            raise ValueError(f"{path} has no merges")
         sp = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         n = sp.get_piece_size()
         names = [sp.id_to_piece(i) for i in range(n)]
@@ -62,7 +67,7 @@ class Vocabulary:
                 keys.append(name)
                 ids.append(i)
                 scores.append(sp.get_score(i))
-        self.sp, self.merges = sp, merges
+        self.sp, self.merges = sp, merging
         self.longest = max(map(len, keys))
         points = [np.frombuffer(k.encode("utf-32-le"), np.uint32) for k in keys]
         h = np.array([_hash(p) for p in points], c.U)
@@ -95,10 +100,10 @@ def _hash(points: np.ndarray) -> np.uint64:
         return c.mix(np.array([((points.astype(c.U) + c.U(1)) * p).sum(dtype=c.U)]) ^ c.U(len(points)) * c.U(0xD6E8FEB86659FD93))[0]
 
 
-def vocabulary(path: str) -> Vocabulary:
-    if path not in _state:
-        _state[path] = Vocabulary(path)
-    return _state[path]
+def vocabulary(path: str, merging: bool = False) -> Vocabulary:
+    if (path, merging) not in _state:
+        _state[path, merging] = Vocabulary(path, merging)
+    return _state[path, merging]
 
 
 def viterbi(v: Vocabulary, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,17 +269,26 @@ def decode(v: Vocabulary, ids: np.ndarray) -> str:
     return b"".join([v.bytes_of[i] for i in ids.tolist()])[1:].decode("utf-8", "replace")
 
 
-def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
+def _coded(batches, model: str, merging: bool = False):
+    """Vocabulary, batch, row range, texts and their ids, about a megabyte at a time."""
+    try:
+        v = vocabulary(model, merging)
+        for b in batches:
+            data, off = c.strings(b.column("text"))
+            for i, j in c.pieces(off, 1 << 20):
+                part, at = data[off[i] : off[j]], off[i : j + 1] - off[i]
+                yield v, b.column("doc_id").slice(i, j - i), part, at, *encode(v, part, at)
+    finally:
+        _state.clear()  # workers outlive their tasks
+
+
+def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, merging: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) of every text."""
     model = model or default_model()
 
     def run(batches):
-        v = vocabulary(model)
-        for b in batches:
-            data, off = c.strings(b.column("text"))
-            for i, j in c.pieces(off, 1 << 20):
-                ids, n = encode(v, data[off[i] : off[j]], off[i : j + 1] - off[i])
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
+        for _, ids_of, _, _, ids, n in _coded(batches, model, merging):
+            yield pa.RecordBatch.from_arrays([ids_of, pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
 
     return c.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -284,10 +298,13 @@ def decoded(rows: DataFrame, model: str | None = None) -> DataFrame:
     model = model or default_model()
 
     def run(batches):
-        v = vocabulary(model)
-        for b in batches:
-            texts = [decode(v, np.array(x or [], np.int64)) for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
+        try:
+            v = vocabulary(model)
+            for b in batches:
+                texts = [decode(v, np.array(x or [], np.int64)) for x in b.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
+        finally:
+            _state.clear()
 
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
@@ -297,15 +314,10 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = default_model()
 
     def run(batches):
-        v = vocabulary(model)
-        for b in batches:
-            data, off = c.strings(b.column("text"))
-            for i, j in c.pieces(off, 1 << 20):
-                part, at = data[off[i] : off[j]], off[i : j + 1] - off[i]
-                ids, n = encode(v, part, at)
-                cut, raw, text = np.append(0, np.cumsum(n)).tolist(), ids.astype(np.uint32).tobytes(), part.tobytes()
-                spell, ids = v.bytes_of, ids.tolist()
-                rows = [(cut[k + 1] - cut[k], zlib.crc32(raw[4 * cut[k] : 4 * cut[k + 1]]), b"".join([spell[x] for x in ids[cut[k] : cut[k + 1]]])[1:] == text[at[k] : at[k + 1]]) for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.bool_()), strict=True))], names=["doc_id", "n_ids", "ids_crc32", "exact"])
+        for v, ids_of, part, at, ids, n in _coded(batches, model):
+            cut, raw, text = np.append(0, np.cumsum(n)).tolist(), ids.astype(np.uint32).tobytes(), part.tobytes()
+            spell, ids = v.bytes_of, ids.tolist()
+            rows = [(cut[k + 1] - cut[k], zlib.crc32(raw[4 * cut[k] : 4 * cut[k + 1]]), b"".join([spell[x] for x in ids[cut[k] : cut[k + 1]]])[1:] == text[at[k] : at[k + 1]]) for k in range(len(ids_of))]
+            yield pa.RecordBatch.from_arrays([ids_of, *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.bool_()), strict=True))], names=["doc_id", "n_ids", "ids_crc32", "exact"])
 
     return c.id_text(spark.read.parquet(f"{sf_dir}/documents.parquet")).mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, exact boolean")
