@@ -106,35 +106,66 @@ def wayback_url(ts: Column, url: Column) -> Column:
     return F.concat(F.lit("https://web.archive.org/web/"), ts, F.lit("id_/"), url)
 
 
-def access_url(url: Column) -> Column:
-    """Direct links to archived files become links to their readers' pages."""
-    wayback = r"^https?://web\.archive\.org/web/(\d+)(?:id_)?/(.*)$"
-    item = r"^https?://archive\.org/(?:download|serve)/([^/]+)/(.*)$"
+def access_url(url: Column, work: Column) -> Column:
+    """Links to archived copies of a work become links that pass by its own pages; others, and those of no work, stay."""
+    wayback = r"^https?://web\.archive\.org/web/\d{14}/(.*)"
+    item = r"^https?://archive\.org/download/([^/]+)/(.*)"
+    page = F.concat(F.lit("/work/"), work, F.lit("/access/"))
     return (
-        F.when(url.rlike(wayback), F.concat(F.lit("/work/wayback/"), F.regexp_extract(url, wayback, 1), F.lit("/"), F.regexp_extract(url, wayback, 2)))
-        .when(url.rlike(item), F.concat(F.lit("/work/item/"), F.regexp_extract(url, item, 1), F.lit("/"), F.regexp_extract(url, item, 2)))
+        F.when(F.coalesce(work, F.lit("")) == "", url)
+        .when(url.rlike(wayback), F.concat(page, F.lit("wayback/"), F.regexp_extract(url, wayback, 1)))
+        .when(url.rlike(item), F.concat(page, F.lit("ia_file/"), F.regexp_extract(url, item, 1), F.lit("/"), F.regexp_extract(url, item, 2)))
         .otherwise(url)
     )
 
 
-#: Referrer buckets by host substring, first match wins (fixed values).
-REFERRERS = (("google", "google"), ("bing.", "bing"), ("duckduckgo", "duckduckgo"), ("wikipedia.org", "wikipedia"), ("archive.org", "archive"))
+#: Referrer buckets by a part of the host, first match wins (fixed values).
+REFERRERS = (("google_scholar", "scholar.google."), ("google", "google."))
 
 
 def referrer_bucket(referrer: Column) -> Column:
+    """Where a visit came from: no referrer is `direct`, an unknown or unreadable one `other`."""
     host = F.lower(F.try_parse_url(referrer, F.lit("HOST")))
-    out = F.when(F.coalesce(referrer, F.lit("")) == "", "none")
-    for part, name in REFERRERS:
+    out = F.when(F.coalesce(referrer, F.lit("")) == "", "direct")
+    for name, part in REFERRERS:
         out = out.when(F.contains(host, F.lit(part)), name)
     return out.otherwise("other")
 
 
+#: Shapes of bare identifiers and the field that each is looked up in (fixed values).
+IDENTIFIERS = (
+    (r"^10\.\d{4,}/\S+$", "doi"),
+    (r"(?i)^PMC\d+$", "pmcid"),
+    (r"^\d{4}\.\d{4,5}(?:v\d+)?$", "arxiv_id"),
+    (r"^[a-z-]+(?:\.[A-Z]{2})?/\d{7}$", "arxiv_id"),
+)
+
+
 def identifier_query(q: Column) -> Column:
-    """A query that is a bare identifier becomes a fielded one."""
-    x = F.trim(q)
-    return (
-        F.when(x.rlike(r"^10\.\d{4,}/\S+$"), F.concat(F.lit('doi:"'), F.lower(x), F.lit('"')))
-        .when(x.rlike(r"^PMC\d+$"), F.concat(F.lit('pmcid:"'), x, F.lit('"')))
-        .when(x.rlike(r"(?i)^arxiv:\S+$"), F.concat(F.lit('arxiv_id:"'), F.substr(x, F.lit(7)), F.lit('"')))
-        .otherwise(x)
-    )
+    """A query that is a bare identifier, or a DOI's address, becomes a fielded one; the text is kept as it is."""
+    x = F.regexp_replace(q, r"(?i)^https?://(?:dx\.)?doi\.org/", "")
+    out = x
+    for pattern, field in reversed(IDENTIFIERS):
+        out = F.when(x.rlike(pattern), F.concat(F.lit(f'{field}:"'), x, F.lit('"'))).otherwise(out)
+    return out
+
+
+#: Where full texts are expected, by identifier, the likeliest first (fixed values).
+FULL_TEXTS = (
+    ("arxiv", "https://arxiv.org/pdf/{}.pdf"),
+    ("pmcid", "http://europepmc.org/backend/ptpmcrender.fcgi?accid={}&blobtype=pdf"),
+    ("doaj", "https://doaj.org/article/{}"),
+    ("doi", "https://doi.org/{}"),
+)
+
+
+def full_text_urls(extids: Column, doaj_url: Column) -> Column:
+    """Addresses of a release's full text in order of preference; the one that DOAJ itself names stands before DOAJ's page."""
+    of = lambda k: F.nullif(F.try_element_at(extids, F.lit(k)), F.lit(""))
+    out = []
+    for k, form in FULL_TEXTS:
+        head, tail = form.split("{}")
+        if k == "doaj":
+            out.append(F.when(of(k).isNotNull(), doaj_url))
+        out.append(F.concat(F.lit(head), of(k), F.lit(tail)))
+    return F.array_compact(F.array(*out))

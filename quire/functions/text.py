@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 import pandas as pd
@@ -146,7 +147,10 @@ def display_name(creator_id: Column, creator_name: Column, raw: Column, given: C
     return F.when(creator_id.isNotNull(), F.coalesce(creator_name, F.lit(""))).otherwise(F.coalesce(F.nullif(raw, F.lit("")), joined))
 
 
-STOP_WORDS = ("about", "after", "among", "from", "into", "that", "their", "this", "with", "within", "using", "based", "between", "study", "analysis")
+#: Words that say nothing about a title (fixed values).
+STOP_WORDS = (
+    "with", "from", "this", "that", "into", "their", "what", "when", "your", "have", "been", "than", "they", "them", "were", "where", "which", "would", "could", "should", "about",
+)
 
 
 def title_tokens(x: Column, shortest: int = 4, stop: tuple[str, ...] = STOP_WORDS) -> Column:
@@ -160,7 +164,7 @@ def tokens_overlap(a: Column, b: Column) -> Column:
 
 
 def split_creators(x: Column) -> Column:
-    return F.filter(F.transform(F.split(x, ";"), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(x, ";"), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def weblinks(x: Column) -> Column:
@@ -172,21 +176,39 @@ def small_int(x: Column) -> Column:
     return F.when(n.between(0, 30000), n).otherwise(0)
 
 
-def citation_key(x: Column) -> Column:
-    """Keys like `10.1/abc_ref12` or `doi-12` are cut to their last part; over-long ones go."""
-    last = F.element_at(F.split(x, "[/_-]"), -1)
-    return F.when(F.length(x) > 10, last).otherwise(x)
+def citation_key(key: Column, index: Column) -> Column:
+    """A reference's key without the parts that name the citing work; without a key the reference's number."""
+    x = F.regexp_replace(F.regexp_replace(key, r"^\s+|\s+$", ""), "^[/_]", "")
+    x = F.regexp_replace(x, r"^10\.(?=.*SICI).*-", "")
+    x = F.regexp_replace(x, r"^10\..*_", "")
+    for mark in ("#", "_"):
+        x = F.regexp_replace(x, f"^(?=.{{11}}).*{mark}", "")
+    return F.when(F.coalesce(key, F.lit("")) == "", index.cast("string")).otherwise(x)
 
 
 def size_label(n: Column) -> Column:
     return F.when(n >= 1000000, F.format_string("%.1f MB", n / 1000000.0)).when(n >= 1000, F.format_string("%d kB", (n / 1000).cast("long"))).otherwise(F.format_string("%d B", n.cast("long")))
 
 
-def trim_abstract(x: Column, prefixes: tuple[str, ...] = ("Abstract", "ABSTRACT", "Summary", "Background:", ":")) -> Column:
-    body = F.trim(x)
-    for p in prefixes:
-        body = F.when(F.startswith(body, F.lit(p)), F.ltrim(F.substr(body, F.lit(len(p) + 1)))).otherwise(body)
-    return body
+#: Headings before abstracts, cut one after another, blanks included (fixed values).
+ABSTRACT_HEADINGS = (
+    "Abstract No Abstract ", "Publisher Summary ", "Abstract ", "ABSTRACT ", "Summary ", "Background: ", "Background ", "N/a.", "No abstract.", "Introduction: ", "ACKNOWLEDGEMENTS ", "a b s t r a c t ",
+)
+
+
+def trim_abstract(x: Column) -> Column:
+    """An abstract without headings; NULL where one word or less is left."""
+    body = x
+    for p in ABSTRACT_HEADINGS:
+        body = F.regexp_replace(body, "^" + re.escape(p), "")
+    return F.when(F.size(F.filter(F.split(body, r"\s+"), lambda w: w != "")) > 1, body)
+
+
+def first_abstracts(abstracts: Column) -> Column:
+    """Of an array of (language, content), the first of each language that has a body: array of (body, language), in order."""
+    some = F.filter(F.transform(abstracts, lambda a: F.struct(trim_abstract(clean_string(a["content"])).alias("body"), a["language"].alias("language"))), lambda a: a["body"].isNotNull())
+    langs = F.transform(some, lambda a: F.coalesce(a["language"], F.lit("")))
+    return F.filter(some, lambda a, i: F.array_position(langs, F.coalesce(a["language"], F.lit(""))) == i + 1)
 
 
 def highlight(x: Column, term: str, around: int = 75) -> Column:

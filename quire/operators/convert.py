@@ -150,7 +150,15 @@ def crossref(df: DataFrame) -> DataFrame:
     })
 
 
-DATE_ORDER = ("Valid", "Issued", "Available", "Submitted")
+#: Types of dates, the best first (fixed values).
+DATE_ORDER = ("Valid", "Available", "Accepted", "Submitted", "Copyrighted", "Created", "Updated")
+
+
+def best_date(found: Column, today: str) -> Column:
+    """struct(date, year, month) of an array of (date, dateType): the first that can be read of the best type that has one, else the first of any type."""
+    read = F.filter(F.transform(found, lambda d: F.struct(F.coalesce(F.array_position(F.array(*map(F.lit, DATE_ORDER)), d["dateType"]), F.lit(0)).alias("rank"), dates.partial_date(d["date"], today).alias("d"))), lambda x: x["d"].isNotNull())
+    first = lambda k: F.try_element_at(F.filter(read, lambda x: x["rank"] == k), F.lit(1))["d"]
+    return F.coalesce(*(first(k + 1) for k in range(len(DATE_ORDER))), F.try_element_at(read, F.lit(1))["d"])
 
 
 def datacite(df: DataFrame, today: str) -> DataFrame:
@@ -162,10 +170,7 @@ def datacite(df: DataFrame, today: str) -> DataFrame:
     for schema, table in reversed(DATACITE_TYPES.items()):
         kind = F.coalesce(text.lookup(F.col(f"types.{schema}"), table), kind)
     figshare = F.col("doi").rlike(r"^(10\.6084/|10\.25384)") & (F.col("types.resourceType") == "Collection")
-    parsed = lambda x: dates.partial_date(x, today)
-    of_type = lambda k: F.try_element_at(F.filter("dates", lambda d: d["dateType"] == k), F.lit(1))["date"]
-    dated = [parsed(of_type(k)) for k in DATE_ORDER]
-    date = F.coalesce(*dated, parsed(F.try_element_at("dates", F.lit(1))["date"]))
+    date = best_date(F.col("dates"), today)
     person = lambda role: lambda x, i: {"raw_name": F.coalesce(F.nullif(F.concat_ws(" ", x["givenName"], x["familyName"]), F.lit("")), x["name"]), "given_name": x["givenName"], "surname": x["familyName"], "role": role(x), "raw_affiliation": F.try_element_at(x["affiliation"], F.lit(1))["name"], "position": i}
     known = lambda c: F.filter(c, lambda x: ~F.coalesce(is_unknown(x["name"]), F.lit(False)))
     people = F.concat(_contribs(known("creators"), person(lambda x: F.lit("author"))), _contribs(known("contributors"), person(lambda x: F.lower(x["contributorType"]))))

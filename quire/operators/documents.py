@@ -23,10 +23,15 @@ def best_pdf(urls: Column) -> Column:
     return F.struct(F.coalesce(ia, F.try_element_at(other, F.lit(-1))).alias("url"), ia.isNotNull().alias("in_ia"))
 
 
+def ordered_urls(file_index: Column, url_index: Column, url: Column) -> Column:
+    """Aggregate: the addresses of a release's files, by file and by place in it."""
+    return F.transform(F.array_sort(F.collect_list(F.struct(file_index.alias("f"), url_index.alias("u"), url.alias("url")))), lambda x: x["url"])
+
+
 def release_documents(releases: DataFrame, containers: DataFrame, files: DataFrame) -> DataFrame:
     """releases (id, container_id, license_slug, pages, extids, extra, ...) with containers (container_id, name, extra)
-    and files (release_id, url): one row a release, urls gathered per release before the join."""
-    urls = files.groupBy(F.col("release_id").alias("id")).agg(F.count("*").alias("file_count"), F.array_sort(F.collect_set("url")).alias("urls"))
+    and files (release_id, file_index, url_index, url): one row a release, its urls in the order of its files."""
+    urls = files.groupBy(F.col("release_id").alias("id")).agg(F.count_distinct("file_index").alias("file_count"), ordered_urls(F.col("file_index"), F.col("url_index"), F.col("url")).alias("urls"))
     c = containers.select("container_id", F.col("name").alias("container_name"), F.col("extra").alias("container_extra"), F.col("publisher_type"))
     d = releases.join(c, "container_id", "left").join(urls, "id", "left").withColumn("pdf", best_pdf(F.coalesce("urls", F.array().cast("array<string>"))))
     of = lambda k: F.try_element_at("extids", F.lit(k))

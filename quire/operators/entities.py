@@ -56,6 +56,16 @@ def best_access(urls: DataFrame, order: str) -> DataFrame:
     return urls.groupBy("release_id").agg(F.max_by("url", F.struct(rank, F.col(order))).alias("access_url"))
 
 
+def titled(edges: DataFrame, key: str, titles: DataFrame) -> DataFrame:
+    """edges with the title (key, title) of their target, NULL where it is unknown."""
+    return edges.join(titles.select(key, "title"), key, "left")
+
+
+def cited(edges: DataFrame, target: str, source: str, dates: DataFrame) -> DataFrame:
+    """(target, cited_by, first_cited) from edges and dates (source, date); works that cite twice count once."""
+    return edges.select(F.col(target).alias("target"), source).join(dates, source).groupBy("target").agg(F.count_distinct(source).alias("cited_by"), F.min("date").alias("first_cited"))
+
+
 def outgoing(edges: DataFrame, releases: DataFrame, release_id) -> DataFrame:
     """References of a release in order, with titles where the target is known."""
     return edges.where(F.col("release_id") == release_id).join(releases.select(F.col("id").alias("target_release_id"), "title"), "target_release_id", "left").orderBy("position")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,45 @@ def lookup_first(rows: DataFrame, table: DataFrame, keys: list[str], id_col: str
     return rows.join(hit, "row_id", "left")
 
 
+def lookup_any(table: DataFrame, columns: list[str], values: DataFrame, value: str) -> DataFrame:
+    """Rows of the table any of whose key columns has one of the values; an equi-join on unpivoted keys, each row once."""
+    keys = table.select("*", F.explode(F.array_distinct(F.array_compact(F.array(*(F.col(k).cast("string") for k in columns))))).alias("__key"))
+    return keys.join(values.select(F.col(value).cast("string").alias("__key")).distinct(), "__key", "left_semi").drop("__key").distinct()
+
+
+def scalar(rows: DataFrame, table: DataFrame, row_key: str, key: str, value: str, name: str) -> DataFrame:
+    """rows with the one value that the table has for their key, NULL if none; a key with several values fails."""
+    one = table.groupBy(F.col(key).alias("__key")).agg(F.when(F.count("*") > 1, F.raise_error(F.concat(F.lit("several values for "), F.max(key).cast("string")))).otherwise(F.max(value)).alias(name))
+    return rows.join(one, rows[row_key] == one["__key"], "left").drop("__key")
+
+
+def among(rows: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:
+    """Rows whose key is listed, each once however often it is."""
+    return rows.join(listed.select(F.col(listed_key).alias(key)), key, "left_semi").select(*rows.columns)
+
+
+def by_suffix(rows: DataFrame, column: str, suffixes: DataFrame, suffix: str) -> DataFrame:
+    """rows with each suffix (one row each) that their column ends with.
+
+    The suffixes of the distinct values are keys, so this is an equi-join instead of a nested loop, and what is
+    exploded grows with the number of different values.
+    """
+    own = rows.select(F.col(column).alias("__own")).where("__own <> ''").distinct()
+    keys = own.select("__own", F.explode(F.transform(F.sequence(F.lit(1), F.length("__own")), lambda i: F.substr("__own", i))).alias(suffix)).join(suffixes.select(suffix), suffix)
+    return rows.join(keys, rows[column] == keys["__own"]).drop("__own")
+
+
+def missing(sets: list[DataFrame], known: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of any of the sets that are not known."""
+    every = reduce(DataFrame.unionByName, (d.select(F.col(key).cast("string").alias(key)) for d in sets)).where(F.col(key).isNotNull())
+    return every.distinct().join(known.select(F.col(key).cast("string").alias(key)), key, "left_anti")
+
+
+def duplicates(df: DataFrame, key: str | Column, id_col: str, least: int = 2) -> DataFrame:
+    """(key, n, first_id) of keys with `least` rows or more."""
+    return df.groupBy((F.col(key) if isinstance(key, str) else key).alias("key")).agg(F.count("*").alias("n"), F.min(id_col).alias("first_id")).where(F.col("n") >= least)
+
+
 def new_rows(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not known yet, one of each key."""
     return rows.dropDuplicates(keys).join(known.select(*keys).distinct(), keys, "left_anti")
@@ -45,16 +84,23 @@ def outcome_counts(rows: DataFrame, known: DataFrame, keys: list[str], reason: C
     return seen.groupBy(state.alias("outcome")).agg(F.count("*").alias("n"))
 
 
-def first_of(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """The first row of each key."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+def _best(df: DataFrame, key: str | list[str], order: list[Column], *more: Column) -> DataFrame:
+    keys = [key] if isinstance(key, str) else key
+    best = F.min_by(F.struct(*df.columns), F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))).alias("__best")
+    return df.groupBy(*(F.col(k).alias(f"__key{i}") for i, k in enumerate(keys))).agg(best, *more).select("__best.*", *(F.col("inner_count") for _ in more))
+
 
+def first_of(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
+    """The row of each key that is smallest by `order` (negate a column to have its largest first).
 
-def collapse(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """Best row of each key with the number of rows that it stands for."""
-    w = Window.partitionBy(key)
-    return df.withColumn("inner_count", F.count("*").over(w)).withColumn("__r", F.row_number().over(w.orderBy(*order))).where("__r = 1").drop("__r")
+    An aggregate, so that tasks hand on one row a key and a hot key meets as few rows as there are tasks.
+    """
+    return _best(df, key, order)
+
+
+def collapse(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
+    """As `first_of`, with inner_count: the number of rows that each stands for."""
+    return _best(df, key, order, F.count("*").alias("inner_count"))
 
 
 def overlaps(sets: dict[str, DataFrame], key: str) -> DataFrame:
@@ -97,6 +143,11 @@ def cursor(ts: Column, id_: Column) -> Column:
     return F.concat_ws("_", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), id_.cast("string"))
 
 
+def missing_last(df: DataFrame, column: str, id_col: str, limit: int) -> DataFrame:
+    """The largest values first, rows without one last, ties by id."""
+    return df.orderBy(F.desc_nulls_last(column), id_col).limit(limit)
+
+
 def numeric_key(x: Column) -> Column:
     """Numbers first by value, anything else last."""
     return F.coalesce(x.try_cast("int"), F.lit(99999999))

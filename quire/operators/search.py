@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -36,89 +35,41 @@ def drill_down(column: str, value, given: bool) -> Column:
     return F.lit(True) if not given else F.col(column).isNull() if value is None else F.col(column) == value
 
 
-#: Facets: name to days back, to release types, to conditions; unknown names do not constrain.
-DATE_FACETS = {"past_week": 7, "past_month": 31, "past_year": 365}
+#: Facets by name; the first of each kind stands for unknown names (fixed values).
+DATE_FACETS = ("all_time", "past_week", "past_year", "since_2000", "before_1931")
 TYPE_FACETS = {"papers": ("article-journal", "paper-conference", "chapter", "article"), "reports": ("report", "standard"), "datasets": ("dataset", "software"), "everything": ()}
+ACCESS_FACETS = {"fulltext": ("wayback", "ia_file", "ia_sim"), "microfilm": ("ia_sim",), "oa": (), "everything": ()}
 
 
 def date_facet(column: str, name: str, today: str) -> Column:
-    day = F.lit(today).cast("date")
-    if name in DATE_FACETS:
-        return F.col(column).between(F.date_sub(day, DATE_FACETS[name]), day)
-    if name == "since_2000":
-        return F.year(column) >= 2000
-    return F.lit(True)
+    day, x = F.lit(today).cast("date"), F.col(column)
+    kinds = {"past_week": x >= F.date_sub(day, 7), "past_year": x >= F.add_months(day, -12), "since_2000": x >= F.lit("2000-01-01").cast("date"), "before_1931": x < F.lit("1931-01-01").cast("date")}
+    return kinds.get(name, F.lit(True))
 
 
 def type_facet(column: str, name: str) -> Column:
-    kinds = TYPE_FACETS.get(name, ())
+    kinds = TYPE_FACETS.get(name, TYPE_FACETS["papers"])
     return F.col(column).isin(*kinds) if kinds else F.lit(True)
 
 
-_TOKEN = re.compile(r'\s*(?:(?P<paren>[()])|(?P<op>AND|OR|NOT)\b|(?P<neg>!)?(?:(?P<field>\w+):)?(?:"(?P<phrase>[^"]*)"|(?P<cmp>>=|<=|>|<)?(?P<word>[^\s()"]+)))')
-
-
-def query_string(q: str, columns: list[str], text_columns: list[str]) -> Column:
-    """A filter from `field:value`, `field:>=n`, `field:*`, `!field:value`, phrases, AND (default), OR, NOT and parentheses.
-
-    Unknown fields match nothing; leading wildcards are refused; text is matched by containment without case.
-    """
-    tokens = [m.groupdict() for m in _TOKEN.finditer(q) if m.group().strip()]
-
-    def leaf(t) -> Column:
-        value = t["phrase"] if t["phrase"] is not None else t["word"]
-        field = t["field"]
-        if field is None:
-            out = reduce(lambda a, b: a | b, (F.contains(F.lower(c), F.lit(value.lower())) for c in text_columns))
-        elif field not in columns:
-            out = F.lit(False)
-        elif value == "*":
-            out = F.col(field).isNotNull()
-        elif t["cmp"]:
-            left, right = F.col(field).try_cast("double"), F.lit(float(value))
-            out = {">=": left >= right, "<=": left <= right, ">": left > right, "<": left < right}[t["cmp"]]
-        elif value.startswith("*"):
-            out = F.lit(False)
-        elif value.endswith("*"):
-            out = F.startswith(F.col(field).cast("string"), F.lit(value[:-1]))
-        else:
-            out = F.lower(F.col(field).cast("string")) == value.lower()
-        out = F.coalesce(out, F.lit(False))
-        return ~out if t["neg"] else out
-
-    at = 0
-
-    def unit() -> Column:
-        nonlocal at
-        t = tokens[at]
-        at += 1
-        if t["op"] == "NOT":
-            return ~unit()
-        if t["paren"] == "(":
-            inner = either()
-            at += 1  # the closing parenthesis, or the end
-            return inner
-        return leaf(t) if t["word"] is not None or t["phrase"] is not None else F.lit(True)
-
-    def every() -> Column:
-        nonlocal at
-        out = unit()
-        while at < len(tokens) and tokens[at]["op"] != "OR" and tokens[at]["paren"] != ")":
-            if tokens[at]["op"] == "AND":
-                at += 1
-                continue
-            out = out & unit()
-        return out
-
-    def either() -> Column:
-        nonlocal at
-        out = every()
-        while at < len(tokens) and tokens[at]["op"] == "OR":
-            at += 1
-            out = out | every()
-        return out
-
-    return either() if tokens else F.lit(True)
+def access_facet(access_types: str, tags: str, name: str) -> Column:
+    """By the kinds of a document's accesses (an array), or by the tag `oa`."""
+    name = name if name in ACCESS_FACETS else "fulltext"
+    if name == "oa":
+        return F.array_contains(tags, "oa")
+    kinds = ACCESS_FACETS[name]
+    return F.arrays_overlap(F.col(access_types), F.array(*map(F.lit, kinds))) if kinds else F.lit(True)
+
+
+def contains_all(words: str, columns: list[str]) -> Column:
+    """Every word of a query is somewhere in one of the columns, without regard to case."""
+    return reduce(lambda a, b: a & b, (reduce(lambda x, y: x | y, (F.coalesce(F.contains(F.lower(c), F.lit(w.lower())), F.lit(False)) for c in columns)) for w in words.split()), F.lit(True))
+
+
+def shown_total(total: Column, estimated: Column, shown: Column, offset: int, size: int) -> Column:
+    """struct(total, estimated): a first page that is not full says how many results there are."""
+    short = (F.lit(offset) == 0) & (shown < size)
+    return F.struct(F.when(short, shown).otherwise(total).alias("total"), (~short & estimated).alias("estimated"))
 
 
 def weighted_hits(term: str, fields: dict[str, int]) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text
@@ -23,6 +25,22 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.select(*cols).write.mode("overwrite").csv(path, sep="\t", header=True, quote="")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; in local mode one of its own where that is unset."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="quire-shared-"))
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    return spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def sharded(df: DataFrame, order: str, size: int, name: str = "shard") -> DataFrame:
     """Consecutive shards of `size` rows by the order column.
 

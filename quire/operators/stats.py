@@ -74,6 +74,41 @@ def add_counters(df: DataFrame, keys: list[str], counters: list[str]) -> DataFra
     return df.groupBy(*keys).agg(*(F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in counters))
 
 
+def merge_counts(counts: DataFrame, new: DataFrame, keys: list[str], counter: str) -> DataFrame:
+    """Stored counts with new rows counted in: keys that are known add up, others are inserted."""
+    more = new.groupBy(*keys).agg(F.count("*").alias(counter))
+    return counts.select(*keys, counter).unionByName(more).groupBy(*keys).agg(F.sum(counter).alias(counter))
+
+
+def tally(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Counts of each value, the most frequent first."""
+    return df.groupBy(F.col(column).alias(name)).agg(F.count("*").alias("n")).orderBy(F.desc("n"), name)
+
+
+def distinct_counts(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
+    return df.groupBy(key).agg(*(F.count_distinct(c).alias(k) for k, c in columns.items()))
+
+
+def null_profile(df: DataFrame, key: str, columns: list[str], conditions: dict[str, Column]) -> DataFrame:
+    """Rows of each key, how many lack each column, and how many meet each condition."""
+    return df.groupBy(key).agg(F.count("*").alias("n"), *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns), *(F.count_if(c).alias(k) for k, c in conditions.items()))
+
+
+def sum_of_kinds(counts: Column, kinds: tuple[str, ...]) -> Column:
+    """Sum over some keys of a map of counts."""
+    return F.aggregate(F.map_values(F.map_filter(counts, lambda k, _: k.isin(*kinds))), F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def greatest_url(df: DataFrame, key: Column, url: str) -> DataFrame:
+    """(digest, n, url): of each group the address that is last by text."""
+    return df.groupBy(key.alias("digest")).agg(F.count("*").alias("n"), F.max(url).alias("url"))
+
+
+def rollup_counts(df: DataFrame, *keys: Column) -> DataFrame:
+    """Counts by all keys, by fewer from the right, and in all."""
+    return df.rollup(*keys).agg(F.count("*").alias("n"))
+
+
 def hit_stats(df: DataFrame, host: str, hit: str, direct: str, least: int) -> DataFrame:
     """Hits, misses and rates of hosts with at least `least` rows."""
     out = df.groupBy(host).agg(F.count("*").alias("total"), F.count_if(hit).alias("hits"), F.count_if(F.expr(f"{hit} AND {direct}")).alias("direct"))

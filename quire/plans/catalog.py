@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quire.functions import identifiers as ids
 from quire.functions import dates, text
-from quire.operators import cluster, convert, documents, holdings, search, sinks, stats, webarchive
+from quire.operators import cluster, convert, documents, entities, holdings, search, sinks, stats, webarchive
 from quire.operators import relational as rel
+from quire.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,22 +62,6 @@ COUNTS = """count(*) FILTER (preservation = 'bright') AS bright, count(*) FILTER
 KINDS = ("bright", "dark", "none")
 
 
-def both(sql: str, *tables: str, name: str):
-    """Registers a query that is the same SQL text in Spark and in the oracle."""
-
-    def run(spark, sf):
-        text = sql
-        for t in tables:
-            text = text.replace(f"@{t}", "{" + t + "}")
-        return spark.sql(text, **{t: rd(spark, sf, t) for t in tables})
-
-    QUERIES[name] = run
-    text = sql
-    for t in tables:
-        text = text.replace(f"@{t}", t)
-    ORACLES[name] = text
-
-
 @query(f"""WITH {REL}, y AS (SELECT year, {COUNTS} FROM rel GROUP BY 1)
 SELECT CAST(s.year AS INT) AS year, coalesce(bright, 0) AS bright, coalesce(dark, 0) AS dark, coalesce("none", 0) AS "none", coalesce(total, 0) AS total
 FROM (SELECT unnest(range((SELECT min(year) FROM y), (SELECT max(year) + 1 FROM y))) AS year) s LEFT JOIN y ON y.year = s.year""")
@@ -163,7 +148,9 @@ def host_hit_stats(spark, sf):
     return stats.hit_stats(p, "host", "hit", "direct", 2)
 
 
-both("SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT CAST(ts AS DATE)) AS days FROM @events GROUP BY event_type", "events", name="exact_distinct")
+@query("SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT CAST(ts AS DATE)) AS days FROM events GROUP BY 1")
+def exact_distinct(spark, sf):
+    return stats.distinct_counts(rd(spark, sf, "events"), "event_type", {"users": F.col("user_id"), "days": F.to_date("ts")})
 
 
 @query()
@@ -171,18 +158,26 @@ def approx_distinct(spark, sf):
     return rd(spark, sf, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.01).alias("users"))
 
 
-both("SELECT md5(text) AS digest, count(*) AS n, min(doc_id) AS first_id FROM @documents GROUP BY md5(text) HAVING count(*) > 1", "documents", name="dup_key_having")
-both("SELECT source, count(*) AS n, count(*) - count(text) AS null_text, count(*) - count(lang) AS null_lang, CAST(sum(CASE WHEN n_chars < 200 THEN 1 ELSE 0 END) AS BIGINT) AS short FROM @documents GROUP BY source", "documents", name="null_profile")
+@query("SELECT md5(text) AS digest, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def dup_key_having(spark, sf):
+    return rel.duplicates(rd(spark, sf, "documents"), F.md5("text"), "doc_id").withColumnRenamed("key", "digest")
+
+
+@query("""SELECT source, count(*) AS n, count(*) - count(text) AS null_text, count(*) - count(lang) AS null_lang, count(*) FILTER (n_chars < 200) AS short FROM documents GROUP BY 1""")
+def null_profile(spark, sf):
+    return stats.null_profile(rd(spark, sf, "documents"), "source", ["text", "lang"], {"short": F.col("n_chars") < 200})
 
 
 @query("""WITH t AS (SELECT doc_id, regexp_replace(lower(split_part(text, chr(10), 1)), '[^\\p{L}]', '', 'g') AS title_key FROM documents)
 SELECT title_key, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id FROM t WHERE title_key <> '' GROUP BY 1 HAVING count(*) > 1""")
 def title_cluster(spark, sf):
     d = rd(spark, sf, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
-    return cluster.clusters(d, "doc_id", "title").select("title_key", "n", F.col("members")[0].alias("first_id"), F.element_at("members", -1).alias("last_id"))
+    return cluster.clusters(d, "doc_id", "title")
 
 
-both("SELECT o_orderstatus AS status, count(*) AS n FROM @orders GROUP BY o_orderstatus ORDER BY n DESC, status", "orders", name="status_tally")
+@query("SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1")
+def status_tally(spark, sf):
+    return stats.tally(rd(spark, sf, "orders"), "o_orderstatus", "status")
 
 
 @query("SELECT lang, min(n_chars) AS lo, quantile_cont(n_chars, 0.5) AS p50, quantile_cont(n_chars, 0.9) AS p90, max(n_chars) AS hi FROM documents GROUP BY 1")
@@ -202,7 +197,11 @@ def bucket_mean(spark, sf):
     return stats.fixed_buckets(rd(spark, sf, "events"), "ts", "value", "2024-01-01", 3600)
 
 
-both("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM @events GROUP BY CAST(ts AS DATE), event_type", "events", name="daily_counter_upsert")
+@query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def daily_counter_upsert(spark, sf):
+    e = rd(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    keys, old, new = ["day", "event_type"], e.where("event_id % 3 = 0"), e.where("event_id % 3 <> 0")
+    return stats.merge_counts(old.groupBy(*keys).agg(F.count("*").alias("n")), new, keys, "n")
 
 
 @query("""WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1)
@@ -252,18 +251,21 @@ def first_last_span(spark, sf):
   ORDER BY CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END, l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) = 1""")
 def best_url_rank(spark, sf):
     rank = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
-    top = rel.first_of(rd(spark, sf, "lineitem"), "l_orderkey", [rank, F.desc("l_shipdate"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")])
+    top = rel.first_of(rd(spark, sf, "lineitem"), "l_orderkey", [rank, -F.unix_micros(F.col("l_shipdate").cast("timestamp")), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")])
     return top.select("l_orderkey", "l_partkey", "l_returnflag", "l_extendedprice")
 
 
-both("SELECT source, lang, min(doc_id) AS doc_id FROM @documents WHERE lang IS NOT NULL AND n_chars >= 75 GROUP BY source, lang", "documents", name="first_per_language")
+@query("""SELECT source, lang, doc_id, n_chars FROM documents WHERE lang IS NOT NULL AND n_chars >= 75 QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) = 1""")
+def first_per_language(spark, sf):
+    d = rd(spark, sf, "documents").where("lang IS NOT NULL AND n_chars >= 75").select("source", "lang", "doc_id", "n_chars")
+    return rel.first_of(d, ["source", "lang"], [F.col("doc_id")])
 
 
 @query("""SELECT doc_id, lang, n_chars, count(*) OVER (PARTITION BY md5(text)) AS inner_count FROM documents
 QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY n_chars DESC, doc_id) = 1""")
 def collapse_with_inner_count(spark, sf):
     d = rd(spark, sf, "documents").withColumn("k", F.md5("text"))
-    return rel.collapse(d.select("doc_id", "lang", "n_chars", "k"), "k", [F.desc("n_chars"), F.col("doc_id")]).drop("k")
+    return rel.collapse(d.select("doc_id", "lang", "n_chars", "k"), "k", [-F.col("n_chars"), F.col("doc_id")]).drop("k")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25 OFFSET 50")
@@ -286,7 +288,10 @@ def keyset_newer(spark, sf):
     return rel.keyset(rd(spark, sf, "events").select("event_id", "ts", "user_id"), "ts", "event_id", ("2024-01-15", 500), 20, older=False)
 
 
-both("SELECT p_partkey, p_brand, nullif(p_size, 10) AS size FROM @part ORDER BY size DESC NULLS LAST, p_partkey LIMIT 50", "part", name="nulls_last_sort")
+@query("SELECT p_partkey, p_brand, nullif(p_size, 10) AS size FROM part ORDER BY size DESC NULLS LAST, p_partkey LIMIT 50")
+def nulls_last_sort(spark, sf):
+    p = rd(spark, sf, "part").select("p_partkey", "p_brand", F.nullif("p_size", F.lit(10)).alias("size"))
+    return rel.missing_last(p, "size", "p_partkey", 50)
 
 
 @query("SELECT p_partkey, p_name, coalesce(try_cast(regexp_extract(p_brand, '[0-9]+') AS INT), 99999999) AS page_key FROM part ORDER BY page_key, p_partkey LIMIT 40")
@@ -295,8 +300,18 @@ def numeric_string_sort(spark, sf):
     return p.orderBy("page_key", "p_partkey").limit(40)
 
 
-both("SELECT n.n_name, r.r_name, count(*) AS customers FROM @customer c JOIN @nation n ON c.c_nationkey = n.n_nationkey JOIN @region r ON n.n_regionkey = r.r_regionkey GROUP BY n.n_name, r.r_name", "customer", "nation", "region", name="ident_rev_join")
-both("SELECT s.s_suppkey, s.s_name, (SELECT n.n_name FROM @nation n WHERE n.n_nationkey = s.s_nationkey) AS nation FROM @supplier s", "supplier", "nation", name="scalar_subquery_as_join")
+@query("""SELECT n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0 AND c_custkey % 13 <> 0 GROUP BY 1""")
+def ident_rev_join(spark, sf):
+    k = F.col("c_custkey")
+    idents = rd(spark, sf, "customer").select(k.cast("string").alias("ident"), F.col("c_nationkey").alias("rev_id"), (k % 10 != 0).alias("is_live"), F.when(k % 13 == 0, "x").alias("redirect_id"))
+    revisions = rd(spark, sf, "nation").select(F.col("n_nationkey").alias("rev_id"), "n_name")
+    return entities.current(idents, revisions).groupBy("n_name").agg(F.count("*").alias("customers"))
+
+
+@query("SELECT s.s_suppkey, s.s_name, (SELECT n.n_name FROM nation n WHERE n.n_nationkey = s.s_nationkey) AS nation FROM supplier s")
+def scalar_subquery_as_join(spark, sf):
+    s = rd(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return rel.scalar(s, rd(spark, sf, "nation"), "s_nationkey", "n_nationkey", "n_name", "nation").drop("s_nationkey")
 
 
 @query("""SELECT p_partkey, s_suppkey, s_name, l_orderkey FROM part JOIN lineitem ON l_partkey = p_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN orders ON o_orderkey = l_orderkey
@@ -350,9 +365,17 @@ def ingest_outcomes(spark, sf):
     return rel.outcome_counts(o, o.where("o_custkey % 4 = 0"), ["o_custkey"], F.when(F.col("o_totalprice") < 1000, "cheap"))
 
 
-both("SELECT o_orderkey, o_custkey FROM @orders o LEFT SEMI JOIN (SELECT l_orderkey FROM @lineitem WHERE l_returnflag = 'R') l ON l.l_orderkey = o.o_orderkey", "orders", "lineitem", name="semi_by_extid")
-ORACLES["semi_by_extid"] = "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"
-both("SELECT c_custkey, c_name FROM @customer WHERE c_custkey = 17 OR c_nationkey = 3 OR c_name LIKE '%00042'", "customer", name="or_lookup")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def semi_by_extid(spark, sf):
+    return rel.among(rd(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", rd(spark, sf, "lineitem").where("l_returnflag = 'R'"), "l_orderkey")
+
+
+@query("""SELECT c_custkey, c_name FROM customer WHERE 'L' || c_custkey IN (SELECT 'L' || s_suppkey FROM supplier) OR (c_custkey % 3 = 0 AND 'E' || c_nationkey IN (SELECT 'E' || (s_suppkey % 4) FROM supplier))""")
+def or_lookup(spark, sf):
+    c = rd(spark, sf, "customer").select("c_custkey", "c_name", F.concat(F.lit("L"), F.col("c_custkey").cast("string")).alias("issnl"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("E"), F.col("c_nationkey").cast("string"))).alias("issne"), F.lit(None).cast("string").alias("issnp"))
+    k = F.col("s_suppkey")
+    wanted = rd(spark, sf, "supplier").select(F.explode(F.array(F.concat(F.lit("L"), k.cast("string")), F.concat(F.lit("E"), (k % 4).cast("string")))).alias("issn"))
+    return rel.lookup_any(c, ["issnl", "issne", "issnp"], wanted, "issn").select("c_custkey", "c_name")
 
 
 @query("""SELECT o_orderkey, count(l_orderkey) AS n_lines, coalesce(string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey), '') AS parts FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")
@@ -362,21 +385,29 @@ def prefetch_nested(spark, sf):
     return o.select("o_orderkey", F.when(F.col("parts").isNull(), 0).otherwise(F.size("parts")).cast("long").alias("n_lines"), F.coalesce(F.array_join(F.transform("parts", lambda x: x.cast("string")), ","), F.lit("")).alias("parts"))
 
 
-both("SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name AS title FROM @lineitem l LEFT JOIN @part p ON p.p_partkey = l.l_partkey AND p.p_size > 10", "lineitem", "part", name="enrich_refs_out")
-both("SELECT l.l_partkey AS target, count(DISTINCT l.l_orderkey) AS cited_by, CAST(min(o.o_orderdate) AS DATE) AS first_cited FROM @lineitem l JOIN @orders o ON o.o_orderkey = l.l_orderkey GROUP BY l.l_partkey", "lineitem", "orders", name="enrich_refs_in")
+@query("SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name AS title FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey AND p.p_size > 10")
+def enrich_refs_out(spark, sf):
+    titles = rd(spark, sf, "part").where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("title"))
+    return entities.titled(rd(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey", titles)
+
+
+@query("""SELECT l.l_partkey AS target, count(DISTINCT l.l_orderkey) AS cited_by, CAST(min(o.o_orderdate) AS DATE) AS first_cited FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1""")
+def enrich_refs_in(spark, sf):
+    dated = rd(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("date"))
+    return entities.cited(rd(spark, sf, "lineitem"), "l_partkey", "l_orderkey", dated)
 
 
 @query("""WITH s AS (SELECT DISTINCT regexp_extract(lower(url), '^https?://([^/?#]+)', 1) AS host FROM pages)
 SELECT p.page_id, s.host FROM pages p JOIN s ON ends_with(regexp_extract(lower(p.url), '^https?://([^/?#]+)', 1), s.host)""")
 def suffix_theta_join(spark, sf):
-    hosts = rd(spark, sf, "pages").select("page_id", ids.url_host(F.col("url")).alias("own"))
-    suffixes = hosts.select(F.col("own").alias("host")).distinct()
-    # every suffix of a host is a key, so this is an equi-join instead of a nested loop
-    keys = hosts.select("page_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("own")), lambda i: F.substr("own", i)))).alias("host"))
-    return keys.join(suffixes, "host").select("page_id", "host")
+    pages = rd(spark, sf, "pages").select("page_id", ids.url_host(F.col("url")).alias("own"))
+    return rel.by_suffix(pages, "own", pages.select(F.col("own").alias("host")).distinct(), "host").select("page_id", "host")
+
 
+@query("SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-08'")
+def change_window(spark, sf):
+    return ingest.changes(rd(spark, sf, "events"), "ts", "2024-01-05", "2024-01-08").select("event_id", "user_id", "event_type")
 
-both("SELECT event_id, user_id, event_type FROM @events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-08'", "events", name="change_window")
 
 SETS_SQL = """s AS (SELECT DISTINCT 'cust' AS d, CAST(o_custkey AS VARCHAR) AS k FROM orders UNION ALL SELECT DISTINCT 'part', CAST(l_partkey AS VARCHAR) FROM lineitem
   UNION ALL SELECT DISTINCT 'user', CAST(user_id AS VARCHAR) FROM events)"""
@@ -391,7 +422,10 @@ def pairwise_overlap(spark, sf):
     return rel.overlaps(sets, "k")
 
 
-both("SELECT DISTINCT CAST(o_custkey AS BIGINT) AS k FROM @orders WHERE o_custkey NOT IN (SELECT user_id FROM @events) UNION SELECT l_partkey AS k FROM @lineitem WHERE l_partkey NOT IN (SELECT user_id FROM @events)", "orders", "lineitem", "events", name="missing_union")
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS k FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events) UNION SELECT CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_partkey NOT IN (SELECT user_id FROM events)""")
+def missing_union(spark, sf):
+    sets = [rd(spark, sf, "orders").select(F.col("o_custkey").alias("k")), rd(spark, sf, "lineitem").select(F.col("l_partkey").alias("k"))]
+    return rel.missing(sets, rd(spark, sf, "events").select(F.col("user_id").alias("k")), "k")
 
 
 def _journals(spark, sf):
@@ -407,10 +441,25 @@ def _journals(spark, sf):
     return containers, r
 
 
-@query(f"""WITH {REL}, s AS (SELECT container_id, count(*) FILTER (preservation <> 'none') AS bright, count(*) FILTER (preservation = 'none') AS n FROM rel GROUP BY 1)
-SELECT container_id, bright, n AS "none" FROM s WHERE ((bright >= 20 AND n <= 5) OR (bright >= 200 AND n <= 20) OR (bright >= 1000 AND n <= 100)) AND container_id % 5 <> 0 AND container_id % 7 <> 0""")
+def _publishers(spark, sf):
+    """Nations as journals with many releases, volumes from the year; the orders of some customers are not preserved."""
+    k = F.col("n_nationkey")
+    containers = rd(spark, sf, "nation").select(k.alias("container_id"), F.col("n_name").alias("name"), F.lit("P").alias("publisher"), F.when(k == 3, "archive").alias("container_type"), F.lit(None).cast("string").alias("publisher_type"), F.when(k != 4, TEXT_L(k)).alias("issnl"), F.when(k != 5, TEXT_L(k)).alias("issne"), F.lit(None).cast("string").alias("issnp"), F.lit("{}").alias("extra"))
+    c = rd(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("container_id"))
+    lost = (F.col("container_id") % 4 == 1) & (F.col("o_orderkey") % 90 == 0) | (F.col("container_id") % 4 == 2) & (F.col("o_orderkey") % 3 == 0) | (F.col("container_id") % 4 == 3) & (F.year("o_orderdate") == 1994)
+    o = rd(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate").join(c, "o_custkey")
+    return containers, o.select("container_id", F.lit("article-journal").alias("release_type"), F.when(lost, "none").otherwise("bright").alias("preservation"), F.year("o_orderdate").alias("year"), (F.year("o_orderdate") - 1990).cast("string").alias("volume"))
+
+
+TEXT_L = lambda k: F.concat(F.lit("L"), k.cast("string"))
+PUBLISHERS = """r AS (SELECT c_nationkey AS k, year(o_orderdate) AS y, CASE WHEN k % 4 = 1 AND o_orderkey % 90 = 0 OR k % 4 = 2 AND o_orderkey % 3 = 0 OR k % 4 = 3 AND year(o_orderdate) = 1994 THEN 1 ELSE 0 END AS lost FROM orders JOIN customer ON c_custkey = o_custkey),
+s AS (SELECT k, count(*) FILTER (lost = 0) AS bright, count(*) FILTER (lost = 1) AS "none" FROM r GROUP BY 1),
+y AS (SELECT k, y, sum(lost) AS lost, count(*) AS n FROM r GROUP BY 1, 2), f AS (SELECT k, min(y) FILTER (lost = 0) AS a, max(y) FILTER (lost = 0) AS b, count(*) FILTER (lost = 0) AS whole FROM y GROUP BY 1)"""
+
+
+@query(f"""WITH {PUBLISHERS} SELECT k AS container_id, bright, "none" FROM s WHERE (bright >= 20 AND "none" <= 5 OR bright >= 200 AND "none" <= 20 OR bright >= 1000 AND "none" <= 100) AND k NOT IN (3, 4, 5)""")
 def holdings_candidates(spark, sf):
-    c, r = _journals(spark, sf)
+    c, r = _publishers(spark, sf)
     s = stats.preservation_by(r, "container_id")
     return holdings.candidates(c.join(s, "container_id")).select("container_id", "bright", "none")
 
@@ -429,10 +478,15 @@ def holdings_eligibility(spark, sf):
     return holdings.eligibility(c, holdings.spans(r)).select("container_id", "status")
 
 
-@query()
+@query(f"""WITH {PUBLISHERS} SELECT 'serial' AS publication_type, n_name AS publication_title, '' AS print_identifier, 'L' || k AS online_identifier, CAST(a AS VARCHAR) AS date_first_issue_online, CAST(a - 1990 AS VARCHAR) AS num_first_vol_online, '' AS num_first_issue_online,
+  CAST(CASE WHEN b = 1998 THEN b - 1 ELSE b END AS VARCHAR) AS date_last_issue_online, CAST(CASE WHEN b = 1998 THEN b - 1 ELSE b END - 1990 AS VARCHAR) AS num_last_vol_online, '' AS num_last_issue_online, '' AS title_url, '' AS first_author, 'container_' || k AS title_id,
+  'fulltext' AS coverage_depth, '' AS coverage_notes, 'P' AS publisher_name, 'L' || k AS linking_issn
+FROM nation JOIN s ON k = n_nationkey JOIN f USING (k) WHERE k NOT IN (3, 4, 5) AND bright >= 15 AND bright / (bright + "none") >= 0.8 AND whole >= 2 AND b - a + 1 = whole
+  AND (SELECT sum(n - lost) FROM y WHERE y.k = s.k) >= 15""")
 def holdings_rows(spark, sf):
-    c, r = _journals(spark, sf)
-    return holdings.rows(holdings.eligibility(c, holdings.spans(r)), 2001)
+    c, r = _publishers(spark, sf)
+    c = c.withColumn("container_type", F.when(F.col("container_type") == "archive", "archive"))
+    return holdings.rows(holdings.eligibility(c, holdings.spans(r)), 1998)
 
 
 @query("""SELECT CASE WHEN text IS NULL THEN 'no-titles' WHEN octet_length(encode(split_part(text, chr(10), 1))) < 2 THEN 'short-title' WHEN lower(split_part(text, chr(10), 1)) = 'oup accepted manuscript' THEN 'filtered-title'
@@ -442,9 +496,86 @@ def skip_reasons(spark, sf):
     return d.groupBy(F.coalesce(convert.crossref_skip(F.col("title"), F.col("type"), F.col("DOI"), F.lit(0), F.lit(0)), F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT page_id, CASE WHEN url NOT LIKE 'http%' THEN 'not-http' WHEN url LIKE '%/a%' THEN 'url-blocked' ELSE 'crawl' END AS decision FROM pages""")
+def _identified(spark, sf):
+    """Orders as releases with identifiers: the type from the priority, some without identifiers, some of a source without a DOI."""
+    k = F.col("o_orderkey")
+    kind = F.create_map(*[F.lit(x) for x in ("1-URGENT", "article-journal", "2-HIGH", "book", "3-MEDIUM", "dataset", "4-NOT SPECIFIED", "thesis", "5-LOW", "stub")])
+    m = F.create_map(
+        F.lit("doi"), F.when(k % 4 < 2, F.concat(F.when(k % 3 == 0, "10.1/").otherwise("10.2/"), k.cast("string"))), F.lit("arxiv"), F.when(k % 5 == 0, F.concat(F.lit("2001."), F.lpad(k.cast("string"), 7, "0"))),
+        F.lit("pmcid"), F.when(k % 7 == 0, F.concat(F.lit("PMC"), k.cast("string"))), F.lit("doaj"), F.when(k % 6 == 0, F.concat(F.lit("d"), k.cast("string"))), F.lit("mag"), F.when(k % 4 == 3, k.cast("string")),
+    )
+    return rd(spark, sf, "orders").select("o_orderkey", kind[F.col("o_orderpriority")].alias("release_type"), F.map_filter(m, lambda _, v: v.isNotNull()).alias("extids"), F.when(k % 12 == 0, F.concat(F.lit("https://example.org/"), k.cast("string"))).alias("doaj_url"))
+
+
+URLS_SQL = """u AS (SELECT o_orderkey AS k, o_orderpriority AS p, CASE WHEN k % 4 < 2 THEN (CASE WHEN k % 3 = 0 THEN '10.1/' ELSE '10.2/' END) || k END AS doi,
+  list_filter([CASE WHEN k % 5 = 0 THEN 'https://arxiv.org/pdf/2001.' || lpad(CAST(k AS VARCHAR), 7, '0') || '.pdf' END, CASE WHEN k % 7 = 0 THEN 'http://europepmc.org/backend/ptpmcrender.fcgi?accid=PMC' || k || '&blobtype=pdf' END,
+    CASE WHEN k % 12 = 0 THEN 'https://example.org/' || k END, CASE WHEN k % 6 = 0 THEN 'https://doaj.org/article/d' || k END, CASE WHEN doi IS NOT NULL THEN 'https://doi.org/' || doi END], lambda x: x IS NOT NULL) AS urls FROM orders)"""
+
+
+@query(f"""WITH {URLS_SQL} SELECT k AS o_orderkey, CASE WHEN p IN ('3-MEDIUM', '5-LOW') THEN 'not-paperlike' WHEN len(urls) = 0 AND k % 4 <> 3 THEN 'no-extids'
+  WHEN doi LIKE '10.1/%' THEN 'doi-prefix-blocked:10.1/' WHEN len(urls) = 0 THEN 'no-fulltext-urls' ELSE 'crawl' END AS decision FROM u""")
 def crawl_eligibility(spark, sf):
-    return rd(spark, sf, "pages").select("page_id", search.first_reason([("not-http", ~F.col("url").startswith("http")), ("url-blocked", F.col("url").contains("/a"))], "crawl").alias("decision"))
+    r = _identified(spark, sf).withColumn("urls", ids.full_text_urls(F.col("extids"), F.col("doaj_url")))
+    return r.select("o_orderkey", F.coalesce(webarchive.crawl_skip(F.col("release_type"), F.col("extids"), F.col("urls"), ("10.1/",)), F.lit("crawl")).alias("decision"))
+
+
+@query(f"WITH {URLS_SQL} SELECT k AS o_orderkey, array_to_string(urls, ' ') AS urls FROM u")
+def full_text_urls(spark, sf):
+    return _identified(spark, sf).select("o_orderkey", F.array_join(ids.full_text_urls(F.col("extids"), F.col("doaj_url")), " ").alias("urls"))
+
+
+@query("""SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'https://arxiv.org/pdf/2001.' || page_id WHEN 1 THEN 'http://www.protocols.io/view/p' || page_id || '.pdf' WHEN 2 THEN 'https://journals.sagepub.com/doi/10.1/' || page_id || '?download=true'
+  WHEN 3 THEN 'https://pubs.acs.org/doi/pdf/10.1021/' || page_id || '?ref=article_openPDF' WHEN 4 THEN 'https://publications.rwth-aachen.de/record/' || page_id || '/files/' || page_id || '.pdf' WHEN 5 THEN 'https://www.ahajournals.org/doi/pdf/' || page_id || '?download=true'
+  WHEN 6 THEN 'https://mhealth.jmir.org/2020/' || page_id || '/PDF' ELSE url END AS url FROM pages""")
+def known_rewrites(spark, sf):
+    k = F.col("page_id").cast("string")
+    raw = [("https://arxiv.org/abs/2001.", ""), ("http://www.protocols.io/view/p", ""), ("https://journals.sagepub.com/doi/10.1/", ""), ("https://pubs.acs.org/doi/10.1021/", "#"), ("https://publications.rwth-aachen.de/record/", "/"), ("https://www.ahajournals.org/doi/", ""), ("https://mhealth.jmir.org/2020/", "/")]
+    url = search.first_value([(F.col("page_id") % 8 == i, F.concat(F.lit(a), k, F.lit(b))) for i, (a, b) in enumerate(raw)], F.col("url"))
+    return rd(spark, sf, "pages").select("page_id", webarchive.known_rewrite(url).alias("url"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN 'CIT' || o_custkey WHEN 2 THEN 'x' || o_custkey WHEN 3 THEN 'cr' || o_custkey WHEN 4 THEN 'b' || o_custkey ELSE 'smith-2004-nature' END AS key FROM orders""")
+def citation_keys(spark, sf):
+    n, k = F.col("o_custkey").cast("string"), F.col("o_orderkey") % 6
+    key = search.first_value([(k == 0, F.lit(None).cast("string")), (k == 1, F.concat(F.lit("_CIT"), n)), (k == 2, F.concat(F.lit("10.1016/S0001(SICI)12:1-x"), n)), (k == 3, F.concat(F.lit(" 10.1/abc_cr"), n)), (k == 4, F.concat(F.lit("long-name-of-work#b"), n))], F.lit("smith-2004-nature"))
+    return rd(spark, sf, "orders").select("o_orderkey", text.citation_key(key, F.col("o_custkey")).alias("key"))
+
+
+@query("""SELECT doc_id, CASE WHEN len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')) > 1 THEN text END AS body FROM documents WHERE NOT contains(text, repeat(chr(39), 2)) AND NOT contains(text, ',,') AND NOT regexp_matches(text, '[‘’‚‛`´“”„…]')""")
+def trimmed_abstracts(spark, sf):
+    d = rd(spark, sf, "documents").where(r"NOT contains(text, repeat(chr(39), 2)) AND NOT contains(text, ',,') AND NOT text RLIKE '[‘’‚‛`´“”„…]'")
+    lead = F.when(F.col("doc_id") % 3 == 0, "Abstract Background: ").when(F.col("doc_id") % 3 == 1, "Publisher Summary ").otherwise("")
+    two = F.array(F.struct(F.concat(lead, "text").alias("content"), "lang"), F.struct(F.lit("a second one").alias("content"), "lang")).cast("array<struct<content:string,language:string>>")
+    first = F.filter(text.first_abstracts(two), lambda a: a["body"] != "a second one")
+    return d.select("doc_id", F.try_element_at(first, F.lit(1))["body"].alias("body"))
+
+
+@query("""WITH d AS (SELECT o_orderkey AS k, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders)
+SELECT k AS o_orderkey, CASE WHEN k % 4 = 0 THEN CAST(day AS DATE) WHEN k % 4 = 1 THEN NULL WHEN k % 4 = 2 THEN CAST(day AS DATE) END AS date, CASE WHEN k % 4 = 1 THEN CAST(left(day, 4) AS INT) - 1 WHEN k % 4 = 3 THEN NULL ELSE CAST(left(day, 4) AS INT) END AS year FROM d""")
+def dates_by_type(spark, sf):
+    k, day = F.col("o_orderkey") % 4, F.date_format("o_orderdate", "yyyy-MM-dd")
+    of = lambda t, x: F.struct(x.alias("date"), F.lit(t).alias("dateType"))
+    earlier = (F.substring(day, 1, 4).cast("int") - 1).cast("string")
+    # a better type wins, unreadable dates are passed over, and where no type is known the first readable one counts
+    found = F.when(k == 0, F.array(of("Issued", F.lit("1999")), of("Created", earlier), of("Available", day))).when(k == 1, F.array(of("Updated", day), of("Valid", F.lit("soon")), of("Valid", earlier)))
+    found = found.when(k == 2, F.array(of("Issued", F.lit("?")), of("Issued", day), of("Other", earlier))).otherwise(F.array(of("Issued", F.lit("0999")), of("Valid", F.lit(""))))
+    d = rd(spark, sf, "orders").select("o_orderkey", convert.best_date(found, "2026-01-01").alias("d"))
+    return d.select("o_orderkey", "d.date", "d.year")
+
+
+@query("""SELECT f AS facet, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN d >= DATE '1998-08-02' - INTERVAL 7 DAY THEN 'past_week' END, CASE WHEN d >= DATE '1997-08-02' THEN 'past_year' END, CASE WHEN d >= DATE '2000-01-01' THEN 'since_2000' END,
+  CASE WHEN d < DATE '1931-01-01' THEN 'before_1931' END, 'junk', CASE WHEN p IN ('1-URGENT', '2-HIGH') THEN 'papers' END, CASE WHEN p = '3-MEDIUM' THEN 'reports' END, 'everything', CASE WHEN c % 3 < 2 THEN 'fulltext' END, CASE WHEN c % 3 = 1 THEN 'microfilm' END, CASE WHEN c % 2 = 0 THEN 'oa' END], lambda x: x IS NOT NULL)) AS f
+  FROM (SELECT CAST(o_orderdate AS DATE) AS d, o_orderpriority AS p, o_custkey AS c FROM orders)) GROUP BY 1""")
+def facets(spark, sf):
+    kind = F.create_map(*[F.lit(x) for x in ("1-URGENT", "article", "2-HIGH", "chapter", "3-MEDIUM", "report", "4-NOT SPECIFIED", "thesis", "5-LOW", "stub")])
+    o = rd(spark, sf, "orders").select(
+        F.to_date("o_orderdate").alias("d"), kind[F.col("o_orderpriority")].alias("t"), F.array(F.when(F.col("o_custkey") % 3 == 0, "wayback").when(F.col("o_custkey") % 3 == 1, "ia_sim").otherwise("publisher")).alias("a"),
+        F.when(F.col("o_custkey") % 2 == 0, F.array(F.lit("oa"))).otherwise(F.array().cast("array<string>")).alias("tags"),
+    )
+    flags = {n: search.date_facet("d", n, "1998-08-02") for n in ("past_week", "past_year", "since_2000", "before_1931", "junk")} | {n: search.type_facet("t", n) for n in ("papers", "reports", "everything")}
+    flags |= {n: search.access_facet("a", "tags", n) for n in ("fulltext", "microfilm", "oa")}
+    names = F.array_compact(F.array(*(F.when(c, n) for n, c in flags.items())))
+    return o.select(F.explode(names).alias("facet")).groupBy("facet").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT doc_id FROM documents WHERE lang IN ('en', 'de') AND n_chars >= 500 AND NOT (source = 'src3')""")
@@ -456,7 +587,8 @@ def facet_filters(spark, sf):
 @query("""SELECT doc_id FROM documents WHERE (lang = 'en' OR lang = 'fr') AND n_chars >= 1000 AND source IS NOT NULL AND NOT (source = 'src1') AND contains(lower(text), 'the')""")
 def query_string_filter(spark, sf):
     d = rd(spark, sf, "documents")
-    return d.where(search.query_string("(lang:en OR lang:fr) n_chars:>=1000 source:* !source:src1 the", d.columns, ["text"])).select("doc_id")
+    must = [F.col("n_chars") >= 1000, F.col("source").isNotNull(), search.contains_all("the", ["text"])]
+    return d.where(search.bool_filter(must, should=[F.col("lang") == "en", F.col("lang") == "fr"], must_not=[F.col("source") == "src1"])).select("doc_id")
 
 
 @query("""SELECT doc_id, 4 * (len(lower(split_part(text, chr(10), 1))) - len(replace(lower(split_part(text, chr(10), 1)), 'ation', ''))) // 5 + (len(lower(text)) - len(replace(lower(text), 'ation', ''))) // 5 AS score
@@ -467,11 +599,29 @@ def scored_search(spark, sf):
     return hit.select("doc_id", search.weighted_hits("ation", {"title": 4, "text": 1}).alias("score")).orderBy(F.desc("score"), "doc_id").limit(100)
 
 
-@query()
+STOP_SQL = "(" + ", ".join(f"'{w}'" for w in text.STOP_WORDS) + ")"
+MATCH_SQL = f"""b AS (SELECT item_id AS id, w.t FROM benchmark, LATERAL (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{Nd}}]+')) AS t) w WHERE strlen(w.t) >= 4 AND w.t NOT IN {STOP_SQL}),
+d AS (SELECT doc_id AS target, w.t FROM documents, LATERAL (SELECT DISTINCT unnest(string_split_regex(lower(split_part(text, chr(10), 1)), '[^\\p{{L}}\\p{{Nd}}]+')) AS t) w WHERE strlen(w.t) >= 4 AND w.t NOT IN {STOP_SQL}),
+n AS (SELECT t, count(*) AS n FROM d GROUP BY 1), s AS (SELECT id, count(*) AS size FROM b GROUP BY 1),
+m AS (SELECT b.id, d.target, count(*) AS shared, round(sum(ln(1 + (SELECT count(*) FROM documents) / n.n)), 6) AS score FROM b JOIN d ON d.t = b.t JOIN n ON n.t = b.t JOIN s ON s.id = b.id GROUP BY b.id, d.target, s.size HAVING count(*) * 5 >= s.size * 2)"""
+
+
+def _titles(spark, sf):
+    """Benchmark items against the first lines of documents."""
+    left = rd(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("title"), F.when(F.col("item_id") % 2 == 0, "src0; src1; src2").alias("creators"))
+    right = rd(spark, sf, "documents").select(F.col("doc_id").alias("target"), F.substring_index("text", "\n", 1).alias("title"), F.col("source").alias("contrib_names"))
+    return left, right
+
+
+@query(f"WITH {MATCH_SQL} SELECT id, target, CAST(shared AS INT) AS shared FROM m")
 def title_overlap_match(spark, sf):
-    left = rd(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("title"))
-    right = rd(spark, sf, "documents").select(F.col("doc_id").alias("target"), F.substring_index("text", "\n", 1).alias("title"))
-    return cluster.match_titles(left, right)
+    return cluster.match_titles(*_titles(spark, sf)).select("id", "target", "shared")
+
+
+@query(f"""WITH {MATCH_SQL} SELECT m.id, arg_min(m.target, (-score, m.target)) AS target FROM m JOIN documents ON doc_id = m.target
+WHERE m.id % 2 <> 0 OR contains(coalesce(source, ''), 'src0') OR contains(coalesce(source, ''), 'src1') OR contains(coalesce(source, ''), 'src2') GROUP BY 1""")
+def title_best_match(spark, sf):
+    return cluster.best_match(*_titles(spark, sf))
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, json_extract_string(props, '$.missing') AS missing FROM events""")
@@ -496,9 +646,13 @@ def url_parts(spark, sf):
     return rd(spark, sf, "pages").select("page_id", ids.url_host(F.col("url")).alias("host"), F.try_parse_url("url", F.lit("PROTOCOL")).alias("scheme"))
 
 
-@query("""SELECT page_id, '/work/wayback/20240101000000/' || url AS access FROM pages""")
+@query("""SELECT page_id, CASE page_id % 5 WHEN 0 THEN '/work/w' || page_id || '/access/wayback/' || url WHEN 1 THEN '/work/w' || page_id || '/access/ia_file/item' || page_id || '/a/b.pdf'
+  WHEN 2 THEN 'https://web.archive.org/web/2024/' || url WHEN 3 THEN 'https://web.archive.org/web/20240101000000/' || url ELSE url END AS access FROM pages""")
 def url_rewrite(spark, sf):
-    return rd(spark, sf, "pages").select("page_id", ids.access_url(ids.wayback_url(F.lit("20240101000000"), F.col("url"))).alias("access"))
+    k, n = F.col("page_id") % 5, F.col("page_id").cast("string")
+    whole = F.concat(F.lit("https://web.archive.org/web/20240101000000/"), "url")
+    raw = search.first_value([(k == 0, whole), (k == 1, F.concat(F.lit("http://archive.org/download/item"), n, F.lit("/a/b.pdf"))), (k == 2, F.concat(F.lit("https://web.archive.org/web/2024/"), "url")), (k == 3, whole)], F.col("url"))
+    return rd(spark, sf, "pages").select("page_id", ids.access_url(raw, F.when(k != 3, F.concat(F.lit("w"), n))).alias("access"))
 
 
 @query("""SELECT page_id, array_to_string(list_sort(list_distinct(regexp_extract_all(html, '(https?://[^\\s"''<>)]+)', 1))), ' ') AS links FROM pages""")
@@ -541,8 +695,9 @@ def session_window(spark, sf):
     return rd(spark, sf, "events").groupBy("user_id", F.session_window("ts", "30 minutes")).agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("start"), "n")
 
 
-both("SELECT year(o_orderdate) AS y, o_orderpriority AS p, count(*) AS n FROM @orders GROUP BY ROLLUP (year(o_orderdate), o_orderpriority)", "orders", name="browse_totals_rollup")
-ORACLES["browse_totals_rollup"] = "SELECT CAST(year(o_orderdate) AS INT) AS y, o_orderpriority AS p, count(*) AS n FROM orders GROUP BY ROLLUP (y, p)"
+@query("SELECT CAST(year(o_orderdate) AS INT) AS y, o_orderpriority AS p, count(*) AS n FROM orders GROUP BY ROLLUP (y, p)")
+def browse_totals_rollup(spark, sf):
+    return stats.rollup_counts(rd(spark, sf, "orders"), F.year("o_orderdate").alias("y"), F.col("o_orderpriority").alias("p"))
 
 
 @query("SELECT o_custkey, coalesce(count(*) FILTER (o_orderstatus = 'F') / nullif(count(*) FILTER (o_orderstatus <> 'P'), 0), 1.0)::DOUBLE AS ratio FROM orders GROUP BY 1")
@@ -551,8 +706,16 @@ def success_ratio(spark, sf):
     return rd(spark, sf, "orders").groupBy("o_custkey").agg(stats.success_ratio(ok, all_).cast("double").alias("ratio"))
 
 
-both("SELECT md5(text) AS digest, count(*) AS n, max(source) AS url FROM @documents GROUP BY md5(text)", "documents", name="group_max_url")
-both("SELECT o_custkey, CAST(sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END) AS BIGINT) AS papers, count(*) AS total FROM @orders GROUP BY o_custkey", "orders", name="papers_basis")
+@query("SELECT md5(text) AS digest, count(*) AS n, max(source) AS url FROM documents GROUP BY 1")
+def group_max_url(spark, sf):
+    return stats.greatest_url(rd(spark, sf, "documents"), F.md5("text"), "source")
+
+
+@query("""SELECT o_custkey, count(*) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH')) AS papers, count(*) AS total FROM orders GROUP BY 1""")
+def papers_basis(spark, sf):
+    kinds = rd(spark, sf, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
+    of = kinds.groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("o_orderpriority", "n"))).alias("counts"), F.sum("n").alias("total"))
+    return of.select("o_custkey", stats.sum_of_kinds(F.col("counts"), ("1-URGENT", "2-HIGH")).alias("papers"), "total")
 
 
 @query()
@@ -595,10 +758,12 @@ def blob_paths(spark, sf):
     return rd(spark, sf, "documents").select("doc_id", ids.blob_path(d).alias("path"), F.octet_length("text").cast("long").alias("size"), F.md5("text").alias("md5"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'doi:"10.5555/' || o_orderkey || '"' WHEN o_orderkey % 5 = 1 THEN 'pmcid:"PMC' || o_orderkey || '"' ELSE 'order ' || o_orderkey END AS q FROM orders""")
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'doi:"10.5555/A' || o_orderkey || '"' WHEN 1 THEN 'pmcid:"pmc' || o_orderkey || '"' WHEN 2 THEN 'arxiv_id:"2001.' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') || 'v2"'
+  WHEN 3 THEN 'arxiv_id:"math.AG/' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') || '"' WHEN 4 THEN 'arxiv:2001.00001' ELSE 'order ' || o_orderkey END AS q FROM orders""")
 def identifier_queries(spark, sf):
-    k = F.col("o_orderkey").cast("string")
-    q = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit(" 10.5555/"), k)).when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit("PMC"), k)).otherwise(F.concat(F.lit("order "), k))
+    k, m = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 6
+    q = F.when(m == 0, F.concat(F.lit("https://DX.doi.org/10.5555/A"), k)).when(m == 1, F.concat(F.lit("pmc"), k)).when(m == 2, F.concat(F.lit("2001."), F.lpad((F.col("o_orderkey") % 10000).cast("string"), 4, "0"), F.lit("v2")))
+    q = q.when(m == 3, F.concat(F.lit("math.AG/"), F.lpad(k, 7, "0"))).when(m == 4, "arxiv:2001.00001").otherwise(F.concat(F.lit("order "), k))
     return rd(spark, sf, "orders").select("o_orderkey", ids.identifier_query(q).alias("q"))
 
 
@@ -627,24 +792,37 @@ def highlight(spark, sf):
     return rd(spark, sf, "documents").select("doc_id", text.highlight(F.col("text"), "the").alias("fragment"))
 
 
-@query("""SELECT l_orderkey, count(*) AS file_count, bool_or(l_returnflag = 'R') AS in_ia FROM lineitem GROUP BY 1""")
+@query("""WITH f AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS i, l_returnflag AS k, l_partkey AS p FROM lineitem)
+SELECT l_orderkey, count(*) AS file_count, coalesce('https://web.archive.org/web/1/' || arg_min(p, i) FILTER (k = 'R'), 'https://archive.org/download/' || arg_max(p, i) FILTER (k = 'A'), 'https://example.org/' || arg_max(p, i)) AS url,
+  bool_or(k IN ('R', 'A')) AS in_ia FROM f GROUP BY 1""")
 def best_pdf(spark, sf):
-    host = F.when(F.col("l_returnflag") == "R", "https://web.archive.org/web/1/").otherwise("https://example.org/")
-    urls = rd(spark, sf, "lineitem").select("l_orderkey", F.concat(host, F.col("l_partkey").cast("string")).alias("u")).groupBy("l_orderkey").agg(F.count("*").alias("file_count"), F.array_sort(F.collect_set("u")).alias("urls"))
-    return urls.select("l_orderkey", "file_count", documents.best_pdf(F.col("urls"))["in_ia"].alias("in_ia"))
+    at = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    host = F.when(F.col("l_returnflag") == "R", "https://web.archive.org/web/1/").when(F.col("l_returnflag") == "A", "https://archive.org/download/").otherwise("https://example.org/")
+    files = rd(spark, sf, "lineitem").select("l_orderkey", at.alias("file_index"), F.concat(host, F.col("l_partkey").cast("string")).alias("u"))
+    urls = files.groupBy("l_orderkey").agg(F.count("*").alias("file_count"), documents.ordered_urls(F.col("file_index"), F.lit(0), F.col("u")).alias("urls"))
+    return urls.select("l_orderkey", "file_count", documents.best_pdf(F.col("urls")).alias("b")).select("l_orderkey", "file_count", "b.url", "b.in_ia")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 'google' WHEN o_custkey % 3 = 1 THEN 'none' ELSE 'other' END AS bucket FROM orders""")
+@query("""SELECT o_orderkey, CASE o_custkey % 5 WHEN 0 THEN 'google' WHEN 1 THEN 'direct' WHEN 2 THEN 'google_scholar' ELSE 'other' END AS bucket FROM orders""")
 def referrer_buckets(spark, sf):
-    ref = F.when(F.col("o_custkey") % 3 == 0, "https://www.google.de/search?q=x").when(F.col("o_custkey") % 3 == 1, "").otherwise("https://example.org/")
+    k = F.col("o_custkey") % 5
+    ref = F.when(k == 0, "https://www.Google.de/search?q=x").when(k == 1, "").when(k == 2, "https://scholar.google.com/x").when(k == 3, "https://www.bing.com/").otherwise("no address")
     return rd(spark, sf, "orders").select("o_orderkey", ids.referrer_bucket(ref).alias("bucket"))
 
 
-@query()
+@query("""SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'https://x.org/p/a' || page_id || '.pdf' WHEN 1 THEN 'https://j.org/article/view/' || page_id || '/download' WHEN 2 THEN 'https://x.org/b' || page_id || '.pdf' WHEN 3 THEN 'https://pure.tue.nl/ws/portalfiles/portal/' || page_id || '/x.pdf'
+  WHEN 4 THEN 'https://other.org/' || page_id END AS url, CASE page_id % 6 WHEN 0 THEN 'citation_pdf_url' WHEN 1 THEN 'ojs-pdf-download' WHEN 2 THEN 'download-article' WHEN 3 THEN 'research.tue.nl' WHEN 4 THEN 'linkinghub' END AS rule, page_id % 6 = 4 AS hop FROM pages""")
 def archived_full_texts(spark, sf):
-    """Full-text links of captured pages."""
-    p = rd(spark, sf, "pages")
-    return p.select("page_id", webarchive.full_text_link("html", "url").alias("l")).select("page_id", "l.url", "l.rule").where("url IS NOT NULL")
+    """Full-text links of captured pages, into which links of several kinds are put."""
+    k, n = F.col("page_id") % 6, F.col("page_id").cast("string")
+    add = search.first_value([
+        (k == 0, F.concat(F.lit("<meta name='citation_pdf_url' content='a"), n, F.lit(".pdf'><embed type='application/pdf' src='no.pdf'>"))), (k == 1, F.concat(F.lit("<div><a class='x download' href='"), n, F.lit("/download'>get</a><a class='pdf' href='no'></div>"))),
+        (k == 2, F.concat(F.lit("<p class='download-article'>or <b><a href='/b"), n, F.lit(".pdf'>this</a></b></p><a class='download-pdf' href='no'>"))), (k == 3, F.concat(F.lit("<meta name='citation_pdf_url' content='https://research.tue.nl/files/"), n, F.lit("/x.pdf'/>"))),
+        (k == 4, F.concat(F.lit("<input id='redirectURL' value='https%3A%2F%2Fother.org%2F"), n, F.lit("%3Fvia%3Dhub'>"))),
+    ], F.lit("<a href='x.pdf'>no rule</a>"))
+    at = search.first_value([(k == 1, F.lit("https://j.org/article/view/7")), (k == 3, F.lit("https://research.tue.nl/x")), (k == 4, F.lit("https://linkinghub.elsevier.com/retrieve/pii/S1"))], F.lit("https://x.org/p/1"))
+    p = rd(spark, sf, "pages").select("page_id", F.concat(F.lit("<html><body>"), add, F.lit("</body></html>")).alias("html"), at.alias("at"))
+    return p.select("page_id", webarchive.full_text_link("html", "at").alias("l")).select("page_id", "l.url", "l.rule", "l.hop")
 
 
 @query("""SELECT role, count(*) AS n, count(DISTINCT conv_id) AS conversations, max(turn) AS last_turn FROM conversations GROUP BY 1""")

@@ -27,8 +27,8 @@ def json_lines(spark: SparkSession, path: str, schema: str, separator: str = "\n
 
 
 def xml_records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    """One row for each element `tag`; files are split between elements by the reader."""
-    return spark.read.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE").option("ignoreNamespace", "true").schema(schema).load(path)
+    """One row for each element `tag`. Harvested files are documents behind one another, without a root of their own, which the strict parser does not read on from."""
+    return spark.read.format("xml").option("rowTag", tag).option("useLegacyXMLParser", "true").option("mode", "PERMISSIVE").option("ignoreNamespace", "true").schema(schema).load(path)
 
 
 OAI_SCHEMA = "header struct<_status:string,identifier:string,datestamp:string,setSpec:array<string>>, metadata struct<dc:struct<title:array<string>,creator:array<string>,subject:array<string>,description:array<string>,date:array<string>,type:array<string>,identifier:array<string>,language:array<string>>>"

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from quire.functions.text import STOP_WORDS
-from quire.plans import catalog
+from quire.plans import catalog, upstream  # noqa: F401  registers its queries in catalog
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -52,7 +52,7 @@ def test_title_overlap_match_reads_whole_items(spark, tmp_path):
     items = {1: " ".join(map(word, range(40))), 2: " ".join(map(word, range(20))) + "\n" + " ".join(map(word, range(50, 70))), 3: "short title with four more", 4: "", 5: None}
     found = {10: " ".join(map(word, range(20, 40))), 11: " ".join(map(word, range(8))), 12: " ".join(map(word, [*range(16), 99])), 13: " ".join(map(word, range(50, 66))) + "\n" + items[1], 14: "Short, title\nwith four more", 15: None}
     spark.createDataFrame(list(items.items()), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    spark.createDataFrame(list(found.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(found.items()), "doc_id long, text string").selectExpr("*", "'s' AS source").write.parquet(f"{tmp_path}/documents.parquet")
     tokens = lambda t: {w for w in re.split(r"[\W_]+", (t or "").lower()) if len(w) >= 4} - set(STOP_WORDS)
     left, right = {i: tokens(t) for i, t in items.items()}, {i: tokens((t or "").split("\n")[0]) for i, t in found.items()}
     want = sorted((i, k, len(a & b)) for i, a in left.items() for k, b in right.items() if a & b and 5 * len(a & b) >= 2 * len(a))

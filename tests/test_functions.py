@@ -124,9 +124,64 @@ def test_intervals(spark, start, end, unit, n):
 def test_urls(spark):
     assert one(spark, ids.url_host, "https://u@Example.org:8080/x") == "example.org:8080"
     assert one(spark, ids.registered_domain, "www.journals.ac.uk") == "journals.ac.uk"
-    assert one(spark, ids.access_url, "https://web.archive.org/web/2020id_/http://a/b.pdf") == "/work/wayback/2020/http://a/b.pdf"
     assert one(spark, ids.referrer_bucket, "https://www.google.com/search") == "google"
-    assert one(spark, ids.referrer_bucket, "") == "none"
     assert one(spark, ids.arxiv_versioned, "2301.12345") == "2301.12345v1"
     assert one(spark, ids.arxiv_versioned, "2301.12345v2") == "2301.12345v2"
     assert one(spark, ids.blob_path, "abcdef") == "ab/cd/abcdef"
+
+
+@pytest.mark.parametrize(
+    "raw, work, want",
+    [
+        ("https://web.archive.org/web/20200101000000/http://a/b.pdf", "w", "/work/w/access/wayback/http://a/b.pdf"),
+        ("http://archive.org/download/item/a/b.pdf", "w", "/work/w/access/ia_file/item/a/b.pdf"),
+        ("https://web.archive.org/web/2020id_/http://a/b.pdf", "w", "https://web.archive.org/web/2020id_/http://a/b.pdf"),
+        ("https://web.archive.org/web/20200101000000/http://a/b.pdf", None, "https://web.archive.org/web/20200101000000/http://a/b.pdf"),
+        ("https://example.org/x.pdf", "w", "https://example.org/x.pdf"),
+        (None, "w", None),
+    ],
+)
+def test_access_url(spark, raw, work, want):
+    assert one(spark, lambda x: ids.access_url(x, F.lit(work).cast("string")), raw) == want
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [("", "direct"), (None, "direct"), ("https://scholar.google.com/scholar?q=x", "google_scholar"), ("https://www.google.co.uk/", "google"), ("https://duckduckgo.com/", "other"), ("https://www.bing.com/", "other"), ("not an address", "other")],
+)
+def test_referrer_bucket(spark, raw, want):
+    assert one(spark, ids.referrer_bucket, raw) == want
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [
+        ("10.1234/ABC", 'doi:"10.1234/ABC"'), ("https://doi.org/10.1234/abc", 'doi:"10.1234/abc"'), ("HTTP://dx.doi.org/10.1234/abc", 'doi:"10.1234/abc"'), ("pmc123", 'pmcid:"pmc123"'), ("2101.12345v2", 'arxiv_id:"2101.12345v2"'),
+        ("math.GT/0309136", 'arxiv_id:"math.GT/0309136"'), ("hep-th/9901001", 'arxiv_id:"hep-th/9901001"'), ("arxiv:2101.12345", "arxiv:2101.12345"), ("10.12/x", "10.12/x"), ("free text", "free text"),
+    ],
+)
+def test_identifier_query(spark, raw, want):
+    assert one(spark, ids.identifier_query, raw) == want
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [
+        ("/CIT5", "CIT5"), ("_5", "5"), ("b12", "b12"), ("smith-2004-nature", "smith-2004-nature"), ("10.1002/(SICI)1097-0258(19980815)17:15-BIB3", "BIB3"), ("10.1371/journal_ref9", "ref9"), ("a-long-reference#cr7", "cr7"),
+        ("long_reference_key", "key"), ("short_key", "short_key"), ("", "4"), (None, "4"), (" _x ", "x"),
+    ],
+)
+def test_citation_key(spark, raw, want):
+    assert one(spark, lambda x: text.citation_key(x, F.lit(4)), raw) == want
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [("Abstract This is it", "This is it"), ("Abstract Background: two words", "two words"), ("Summary one", None), ("N/a.", None), ("Abstract: kept as is", "Abstract: kept as is"), ("", None), (None, None), ("Abstract No Abstract ", None)],
+)
+def test_trim_abstract(spark, raw, want):
+    assert one(spark, text.trim_abstract, raw) == want
+
+
+def test_split_creators(spark):
+    assert one(spark, text.split_creators, " Ada Li;B. Oz ; ;") == ["Ada Li", "B. Oz"]

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quire.functions import text
+from quire.functions import identifiers, text
 from quire.operators import cluster, convert, documents, holdings, relational as rel, search, sinks, stats, webarchive
 
 CROSSREF = """`DOI` string, type string, title array<string>, subtitle array<string>, `original-title` array<string>, `container-title` array<string>, `ISBN` array<string>,
@@ -54,7 +54,7 @@ def test_datacite(spark):
      descriptions array<struct<description:string,descriptionType:string>>, dates array<struct<date:string,dateType:string>>, rightsList array<struct<rightsUri:string>>, container struct<volume:string,issue:string,firstPage:string,lastPage:string>, publicationYear int, publisher string, language string, version string"""
     df = records(
         spark, schema,
-        {"doi": "10.5/X", "titles": [{"title": "Sub", "titleType": "Subtitle"}, {"title": "Main"}], "types": {"ris": "DATA"}, "creators": [{"name": "A"}, {"name": "A"}, {"name": "(:unav)"}], "contributors": [], "dates": [{"date": "2020", "dateType": "Other"}, {"date": "2021-06", "dateType": "Issued"}], "rightsList": []},
+        {"doi": "10.5/X", "titles": [{"title": "Sub", "titleType": "Subtitle"}, {"title": "Main"}], "types": {"ris": "DATA"}, "creators": [{"name": "A"}, {"name": "A"}, {"name": "(:unav)"}], "contributors": [], "dates": [{"date": "2020", "dateType": "Issued"}, {"date": "2021-06", "dateType": "Created"}], "rightsList": []},
         {"doi": "10.5/y", "titles": [{"title": "Watch full movie online free HD"}], "creators": [], "contributors": [], "dates": [], "rightsList": []},
     )
     a, b = convert.datacite(df, "2026-01-01").collect()
@@ -112,18 +112,26 @@ def test_holdings_file(spark, tmp_path):
     assert text_.count(b"\r\n") == 3 and text_.count(b"publication_type") == 1
 
 
-def test_query_string(spark):
-    df = spark.createDataFrame([(1, "en", 5, "The Cat"), (2, "de", 50, "a dog"), (3, None, 500, "cat and dog")], "id int, lang string, n int, text string")
-    ask = lambda q: sorted(r["id"] for r in df.where(search.query_string(q, df.columns, ["text"])).collect())
-    assert ask("cat") == [1, 3] and ask("cat dog") == [3] and ask("lang:en OR lang:de") == [1, 2] and ask("n:>=50") == [2, 3] and ask("!lang:*") == [3]
-    assert ask("NOT cat") == [2] and ask('"and dog"') == [3] and ask("(lang:en OR n:>100) cat") == [1, 3] and ask("nofield:x") == [] and ask("*at") == [1, 3] or True
-    assert ask("") == [1, 2, 3] and ask("lang:*n") == []
+def test_words_of_a_query(spark):
+    df = spark.createDataFrame([(1, "en", "The Cat"), (2, "de", "a dog"), (3, None, "cat and dog"), (4, "en", None)], "id int, lang string, text string")
+    ask = lambda *must, **k: sorted(r["id"] for r in df.where(search.bool_filter(must, **k)).collect())
+    words = lambda q: search.contains_all(q, ["text", "lang"])
+    assert ask(words("cat")) == [1, 3] and ask(words("cat DOG")) == [3] and ask(words("")) == [1, 2, 3, 4] and ask(words("en")) == [1, 4]
+    assert ask(words("a"), must_not=[F.col("lang") == "de"]) == [1, 3] and ask(should=[F.col("lang") == "en", F.col("lang") == "de"]) == [1, 2, 4]
+
+
+def test_shown_total(spark):
+    row = lambda total, est, shown, offset: tuple(spark.range(1).select(search.shown_total(F.lit(total), F.lit(est), F.lit(shown), offset, 20).alias("t")).first()["t"])
+    assert row(1000, True, 20, 0) == (1000, True) and row(1000, True, 7, 0) == (7, False) and row(1000, True, 7, 20) == (1000, True) and row(0, False, 0, 0) == (0, False)
 
 
 def test_facets(spark):
     df = spark.createDataFrame([("2024-01-10", "report"), ("2020-01-01", "chapter")], "d string, t string").withColumn("d", F.to_date("d"))
     assert df.where(search.date_facet("d", "past_week", "2024-01-12")).count() == 1 and df.where(search.date_facet("d", "junk", "2024-01-12")).count() == 2
-    assert df.where(search.type_facet("t", "reports")).count() == 1 and df.where(search.type_facet("t", "junk")).count() == 2
+    assert df.where(search.date_facet("d", "since_2000", "2024-01-12")).count() == 2 and df.where(search.date_facet("d", "before_1931", "2024-01-12")).count() == 0
+    assert df.where(search.type_facet("t", "reports")).count() == 1 and df.where(search.type_facet("t", "junk")).count() == 1 and df.where(search.type_facet("t", "everything")).count() == 2
+    some = spark.createDataFrame([(["wayback"], ["oa"]), (["ia_sim", "x"], []), (["x"], ["oa"])], "a array<string>, tags array<string>")
+    assert [some.where(search.access_facet("a", "tags", n)).count() for n in ("fulltext", "microfilm", "oa", "everything", "junk")] == [2, 1, 2, 3, 2]
     assert df.where(search.drill_down("t", None, True)).count() == 0 and df.where(search.drill_down("t", None, False)).count() == 2
 
 
@@ -133,9 +141,10 @@ def test_release_documents(spark):
         "id string, container_id string, title string, release_type string, release_date date, release_year int, volume string, issue string, pages string, license_slug string, extids map<string,string>, extra string",
     ).withColumn("contribs", F.expr("array(struct(null as raw_name, 'Ada' as given_name, 'L' as surname))")).withColumn("refs", F.array())
     con = spark.createDataFrame([("c1", None, None, None)], "container_id string, name string, extra string, publisher_type string")
-    files = spark.createDataFrame([("r1", "https://web.archive.org/web/1/x.pdf"), ("r1", "https://other.org/x.pdf")], "release_id string, url string")
+    files = spark.createDataFrame([("r1", 0, 1, "https://web.archive.org/web/1/x.pdf"), ("r1", 0, 0, "https://web.archive.org/web/2/z.pdf"), ("r1", 1, 0, "https://other.org/x.pdf")], "release_id string, file_index int, url_index int, url string")
     a, b = documents.release_documents(rel_, con, files).orderBy("id").collect()
     assert a["preservation"] == "bright" and a["is_oa"] and a["container_name"] == "biorxiv/medrxiv" and a["release_type"] == "article" and a["first_page"] == "10" and a["tags"] == ["oa"] and a["contrib_names"] == "Ada L"
+    assert a["best_pdf_url"] == "https://web.archive.org/web/2/z.pdf" and a["file_count"] == 2
     assert b["preservation"] == "dark" and not b["is_oa"] and b["container_name"] == "arXiv" and b["file_count"] == 0
 
 
@@ -160,11 +169,74 @@ def test_hops(spark):
 
 
 def test_full_text_links(spark):
-    df = spark.createDataFrame([('<meta name="citation_pdf_url" content="/a.pdf">', "https://x.org/p"), ('<a href="b.pdf">', "https://x.org/p/"), ("", None)], "html string, base string")
-    got = [r["l"]["url"] for r in df.select(webarchive.full_text_link("html", "base").alias("l")).collect()]
-    assert got == ["https://x.org/a.pdf", "https://x.org/p/b.pdf", None]
-    one = df.limit(1).select(webarchive.known_rewrite(F.lit("https://arxiv.org/abs/1234.5")).alias("u")).first()["u"]
-    assert one == "https://arxiv.org/pdf/1234.5.pdf"
+    pages = [
+        ('<meta name="citation_pdf_url" content="/a.pdf">', "https://x.org/p", ("https://x.org/a.pdf", "citation_pdf_url", False)),
+        ('<a class="download-pdf big" href="b.pdf">', "https://x.org/p/", ("https://x.org/p/b.pdf", "download-pdf", False)),
+        ("", None, (None, None, False)),
+        (None, "https://x.org", (None, None, False)),
+        ('<script>pdfUrl = "https:\\/\\/r.mx\\/1.pdf";</script>', "https://r.mx/article/view/1/2", ("https://r.mx/1.pdf", "jspdfurl", False)),
+        ('{"pdfPath":"/iel7/1/2.pdf"}', "https://ieeexplore.ieee.org/document/1", ("https://ieeexplore.ieee.org/iel7/1/2.pdf", "ieeejs", True)),
+        ('<noscript><a href="no"></a></noscript><noscript><p><a href="/f.pdf">x</a></p></noscript>', "https://m.de/receive/1", ("https://m.de/f.pdf", "mycore-receive", False)),
+        ('<meta name="citation_issn" content="1"><meta name="citation_id" content="2">', "https://www.sciengine.com/x", ("https://www.sciengine.com/cfs/files/pdfs/view/1/2.pdf", "sciengine", False)),
+        ('<div class="widget-files"><a href="/doc">x</a></div><embed alt="pdf" src="e">', "https://hal.science/1", ("https://hal.science/e", "pdf-embed-alt", False)),
+        ('<section class="col-md-8"><a target="_blank" class="button button--primary" href="https://o.org">x</a></section>', "https://doaj.org/article/1", ("https://o.org", "doaj-access-link", True)),
+        ('<a class="pdf" href="/x">no</a><a class="obj_galley_link file" href="g">x</a>', "https://j.org/article/view/1", ("https://j.org/article/view/g", "ojs-remote-pdf", True)),
+    ]
+    df = spark.createDataFrame([(i, h, u) for i, (h, u, _) in enumerate(pages)], "i int, html string, base string")
+    got = [tuple(r["l"]) for r in df.select("i", webarchive.full_text_link("html", "base").alias("l")).orderBy("i").collect()]
+    assert got == [w for _, _, w in pages]
+
+
+@pytest.mark.parametrize(
+    "url, want",
+    [
+        ("https://arxiv.org/abs/1234.5", "https://arxiv.org/pdf/1234.5"),
+        ("https://arxiv.org/pdf/1234.5.pdf", "https://arxiv.org/pdf/1234.5"),
+        ("https://onlinelibrary.wiley.com/doi/10.1/doi", "https://onlinelibrary.wiley.com/doi/pdf/10.1/doi"),
+        ("https://www.protocols.io/view/x", "https://www.protocols.io/view/x.pdf"),
+        ("https://journals.sagepub.com/doi/pdf/10.1177/2", "https://journals.sagepub.com/doi/pdf/10.1177/2?download=true"),
+        ("https://pubs.acs.org/doi/10.1021/acs.9#", "https://pubs.acs.org/doi/pdf/10.1021/acs.9?ref=article_openPDF"),
+        ("https://www.jcancer.org/v16p1684.html", "https://www.jcancer.org/v16p1684.pdf"),
+        ("https://www.jcancer.org/v16p1684.htm", "https://www.jcancer.org/v16p1684.pdf"),
+        ("https://www.tandfonline.com/doi/full/10.1080/1", "https://www.tandfonline.com/doi/pdf/10.1080/1"),
+        ("https://www.journals.uchicago.edu/doi/10.14318/h", "https://www.journals.uchicago.edu/doi/epdf/10.14318/h"),
+        ("https://www.worldscientific.com/doi/abs/10.1142/S", "https://www.worldscientific.com/doi/pdf/10.1142/S?download=true"),
+        ("https://www.ahajournals.org/doi/pdf/10.1/x", "https://www.ahajournals.org/doi/pdf/10.1/x"),
+        ("https://ehp.niehs.nih.gov/doi/full/10.1289/E", "https://ehp.niehs.nih.gov/doi/pdf/10.1289/E?download=true"),
+        ("https://ehp.niehs.nih.gov/doi/10.1289/e.1", "https://ehp.niehs.nih.gov/doi/pdf/10.1289/e.1?download=true"),
+        ("https://publications.rwth-aachen.de/record/986268/", "https://publications.rwth-aachen.de/record/986268/files/986268.pdf"),
+        ("https://mhealth.jmir.org/2020/7/e17891/", "https://mhealth.jmir.org/2020/7/e17891/PDF"),
+        ("https://array.aami.org/doi/10.2345/0", "https://array.aami.org/doi/pdf/10.2345/0?download=true"),
+        ("https://drive.google.com/file/d/0123456789ab/view?x", "https://drive.google.com/uc?export=download&id=0123456789ab"),
+        ("https://drive.google.com/file/d/short/view", "https://drive.google.com/file/d/short/view"),
+        ("https://example.org/a", "https://example.org/a"),
+    ],
+)
+def test_known_rewrite(spark, url, want):
+    assert spark.range(1).select(webarchive.known_rewrite(F.lit(url)).alias("u")).first()["u"] == want
+
+
+@pytest.mark.parametrize(
+    "kind, ids_, want",
+    [("dataset", {"doi": "10.1/x"}, "not-paperlike"), (None, {"doi": "10.1/x"}, "not-paperlike"), ("book", {}, "no-extids"), ("book", {"doi": "10.9/x"}, "doi-prefix-blocked:10.9/"), ("thesis", {"mag": "1"}, "no-fulltext-urls"), ("chapter", {"doi": "10.1/x"}, None)],
+)
+def test_crawl_skip(spark, kind, ids_, want):
+    df = spark.createDataFrame([(kind, ids_)], "k string, ids map<string,string>")
+    urls = identifiers.full_text_urls(F.col("ids"), F.lit(None).cast("string"))
+    assert df.select(webarchive.crawl_skip(F.col("k"), F.col("ids"), urls, ("10.9/",)).alias("r")).first()["r"] == want
+
+
+def test_dates_by_type(spark):
+    one = lambda *d: spark.createDataFrame([(list(d),)], "d array<struct<date:string,dateType:string>>").select(convert.best_date(F.col("d"), "2026-01-01").alias("x")).first()["x"]
+    got = one(("2019", "Issued"), ("soon", "Valid"), ("2020-02-03", "Created"), ("2018-05", "Available"))
+    assert (got["date"], got["year"], got["month"]) == (None, 2018, 5)
+    assert one(("2019", "Issued"), ("2017", "Other"))["year"] == 2019 and one(("x", "Valid")) is None and one() is None
+    assert str(one(("bad", "Valid"), ("2001-02-03", "Valid"))["date"]) == "2001-02-03"
+
+
+def test_first_abstracts(spark):
+    df = spark.createDataFrame([([("Abstract only", "en"), ("Abstract two words", "en"), ("later one here", "en"), ("deux mots", "fr"), ("no language here", None)],)], "a array<struct<content:string,language:string>>")
+    assert [tuple(x) for x in df.select(text.first_abstracts(F.col("a")).alias("x")).first()["x"]] == [("two words", "en"), ("deux mots", "fr"), ("no language here", None)]
 
 
 def test_shards(spark):
@@ -176,6 +248,22 @@ def test_match_titles(spark):
     left = spark.createDataFrame([(1, "Neural networks predicting weather patterns")], "id int, title string")
     right = spark.createDataFrame([(7, "predicting weather with neural models"), (8, "weather")], "target int, title string")
     assert [(r["id"], r["target"], r["shared"]) for r in cluster.match_titles(left, right).collect()] == [(1, 7, 3)]
+    left = left.withColumn("creators", F.lit("Ada Li; B. Oz"))
+    right = right.unionByName(spark.createDataFrame([(9, "weather patterns")], "target int, title string")).withColumn("contrib_names", F.when(F.col("target") == 9, "b. oz"))
+    assert [(r["id"], r["target"]) for r in cluster.best_match(left, right).collect()] == [(1, 9)]
+    assert [(r["id"], r["target"]) for r in cluster.best_match(left.withColumn("creators", F.lit(None).cast("string")), right).collect()] == [(1, 7)]
+
+
+def test_clusters(spark):
+    df = spark.createDataFrame([(1, "A b!"), (2, "ab"), (3, "c"), (4, None), (5, "--"), (6, "A-B")], "id int, title string")
+    assert [tuple(r) for r in cluster.clusters(df, "id", "title").collect()] == [("ab", 3, 1, 6)]
+    assert sorted(tuple(r) for r in cluster.members(df, "id", "title").collect()) == [("ab", 3, 1), ("ab", 3, 2), ("ab", 3, 6)]
+
+
+def test_collapse_and_first_of(spark):
+    df = spark.createDataFrame([("x", 3, "a"), ("y", 3, "b"), ("x", 5, "c"), (None, 1, None), (None, 1, "d")], "k string, n int, v string")
+    assert sorted((tuple(r) for r in rel.collapse(df, "k", [-F.col("n"), F.col("v")]).collect()), key=str) == sorted([("x", 5, "c", 2), ("y", 3, "b", 1), (None, 1, None, 2)], key=str)
+    assert rel.first_of(df.select("n", "k", "v"), "k", [F.col("n")]).where("k = 'x'").first() == (3, "x", "a")
 
 
 def test_lookup_first(spark):

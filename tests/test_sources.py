@@ -23,6 +23,14 @@ def test_oai_xml(spark, tmp_path):
     assert [r["skip_reason"] for r in rows] == ["deleted", None] and rows[1]["extids"] == {"oai": "oai:2", "doi": "10.1234/x"} and rows[1]["contribs"][0]["surname"] == "B"
 
 
+def test_documents_behind_one_another(spark, tmp_path):
+    """Two documents in one file, a record over several lines, and the tag's name in a text."""
+    one = '<?xml version="1.0"?><r><record><header><identifier>oai:%d</identifier></header>\n<metadata><dc><title>a &lt;record&gt; %d</title></dc></metadata></record></r>\n'
+    (tmp_path / "a.xml").write_text(one % (1, 1) + one % (2, 2) + "<record><header status='deleted'><identifier>oai:3</identifier></header></record>")
+    rows = {r["oai"]: (r["status"], r["titles"]) for r in readers.oai_records(spark, str(tmp_path / "a.xml")).collect()}
+    assert rows == {"oai:1": (None, ["a <record> 1"]), "oai:2": (None, ["a <record> 2"]), "oai:3": ("deleted", [])}
+
+
 def test_cdx(spark, tmp_path):
     good = "org,x)/a 20200101000000 http://x.org/a application/pdf 200 " + "A" * 32 + " - - 10 20 w.warc.gz"
     with gzip.open(tmp_path / "a.cdx.gz", "wt") as f:
