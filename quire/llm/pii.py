@@ -1,22 +1,28 @@
 """Personal data spans by weak supervision.
 
-Method: labelers vote on candidate spans - strict patterns (regex), word lists and number plans
-(gazetteer), and the words before a span (context).  Votes are counted by pattern over the whole corpus;
-expectation-maximisation (Dawid-Skene with one reliability per labeler and class) finds how far each is to
-be trusted, and the posteriors train a logistic span classifier on votes and shape, which decides every
-candidate.  What the strict patterns of the contract find is kept whatever the classifier says.
-
-A candidate's votes and shape are one small code (at most CODES values), so what EM and the classifier
-see is a histogram of bounded size, counted over all texts by Spark.
-
-Cases: null and empty texts have no spans; offsets are code points, end exclusive; repeated ids are
-separate rows, rows without an id are left out of spans; other columns may have any name and are kept by
-`mask_documents`; without candidates nothing is learned and the strict patterns stand.
+Method: candidate spans come from strict patterns (the contract's), from wider ones, from word lists (mail providers,
+dialling codes) and from the words before them.  Labelers vote on each: patterns and check digits (regex), word lists
+and number plans (gazetteer), the words before a span and the characters beside it (context).  Votes are counted by
+pattern over the whole corpus; expectation-maximisation (Dawid-Skene with one reliability per labeler and class) finds
+how far each is to be trusted.  The posteriors train a span classifier, a logistic model over what the labelers do not
+look at: the span's shape and grouping, its first digits, the words around it.  The classifier decides every
+candidate, so a labeler that errs on one shape of span does not take it along.  What the strict patterns find is kept
+whatever the classifier says; of other candidates that overlap, the likeliest stays.
+
+A candidate's votes are one small code (at most CODES values), so what EM sees is a histogram of bounded size, counted
+over all texts by Spark; the classifier is fitted on at most about SAMPLE candidates, chosen by a hash.
+
+Cases: null and empty texts have no spans; offsets are code points, end exclusive; repeated ids are separate rows, rows
+without an id are left out of spans; other columns may have any name and are kept by `mask_documents`, which keeps
+all rows; without candidates nothing is learned and the strict patterns stand.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_left, insort
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +33,9 @@ from . import common as c
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "check", "gazetteer", "context", "surroundings")
-SHAPES = 4
-CODES = len(KINDS) * 3 ** len(LABELERS) * SHAPES
+CODES = len(KINDS) * 3 ** len(LABELERS)
 ACCEPT = 0.9  # of spans beyond the strict patterns
+SAMPLE, BUCKETS = 20_000, 1 << 12  # candidates that the classifier is fitted on; weights that it has
 
 _LOCAL = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(48, 58)])) + "._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -37,13 +43,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
-#: Wider shapes, of which the classifier keeps some.
-_WIDE = (
-    ("email", re.compile(r"[A-Za-z0-9._%+-]{2,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{2,63}){1,4}"), "at"),
-    ("ip", re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"), ":"),
-    ("phone", re.compile(r"(?<![0-9A-Za-z+.(-])\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,5}){2,4}(?![0-9A-Za-z]|[.-][0-9])"), None),
-    ("card", re.compile(r"(?<![0-9A-Za-z.])[0-9]{4}(?:[./][0-9]{4}){3}(?![0-9A-Za-z])"), None),
-)
 #: Words before a span that speak for its kind, in the corpus's languages.
 CONTEXT = {
     "email": ("email", "e-mail", "mail", "contact", "correo", "courriel", "kontakt", "contacto"),
@@ -54,6 +53,25 @@ CONTEXT = {
 AGAINST = ("version", "isbn", "issn", "doi", "section", "chapter", "page", "pages", "vol", "no", "figure", "fig", "table", "order", "id")
 SUFFIXES = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu", "it", "nl", "ch", "at", "us", "ca", "mx")
 DIALLING = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98")
+PROVIDERS = ("gmail", "googlemail", "yahoo", "hotmail", "outlook", "icloud", "gmx", "web", "proton", "protonmail", "mail", "live", "aol")
+#: Wider shapes: kind, pattern, and a string without which a text has none; the span is the last group, or the whole match.
+_WIDE = (
+    ("email", re.compile(r"[A-Za-z0-9._%+-]{2,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{2,63}){1,4}"), "at"),
+    ("ip", re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"), ":"),
+    ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])"), "."),
+    ("phone", re.compile(r"(?<![0-9A-Za-z+.(-])\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,5}){2,4}(?![0-9A-Za-z]|[.-][0-9])"), None),
+    ("card", re.compile(r"(?<![0-9A-Za-z.])[0-9]{4}(?:[./][0-9]{4}){3}(?![0-9A-Za-z])"), None),
+    ("email", re.compile(r"[A-Za-z0-9._%+-]{2,64} at (?:" + "|".join(PROVIDERS) + r")(?: dot |\.)[a-z]{2,4}(?![A-Za-z])"), " at "),
+    ("phone", re.compile(r"(?<![0-9A-Za-z.+-])00(?:" + "|".join(DIALLING) + r")[ ./-]?\(?[0-9][0-9 ()./-]{4,14}[0-9](?![0-9A-Za-z])"), "00"),
+)
+#: What may stand after a context word, by kind.
+_AFTER = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]{2,64} ?(?:@|\[@\]| AT ) ?[A-Za-z0-9-]{1,63}(?: ?\. ?[A-Za-z0-9-]{2,63}){1,4}"),
+    "ip": re.compile(r"[0-9]{1,3}(?: ?[.,] ?[0-9]{1,3}){3}(?![0-9])"),
+    "card": re.compile(r"[0-9](?:[ ./-]?[0-9]){12,18}(?![0-9])"),
+    "phone": re.compile(r"\(?[0-9](?:[ ()./-]{0,2}[0-9]){5,13}(?![0-9])"),
+}
+_CUE = re.compile(r"\b(?:" + "|".join(f"(?P<{k}>{'|'.join(v)})" for k, v in CONTEXT.items()) + r")\b(?: ?(?:number|no\.?|nr\.?|num\.?))?[:#=]? {0,2}(?=[0-9(A-Za-z])")
 
 
 def luhn(digits: str) -> bool:
@@ -110,24 +128,55 @@ def votes(text: str, kind: int, start: int, end: int, strict: bool) -> int:
     code = kind
     for x in v:
         code = code * 3 + x
-    return code * SHAPES + 2 * (len(span) > 16) + bool(re.search(r"[ ().-]", span))
+    return code
 
 
-def candidates(text: str) -> list[tuple[int, int, int, bool, int]]:
-    """(kind, start, end, strict, code) of a text's strict spans and wider candidates beside them."""
+def traits(text: str, kind: int, start: int, end: int) -> list[int]:
+    """What the classifier sees of a span: hashed features of the span and of the words about it, none of them a vote."""
+    span, name = text[start:end], KINDS[kind]
+    shape = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]", "9", span)))[:24]
+    groups = re.split(r"[^0-9]+", span.strip("()+ "))
+    before = re.findall(r"\w+", text[max(0, start - 40) : start].lower())[-2:]
+    after = re.findall(r"\w+", text[end : end + 40].lower())[:1]
+    seen = [
+        f"shape {shape}", f"groups {len(groups)}", f"sizes {'-'.join(str(len(g)) for g in groups[:6])}", f"digits {sum(map(str.isdigit, span))}", f"marks {''.join(sorted(set(re.sub('[0-9A-Za-z]', '', span))))[:6]}",
+        f"head {span[:2]}", f"last {span[-3:].lower() if kind == 0 else ''}", f"beside {text[start - 1 : start] if start else ''}|{text[end : end + 1]}", *(f"{'one' if i else 'two'} before {w}" for i, w in enumerate(before)), *(f"after {w}" for w in after),
+    ]
+    return sorted({zlib.crc32(f"{name} {x}".encode()) % BUCKETS for x in (*seen, "bias")})
+
+
+def candidates(text: str) -> list[tuple[int, int, int, bool, int, list[int]]]:
+    """(kind, start, end, strict, code, traits) of a text's strict spans and of wider candidates that overlap none of them."""
     strict = base_spans(text)
-    spans = [(k, s, e, True) for k, s, e in strict]
+    wide = set()
     for name, pattern, needs in _WIDE:
         if needs is None or needs in text:
-            for m in pattern.finditer(text):
-                if not any(s < m.end() and m.start() < e for _, s, e in strict):
-                    spans.append((KINDS.index(name), m.start(), m.end(), False))
-    return [(*x, votes(text, *x)) for x in spans]
+            wide.update((KINDS.index(name), m.start(), m.end()) for m in pattern.finditer(text))
+    low = text.lower()
+    if len(low) == len(text):  # lower case has other lengths for a few letters; then cues are sought as they stand
+        cues = _CUE.finditer(low)
+    else:
+        cues = _CUE.finditer(text)
+    for m in cues:
+        found = _AFTER[m.lastgroup].match(text, m.end())
+        if found:
+            wide.add((KINDS.index(m.lastgroup), found.start(), found.end()))
+    ends = sorted((s, e) for _, s, e in strict)
+    starts, reach = [s for s, _ in ends], list(accumulate((e for _, e in ends), max))
+    spans = [(k, s, e, True) for k, s, e in strict]
+    for k, s, e in sorted(wide):
+        before = bisect_left(starts, e)  # strict spans that start before this one ends
+        if not before or reach[before - 1] <= s:
+            spans.append((k, s, e, False))
+    return [(*x, votes(text, *x), traits(text, *x[:3])) for x in spans]
+
+
+SPANS = "array<struct<kind:int,start:int,end:int,strict:boolean,code:int,traits:array<int>>>"
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans array<struct<kind,start,end,strict,code>>) of every text: strict spans and candidates."""
-    one = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("strict", pa.bool_()), ("code", pa.int32())])
+    """(doc_id, spans) of every text: strict spans and candidates with votes and traits."""
+    one = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("strict", pa.bool_()), ("code", pa.int32()), ("traits", pa.list_(pa.int32()))])
 
     def run(batches):
         for b in batches:
@@ -135,21 +184,20 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             for text in b.column("text").to_pylist():
                 out.append(candidates(text))
             at = np.append(0, np.cumsum([len(x) for x in out])).astype(np.int32)
-            flat = list(zip(*(y for x in out for y in x), strict=True)) or [()] * 5
+            flat = list(zip(*(y for x in out for y in x), strict=True)) or [()] * len(one)
             values = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(flat, one, strict=True)], fields=list(one))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(at), values)], names=["doc_id", "spans"])
 
-    return c.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, spans array<struct<kind int, start int, end int, strict boolean, code int>>")
+    return c.id_text(docs, id_col, text_col).mapInArrow(run, f"doc_id long, spans {SPANS}")
 
 
-def unpack(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Kind, votes (-1, 0, 1 by labeler) and shape of codes."""
-    shape, rest = codes % SHAPES, codes // SHAPES
-    v = np.zeros((len(codes), len(LABELERS)), np.int64)
+def unpack(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kind, and votes (-1, 0, 1 by labeler), of codes."""
+    v, rest = np.zeros((len(codes), len(LABELERS)), np.int64), codes
     for k in range(len(LABELERS) - 1, -1, -1):
         v[:, k] = rest % 3 - 1
         rest = rest // 3
-    return rest, v, shape
+    return rest, v
 
 
 def expect(votes_: np.ndarray, n: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, float]:
@@ -165,42 +213,73 @@ def expect(votes_: np.ndarray, n: np.ndarray, rounds: int = 60) -> tuple[np.ndar
     return post, rates, prior
 
 
-def features(codes: np.ndarray) -> np.ndarray:
-    kind, v, shape = unpack(codes)
-    cols = [np.ones(len(codes)), *(v == 1).T, *(v == -1).T, *(kind == k for k in range(len(KINDS))), shape & 1, shape >> 1]
-    return np.column_stack([np.asarray(x, float) for x in cols])
+def posteriors(spans: DataFrame) -> dict[int, float]:
+    """Probability of each pattern of votes, by EM over the corpus' counts; each kind has reliabilities of its own."""
+    rows = spans.select(F.explode("spans.code").alias("code")).groupBy("code").agg(F.count("*").alias("n")).collect()  # at most CODES
+    codes, n = (np.array([r[k] for r in sorted(rows)]) for k in ("code", "n"))
+    out: dict[int, float] = {}
+    if len(codes):
+        kind, v = unpack(codes)
+        for k in np.unique(kind):
+            own = kind == k
+            out |= dict(zip(codes[own].tolist(), expect(v[own], n[own].astype(float))[0].tolist(), strict=True))
+    return out
 
 
-def train(spans: DataFrame) -> np.ndarray:
-    """Probability of each code: EM over the corpus' counts, then a logistic classifier on its posteriors."""
-    rows = spans.select(F.explode("spans.code").alias("code")).groupBy("code").agg(F.count("*").alias("n")).collect()  # at most CODES
-    codes = np.array(sorted(r["code"] for r in rows), np.int64)
-    every = np.arange(CODES)
-    if not len(codes):
-        return np.zeros(CODES)
-    n = np.array([{r["code"]: r["n"] for r in rows}[k] for k in codes], float)
-    post, _, _ = expect(unpack(codes)[1], n)
-    x, w = features(codes), np.zeros(features(codes[:1]).shape[1])
-    weight = n / n.sum()
-    for _ in range(50):  # Newton steps with a ridge
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (weight * (p - post)) + 1e-3 * w
-        h = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-3 * np.eye(len(w))
-        w -= np.linalg.solve(h, g)
-    return 1 / (1 + np.exp(-np.clip(features(every) @ w, -30, 30)))
-
-
-def _accepted(every: DataFrame, accept: float) -> list[int]:
-    return np.flatnonzero(train(every) >= accept).tolist()
+def fit(rows: list[list[int]], target: np.ndarray, rounds: int = 300) -> np.ndarray:
+    """Weights of a logistic model over hashed traits, by gradient steps that shrink with what a weight has moved; targets are probabilities."""
+    size = np.array([len(r) for r in rows], np.int64)
+    flat, row = np.array([x for r in rows for x in r], np.int64), np.repeat(np.arange(len(rows)), size)
+    w, moved = np.zeros(BUCKETS), np.full(BUCKETS, 1e-6)
+    for _ in range(rounds if len(rows) else 0):
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[flat], minlength=len(rows)), -30, 30)))
+        g = np.bincount(flat, (p - target)[row], minlength=BUCKETS) / len(rows) + 1e-5 * w
+        moved += g * g
+        w -= 0.3 * g / np.sqrt(moved)
+    return w
+
+
+def train(spans: DataFrame, sample: int = SAMPLE) -> np.ndarray:
+    """The classifier's weights, from posteriors of at most about `sample` candidates of the whole corpus."""
+    known = posteriors(spans)
+    each = spans.select("doc_id", F.explode("spans").alias("s"))
+    share = min(1.0, sample / max(1, each.count()))
+    picked = each.where(F.pmod(F.xxhash64("doc_id", "s.start", "s.kind"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("s.code", "s.traits").collect()
+    picked = sorted((r["code"], r["traits"]) for r in picked)
+    return fit([t for _, t in picked], np.array([known[k] for k, _ in picked], float))
+
+
+def chosen(spans: list, w: np.ndarray, accept: float) -> list[tuple[int, int, int, bool]]:
+    """(kind, start, end, strict) in order: strict spans, and of the candidates that the classifier takes those that overlap no likelier one."""
+    out, wide = [], []
+    for kind, start, end, strict, _, seen in spans:
+        if strict:
+            out.append((kind, start, end, True))
+        else:
+            p = 1 / (1 + np.exp(-w[seen].sum()))
+            if p >= accept:
+                wide.append((-p, start, kind, end))
+    taken: list[tuple[int, int]] = []
+    for _, start, kind, end in sorted(wide):
+        at = bisect_left(taken, (start, end))
+        if (at == len(taken) or taken[at][0] >= end) and (not at or taken[at - 1][1] <= start):
+            insort(taken, (start, end))
+            out.append((kind, start, end, False))
+    return sorted(out)
 
 
 def spans_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
     """(doc_id, spans array<struct<kind,start,end,strict>>) ordered by kind and start: strict spans, and candidates that the classifier takes."""
     every = c.table(found(docs, id_col, text_col), "spans")
-    good = _accepted(every, accept)
-    taken = F.array(*map(F.lit, good)) if good else F.array().cast("array<int>")
-    kept = F.filter("spans", lambda x: x["strict"] | F.array_contains(taken, x["code"]))
-    return every.select("doc_id", F.array_sort(F.transform(kept, lambda x: F.struct(*(x[k].alias(k) for k in ("kind", "start", "end", "strict"))))).alias("spans"))
+    w = every.sparkSession.sparkContext.broadcast(train(every))
+    one = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("strict", pa.bool_())])
+
+    def run(batches):
+        for b in batches:
+            rows = [[dict(zip(one.names, x, strict=True)) for x in chosen([tuple(s.values()) for s in spans], w.value, accept)] for spans in b.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(rows, pa.list_(one))], names=["doc_id", "spans"])
+
+    return every.mapInArrow(run, "doc_id long, spans array<struct<kind:int,start:int,end:int,strict:boolean>>")
 
 
 def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -214,15 +293,17 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """The documents, all columns, with personal data masked: a first pass counts votes, a second rewrites texts where they are."""
-    good = set(_accepted(found(docs, id_col, text_col), accept))
+    """The documents, all columns, with personal data masked: a first pass trains on their votes, a second rewrites texts where spans are."""
+    with c.scratch():
+        weights = train(c.table(found(docs, id_col, text_col), "spans"))
+    w = docs.sparkSession.sparkContext.broadcast(weights)
     at = docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
             texts = []
             for text in b.column(at).to_pylist():
-                spans = [(s, e, k) for k, s, e, strict, code in candidates(text) if strict or code in good] if text else []
+                spans = [(s, e, k) for k, s, e, _ in chosen(candidates(text), w.value, accept)] if text else []
                 texts.append(mask(text, spans) if spans else text)
             yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field(i).type) if i == at else x for i, x in enumerate(b.columns)], schema=b.schema)
 
