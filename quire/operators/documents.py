@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions import text
+from quire.functions import identifiers, text
 from quire.operators.search import first_value
 
 
@@ -28,6 +28,28 @@ def ordered_urls(file_index: Column, url_index: Column, url: Column) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(file_index.alias("f"), url_index.alias("u"), url.alias("url")))), lambda x: x["url"])
 
 
+#: Identifiers of a hit, by label and field, in order (fixed values).
+HIT_IDS = (("doi", "doi"), ("pmid", "pmid"), ("pmcid", "pmcid"), ("arxiv", "arxiv_id"), ("dblp", "dblp_id"), ("doaj", "doaj_id"), ("jstor", "jstor_id"))
+
+
+def result_rows(hits: DataFrame) -> DataFrame:
+    """What a results page shows of hits (work_ident, title, release_year, access_url, access_type, size_bytes, and identifiers): titles never empty, identifiers with labels, size, year of capture, links by the work's own pages."""
+    have = [(label, c) for label, c in HIT_IDS if c in hits.columns]
+    size = F.col("size_bytes")
+    label = F.when(size >= 1000000, F.format_string("%.1f MB", size / 1000000.0)).when(size >= 1000, F.format_string("%d kB", F.floor(size / 1000))).otherwise("")
+    return hits.select(
+        "work_ident", F.coalesce("title", F.lit("(untitled)")).alias("title"), "release_year", F.array_compact(F.array(*(F.concat(F.lit(f"{n}:"), F.nullif(c, F.lit(""))) for n, c in have))).alias("ext_ids"),
+        F.regexp_extract(F.coalesce("access_url", F.lit("")), r"/web/(\d{4})", 1).alias("capture_year"), F.coalesce(identifiers.access_url(F.col("access_url"), F.col("work_ident")), F.lit("")).alias("access_url"), F.coalesce("access_type", F.lit("")).alias("access_type"), label.alias("access_size"),
+    )
+
+
+def full_texts_of(dois: DataFrame, releases: DataFrame) -> DataFrame:
+    """(doi, access_url) of the DOIs that have a full text among releases (doi, access_url); misses are dropped."""
+    clean = lambda df: df.withColumn("key", identifiers.lenient_doi(F.col("doi"))).where("key IS NOT NULL")
+    known = clean(releases.where("access_url IS NOT NULL")).groupBy("key").agg(F.min("access_url").alias("access_url"))
+    return clean(dois.select("doi")).join(known, "key").select("doi", "access_url")
+
+
 def release_documents(releases: DataFrame, containers: DataFrame, files: DataFrame) -> DataFrame:
     """releases (id, container_id, license_slug, pages, extids, extra, ...) with containers (container_id, name, extra)
     and files (release_id, file_index, url_index, url): one row a release, its urls in the order of its files."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import identifiers as ids, text
 from quire.operators.cluster import match_titles
-from quire.operators.relational import insert_ignore, new_rows
+from quire.operators.relational import delete_rows, insert_ignore, new_rows, replace_rows
 
 
 def current(idents: DataFrame, revisions: DataFrame) -> DataFrame:
@@ -56,6 +56,42 @@ def best_access(urls: DataFrame, order: str) -> DataFrame:
     return urls.groupBy("release_id").agg(F.max_by("url", F.struct(rank, F.col(order))).alias("access_url"))
 
 
+#: Fields by which entities are looked up besides their legacy identifier (fixed values).
+LOOKUP_FIELDS = {"file": ("sha1", "sha256", "md5"), "creator": ("orcid",), "container": ("issnl", "issne", "issnp", "issn")}
+
+
+def lookup(asked: DataFrame, table: DataFrame, kind: str) -> DataFrame:
+    """(id_type, id_value, id, status) of distinct look-ups (id_type, id_value) in a table with `id` (text) and the kind's fields.
+
+    Values are lower-cased but for `legacy_ident`, which names the id itself; of several entities the first by id counts. The
+    status is found, not-found, or unsupported.
+    """
+    fields = [f for f in LOOKUP_FIELDS[kind] if f in table.columns]
+    keys = table.select("id", F.explode(F.array(F.struct(F.lit("legacy_ident").alias("t"), F.col("id").alias("v")), *(F.struct(F.lit(f).alias("t"), F.lower(f).alias("v")) for f in fields))).alias("k"))
+    known = keys.where("k.v IS NOT NULL").groupBy(F.col("k.t").alias("id_type"), F.col("k.v").alias("key")).agg(F.min("id").alias("id"))
+    legacy = F.col("id_type") == "legacy_ident"
+    wanted = asked.select("id_type", "id_value", F.when(legacy, ids.short_to_uuid(F.col("id_value"))).otherwise(F.lower("id_value")).alias("key")).distinct()
+    status = F.when(~F.col("id_type").isin("legacy_ident", *fields), "unsupported").when(F.col("id").isNull(), "not-found").otherwise("found")
+    return wanted.join(known, ["id_type", "key"], "left").select("id_type", "id_value", "id", status.alias("status"))
+
+
+def children(parents: DataFrame, link: DataFrame, table: DataFrame, parent: str, child: str) -> DataFrame:
+    """Each parent's children (parent, child, ...), once however often they are linked; link has both keys."""
+    return parents.select(parent).distinct().join(link.select(parent, child).distinct(), parent).join(table, child)
+
+
+def bulk_create(table: DataFrame, rows: DataFrame, keys: list[str], valid) -> tuple[DataFrame, DataFrame]:
+    """The table with the valid rows whose key is free, and the outcome (keys, outcome) of every row given: created, exists or invalid."""
+    ok = rows.where(F.coalesce(valid, F.lit(False)))
+    marked = rows.select(*keys, F.coalesce(valid, F.lit(False)).alias("ok")).join(table.select(*keys).distinct().withColumn("known", F.lit(True)), keys, "left")
+    return insert_ignore(table, ok, keys), marked.select(*keys, F.when(~F.col("ok"), "invalid").when(F.col("known"), "exists").otherwise("created").alias("outcome"))
+
+
+def replace_with_children(parents: DataFrame, kids: DataFrame, new_parents: DataFrame, new_kids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Full replacement: parents that are given anew lose their old row and all their old children."""
+    return replace_rows(parents, new_parents, [key]), delete_rows(kids, new_parents, [key]).unionByName(new_kids.join(new_parents.select(key), key, "left_semi").select(*kids.columns))
+
+
 def titled(edges: DataFrame, key: str, titles: DataFrame) -> DataFrame:
     """edges with the title (key, title) of their target, NULL where it is unknown."""
     return edges.join(titles.select(key, "title"), key, "left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions import identifiers
+
 THRESHOLD = 15
 PAPERS = ("article-journal", "conference_paper", "article", "post", "report", "retraction")
 BLOCKED = ("book-series", "blog", "magazine", "trade", "test", "repository", "archive")
@@ -95,6 +97,23 @@ def rows(eligible: DataFrame, this_year: int) -> DataFrame:
     return eligible.where("status = 'success'").select(*(F.coalesce(filled.get(f, F.lit("")), F.lit("")).alias(f) for f in FIELDS))
 
 
+def dump(containers: DataFrame, spans_: DataFrame, ident: str, position: str) -> DataFrame:
+    """(position, info): each container with its status and counts as JSON, to be evaluated again later; what is no identifier has the status bad-ident."""
+    e = eligibility(containers, spans_)
+    bad = identifiers.short_to_uuid(F.col(ident)).isNull()
+    kept = [c for c in e.columns if c not in ("status", ident, position)]
+    return e.select(F.col(position).alias("position"), F.to_json(F.struct(F.col(ident).alias("ident"), F.when(bad, "bad-ident").otherwise(F.col("status")).alias("status"), *kept)).alias("info"))
+
+
+def replay(dumped: DataFrame, schema: str, spans_columns: list[str], this_year: int) -> DataFrame:
+    """Report rows, and status and position, of dumped containers (position, info) in their order; where a status is missing, the container is evaluated again."""
+    x = dumped.select("position", F.from_json("info", schema).alias("x")).select("position", "x.*")
+    given = x.withColumnRenamed("status", "__given")
+    e = eligibility(given.drop(*spans_columns), given.select("container_id", *spans_columns)).withColumn("status", F.coalesce(F.nullif("__given", F.lit("")), F.col("status")))
+    r = rows(e, this_year)
+    return e.select("position", "ident", "status", F.concat(F.lit("container_"), F.col("container_id").cast("string")).alias("title_id")).join(r, "title_id", "left").orderBy("position")
+
+
 def write_tsv(report: DataFrame, path: str) -> None:
     """Header and rows with CRLF line ends. The header is the first partition's first line."""
     lines = report.select(F.concat_ws("\t", *(F.translate(F.col(f), "\t\r\n", "   ") for f in FIELDS)).alias("value"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -72,6 +72,24 @@ def shown_total(total: Column, estimated: Column, shown: Column, offset: int, si
     return F.struct(F.when(short, shown).otherwise(total).alias("total"), (~short & estimated).alias("estimated"))
 
 
+def bm25(df: DataFrame, terms: list[str], fields: dict[str, float], k: float = 1.2, b: float = 0.75) -> DataFrame:
+    """df with `score`: the sum over fields and terms of weight * idf * saturated frequency, from statistics of all rows, counted in one pass.
+
+    Terms are compared with the fields' words (letters and digits, without regard to case).
+    """
+    same = lambda t: lambda v: v == t.lower()
+    words = {f: F.filter(F.split(F.lower(F.coalesce(f, F.lit(""))), r"[^\p{L}\p{Nd}]+"), lambda w: w != "") for f in fields}
+    x = df.select("*", *(F.size(w).alias(f"__n_{f}") for f, w in words.items()), *(F.size(F.filter(w, same(t))).alias(f"__tf_{f}_{i}") for f, w in words.items() for i, t in enumerate(terms)))
+    total = x.agg(F.count("*").alias("__rows"), *(F.avg(f"__n_{f}").alias(f"__avg_{f}") for f in fields), *(F.count_if(F.col(f"__tf_{f}_{i}") > 0).alias(f"__df_{f}_{i}") for f in fields for i in range(len(terms))))
+    x, score = x.join(F.broadcast(total)), F.lit(0.0)  # one row
+    for f, weight in fields.items():
+        for i in range(len(terms)):
+            tf, n = F.col(f"__tf_{f}_{i}"), F.col(f"__df_{f}_{i}")
+            idf = F.log(1 + (F.col("__rows") - n + 0.5) / (n + 0.5))
+            score = score + weight * idf * tf * (k + 1) / (tf + k * (1 - b + b * F.col(f"__n_{f}") / F.col(f"__avg_{f}")))
+    return x.select(*df.columns, score.alias("score"))
+
+
 def weighted_hits(term: str, fields: dict[str, int]) -> Column:
     """Occurrences of a term by field, weighted."""
     low = term.lower()

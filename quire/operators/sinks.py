@@ -53,6 +53,18 @@ def sharded(df: DataFrame, order: str, size: int, name: str = "shard") -> DataFr
     return parts.join(before, "__p").withColumn(name, F.floor((F.col("__b") + F.col("__r") - 1) / size)).drop("__p", "__r", "__b")
 
 
+def write_records(df: DataFrame, column: str, path: str, separator: str = "\x1e") -> None:
+    """Records that may have line breaks, with a separator behind each."""
+    df.select(F.col(column).alias("value")).where("value IS NOT NULL").write.option("lineSep", separator).text(path)
+
+
+def sitemap_works(documents: DataFrame, this_year: int) -> DataFrame:
+    """Works that sitemaps list: with an archived full text, not of another archive's own, and of large publishers only what is open or in the public domain (published 96 years ago or before); links with short timestamps are left out."""
+    open_ = (F.coalesce("publisher_type", F.lit("")) != "big5") | (F.col("release_year") <= this_year - 96) | F.array_contains(F.coalesce("tags", F.array().cast("array<string>")), "oa")
+    kept = documents.where((F.col("doc_type") == "work") & F.col("access_type").isin("ia_file", "wayback") & F.col("arxiv_id").isNull() & F.col("pmcid").isNull() & F.coalesce(open_, F.lit(False)))
+    return kept.where(~F.coalesce(F.col("access_url").rlike(r"web\.archive\.org/web/\d{12}/"), F.lit(False)))
+
+
 def write_sitemap(urls: DataFrame, path: str, base: str, size: int = 20000) -> None:
     """Files of at most `size` addresses, and an index of them."""
     shards = sharded(urls.select("url"), "url", size)

@@ -94,6 +94,25 @@ def crawl_skip(release_type: Column, extids: Column, full_texts: Column, blocked
     return first_reason([*cases, ("no-fulltext-urls", F.size(full_texts) == 0)])
 
 
+#: Parts of addresses whose files are no papers (fixed values).
+IGNORED = ("wiley.com/action/downloadSupplement",)
+
+
+def wanted_captures(captures: DataFrame, cursed: DataFrame, ignored: tuple[str, ...] = IGNORED) -> DataFrame:
+    """captures (sha1_b32, url, ...) with `skip`: cursed for listed digests (sha1_b32), ignored for parts of addresses, else NULL."""
+    marked = captures.join(F.broadcast(cursed.select("sha1_b32").distinct().withColumn("__cursed", F.lit(True))), "sha1_b32", "left")  # a short list, kept by hand
+    part = F.lit(False)
+    for p in ignored:
+        part = part | F.coalesce(F.contains("url", F.lit(p)), F.lit(False))
+    return marked.select(*captures.columns, F.when(F.col("__cursed"), "cursed").when(part, "ignored").alias("skip"))
+
+
+def capture_counts(urls: DataFrame, captures: DataFrame) -> DataFrame:
+    """(url, count) of captures for each distinct address asked for, zero included."""
+    n = captures.groupBy("url").agg(F.count("*").alias("count"))
+    return urls.select("url").distinct().join(n, "url", "left").select("url", F.coalesce("count", F.lit(0)).alias("count"))
+
+
 def is_html(mimetype: Column) -> Column:
     return F.coalesce(F.lower(mimetype).rlike("/html|/xhtml|application/xml|text/xml"), F.lit(False))
 

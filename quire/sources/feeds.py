@@ -20,6 +20,12 @@ def window(today: str, back: int = 1) -> tuple[str, str]:
     return str(t - timedelta(days=back)), str(t - timedelta(days=back - 1))
 
 
+def listed(files: DataFrame, name: str, begin: str, end: str, suffix: str = ".gz") -> DataFrame:
+    """Files (name, modified) of a listing that are of the suffix and changed in [begin, end)."""
+    t = F.col("modified")
+    return files.where(F.endswith(name, F.lit(suffix)) & (t >= F.lit(begin).cast("timestamp")) & (t < F.lit(end).cast("timestamp")))
+
+
 def daily(spark: SparkSession, template: str, begin: str, end: str, schema: str) -> DataFrame:
     """JSON lines of the days' files, `{day}` in the template; days without a file give nothing, and `day` says where a row is from."""
     wanted = days(begin, end)
