@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from .chroma import op9_chroma
 from .hamming import OP2_SQL, op2_hamming_topk
-from .jaccard_join import op8_jaccard_join
+from .jaccard_join import OP8_SQL, op8_jaccard_join
 from .language_id import op10_language_id
 from .ngram_lm import op4_ngram_lm
 from .packing import op5_packing
 from .pieces import op7_pieces
 from .pii import op3_pii
 from .quality import op1_quality
-from .suffix_dedup import op6_suffix_dedup
+from .suffix_dedup import OP6_SQL, op6_suffix_dedup
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_hamming_topk, op3_pii, op4_ngram_lm, op5_packing, op6_suffix_dedup, op7_pieces, op8_jaccard_join, op9_chroma, op10_language_id)}
-ORACLES: dict[str, str] = {"op2_hamming_topk": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_hamming_topk": OP2_SQL, "op6_suffix_dedup": OP6_SQL, "op8_jaccard_join": OP8_SQL}

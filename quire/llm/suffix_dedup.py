@@ -372,3 +372,15 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP6_SQL = r"""
+WITH b AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+w AS (SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT r, h, unnest(range(0, n - 199)) AS i FROM b WHERE n >= 200)),
+d AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1),
+x AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM w WHERE m IN (SELECT m FROM d)),
+g AS (SELECT r, i, sum(CASE WHEN p IS NULL OR i > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS g FROM x),
+s AS (SELECT r, min(i) AS a, max(i) + 200 AS z FROM g GROUP BY r, g),
+t AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM s),
+k AS (SELECT r, count(*) AS n_spans, sum(z - a)::BIGINT AS n_removed, max(z) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head FROM t JOIN b USING (r) GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256 FROM b LEFT JOIN k USING (r)"""
