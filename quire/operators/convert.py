@@ -18,7 +18,7 @@ RELEASE = (
     "id string, source string, title string, subtitle string, original_title string, release_type string, release_stage string, release_date date, release_year int, "
     "volume string, issue string, pages string, publisher string, language string, license_slug string, extids map<string,string>, "
     f"contribs array<{CONTRIB}>, abstracts array<struct<sha1:string,mimetype:string,language:string,content:string>>, refs array<struct<`index`:int,key:string,year:int,container_name:string,"
-    "locator:string,title:string,extra:map<string,string>>>, extra string, skip_reason string"
+    "locator:string,title:string,extra:map<string,string>>>, version string, extra string, skip_reason string"
 )
 #: Crossref types to release types (fixed values).
 CROSSREF_TYPES = {
@@ -130,9 +130,12 @@ def crossref(df: DataFrame) -> DataFrame:
     lang = text.language(F.col("language"))
     prefix = F.upper("DOI")
 
+    given = {f.name.lower(): f.name for f in df.schema["reference"].dataType.elementType}
+
     def ref(r, i):
-        extra = {"journal-title": "journal-title", "DOI": "DOI", "authors": "author", "issue": "issue", "volume": "volume", "page": "page", "unstructured": "unstructured", "series-title": "series-title", "volume-title": "volume-title"}
-        filled = F.map_filter(F.create_map(*[v for k, c in extra.items() for v in (F.lit(k), r[c])]), lambda _, v: F.coalesce(v, F.lit("")) != "")
+        extra = {k: r[given[c.lower()]] for k, c in REFERENCE_EXTRA.items() if c.lower() in given}
+        extra["authors"] = F.when(F.coalesce(r["author"], F.lit("")) != "", F.to_json(F.array(r["author"])))  # a list, of one
+        filled = F.map_filter(F.create_map(*[v for k, c in extra.items() for v in (F.lit(k), c)]), lambda _, v: F.coalesce(v, F.lit("")) != "")
         key = F.when(F.startswith(r["key"], prefix), F.substr(r["key"], F.length(prefix) + 1)).otherwise(r["key"])
         name = F.coalesce(F.nullif(r["volume-title"], F.lit("")), r["journal-title"])
         return F.struct(i.alias("index"), key.alias("key"), r["year"].try_cast("int").alias("year"), name.alias("container_name"), r["first-page"].alias("locator"), r["article-title"].alias("title"), filled.alias("extra"))
@@ -151,6 +154,11 @@ def crossref(df: DataFrame) -> DataFrame:
 
 
 #: Types of dates, the best first (fixed values).
+#: Fields of references that are kept under a name of their own (fixed values).
+REFERENCE_EXTRA = {
+    "journal-title": "journal-title", "DOI": "DOI", "editor": "editor", "edition": "edition", "authority": "authority", "version": "version", "genre": "genre", "url": "url", "event": "event", "issue": "issue", "volume": "volume", "date": "date",
+    "accessed_date": "accessed_date", "page": "page", "medium": "medium", "collection_title": "collection_title", "chapter_number": "chapter_number", "unstructured": "unstructured", "series-title": "series-title",
+}
 DATE_ORDER = ("Valid", "Available", "Accepted", "Submitted", "Copyrighted", "Created", "Updated")
 
 
@@ -161,6 +169,21 @@ def best_date(found: Column, today: str) -> Column:
     return F.coalesce(*(first(k + 1) for k in range(len(DATE_ORDER))), F.try_element_at(read, F.lit(1))["d"])
 
 
+def datacite_type(doi: Column, title: Column, kind: Column) -> Column:
+    """The type with what is known of some prefixes and titles."""
+    figshare = doi.rlike(r"^10\.6084/|^10\.25384")
+    part = figshare & F.contains(title, F.lit(" from ")) & ~F.coalesce(kind, F.lit("")).isin("stub", "graphic") & title.rlike("^(Figure|Table) ")
+    kind = F.when((title == "GBIF Occurrence Download") & F.startswith(doi, F.lit("10.15468/dl.")), "stub").otherwise(kind)
+    crystal = F.startswith(doi, F.lit("10.5517/"))
+    return F.when(part, "component").when(crystal, "entry").when(F.startswith(F.lower(title), F.lit("additional file")) & kind.isin("article", "article-journal"), "component").otherwise(kind)
+
+
+def datacite_version(doi: Column, version: Column) -> Column:
+    """The version, which some identifiers end with."""
+    own = F.when(doi.rlike(r"^10\.6084/|^10\.25384"), F.nullif(F.regexp_extract(doi, r"\.(v\d+)$", 1), F.lit("")))
+    return F.coalesce(own, version)
+
+
 def datacite(df: DataFrame, today: str) -> DataFrame:
     """Columns: the fields of `attributes`."""
     plain = F.filter("titles", lambda x: F.coalesce(x["titleType"], F.lit("")) == "")
@@ -173,15 +196,17 @@ def datacite(df: DataFrame, today: str) -> DataFrame:
     date = best_date(F.col("dates"), today)
     person = lambda role: lambda x, i: {"raw_name": F.coalesce(F.nullif(F.concat_ws(" ", x["givenName"], x["familyName"]), F.lit("")), x["name"]), "given_name": x["givenName"], "surname": x["familyName"], "role": role(x), "raw_affiliation": F.try_element_at(x["affiliation"], F.lit(1))["name"], "position": i}
     known = lambda c: F.filter(c, lambda x: ~F.coalesce(is_unknown(x["name"]), F.lit(False)))
-    people = F.concat(_contribs(known("creators"), person(lambda x: F.lit("author"))), _contribs(known("contributors"), person(lambda x: F.lower(x["contributorType"]))))
+    people = F.concat(_contribs(known("creators"), person(lambda x: F.lit("author"))), _contribs(known("contributors"), person(lambda x: F.lit("author"))))
+    publisher = F.trim("publisher")
+    nameless = is_unknown(publisher) | (publisher == "Unpublished")
     lang, doi = text.language(F.col("language")), F.lower(F.trim("doi"))
     body = F.try_element_at(F.filter("descriptions", lambda d: d["descriptionType"] == "Abstract"), F.lit(1))["description"]
     rights = F.filter(F.transform("rightsList", lambda r: text.licence_slug(r["rightsUri"])), lambda x: x.isNotNull())
     return releases(df, {
-        "id": ids.source_id("datacite", doi), "source": F.lit("datacite"), "title": text.clean_string(title), "subtitle": sub, "release_type": F.when(kind.isNull() & figshare, "stub").otherwise(kind), "release_stage": F.lit("published"),
-        "release_date": date["date"], "release_year": F.coalesce(date["year"], F.col("publicationYear")), "volume": F.col("container.volume"), "issue": F.col("container.issue"),
-        "pages": F.concat_ws("-", F.nullif("container.firstPage", F.lit("")), F.nullif("container.lastPage", F.lit(""))), "publisher": F.when(~is_unknown(F.col("publisher")), F.col("publisher")), "version": F.col("version"), "language": lang,
-        "license_slug": F.try_element_at(rights, F.lit(1)), "extids": _ids(doi=doi), "contribs": dedup_contribs(people), "abstracts": _abstract(text.clean_string(text.detag(body)), lang, "text/plain", strict=False),
+        "id": ids.source_id("datacite", doi), "source": F.lit("datacite"), "title": text.clean_string(title), "subtitle": sub, "release_type": datacite_type(doi, text.clean_string(title), F.when(kind.isNull() & figshare, "stub").otherwise(kind)), "release_stage": F.when(F.coalesce(nameless, F.lit(False)), F.lit(None).cast("string")).otherwise("published"),
+        "release_date": date["date"], "release_year": F.coalesce(date["year"], F.when(F.col("publicationYear").between(1000, F.year(F.lit(today).cast("date")) + 5), F.col("publicationYear"))), "volume": F.col("container.volume"), "issue": F.col("container.issue"),
+        "pages": F.concat_ws("-", F.nullif("container.firstPage", F.lit("")), F.nullif("container.lastPage", F.lit(""))), "publisher": F.when(~nameless & (F.octet_length(publisher) <= 80), text.clean_string(publisher)), "version": datacite_version(doi, F.when(~is_unknown(F.col("version")), F.col("version"))), "language": lang,
+        "license_slug": F.try_element_at(rights, F.lit(-1)), "extids": _ids(doi=doi), "contribs": dedup_contribs(people), "abstracts": _abstract(text.clean_string(text.detag(body)), lang, "text/plain", strict=False),
         "skip_reason": first_reason([("no-doi", F.coalesce(doi, F.lit("")) == ""), ("non-ascii-doi", ~text.is_ascii(doi)), ("no-title", F.coalesce(F.trim(title), F.lit("")) == ""), ("spam-title", is_spam(title))]),
     })
 

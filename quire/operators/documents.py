@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,43 @@ def result_rows(hits: DataFrame) -> DataFrame:
     )
 
 
+def release_stage(prefix: Column, stage: Column, kind: Column, container: Column, title: Column) -> Column:
+    """A missing stage, from what is known of some DOI prefixes (fixed values)."""
+    none, name = F.coalesce(stage, F.lit("")) == "", F.coalesce(container, F.lit(""))
+    has = lambda *words: reduce(lambda a, b: a | b, (F.contains(name, F.lit(w)) for w in words))
+    paper = F.coalesce(kind, F.lit("")) == "paper-conference"
+    published = (prefix == "10.1109") & (has("IEEE", "Conference", "Proceedings") | paper) | (prefix == "10.1145") & has("ACM", "Conference", "Proceedings") | prefix.isin("10.1145", "10.1109", "10.1117", "10.1063", "10.1142") & paper | (prefix == "10.17504")
+    judged = (prefix == "10.3510") & F.startswith(title, F.lit("Faculty of 1000 evaluation for"))
+    return F.when(F.coalesce(judged, F.lit(False)), "published").when(none & (prefix == "10.1101"), "submitted").when(none & F.coalesce(published, F.lit(False)), "published").otherwise(F.nullif(stage, F.lit("")))
+
+
+def contributor_names(contribs: DataFrame, creators: DataFrame) -> DataFrame:
+    """(release_id, names, n_positioned): of contribs (release_id, position, creator_id, raw_name, given_name, surname) the names in order, those of known creators (creator_id, name) as they name themselves."""
+    known = creators.select("creator_id", F.col("name").alias("__name"))
+    name = text.display_name(F.col("creator_id"), F.col("__name"), F.col("raw_name"), F.col("given_name"), F.col("surname"))
+    rows = contribs.join(known, "creator_id", "left").select("release_id", "position", F.coalesce(name, F.lit("")).alias("name"))
+    return rows.groupBy("release_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "name"))), lambda x: x["name"]).alias("names"), F.count_if(F.col("position") > 0).alias("n_positioned"))
+
+
+def container_documents(containers: DataFrame) -> DataFrame:
+    """Containers (container_id, name, publisher, container_type, issnl, issne, issnp) as search documents."""
+    issns = F.array_compact(F.array(*(F.nullif(c, F.lit("")) for c in ("issnl", "issne", "issnp"))))
+    return containers.select("container_id", F.lit("active").alias("state"), "name", "publisher", F.col("container_type").alias("type"), "issnl", "issne", "issnp", issns.alias("issns"))
+
+
+def file_documents(files: DataFrame, urls: DataFrame, release_file: DataFrame) -> DataFrame:
+    """Files (file_id, sha1, mimetype, size) with their urls (file_id, url_index, url, rel) and releases: hosts, domains, kinds, the best address (the last archived one, else the first), whether the archive has them."""
+    host = identifiers.url_host(F.col("url"))
+    u = urls.select("file_id", "url_index", "url", "rel", host.alias("host"), identifiers.registered_domain(host).alias("domain"))
+    of = u.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("url_index", "url", "rel", "host", "domain"))).alias("u"))
+    n = release_file.groupBy("file_id").agg(F.count_distinct("release_id").alias("release_count"))
+    pick = lambda k: F.transform(F.filter("u", lambda x: F.coalesce(x[k], F.lit("")) != ""), lambda x: x[k])
+    archived = F.filter("u", lambda x: F.contains(x["domain"], F.lit("archive.org")))
+    best = F.coalesce(F.try_element_at(archived, F.lit(-1))["url"], F.try_element_at(F.col("u"), F.lit(1))["url"])
+    d = files.join(of, "file_id", "left").join(n, "file_id", "left").withColumn("u", F.coalesce("u", F.array().cast("array<struct<url_index:int,url:string,rel:string,host:string,domain:string>>")))
+    return d.select("file_id", "sha1", "mimetype", "size", F.coalesce("release_count", F.lit(0)).alias("release_count"), pick("host").alias("hosts"), pick("domain").alias("domains"), pick("rel").alias("rels"), best.alias("best_url"), (F.size(archived) > 0).alias("in_ia"), F.array_contains(pick("host"), "archive.org").alias("in_ia_petabox"))
+
+
 def full_texts_of(dois: DataFrame, releases: DataFrame) -> DataFrame:
     """(doi, access_url) of the DOIs that have a full text among releases (doi, access_url); misses are dropped."""
     clean = lambda df: df.withColumn("key", identifiers.lenient_doi(F.col("doi"))).where("key IS NOT NULL")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions import identifiers as ids
-from quire.operators import documents, entities, holdings, search, sinks, webarchive
+from quire.operators import convert, documents, entities, holdings, search, sinks, webarchive
 from quire.plans.catalog import query, rd, release
 from quire.plans.upstream import TEXT, place
 from quire.sources import feeds, readers
@@ -110,6 +110,53 @@ def separated_records(spark, sf):
     return readers.json_lines(spark, path, "doc_id long, text string", "\x1e").select("doc_id", "text")
 
 
+@query("""WITH c AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 3 = 0 THEN p_name WHEN l_partkey % 3 = 1 THEN 'Raw ' || l_linenumber ELSE 'G' || l_partkey || ' S' END AS name FROM lineitem JOIN part ON p_partkey = l_partkey)
+SELECT l_orderkey AS release_id, string_agg(name, '; ' ORDER BY l_linenumber, name) AS names, count(*) FILTER (l_linenumber > 1) AS n_positioned FROM c GROUP BY 1""")
+def contributors_in_order(spark, sf):
+    k = F.col("l_partkey") % 3
+    c = rd(spark, sf, "lineitem").select(F.col("l_orderkey").alias("release_id"), (F.col("l_linenumber") - 1).alias("position"), F.when(k == 0, F.col("l_partkey")).alias("creator_id"), F.when(k == 1, TEXT("Raw ", F.col("l_linenumber").cast("string"))).alias("raw_name"), TEXT("G", F.col("l_partkey").cast("string")).alias("given_name"), F.lit("S").alias("surname"))
+    names = documents.contributor_names(c, rd(spark, sf, "part").select(F.col("p_partkey").alias("creator_id"), F.col("p_name").alias("name")))
+    return names.withColumn("names", F.array_join("names", "; "))
+
+
+@query("""SELECT l_orderkey AS file_id, count(*) AS n_hosts, coalesce('https://web.archive.org/web/1/' || arg_max(l_partkey, i) FILTER (l_returnflag = 'R'), CASE WHEN arg_min(l_returnflag, i) = 'A' THEN 'https://archive.example.co.uk/' ELSE 'https://x.example.org:8080/' END || arg_min(l_partkey, i)) AS best_url,
+  bool_or(l_returnflag = 'R') AS in_ia, string_agg(CASE l_returnflag WHEN 'R' THEN 'archive.org' WHEN 'A' THEN 'example.co.uk' ELSE 'example.org' END, ' ' ORDER BY i) AS domains, 0 AS release_count
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS i FROM lineitem) GROUP BY 1""")
+def file_documents(spark, sf):
+    from pyspark.sql import Window
+
+    at = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    host = F.when(F.col("l_returnflag") == "R", "https://web.archive.org/web/1/").when(F.col("l_returnflag") == "A", "https://archive.example.co.uk/").otherwise("https://x.example.org:8080/")
+    urls = rd(spark, sf, "lineitem").select(F.col("l_orderkey").alias("file_id"), at.alias("url_index"), F.concat(host, F.col("l_partkey").cast("string")).alias("url"), F.lit("web").alias("rel"))
+    files = urls.select("file_id").distinct().select("file_id", F.lit("s").alias("sha1"), F.lit("application/pdf").alias("mimetype"), F.lit(1).alias("size"))
+    none = urls.limit(0).select("file_id", F.col("file_id").alias("release_id"))
+    return documents.file_documents(files, urls, none).select("file_id", F.size("hosts").alias("n_hosts"), "best_url", "in_ia", F.array_join("domains", " ").alias("domains"), "release_count")
+
+
+@query("SELECT n_nationkey AS container_id, 'active' AS state, n_name AS name, trim(CASE WHEN n_nationkey % 2 = 0 THEN 'L' || n_nationkey ELSE '' END || ' E' || n_nationkey) AS issns FROM nation")
+def container_documents(spark, sf):
+    n = F.col("n_nationkey").cast("string")
+    c = rd(spark, sf, "nation").select(F.col("n_nationkey").alias("container_id"), F.col("n_name").alias("name"), F.lit("P").alias("publisher"), F.lit("journal").alias("container_type"), F.when(F.col("n_nationkey") % 2 == 0, TEXT("L", n)).otherwise("").alias("issnl"), TEXT("E", n).alias("issne"), F.lit(None).cast("string").alias("issnp"))
+    return documents.container_documents(c).select("container_id", "state", "name", F.array_join("issns", " ").alias("issns"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'published' WHEN 1 THEN 'published' WHEN 2 THEN 'published' WHEN 3 THEN 'submitted' WHEN 4 THEN 'draft' WHEN 5 THEN 'published' WHEN 6 THEN 'published' END AS stage FROM orders""")
+def stages_by_prefix(spark, sf):
+    k, at = F.col("o_orderkey") % 8, lambda *v: F.element_at(F.array(*(F.lit(x).cast("string") for x in v)), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    prefix, stage = at("10.1109", "10.1145", "10.1063", "10.1101", "10.1109", "10.17504", "10.3510", "10.1117"), F.when(k == 4, "draft").when(k == 6, "submitted")
+    kind, name = at("article", "article", "paper-conference", "post", "paper-conference", "article", "article", "article"), at("IEEE Access", "Proceedings of X", "X", "X", "X", None, "X", "Proceedings")
+    return rd(spark, sf, "orders").select("o_orderkey", documents.release_stage(prefix, stage, kind, name, F.lit("Faculty of 1000 evaluation for x")).alias("stage"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'stub' WHEN 1 THEN 'entry' WHEN 2 THEN 'component' WHEN 3 THEN 'component' WHEN 4 THEN 'dataset' ELSE 'article' END AS kind, CASE o_orderkey % 6 WHEN 3 THEN 'v2' ELSE '7' END AS version FROM orders""")
+def types_by_prefix(spark, sf):
+    at = lambda *v: F.element_at(F.array(*map(F.lit, v)), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    doi = at("10.15468/dl.x", "10.5517/x", "10.9/x", "10.6084/m9.figshare.1.v2", "10.6084/x.vx", "10.9/y")
+    title = at("GBIF Occurrence Download", "x", "Additional file 1", "Table 1 from x", "About x from y", "x")
+    kind = at("dataset", "dataset", "article", "dataset", "dataset", "article")
+    return rd(spark, sf, "orders").select("o_orderkey", convert.datacite_type(doi, title, kind).alias("kind"), convert.datacite_version(doi, F.lit("7")).alias("version"))
+
+
 @query("SELECT '10.5/' || o_orderkey AS doi, 'u' || o_orderkey AS access_url FROM orders WHERE o_orderkey % 6 = 0")
 def doi_full_texts(spark, sf):
     n = F.col("o_orderkey").cast("string")
