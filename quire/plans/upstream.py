@@ -161,6 +161,37 @@ def oai_xml_records(spark, sf):
     return r.select("id", "title", "release_date", "release_year", F.try_element_at("extids", F.lit("doi")).alias("doi"), "skip_reason", F.try_element_at("contribs", F.lit(1))["surname"].alias("surname"))
 
 
+@query("""SELECT 'arxiv-' || sha1('2001.0' || page_id || 'v1') AS id, 'On ' || page_id AS title, DATE '2020-02-03' AS release_date, CASE WHEN page_id % 3 = 0 THEN 'accepted' ELSE 'submitted' END AS release_stage, 2 AS n_contribs, 'Ada Li Jr' AS first_name, CASE WHEN page_id % 2 = 0 THEN '10.5555/a' || page_id END AS doi FROM pages""")
+def arxiv_xml_records(spark, sf):
+    n, k = F.col("page_id").cast("string"), F.col("page_id")
+    people = "<authors><author><keyname>Li</keyname><forenames>Ada</forenames><suffix>Jr</suffix></author><author><keyname>Oz</keyname></author></authors>"
+    body = TEXT("<arXiv xmlns='a'><id>2001.0", n, "</id><created>2020-02-03</created>", people, "<title>On\n", n, "</title>", F.when(k % 3 == 0, "<journal-ref>J. 1</journal-ref>").otherwise(""), F.when(k % 2 == 0, TEXT("<doi>10.5555/A", n, "</doi>")).otherwise(""), "</arXiv>")
+    path = place(spark, "arxiv-xml")
+    rd(spark, sf, "pages").select(TEXT("<record><header><identifier>oai:", n, "</identifier></header><metadata>", body, "</metadata></record>").alias("value")).write.text(path)
+    r = convert.arxiv(readers.arxiv_records(spark, path))
+    return r.select("id", "title", "release_date", "release_stage", F.size("contribs").alias("n_contribs"), F.try_element_at("contribs", F.lit(1))["raw_name"].alias("first_name"), F.try_element_at("extids", F.lit("doi")).alias("doi"))
+
+
+@query("""SELECT 'doaj-d' || page_id AS id, 'On ' || page_id AS title, CAST(2000 + page_id % 20 AS INT) AS release_year, '1-' || page_id AS pages, 1 AS n_contribs, CASE WHEN page_id % 4 = 0 THEN 'deleted' END AS skip_reason FROM pages""")
+def doaj_xml_records(spark, sf):
+    n, k = F.col("page_id").cast("string"), F.col("page_id")
+    body = TEXT("<doajArticle xmlns='a'><publicationDate>", (2000 + k % 20).cast("string"), "</publicationDate><startPage>1</startPage><endPage>", n, "</endPage><title language='eng'>On ", n, "</title><authors><author><name>Ada Li</name></author></authors></doajArticle>")
+    path = place(spark, "doaj-xml")
+    rd(spark, sf, "pages").select(TEXT("<record><header", F.when(k % 4 == 0, " status='deleted'").otherwise(""), "><identifier>oai:doaj.org/article:d", n, "</identifier></header><metadata>", body, "</metadata></record>").alias("value")).write.text(path)
+    return convert.doaj(readers.doaj_records(spark, path)).select("id", "title", "release_year", "pages", F.size("contribs").alias("n_contribs"), "skip_reason")
+
+
+@query("""SELECT url AS target_uri, CASE WHEN page_id % 3 = 0 THEN 404 ELSE 200 END AS status, sha1(html) AS sha1, CAST(octet_length(encode(html)) AS BIGINT) AS size, false AS truncated FROM pages WHERE page_id % 5 <> 0 AND html IS NOT NULL""")
+def archived_responses(spark, sf):
+    """Pages as records of archive files, some of another kind, read by one task a file."""
+    crlf = "\r\n"
+    http = TEXT(F.when(F.col("page_id") % 3 == 0, "HTTP/1.1 404 Not Found").otherwise("HTTP/1.1 200 OK"), crlf, "Content-Type: text/html", crlf, crlf, F.col("html"))
+    record = TEXT("WARC/1.0", crlf, "WARC-Type: ", F.when(F.col("page_id") % 5 == 0, "request").otherwise("response"), crlf, "WARC-Target-URI: ", F.col("url"), crlf, "Content-Length: ", F.octet_length(http).cast("string"), crlf, crlf, http, crlf, crlf)
+    path = place(spark, "warc")
+    rd(spark, sf, "pages").where("html IS NOT NULL").select(record.alias("value")).repartition(3).write.option("lineSep", crlf).option("compression", "gzip").text(path)
+    return readers.warc_responses(spark, path).select("target_uri", "status", "sha1", F.octet_length("payload").cast("long").alias("size"), "truncated")
+
+
 @query("""SELECT page_id, url, 100 + page_id AS size, CASE WHEN page_id % 4 = 0 THEN '226' ELSE '200' END AS status FROM pages WHERE page_id % 7 <> 0 AND page_id % 3 <> 0""")
 def capture_index(spark, sf):
     """Capture index lines, some bad, some without an archive file: those of usable captures."""

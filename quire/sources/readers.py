@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Columns of a capture index line and their places (fixed values).
 CDX = ("surt", "ts", "url", "mimetype", "status", "sha1_b32", "redirect", "meta", "size", "offset", "warc_path")
@@ -44,6 +46,34 @@ def oai_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+ARXIV_SCHEMA = """header struct<_status:string,identifier:string,datestamp:string>, metadata struct<arXiv:struct<id:string,created:string,updated:string,title:string,categories:string,comments:string,`journal-ref`:string,`report-no`:string,doi:string,license:string,abstract:string,
+ authors:struct<author:array<struct<keyname:string,forenames:string,suffix:string,affiliation:array<string>>>>>>"""
+
+
+def arxiv_records(spark: SparkSession, path: str) -> DataFrame:
+    """Harvested arXiv metadata, flat."""
+    x, m = xml_records(spark, path, "record", ARXIV_SCHEMA), "metadata.arXiv"
+    people = F.transform(F.col(f"{m}.authors.author"), lambda a: F.struct(a["forenames"].alias("forename"), a["keyname"].alias("keyname"), a["suffix"].alias("suffix"), F.try_element_at(a["affiliation"], F.lit(1)).alias("affiliation")))
+    return x.select(
+        F.col("header.identifier").alias("identifier"), F.col("header._status").alias("status"), *(F.col(f"{m}.{f}").alias(f) for f in ("id", "title", "abstract", "doi", "created", "updated", "license")),
+        F.col(f"{m}.journal-ref").alias("journal_ref"), F.col(f"{m}.report-no").alias("report_no"), people.alias("authors"),
+    )
+
+
+DOAJ_SCHEMA = """header struct<_status:string,identifier:string,datestamp:string>, metadata struct<doajArticle:struct<language:string,publisher:string,journalTitle:string,issn:string,eissn:string,publicationDate:string,volume:string,issue:string,startPage:string,endPage:string,doi:string,title:string,abstract:string,fullTextUrl:string,
+ authors:struct<author:array<struct<name:string,orcid_id:string>>>>>"""
+
+
+def doaj_records(spark: SparkSession, path: str) -> DataFrame:
+    """Harvested journal articles, flat; the id is the last part of the record's identifier."""
+    x, m = xml_records(spark, path, "record", DOAJ_SCHEMA), "metadata.doajArticle"
+    people = F.transform(F.col(f"{m}.authors.author"), lambda a: F.struct(a["name"].alias("name"), F.lit(None).cast("string").alias("affiliation"), a["orcid_id"].alias("orcid_id")))
+    return x.select(
+        F.regexp_extract("header.identifier", r"([^:/]+)$", 1).alias("id"), F.col("header._status").alias("status"), *(F.col(f"{m}.{f}").alias(n) for f, n in (("title", "title"), ("publisher", "publisher"), ("publicationDate", "publication_date"), ("doi", "doi"), ("language", "language"), ("abstract", "abstract"), ("volume", "volume"), ("issue", "issue"), ("startPage", "start_page"), ("endPage", "end_page"))),
+        people.alias("authors"), F.lit(None).cast("string").alias("license_ref"),
+    )
+
+
 def pubmed_records(spark: SparkSession, path: str, article: str, deletion: str) -> DataFrame:
     """Articles and deletions of the same files, told apart by `type`."""
     a = xml_records(spark, path, "PubmedArticle", article).withColumn("type", F.lit("article"))
@@ -110,55 +140,84 @@ def decompressed(spark: SparkSession, path: str) -> DataFrame:
 WARC = "warc string, target_uri string, ts string, record_type string, status int, content_type string, payload binary, truncated boolean, sha1 string"
 
 
-def warc_responses(spark: SparkSession, path: str, largest: int = 500 << 20) -> DataFrame:
-    """HTTP responses of WARC files, one task a file; a record that ends early or exceeds `largest` is marked truncated."""
+def _warc_parts(stream, largest: int) -> Iterator[tuple[dict, bytes, bool]]:
+    """Head, body and whether it was cut, of each record of an open WARC."""
+    while True:
+        line = stream.readline()
+        while line in (b"\r\n", b"\n"):
+            line = stream.readline()
+        if not line.startswith(b"WARC/"):
+            return
+        head = {}
+        while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
+            k, _, v = line.decode("utf-8", "replace").partition(":")
+            head[k.strip().lower()] = v.strip()
+        try:
+            size = int(head.get("content-length", 0))
+        except ValueError:
+            return
+        body = stream.read(min(size, largest))
+        left = size - len(body)
+        yield head, body, left > 0 or head.get("warc-truncated") is not None
+        while left > 0 and (skipped := stream.read(min(left, 1 << 20))):
+            left -= len(skipped)
+
+
+def response(head: dict, body: bytes, cut: bool) -> Iterator[tuple]:
+    """The row of an HTTP response, none of other records: the usual processor."""
+    import hashlib
+
+    if head.get("warc-type") == "response":
+        http, _, payload = body.partition(b"\r\n\r\n")
+        first, *fields = http.decode("latin-1").split("\r\n")
+        kind = next((f.partition(":")[2].strip() for f in fields if f.lower().startswith("content-type:")), None)
+        code = first.split(" ")[1] if first.startswith("HTTP/") and len(first.split(" ")) > 1 else ""
+        yield (head.get("warc-target-uri"), head.get("warc-date"), "response", int(code) if code.isdigit() else None, kind, payload, cut, hashlib.sha1(payload).hexdigest())
+
+
+def warc_records(spark: SparkSession, path: str, process: Callable[[dict, bytes, bool], Iterable[tuple]], schema: str, keep: Callable[[dict], bool] = lambda head: True, largest: int = 500 << 20, block: int = 64) -> DataFrame:
+    """The rows that `process(head, body, cut)` makes of each record that `keep(head)` takes, with the file's name first; one task a file.
+
+    A record that ends early or is larger than `largest` is cut, and one that makes `process` fail gives nothing.
+    """
+    names = [f.name for f in StructType.fromDDL(schema).fields]
+    types = to_arrow_schema(StructType.fromDDL(schema))
 
-    def parse(name: str, content: bytes):
+    def run(batches: Iterator):
         import gzip
-        import hashlib
         import io
 
-        stream = gzip.open(io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
-        while True:
-            line = stream.readline()
-            while line in (b"\r\n", b"\n"):
-                line = stream.readline()
-            if not line.startswith(b"WARC/"):
-                return
-            head = {}
-            while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
-                k, _, v = line.decode("utf-8", "replace").partition(":")
-                head[k.strip().lower()] = v.strip()
-            try:
-                size = int(head.get("content-length", 0))
-            except ValueError:
-                return
-            body = stream.read(min(size, largest))
-            cut = len(body) < size
-            left = size - len(body)
-            while left > 0 and (skipped := stream.read(min(left, 1 << 20))):
-                left -= len(skipped)
-            if head.get("warc-type") != "response":
-                continue
-            http, _, payload = body.partition(b"\r\n\r\n")
-            first, *fields = http.decode("latin-1").split("\r\n")
-            kind = next((f.partition(":")[2].strip() for f in fields if f.lower().startswith("content-type:")), None)
-            code = first.split(" ")[1] if first.startswith("HTTP/") and len(first.split(" ")) > 1 else ""
-            cut = cut or head.get("warc-truncated") is not None
-            yield (name, head.get("warc-target-uri"), head.get("warc-date"), "response", int(code) if code.isdigit() else None, kind, payload, cut, hashlib.sha1(payload).hexdigest())
-
-    def run(batches: Iterator):
         import pyarrow as pa
 
-        names = [f.split()[0] for f in WARC.split(", ")]
-        types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.binary(), pa.bool_(), pa.string()]
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types.field(i).type) for i in range(len(names))], names=names)
+
         for b in batches:
             for name, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
-                for row in parse(name, content):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=names)
+                stream = gzip.open(io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+                rows, size = [], 0
+                for head, body, cut in _warc_parts(stream, largest):
+                    if not keep(head):
+                        continue
+                    try:
+                        made = [(name, *r) for r in process(head, body, cut)]
+                    except (ValueError, KeyError, IndexError, TypeError):
+                        continue
+                    rows += made
+                    size += len(body) * len(made)
+                    if len(rows) >= block or size > 8 << 20:
+                        yield batch(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch(rows)
 
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
-    return files.mapInArrow(run, WARC)
+    return files.mapInArrow(run, schema)
+
+
+def warc_responses(spark: SparkSession, path: str, largest: int = 500 << 20) -> DataFrame:
+    """HTTP responses of WARC files; a record that ends early or exceeds `largest` is marked truncated."""
+    return warc_records(spark, path, response, WARC, largest=largest)
 
 
 def pdf_responses(df: DataFrame) -> DataFrame:

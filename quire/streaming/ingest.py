@@ -9,28 +9,23 @@ from pyspark.sql import functions as F
 
 
 def records(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
-    """New JSON-line files of a folder as a stream; a line that is still being written is in the next file, so none is lost."""
+    """New JSON-line files of a folder as a stream. Files are read once, whole: they must be moved in when they are complete."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
 def ingest(stream: DataFrame, table: str, checkpoint: str, keys: list[str], transform: Callable[[DataFrame], DataFrame] = lambda d: d):
-    """Appends the rows whose key the table does not hold yet, and ends when all files are read.
+    """Appends the rows whose key has not come before, and ends when all files are read.
 
-    A batch's number names its part of the table, and is overwritten if the batch runs again, so a restart adds nothing twice.
+    Keys that came are the stream's state, in RocksDB under the checkpoint, so a batch looks up its own keys only and the
+    table is not read.  A batch's number names its part of the table, and is overwritten if the batch runs again, so a
+    restart adds nothing twice.
     """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
     def one(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = transform(batch).dropDuplicates(keys)
-        try:
-            known = spark.read.option("recursiveFileLookup", "false").parquet(table).where(F.col("batch") != number).select(*keys)
-            rows = rows.join(known, keys, "left_anti")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
-
-    return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    return transform(stream).dropDuplicates(keys).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def counts_by_window(events: DataFrame, ts: str, width: str, keys: list[str], late: str = "1 hour") -> DataFrame:

@@ -61,6 +61,21 @@ def test_warc(spark, tmp_path):
     assert rows.count() == 2 and readers.pdf_responses(rows).select("payload").first()["payload"] == b"%PDF" and rows.where("truncated").count() == 1
 
 
+def test_warc_plug_ins(spark, tmp_path):
+    """A filter on heads, and a processor that gives several rows a record and fails for some."""
+    body = lambda k: b"WARC/1.0\r\nWARC-Type: resource\r\nX-Number: %d\r\nContent-Length: 4\r\n\r\na,%d\n\r\n\r\n" % (k, k)
+    (tmp_path / "a.warc").write_bytes(b"".join(map(body, range(6))))
+
+    def parts(head, content, cut):
+        if head["x-number"] == "3":
+            raise ValueError("no")
+        for x in content.decode().strip().split(","):
+            yield (x, int(head["x-number"]))
+
+    rows = readers.warc_records(spark, str(tmp_path), parts, "warc string, part string, k int", keep=lambda h: h["x-number"] != "5", block=3)
+    assert sorted((r["part"], r["k"]) for r in rows.collect()) == sorted([(p, k) for k in (0, 1, 2, 4) for p in ("a", str(k))])
+
+
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/1.json").write_text('{"k": 1}\n{"k": 2}\n')
