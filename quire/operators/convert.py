@@ -316,7 +316,26 @@ def dblp(df: DataFrame) -> DataFrame:
     })
 
 
-CONVERTERS = {"crossref": crossref, "datacite": datacite, "arxiv": arxiv, "doaj": doaj, "pubmed": pubmed, "oai": oai, "openalex": openalex, "dblp": dblp}
+def tei(df: DataFrame) -> DataFrame:
+    """Flat headers of extracted papers: file, title, language, publisher, date, volume, issue, pages, doi, pmid, pmcid, arxiv, authors(full_name, given_name, surname, institution, department), abstract."""
+    raw = F.coalesce("date", F.lit(""))
+    date = F.when(F.length(raw) == 10, F.to_date(F.try_to_timestamp(raw, F.lit("yyyy-MM-dd"))))
+    year = F.when((F.length(raw) > 4) & (F.length(raw) != 10), F.nullif(F.regexp_extract(raw, "^([0-9]{4})-", 1), F.lit(""))).cast("int")
+    lang, body = text.language(F.col("language")), text.clean_string(text.detag(F.col("abstract")))
+    person = lambda x, i: {"raw_name": x["full_name"], "given_name": x["given_name"], "surname": x["surname"], "role": F.lit("author"), "raw_affiliation": F.concat_ws(" ", F.coalesce(x["institution"], F.lit("")), F.nullif(x["department"], F.lit(""))), "position": i}
+    return releases(df, {
+        "id": ids.source_id("tei", F.col("file")), "source": F.lit("tei"), "title": F.col("title"), "release_type": F.lit("article-journal"), "release_stage": F.when(F.coalesce("arxiv", F.lit("")) != "", "submitted").otherwise("published"), "release_date": date, "release_year": year,
+        "volume": F.col("volume"), "issue": F.col("issue"), "pages": F.col("pages"), "publisher": F.col("publisher"), "language": lang, "extids": _ids(doi=F.col("doi"), pmid=F.col("pmid"), pmcid=F.col("pmcid"), arxiv=F.col("arxiv")), "contribs": _contribs(F.col("authors"), person),
+        "abstracts": _abstract(body, lang, "application/xml+jats", strict=True),
+    })
+
+
+def tei_ids(df: DataFrame) -> DataFrame:
+    """(file, id_type, id_value): the identifiers that a header gives."""
+    return df.select("file", "doi", "pmid", "pmcid", "arxiv").unpivot("file", ["doi", "pmid", "pmcid", "arxiv"], "id_type", "id_value").where("id_value IS NOT NULL AND id_value <> ''")
+
+
+CONVERTERS = {"tei": tei, "crossref": crossref, "datacite": datacite, "arxiv": arxiv, "doaj": doaj, "pubmed": pubmed, "oai": oai, "openalex": openalex, "dblp": dblp}
 
 
 def convert(df: DataFrame, source: str, **options) -> DataFrame:

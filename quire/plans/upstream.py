@@ -172,6 +172,24 @@ def arxiv_xml_records(spark, sf):
     return r.select("id", "title", "release_date", "release_stage", F.size("contribs").alias("n_contribs"), F.try_element_at("contribs", F.lit(1))["raw_name"].alias("first_name"), F.try_element_at("extids", F.lit("doi")).alias("doi"))
 
 
+@query("""SELECT 'Paper ' || page_id AS title, 'article-journal' AS release_type, CASE WHEN page_id % 3 = 0 THEN 'submitted' ELSE 'published' END AS release_stage, CASE WHEN page_id % 2 = 0 THEN DATE '2019-04-05' END AS release_date, CASE WHEN page_id % 2 <> 0 THEN 2018 END AS release_year, '3' AS volume, '1-' || page_id AS pages, 'en' AS language,
+  CASE WHEN page_id % 3 = 0 THEN 'arxiv=2001.' || page_id || ' ' ELSE '' END || 'doi=10.5/t' || page_id AS ids, 'Ada B. Li' AS first_name, 'Uni Dept' AS affiliation, 2 AS n_contribs, 1 AS n_abstracts FROM pages""")
+def tei_headers(spark, sf):
+    n, k = F.col("page_id").cast("string"), F.col("page_id")
+    people = "<author><persName><forename type='first'>Ada</forename><forename type='middle'>B.</forename><surname>Li</surname></persName><affiliation><orgName type='institution'>Uni</orgName><orgName type='department'>Dept</orgName></affiliation></author><author><persName><surname>Oz</surname></persName></author><author><affiliation><orgName type='laboratory'>x</orgName></affiliation></author>"
+    head = TEXT("<titleStmt><title level='a'>Paper ", n, "</title></titleStmt><publicationStmt><publisher>P</publisher><date type='published' when='", F.when(k % 2 == 0, "2019-04-05").otherwise("2018-12"), "'>x</date></publicationStmt>")
+    source = TEXT("<sourceDesc><biblStruct><analytic>", people, "</analytic><monogr><imprint><biblScope unit='volume'>3</biblScope><biblScope unit='page' from='1' to='", n, "'/></imprint></monogr><idno type='DOI'>10.5/t", n, "</idno>", F.when(k % 3 == 0, TEXT("<idno type='arXiv'>2001.", n, "</idno>")).otherwise(""), "</biblStruct></sourceDesc>")
+    body = "<profileDesc><abstract><div><p>" + "An abstract with some words in it. " * 4 + "</p></div></abstract></profileDesc>"
+    path = place(spark, "tei")
+    line = TEXT("<TEI xmlns='http://www.tei-c.org/ns/1.0'><teiHeader xml:lang='en'><fileDesc>", head, source, "</fileDesc>", body, "</teiHeader><text/></TEI>")
+    rd(spark, sf, "pages").select(line.alias("value")).write.text(path)
+    flat = readers.tei_records(spark, path)
+    r = convert.tei(flat)
+    ids_ = F.array_join(F.transform(F.array_sort(F.map_entries("extids")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), " ")
+    first = F.try_element_at("contribs", F.lit(1))
+    return r.select("title", "release_type", "release_stage", "release_date", "release_year", "volume", "pages", "language", ids_.alias("ids"), first["raw_name"].alias("first_name"), first["raw_affiliation"].alias("affiliation"), F.size("contribs").alias("n_contribs"), F.size("abstracts").alias("n_abstracts"))
+
+
 @query("""SELECT 'doaj-d' || page_id AS id, 'On ' || page_id AS title, CAST(2000 + page_id % 20 AS INT) AS release_year, '1-' || page_id AS pages, 1 AS n_contribs, CASE WHEN page_id % 4 = 0 THEN 'deleted' END AS skip_reason FROM pages""")
 def doaj_xml_records(spark, sf):
     n, k = F.col("page_id").cast("string"), F.col("page_id")

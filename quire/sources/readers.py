@@ -74,6 +74,28 @@ def doaj_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+TEI_AUTHOR = "persName:struct<forename:array<string>,surname:string>,affiliation:array<struct<orgName:array<struct<_type:string,_VALUE:string>>>>"
+TEI_SCHEMA = f"""teiHeader struct<`_xml:lang`:string,_lang:string,fileDesc:struct<titleStmt:struct<title:array<string>>,publicationStmt:struct<publisher:string,date:array<struct<_when:string,_VALUE:string>>>,sourceDesc:struct<biblStruct:struct<analytic:struct<author:array<struct<{TEI_AUTHOR}>>>,
+ monogr:struct<imprint:struct<biblScope:array<struct<_unit:string,_from:string,_to:string,_VALUE:string>>>>,idno:array<struct<_type:string,_VALUE:string>>>>>,profileDesc:struct<abstract:struct<div:array<struct<p:array<string>>>,p:array<string>>>>"""
+
+
+def tei_records(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of extracted papers, one a file, flat: what the header says, and the file's name."""
+    x = spark.read.format("xml").option("rowTag", "TEI").option("ignoreNamespace", "true").option("useLegacyXMLParser", "true").schema(TEI_SCHEMA).load(path)
+    h, b = "teiHeader.fileDesc", "teiHeader.fileDesc.sourceDesc.biblStruct"
+    valued = lambda c, attr, k: F.try_element_at(F.filter(F.col(c), lambda i: F.lower(i[attr]) == k), F.lit(1))
+    scope = lambda k: valued(f"{b}.monogr.imprint.biblScope", "_unit", k)
+    org = lambda a, k: F.try_element_at(F.filter(F.flatten(F.transform(a["affiliation"], lambda f: f["orgName"])), lambda o: o["_type"] == k), F.lit(1))["_VALUE"]
+    people = F.transform(F.col(f"{b}.analytic.author"), lambda a: F.struct(F.concat_ws(" ", a["persName"]["forename"], a["persName"]["surname"]).alias("full_name"), F.concat_ws(" ", a["persName"]["forename"]).alias("given_name"), a["persName"]["surname"].alias("surname"), org(a, "institution").alias("institution"), org(a, "department").alias("department")))
+    pages = scope("page")
+    return x.select(
+        F.input_file_name().alias("file"), F.trim(F.try_element_at(F.col(f"{h}.titleStmt.title"), F.lit(1))).alias("title"), F.coalesce("teiHeader._lang", "teiHeader.`_xml:lang`").alias("language"), F.col(f"{h}.publicationStmt.publisher").alias("publisher"),
+        F.try_element_at(F.filter(F.transform(F.col(f"{h}.publicationStmt.date"), lambda d: d["_when"]), lambda d: d.isNotNull()), F.lit(1)).alias("date"), scope("volume")["_VALUE"].alias("volume"), scope("issue")["_VALUE"].alias("issue"),
+        F.coalesce(F.nullif(F.concat_ws("-", pages["_from"], pages["_to"]), F.lit("")), pages["_VALUE"]).alias("pages"), *(valued(f"{b}.idno", "_type", k)["_VALUE"].alias(k) for k in ("doi", "pmid", "pmcid", "arxiv")), F.filter(people, lambda a: a["full_name"] != "").alias("authors"),
+        F.nullif(F.array_join(F.coalesce(F.flatten(F.transform(F.col("teiHeader.profileDesc.abstract.div"), lambda d: d["p"])), F.col("teiHeader.profileDesc.abstract.p")), " "), F.lit("")).alias("abstract"),
+    )
+
+
 def pubmed_records(spark: SparkSession, path: str, article: str, deletion: str) -> DataFrame:
     """Articles and deletions of the same files, told apart by `type`."""
     a = xml_records(spark, path, "PubmedArticle", article).withColumn("type", F.lit("article"))
