@@ -295,5 +295,19 @@ def test_rectangles_are_those_of_plain_sums():
         assert out == got[t]
 
 
+@pytest.mark.parametrize("name", [*sorted(registry.QUERIES), "pipeline"])
+def test_empty_tables(spark, tmp_path_factory, name):
+    """Tables without rows give no rows; tables of nulls alone give what their ids are worth."""
+    import corpus_pipeline
+
+    run = corpus_pipeline.run if name == "pipeline" else registry.QUERIES[name]
+    for rows, expect in (([], 0), ([(None, None, None, None, None), (1, None, None, None, None)], 1)):
+        folder = str(tmp_path_factory.mktemp("empty"))
+        spark.createDataFrame(rows, SCHEMA).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([r[:3] for r in rows], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([r[:2] for r in rows], "vec_id long, embedding array<double>").write.parquet(f"{folder}/embeddings.parquet")
+        assert run(spark, folder).count() == (0 if name in ("pipeline", "op2_hamming_topk", "op9_chroma") else expect)
+
+
 def test_words_of_the_shared_rule():
     assert words("A b\tC\x0bd") == ["a", "b", "c", "d"]
