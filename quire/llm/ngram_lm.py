@@ -1,23 +1,24 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-Method: a word's id is the rank of its hash among all training words, so the first level is one monotone
-sequence of hashes; the second level is the monotone sequence of context id * V + word id of the bigrams, and
-the third that of bigram rank * V + word id of the trigrams.  Each is kept in Elias-Fano form: upper halves as
-unary pointers, lower halves packed, about log2(universe / n) + 2 bits an entry.  Beside the levels lie exact
-unigram counts and smoothed probabilities and back-off weights quantised to one byte.  Levels are written by Spark tasks as files in the
-shared folder and memory-mapped by the tasks that score; a look-up selects the context's bucket and searches
-for the successor within it, for all distinct n-grams of a few megabytes of text at once.
-
-Probabilities: p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)); p(w|a) = (c(aw) - D) / c(a) + b(a) p(w) where aw is
-kept, b(a) p(w) otherwise, b(a) being the mass that the kept successors leave; contexts never seen: p(w).
-Likewise p(w|ab) = (c(abw) - D) / c(ab) + b(ab) p(w|b), where ab lies within one text; the trie holds the first
-summand, as p(w|b) is looked up anyway.  The query keeps all bigrams and trigrams that training texts have;
-`least` leaves out rarer bigrams and `order` 2 the third level, for a compact model.
-The end mark stands before the first word.  All training texts are counted; counts and levels grow with
-them, and the driver sees one row for each level file.
-
-Cases: null and empty texts are one end mark; unknown words have count 0; without training texts V = N = 0
-and all tokens have the same probability; repeated ids are separate rows.
+Method: a word's id is the rank of its hash among all training words, so the first level is one monotone sequence of
+hashes in Elias-Fano form.  Each further level has the n-grams in order of their context (the n-gram without its last
+word, known by its rank in the level before) and last word: a monotone sequence of pointers, in Elias-Fano form, says
+where each context's successors start, the successors' word ids lie behind one another in as few bits as the largest
+needs, and beside them one byte for the quantised probability and one for each context's back-off weight.  A look-up
+follows the context's two pointers and searches for the word among that context's successors; the place found is the
+n-gram's rank, which is the context of the next level.  Levels are written by Spark tasks as files in the shared folder
+and memory-mapped by the tasks that score; all tokens of some megabytes of text search at once.
+
+Probabilities: p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)); p(w|x) = (c(xw) - D) / c(x) + b(x) p(w|x'), where x' is x
+without its first word, c(x) counts the successors of x, b(x) is the mass that the kept successors leave, and the first
+summand, which the trie holds, is zero for n-grams that it does not; contexts never seen: p(w|x').  The end mark stands
+before the first word; longer contexts lie within one text.  All n-grams of training texts are kept; `least` leaves out
+rarer ones, and `order` says how many levels there are.  All training texts are counted; counts and levels grow
+with them, and the driver sees one row for each level file.
+
+Cases: null and empty texts are one end mark; unknown words have count 0; without training texts V = N = 0 and all
+tokens have the same probability; repeated ids are separate rows, rows without an id are left out; other columns may have
+any name.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ from . import common as c
 
 END = np.int64(0x5DEECE66D1A4B5F7 >> 1)
 DISCOUNT, SHARD, FLOOR = 0.75, 1 << 21, -10.0
+BLOCK = 1 << 21  # bytes of text whose tokens search at once
+BITS = 256  # of a pointer's upper bits, between counts
 
 
 # --- Elias-Fano sequences -------------------------------------------------------------------------------
@@ -51,41 +54,90 @@ def ef_build(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     v = values.astype(c.U)
     high = (v >> c.U(low)).astype(np.int64) + np.arange(n)
     size = n + (int(universe) >> low) + 2
-    bits = np.zeros(-(-size // 512) * 512, bool)
+    bits = np.zeros(-(-size // BITS) * BITS, bool)
     bits[high] = True
     upper = np.packbits(bits, bitorder="little").view(c.U)
-    zeros = np.append(0, np.cumsum(512 - np.bitwise_count(upper).reshape(-1, 8).sum(axis=1, dtype=np.int64)))
-    lower = np.zeros(n * low // 64 + 2, c.U)
-    at = np.arange(n, dtype=np.int64) * low
-    part = v & c.U((1 << low) - 1)
-    shift = (at & 63).astype(c.U)
-    np.bitwise_or.at(lower, at >> 6, part << shift)
-    over = (at & 63) + low > 64
-    np.bitwise_or.at(lower, (at[over] >> 6) + 1, part[over] >> (c.U(64) - shift[over]))
-    return {"upper": upper, "zeros": zeros, "lower": lower, "shape": np.array([n, low], np.int64)}
-
-
-def _select0(ef: dict, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th zero of the upper bits."""
-    block = np.searchsorted(ef["zeros"], k, "right") - 1
-    rest = k - ef["zeros"][block]
-    word = block * 8
-    for _ in range(7):
-        z = 64 - np.bitwise_count(ef["upper"][word]).astype(np.int64)
-        go = rest >= z
-        if not go.any():
-            break
-        rest = np.where(go, rest - z, rest)
-        word += go
-    w = ~ef["upper"][word]
-    at = np.zeros(len(k), np.int64)
-    for s in (32, 16, 8, 4, 2, 1):
-        n = np.bitwise_count(w & c.U((1 << s) - 1)).astype(np.int64)
+    ones = np.append(0, np.cumsum(np.bitwise_count(upper).reshape(-1, BITS // 64).sum(axis=1, dtype=np.int64)))
+    zeros = np.arange(len(ones)) * BITS - ones
+    lower = pack(v & c.U((1 << low) - 1), low)
+    return {"upper": upper, "zeros": zeros, "ones": ones, "lower": lower, "shape": np.array([n, low], np.int64)}
+
+
+_PLACE = np.zeros((256, 8), np.uint8)  # place of the r-th one in a byte
+for _k in range(8):
+    _set = np.arange(256) >> _k & 1 == 1
+    _PLACE[_set, np.bitwise_count(np.arange(256)[_set] & (1 << _k) - 1)] = _k
+_OCTETS, _HIGH = c.U(0x0101010101010101), c.U(0x8080808080808080)
+_M1, _M2, _M4 = c.U(0x5555555555555555), c.U(0x3333333333333333), c.U(0x0F0F0F0F0F0F0F0F)
+
+
+def _in_word(w: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th one of each word: prefix counts of its bytes, the byte, then the place in the byte by table."""
+    k = k.astype(c.U)
+    n = w - (w >> c.U(1) & _M1)
+    n = (n & _M2) + (n >> c.U(2) & _M2)
+    n = ((n + (n >> c.U(4))) & _M4) * _OCTETS
+    place = np.bitwise_count((k * _OCTETS | _HIGH) - n & _HIGH).astype(c.U) << c.U(3)
+    k -= n << c.U(8) >> place & c.U(255)
+    return place.astype(np.int64) + _PLACE[(w >> place & c.U(255)).astype(np.int64), k.astype(np.int64)]
+
+
+def _select(ef: dict, k: np.ndarray, one: bool) -> np.ndarray:
+    """Place of the k-th one, or the k-th zero, of the upper bits."""
+    upper, zeros = ef["upper"], ef["zeros"]
+    before = ef["ones"] if one else zeros
+    block = np.searchsorted(before, k, "right") - 1
+    rest, word = k - before[block], block * (BITS // 64)
+    for _ in range(BITS // 64 - 1):
+        n = np.bitwise_count(upper[word] if one else ~upper[word])
         go = rest >= n
-        rest = np.where(go, rest - n, rest)
-        w = np.where(go, w >> c.U(s), w)
-        at += go * s
-    return word * 64 + at
+        rest = rest - n * go
+        word += go
+    return word * 64 + _in_word(upper[word] if one else ~upper[word], rest)
+
+
+def _bits(packed: np.ndarray, i: np.ndarray, width: int) -> np.ndarray:
+    """The i-th numbers of `width` bits."""
+    if not width:
+        return np.zeros(len(i), c.U)
+    b = i * width
+    s = (b & 63).astype(c.U)
+    at = b >> 6
+    return (packed[at] >> s | packed[at + 1] << c.U(1) << (c.U(63) - s)) & c.U((1 << width) - 1)
+
+
+def pack(values: np.ndarray, width: int) -> np.ndarray:
+    """Numbers of `width` bits behind one another."""
+    out = np.zeros(len(values) * width // 64 + 2, c.U)
+    at = np.arange(len(values), dtype=np.int64) * width
+    shift = (at & 63).astype(c.U)
+    np.bitwise_or.at(out, at >> 6, values.astype(c.U) << shift)
+    over = (at & 63) + width > 64
+    np.bitwise_or.at(out, (at[over] >> 6) + 1, values.astype(c.U)[over] >> (c.U(64) - shift[over]))
+    return out
+
+
+def ef_get(ef: dict, i: np.ndarray) -> np.ndarray:
+    """The i-th values of the sequence."""
+    low = int(ef["shape"][1])
+    return (_select(ef, i, True) - i) << low | _bits(ef["lower"], i, low).astype(np.int64)
+
+
+def ef_range(ef: dict, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The i-th values and those behind them, whose ones are the next in the upper bits."""
+    low, at = int(ef["shape"][1]), _select(ef, i, True)
+    word = at >> 6
+    rest = ef["upper"][word] >> (at & 63).astype(c.U) >> c.U(1)
+    step = np.bitwise_count((rest & -rest) - c.U(1)).astype(np.int64) + 1
+    far = np.flatnonzero(rest == 0)  # the next one is in another word
+    step[far] = 0
+    while len(far):
+        word[far] += 1
+        w = ef["upper"][word[far]]
+        hit = w != 0
+        step[far[hit]] = (word[far[hit]] << 6) + np.bitwise_count((w[hit] & -w[hit]) - c.U(1)) - at[far[hit]]
+        far = far[~hit]
+    return (at - i) << low | _bits(ef["lower"], i, low).astype(np.int64), (at + step - i - 1) << low | _bits(ef["lower"], i + 1, low).astype(np.int64)
 
 
 def ef_find(ef: dict, keys: np.ndarray) -> np.ndarray:
@@ -98,15 +150,11 @@ def ef_find(ef: dict, keys: np.ndarray) -> np.ndarray:
     last = int(ef["zeros"][-1]) - 1
     rows = np.flatnonzero((high >= 0) & (high <= last))
     high, want = high[rows], want[rows]
-    lo = np.where(high > 0, _select0(ef, np.maximum(high - 1, 0)) - high + 1, 0)
-    hi = _select0(ef, high) - high
-    mask = c.U((1 << low) - 1)
+    lo = np.where(high > 0, _select(ef, np.maximum(high - 1, 0), False) - high + 1, 0)
+    hi = _select(ef, high, False) - high
 
     def at(i):
-        b = i * low
-        s = (b & 63).astype(c.U)
-        w = ef["lower"][b >> 6] >> s
-        return (w | np.where(s > 0, ef["lower"][(b >> 6) + 1] << (c.U(64) - np.maximum(s, c.U(1))), c.U(0))) & mask
+        return _bits(ef["lower"], i, low)
 
     live = np.flatnonzero(lo < hi)
     top = hi.copy()
@@ -160,39 +208,16 @@ def load(folder: str, name: str) -> dict[str, np.ndarray]:
             raw = np.memmap(f, np.uint8, "r")
     end = int(np.flatnonzero(raw[: 1 << 16] == 10)[0]) + 1
     head = json.loads(bytes(raw[:end]))
-    return {k: raw[end + at : end + at + np.dtype(t).itemsize * n].view(t) for k, (t, n, at) in head.items()}
-
-
-class Level:
-    """Level files in order of their first keys."""
-
-    def __init__(self, folder: str, kind: str, shards: list[tuple[int, int, int, int]]):
-        """shards: (number, first key, entries, entries before)."""
-        self.folder, self.kind, self.shards = folder, kind, shards
-        self.first = np.array([s[1] for s in shards], np.int64)
-
-    def find(self, keys: np.ndarray, columns: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Global rank (or -1) and the columns' values of sorted keys."""
-        rank = np.full(len(keys), -1, np.int64)
-        values = [np.zeros(len(keys), np.int64) for _ in columns]
-        if not self.shards:
-            return rank, values
-        cut = np.append(np.searchsorted(keys, self.first), len(keys))
-        for (number, base, _, before), lo, hi in zip(self.shards, cut[:-1], cut[1:], strict=True):
-            if lo < hi:
-                level = load(self.folder, f"{self.kind}-{number}")
-                at = ef_find(level, keys[lo:hi] - base)
-                ok = np.flatnonzero(at >= 0)
-                rank[lo + ok] = at[ok] + before
-                for v, k in zip(values, columns, strict=True):
-                    v[lo + ok] = load(self.folder, f"{k}-{number}")[k][at[ok]] if k not in level else level[k][at[ok]]
-        return rank, values
+    return {k: raw[end + at : end + at + np.dtype(t).itemsize * n].view(t).view(np.ndarray) for k, (t, n, at) in head.items()}
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
     return np.clip(np.round(np.log10(np.maximum(p, 1e-300)) / FLOOR * 255), 0, 255).astype(np.uint8)
 
 
+STEPS = 10 ** (np.arange(256) / 255 * FLOOR)  # what a byte stands for
+
+
 def _all(batches) -> pa.Table | None:
     """The rows of one shard, SHARD or so, if there are any."""
     kept = [b for b in batches if b.num_rows]
@@ -237,7 +262,7 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _chunks(batches):
     for b in batches:
         data, off = c.strings(b.column("text"))
-        for i, j in c.pieces(off):
+        for i, j in c.pieces(off, BLOCK):
             yield b, i, j, *tokens(data[off[i] : off[j]], off[i : j + 1] - off[i])
 
 
@@ -259,52 +284,73 @@ def _summed(kept) -> pa.RecordBatch:
 
 
 class Model:
-    """What a scoring task needs: small lists of level files, N and V."""
+    """What a scoring task needs: N, V, and small lists of level files."""
 
-    def __init__(self, folder: str, words: list, pairs: list):
-        self.folder = folder
+    def __init__(self, folder: str, words: list[tuple[int, int, int, int, int]]):
+        """words: (number, first hash, entries, entries before, tokens) of each file."""
+        self.folder, self.words = folder, words
         self.total, self.kinds = sum(s[4] for s in words), sum(s[2] for s in words)
-        self.words = [s[:4] for s in words]
-        self.pairs = [s[:4] for s in pairs]
-        self.width, self.triples = 1, []
-
-    def ids(self, tok: np.ndarray, *columns: str):
-        """Id (or -1), count and further columns of each token."""
-        word, at = np.unique(tok, return_inverse=True)
-        rank, values = Level(self.folder, "words", self.words).find(word, ("n", *columns))
-        return rank[at], *(v[at] for v in values)
-
-    def keys(self, rank: np.ndarray) -> np.ndarray:
-        """Context id * V + word id of each token, -1 where either is unknown or the context is another chunk's."""
-        end = self.ids(np.array([END]))[0][0]
-        before = np.append(end, rank[:-1])
-        return np.where((before >= 0) & (rank >= 0), before * self.kinds + rank, -1)
-
-    def pair_ranks(self, rank: np.ndarray, columns: tuple[str, ...]):
-        """Rank (or -1) and columns of the bigram that each token ends."""
-        pair, at = np.unique(self.keys(rank), return_inverse=True)
-        found, values = Level(self.folder, "pairs", self.pairs).find(pair, columns)
-        return found[at], *(v[at] for v in values)
-
-    def contexts(self, tok: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-        """Rank of the bigram before each token, -1 where it is unknown or ends another text."""
-        out = np.append(np.int64(-1), pairs[:-1])
-        out[1:][tok[:-1] == END] = -1
-        return out
-
-    def third(self, ctx: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First summand and back-off weight of the trigrams that tokens end."""
-        key, at = np.unique(np.where((ctx >= 0) & (rank >= 0), ctx * self.kinds + rank, -1), return_inverse=True)
-        found, (gain,) = Level(self.folder, "triples", self.triples).find(key, ("gain",))
-        gain = np.where(found >= 0, 10 ** (gain / 255 * FLOOR), 0.0)[at]
-        some, at = np.unique(ctx, return_inverse=True)
-        rest = np.ones(len(some))
-        part = np.where(some >= 0, some // self.width, -1)
-        for number, *_ in self.triples:
-            lo, hi = np.searchsorted(part, [number, number + 1])
+        self.first = np.array([s[1] for s in words], np.int64)
+        self.levels: list[tuple[int, dict[int, int]]] = []  # contexts a file, and the n-grams before each file
+
+    def ids(self, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Id (or -1) and count of each token."""
+        word, back = np.unique(tok, return_inverse=True)
+        ids, n = np.full(len(word), -1, np.int64), np.zeros(len(word), np.int64)
+        cut = np.append(np.searchsorted(word, self.first), len(word)).tolist()
+        for (number, base, _, before, _), lo, hi in zip(self.words, cut[:-1], cut[1:], strict=True):
             if lo < hi:
-                rest[lo:hi] = 10 ** (load(self.folder, f"triples-{number}")["rest3"][some[lo:hi] - number * self.width] / 255 * FLOOR)
-        return gain, rest[at]
+                level = load(self.folder, f"words-{number}")
+                at = ef_find(level, word[lo:hi] - base)
+                ok = np.flatnonzero(at >= 0)
+                ids[lo + ok], n[lo + ok] = at[ok] + before, level["n"][at[ok]]
+        return ids[back], n[back]
+
+    def successors(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rank (or -1), first summand and back-off weight of each word after its context (-1: unknown)."""
+        width, files = self.levels[level]
+        rank, gain, rest = np.full(len(word), -1, np.int64), np.zeros(len(word)), np.ones(len(word))
+        order = np.argsort(context)
+        ctx = context[order]
+        known = int(np.searchsorted(ctx, 0))
+        parts = np.unique(ctx[known:] // width)
+        cut = np.append(np.searchsorted(ctx, parts * width), len(ctx)).tolist()
+        for part, a, b in zip(parts.tolist(), cut[:-1], cut[1:], strict=True):
+            if part not in files:
+                continue  # no context of this range has successors
+            f = load(self.folder, f"level{level + 2}-{part}")
+            new = np.append(True, ctx[a + 1 : b] != ctx[a : b - 1])  # contexts are sorted
+            own, back = ctx[a:b][new] - part * width, np.cumsum(new) - 1
+            start, end = ef_range({k: f[f"pointer_{k}"] for k in ("upper", "zeros", "ones", "lower", "shape")}, own)
+            rows = order[a:b]
+            rest[rows] = STEPS[f["rest"][own]][back]
+            lo, hi = start[back], end[back]
+            want, top, bits = word[rows], hi.copy(), int(f["bits"][0])
+            live = np.flatnonzero((lo < hi) & (want >= 0))
+            x, low, high = want[live].astype(c.U), lo[live], hi[live]
+            while len(live):
+                mid = (low + high) >> 1
+                less = _bits(f["words"], mid, bits) < x
+                low, high = np.where(less, mid + 1, low), np.where(less, high, mid)
+                more = low < high
+                lo[live] = low
+                if more.sum() < 0.8 * len(live):  # those that are found leave
+                    live, x, low, high = live[more], x[more], low[more], high[more]
+                elif not more.any():
+                    break
+            ok = np.flatnonzero((lo < top) & (want >= 0))
+            ok = ok[_bits(f["words"], lo[ok], bits).astype(np.int64) == want[ok]]
+            rank[rows[ok]], gain[rows[ok]] = lo[ok] + files[part], STEPS[f["gain"][lo[ok]]]
+        return rank, gain, rest
+
+    def contexts(self, tok: np.ndarray, ranks: np.ndarray, level: int) -> np.ndarray:
+        """Of each token, the rank of the n-gram before it: the end mark before a text's first word, and nothing before that."""
+        out = np.append(np.int64(-1), ranks[:-1])
+        if level:
+            out[1:][tok[:-1] == END] = -1
+        else:
+            out[0] = self.ids(np.array([END]))[0][0]
+        return out
 
 
 def _counted(texts: DataFrame, keys_of, part_of, parts: int, solve, schema: str) -> DataFrame:
@@ -366,137 +412,74 @@ def _counted(texts: DataFrame, keys_of, part_of, parts: int, solve, schema: str)
     return blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, schema)
 
 
-def _pair_counts(texts: DataFrame, model: Model, parts: int, least: int) -> DataFrame:
-    """(key, n) of the bigrams found `least` times or more."""
-
-    def rows(_, k, m):
-        yield pa.RecordBatch.from_arrays([pa.array(k[m >= least]), pa.array(m[m >= least])], names=["key", "n"])
-
-    return _counted(texts, lambda tok: model.keys(model.ids(tok)[0]), lambda key: (c.mix(key.astype(c.U)) % c.U(parts)).astype(np.int64), parts, rows, "key long, n long")
+def _level(texts: DataFrame, model: Model, parts: int, least: int) -> tuple[int, dict[int, int]]:
+    """Writes the next level and returns contexts a file, and the n-grams before each file.
 
-
-def _third(texts: DataFrame, model: Model, parts: int) -> tuple[int, list[tuple[int, int, int, int]]]:
-    """Writes the level of trigrams and returns bigram ranks a file, and the files.
-
-    Files are ranges of bigram ranks, so the task that merges a range has all successors of its contexts and writes
-    its file: counts are neither stored nor sorted again.  A bigram within a text has a successor each time, so the
-    counts of its successors sum up to its own.
+    Files are ranges of contexts, so the task that merges a range has all successors of its contexts and writes its file:
+    counts are neither stored nor sorted again.
     """
-    size, kinds, folder = max(model.kinds, 1), sum(s[2] for s in model.pairs), model.folder
-    width = -(-max(kinds, 1) // parts)
+    level, folder, size = len(model.levels), model.folder, max(model.kinds, 1)
+    contexts = model.kinds if not level else model.ranks
+    width, bits = -(-max(contexts, 1) // parts), (size - 1).bit_length()
 
     def keys(tok):
-        rank = model.ids(tok)[0]
-        ctx = model.contexts(tok, model.pair_ranks(rank, ())[0])
-        return np.where((ctx >= 0) & (rank >= 0), ctx * size + rank, -1)
+        word = ranks = model.ids(tok)[0]
+        for k in range(level):
+            ranks = model.successors(k, model.contexts(tok, ranks, k), word)[0]
+        ctx = model.contexts(tok, ranks, level)
+        return np.where((ctx >= 0) & (word >= 0), ctx * size + word, -1)
 
     def write(part, k, m):
-        ctx = k // size
-        first = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1]))
-        many = np.diff(np.append(first, len(k)))
-        whole = np.add.reduceat(m, first)
-        rest = np.ones(min(width, kinds - part * width))
-        rest[ctx[first] - part * width] = DISCOUNT * many / whole
-        gain = (m - DISCOUNT) / np.repeat(whole, many)
-        save(folder, f"triples-{part}", ef_build(k - k[0], int(k[-1] - k[0]) + 1) | {"gain": quantised(gain), "rest3": quantised(rest)})
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, int(k[0]), len(k))], names=["number", "first", "n"])
-
-    found = _counted(texts, keys, lambda key: key // size // width, parts, write, "number long, first long, n long").collect()  # a row for each file
-    out, before = [], 0
-    for r in sorted(found, key=lambda r: r["first"]):
-        out.append((r["number"], r["first"], r["n"], before))
+        ctx = k // size - part * width
+        n = min(width, contexts - part * width)
+        whole = np.bincount(ctx, m, minlength=n)
+        keep = m >= least
+        k, m, ctx = k[keep], m[keep], ctx[keep]
+        gain = (m - DISCOUNT) / whole[ctx]
+        rest = 1 - np.bincount(ctx, gain, minlength=n)
+        starts = np.searchsorted(ctx, np.arange(n + 1))
+        pointer = {f"pointer_{x}": y for x, y in ef_build(starts, len(k) + 1).items()}
+        save(folder, f"level{level + 2}-{part}", pointer | {"words": pack(k % size, bits), "bits": np.array([bits]), "gain": quantised(gain), "rest": quantised(rest)})
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, len(k))], names=["number", "n"])
+
+    found = _counted(texts, keys, lambda key: key // size // width, parts, write, "number long, n long").collect()  # a row for each file
+    files, before = {}, 0
+    for r in sorted(found, key=lambda r: r["number"]):
+        files[r["number"]] = before
         before += r["n"]
-    return width, out
+    model.ranks = before
+    return width, files
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 2, order: int = 2) -> Model:
-    """Counts all texts and writes the levels: bigrams found `least` times or more, and with order 3 (needs least 1) all trigrams."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 1, order: int = 3) -> Model:
+    """Counts all texts and writes `order` levels: n-grams of two words or more that are found `least` times or more."""
     spark = docs.sparkSession
     folder = f"{c.shared_dir(spark)}/quire-trie-{uuid.uuid4().hex}"
     folder = folder if "://" in folder else f"file://{folder}"
     texts = c.id_text(docs, id_col, text_col)
-    words = c.table(texts.mapInArrow(_unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    kinds = words.count()
-    count = lambda keys, t: {"n": t["n"].to_numpy()}
-    model = Model(folder, _stored(words, kinds // SHARD + 1, folder, "words", count), [])
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), model.total // 20_000_000 + 1)
-    pairs = c.table(_pair_counts(texts, model, parts, least), "pairs")
-    size = max(model.kinds, 1)
-
-    # mass that the kept successors of a context take, and from it the back-off weight by word id
-    taken = pairs.groupBy(F.expr(f"key div {size}").alias("id")).agg(F.sum(F.col("n") - DISCOUNT).alias("mass"))
-    edges = np.array([s[3] for s in model.words], np.int64)
-    numbers = np.array([s[0] for s in model.words], np.int64)
-
-    def back_off(batches):
-        t = _all(batches)
-        if t is not None:
-            at, mass, shard = t["id"].to_numpy(), t["mass"].to_numpy(), t["shard"].to_numpy()
-            for s in np.unique(shard):
-                n = load(folder, f"words-{numbers[s]}")["n"]
-                rest = np.ones(len(n))
-                own = at[shard == s] - edges[s]
-                rest[own] = 1 - mass[shard == s] / n[own]
-                save(folder, f"rest-{numbers[s]}", {"rest": quantised(rest)})
-                yield pa.RecordBatch.from_arrays([pa.array([int(s)])], names=["shard"])
-
-    def numbered(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("mass"), pa.array(np.searchsorted(edges, b.column("id").to_numpy(), "right") - 1)], names=["id", "mass", "shard"])
-
-    done = {r["shard"] for r in taken.mapInArrow(numbered, "id long, mass double, shard long").repartition("shard").mapInArrow(back_off, "shard long").collect()}
-    for s, (number, _, n, _) in enumerate(model.words):
-        if s not in done:
-            save(folder, f"rest-{number}", {"rest": np.zeros(n, np.uint8)})
-
-    # smoothed probability of each kept bigram
-    model_words = Model(folder, [(*s, 0) for s in model.words], [])
-
-    def smooth(keys, t):
-        ctx, word = keys // size, keys % size
-        n_ctx, rest = _columns(model_words, ctx)
-        n_word, _ = _columns(model_words, word)
-        p = (t["n"].to_numpy() - DISCOUNT) / n_ctx + 10 ** (rest / 255 * FLOOR) * (n_word + 0.5) / (total + 0.5 * (size + 1))
-        return {"p": quantised(p)}
-
-    total = model.total
-    found = _stored(pairs, pairs.count() // SHARD + 1, folder, "pairs", smooth)
-    model.pairs = [s[:4] for s in found]
-    if order > 2 and model.pairs:
-        model.width, model.triples = _third(texts, model, max(parts, model.total // SHARD + 1))
+    with c.scratch():
+        words = c.table(texts.mapInArrow(_unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
+        model = Model(folder, _stored(words, words.count() // SHARD + 1, folder, "words", lambda keys, t: {"n": t["n"].to_numpy()}))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), model.total // SHARD + 1)
+    while model.total and len(model.levels) < order - 1:
+        model.levels.append(_level(texts, model, parts, least))
     return model
 
 
-def _columns(model: Model, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Count and quantised back-off of word ids."""
-    edges = np.array([s[3] for s in model.words], np.int64)
-    shard = np.searchsorted(edges, ids, "right") - 1
-    n, rest = np.zeros(len(ids)), np.zeros(len(ids))
-    for s in np.unique(shard):
-        rows = np.flatnonzero(shard == s)
-        number = model.words[s][0]
-        n[rows] = load(model.folder, f"words-{number}")["n"][ids[rows] - edges[s]]
-        rest[rows] = load(model.folder, f"rest-{number}")["rest"][ids[rows] - edges[s]]
-    return n, rest
-
-
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every text."""
 
     def run(batches):
         for b, i, j, tok, row in _chunks(batches):
             n = j - i
-            rank, count, rest = model.ids(tok, "rest")
-            base = np.log10((count + 0.5) / (model.total + 0.5 * (model.kinds + 1)))
-            found, p = model.pair_ranks(rank, ("p",))
-            end = model.ids(np.array([END]), "rest")[2][0]
-            left = np.append(end, rest[:-1]) / 255 * FLOOR  # unknown contexts have a weight of one
-            each = np.where(found >= 0, p / 255 * FLOOR, left + base)
-            if model.triples:
-                gain, left = model.third(model.contexts(tok, found), rank)
-                each = np.log10(gain + left * 10**each)
+            word, count = model.ids(tok)
+            p = (count + 0.5) / (model.total + 0.5 * (model.kinds + 1))
+            base, ranks = np.log10(p), word
+            for level in range(len(model.levels)):
+                ranks, gain, rest = model.successors(level, model.contexts(tok, ranks, level), word)
+                p = gain + rest * p
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(i, n), pa.array(np.bincount(row, minlength=n)), pa.array(np.bincount(row, count > 0, minlength=n).astype(np.int64)), pa.array(np.bincount(row, base, minlength=n)), pa.array(np.bincount(row, each, minlength=n))],
+                [b.column("doc_id").slice(i, n), pa.array(np.bincount(row, minlength=n)), pa.array(np.bincount(row, count > 0, minlength=n).astype(np.int64)), pa.array(np.bincount(row, base, minlength=n)), pa.array(np.bincount(row, np.log10(p), minlength=n))],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
             )
 
@@ -505,5 +488,5 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = train(docs.where(c.fold_bucket("doc_id", 5) != 1), least=1, order=3)
+    model = train(docs.where(c.fold_bucket("doc_id", 5) != 1))
     return scored(docs, model).select("doc_id", (c.fold_bucket("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
