@@ -141,6 +141,31 @@ def split_name(name: Column) -> Column:
     return F.struct(F.nullif(given, F.lit("")).alias("given"), F.nullif(surname, F.lit("")).alias("surname"))
 
 
+#: Words of names that are no persons' (fixed values).
+CORPORATE = (
+    "archive", "collection", "coordinator", "department", "germany", "international", "national", "netherlands", "office", "organisation", "organization", "service", "services", "united states", "university", "verein", "volkshochschule",
+)
+
+
+def index_to_display(name: Column) -> Column:
+    """`Surname, Given` as `Given Surname`; names of bodies, and those with brackets, asterisks or several commas, stay."""
+    stays = ~F.contains(name, F.lit(",")) | name.rlike(r"[()*]|,.*,") | F.lower(name).rlike("|".join(CORPORATE))
+    return F.when(stays, name).otherwise(F.concat_ws(" ", F.trim(F.substring_index(name, ",", -1)), F.trim(F.substring_index(name, ",", 1))))
+
+
+@F.pandas_udf(StringType())
+def decoded(body: pd.Series, charset: pd.Series) -> pd.Series:
+    """The text of a page's bytes: by the character set given, else as UTF-8; a name that is unknown gives NULL."""
+
+    def one(data, name):
+        try:
+            return None if data is None else bytes(data).decode(name or "utf-8", "replace")
+        except LookupError:
+            return None
+
+    return pd.Series([one(b, c) for b, c in zip(body, charset, strict=True)], dtype=object)
+
+
 def display_name(creator_id: Column, creator_name: Column, raw: Column, given: Column, surname: Column) -> Column:
     """A known creator's name, even if empty; else the raw name, else given and surname."""
     joined = F.nullif(F.trim(F.concat_ws(" ", given, surname)), F.lit(""))

@@ -351,6 +351,10 @@ def csl_json(df: DataFrame) -> DataFrame:
     return df.select("id", F.to_json(obj).alias("csl"))
 
 
-def tabular(df: DataFrame, kinds: tuple[str, ...] = ("doi", "pmid", "pmcid", "arxiv", "oai", "doaj", "dblp", "openalex", "mag", "isbn13")) -> DataFrame:
+#: Identifiers of the flat table, in order (fixed values).
+TABULAR = ("ark", "arxiv", "core", "dblp", "doi", "fatcat_release", "fatcat_work", "hdl", "isbn13", "jstor", "mag", "mid", "oai", "openalex", "pii", "pmcid", "pmid", "wikidata_qid")
+
+
+def tabular(df: DataFrame, kinds: tuple[str, ...] = TABULAR) -> DataFrame:
     """One flat row a release: id columns and the normalised title."""
     return df.select("id", "source", text.one_line(F.col("title")).alias("title"), text.title_key(F.col("title")).alias("title_key"), "release_year", *(F.try_element_at("extids", F.lit(k)).alias(k) for k in kinds))

@@ -143,6 +143,12 @@ def cursor(ts: Column, id_: Column) -> Column:
     return F.concat_ws("_", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), id_.cast("string"))
 
 
+def parse_cursor(raw: Column) -> Column:
+    """struct(ts, id) of a cursor, NULL if it is none."""
+    ts, id_ = F.regexp_extract(raw, "^(.*)_([^_]*)$", 1).try_cast("timestamp"), F.regexp_extract(raw, "^(.*)_([^_]*)$", 2)
+    return F.when(ts.isNotNull() & id_.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^[0-9]+$"), F.struct(ts.alias("ts"), id_.alias("id")))
+
+
 def missing_last(df: DataFrame, column: str, id_col: str, limit: int) -> DataFrame:
     """The largest values first, rows without one last, ties by id."""
     return df.orderBy(F.desc_nulls_last(column), id_col).limit(limit)

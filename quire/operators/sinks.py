@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text
+from quire.functions.identifiers import blob_path
+from quire.operators.relational import insert_ignore
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -19,8 +21,33 @@ def write_slice(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").json(path)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Line breaks and tabs in values become spaces."""
+def write_index(documents: DataFrame, path: str, id_col: str) -> None:
+    """Documents as a table that look-ups by id read little of: in ranges of the id, replaced whole."""
+    documents.repartitionByRange(F.col(id_col)).sortWithinPartitions(id_col).write.mode("overwrite").parquet(path)
+
+
+def indexed(spark: SparkSession, path: str, asked: DataFrame, id_col: str) -> DataFrame:
+    """(id, indexed) of the ids asked for."""
+    there = spark.read.parquet(path).select(id_col).withColumn("indexed", F.lit(True))
+    return asked.select(id_col).distinct().join(there, id_col, "left").select(id_col, F.coalesce("indexed", F.lit(False)).alias("indexed"))
+
+
+def url_digests(known: DataFrame, pages: DataFrame) -> DataFrame:
+    """(url, sha1, ts) with the pages (url, payload, ts) added whose address and content are new together."""
+    new = pages.select("url", F.sha1("payload").alias("sha1"), "ts")
+    return insert_ignore(known.select("url", "sha1", "ts"), new, ["url", "sha1"])
+
+
+def extracted(records: DataFrame, extension: str) -> DataFrame:
+    """(path, payload) of distinct contents, named by digest, in folders by its first characters."""
+    digest = F.sha1("payload")
+    return records.where(F.octet_length("payload") > 0).select(F.concat(blob_path(digest), F.lit(extension)).alias("path"), "payload").dropDuplicates(["path"])
+
+
+def write_tsv(df: DataFrame, path: str, blob: str | None = None) -> None:
+    """Line breaks and tabs in values become spaces; a column of bytes is written in base 64."""
+    if blob:
+        df = df.withColumn(blob, F.base64(blob))
     cols = [text.one_line(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in df.columns]
     df.select(*cols).write.mode("overwrite").csv(path, sep="\t", header=True, quote="")
 

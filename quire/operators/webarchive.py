@@ -107,6 +107,11 @@ def wanted_captures(captures: DataFrame, cursed: DataFrame, ignored: tuple[str,
     return marked.select(*captures.columns, F.when(F.col("__cursed"), "cursed").when(part, "ignored").alias("skip"))
 
 
+def unseen(captures: DataFrame, files: DataFrame) -> DataFrame:
+    """Captures (sha1_hex, url, ...) whose file is not held yet, one of each, so that only these are fetched; files have sha1."""
+    return captures.dropDuplicates(["sha1_hex"]).join(files.select(F.col("sha1").alias("sha1_hex")), "sha1_hex", "left_anti")
+
+
 def capture_counts(urls: DataFrame, captures: DataFrame) -> DataFrame:
     """(url, count) of captures for each distinct address asked for, zero included."""
     n = captures.groupBy("url").agg(F.count("*").alias("count"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions import identifiers as ids
-from quire.operators import convert, documents, entities, holdings, search, sinks, webarchive
+from quire.functions import identifiers as ids, text
+from quire.operators import convert, documents, entities, holdings, relational as rel, search, sinks, webarchive
 from quire.plans.catalog import query, rd, release
 from quire.plans.upstream import TEXT, place
 from quire.sources import feeds, readers
@@ -80,6 +80,57 @@ def sitemap_filter(spark, sf):
     return sinks.sitemap_works(d, 1995 + 96).select("o_orderkey")
 
 
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Ada B. Li' WHEN 1 THEN 'University, Open' WHEN 2 THEN 'Li, Ada, Jr' WHEN 3 THEN 'Li (Ada), B' ELSE 'Order ' || o_orderkey END AS name FROM orders""")
+def display_names(spark, sf):
+    k = F.col("o_orderkey") % 5
+    raw = F.when(k == 0, "Li,  Ada B. ").when(k == 1, "University, Open").when(k == 2, "Li, Ada, Jr").when(k == 3, "Li (Ada), B").otherwise(TEXT("Order ", F.col("o_orderkey").cast("string")))
+    return rd(spark, sf, "orders").select("o_orderkey", text.index_to_display(raw).alias("name"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN date_trunc('second', ts) END AS ts, CASE WHEN event_id % 4 <> 0 THEN CAST(event_id AS VARCHAR) END AS id FROM events""")
+def cursor_parse(spark, sf):
+    """Cursors as they are encoded, some of them spoilt, read again."""
+    e = rd(spark, sf, "events")
+    raw = F.when(F.col("event_id") % 4 == 0, F.when(F.col("event_id") % 8 == 0, "no cursor").otherwise("2024-01-01T00:00:00")).otherwise(rel.cursor(F.col("ts"), F.col("event_id")))
+    return e.select("event_id", rel.parse_cursor(raw).alias("c")).select("event_id", "c.ts", "c.id")
+
+
+@query("""SELECT page_id, html FROM pages""")
+def decoded_pages(spark, sf):
+    """Pages in several character sets, and one that is unknown for none."""
+    name = F.when(F.col("page_id") % 3 == 0, "utf-16le").when(F.col("page_id") % 3 == 1, "utf-8")
+    body = F.when(F.col("page_id") % 3 == 0, F.encode("html", "UTF-16LE")).otherwise(F.encode("html", "UTF-8"))
+    return rd(spark, sf, "pages").select("page_id", text.decoded(body, name).alias("html"))
+
+
+@query("SELECT doc_id AS id, doc_id % 2 = 0 AS indexed FROM documents WHERE doc_id % 5 = 0")
+def index_probe(spark, sf):
+    d, path = rd(spark, sf, "documents").select(F.col("doc_id").alias("id"), "n_chars"), place(spark, "index")
+    sinks.write_index(d.where("id % 2 = 0"), path, "id")
+    return sinks.indexed(spark, path, d.where("id % 5 = 0"), "id")
+
+
+@query("SELECT DISTINCT substr(sha1(text), 1, 2) || '/' || substr(sha1(text), 3, 2) || '/' || sha1(text) || '.txt' AS path, CAST(octet_length(encode(text)) AS BIGINT) AS size FROM documents WHERE octet_length(encode(text)) > 0")
+def extracted_files(spark, sf):
+    d = sinks.extracted(rd(spark, sf, "documents").select(F.encode("text", "UTF-8").alias("payload")), ".txt")
+    return d.select("path", F.octet_length("payload").cast("long").alias("size"))
+
+
+@query("SELECT url, sha1, count(*) AS n FROM (SELECT DISTINCT source AS url, sha1(text) AS sha1 FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2")
+def url_digests(spark, sf):
+    """Pages seen in two runs; an address with the same content is kept once."""
+    d = rd(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.col("source").alias("url"), F.encode("text", "UTF-8").alias("payload"), F.lit("2024-01-01").cast("timestamp").alias("ts"))
+    none = d.limit(0).select("url", F.lit("").alias("sha1"), "ts")
+    once = sinks.url_digests(none, d.where("doc_id % 3 <> 0"))
+    return sinks.url_digests(once, d).groupBy("url", "sha1").agg(F.count("*").alias("n"))
+
+
+@query("SELECT page_id, sha1(url) AS sha1_hex FROM pages WHERE page_id % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1 AND url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0)")
+def unseen_captures(spark, sf):
+    p = rd(spark, sf, "pages").select("page_id", F.sha1(F.col("url").cast("binary")).alias("sha1_hex"))
+    return webarchive.unseen(p.where("page_id % 3 <> 0"), p.where("page_id % 3 = 0").select(F.col("sha1_hex").alias("sha1"))).select("page_id", "sha1_hex")
+
+
 @query("""SELECT page_id, CASE WHEN page_id % 6 = 0 THEN 'cursed' WHEN page_id % 5 = 0 THEN 'ignored' END AS skip FROM pages""")
 def skipped_captures(spark, sf):
     n = F.col("page_id").cast("string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,10 +126,17 @@ def cdx(spark: SparkSession, path: str) -> DataFrame:
 
 def usable_captures(df: DataFrame) -> DataFrame:
     """Captures with a WARC and a SHA-1; transfers over FTP count as status 226."""
-    ok = (F.col("warc_path") != "-") & (F.length("sha1_b32") == 32) & (F.col("mimetype") != "warc/revisit")
+    digest = F.lower("sha1_b32")
+    ok = (F.col("warc_path") != "-") & ~F.startswith(digest, F.lit("sha-256")) & (digest != "error") & (F.length("sha1_b32") == 32) & (F.col("mimetype") != "warc/revisit")
     return df.where(ok).withColumn("status", F.when(F.startswith("url", F.lit("ftp")) & (F.col("status") == "-"), "226").otherwise(F.col("status")))
 
 
+def collection_captures(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Captures of papers of a collection's items (item: path of its index), items of crawl logs left out, with the item's name."""
+    found = [pdf_captures(usable_captures(cdx(spark, p))).withColumn("item", F.lit(k)) for k, p in sorted(paths.items()) if not k.endswith("-CRL")]
+    return reduce(DataFrame.unionByName, found)
+
+
 def pdf_captures(df: DataFrame) -> DataFrame:
     return df.where((F.col("mimetype") == "application/pdf") & (F.col("status") == "200"))
 
