@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import sys
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,6 +23,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
@@ -29,6 +32,7 @@ CHUNK = 1 << 19  # bytes of text that numpy works on at once
 _powers: dict[str, np.ndarray] = {}
 
 BATCH = 1 << 23  # bytes of an Arrow batch
+SWEEP_S = 5  # seconds between sweeps of the driver
 
 
 @lru_cache(maxsize=1)
@@ -42,6 +46,27 @@ def _lean() -> None:
             ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 23)  # M_MMAP_THRESHOLD
 
 
+def _trim() -> None:
+    """Gives back what a task's arrays have left in the worker's heap."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def mapped(df: DataFrame, run, schema: str | StructType) -> DataFrame:
+    """df.mapInArrow, with workers that are small again when a task has ended."""
+
+    def task(batches):
+        _lean()
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return df.mapInArrow(task, schema)
+
+
 def settle(spark: SparkSession) -> None:
     """Batches that Spark hands to Python are bounded in bytes, as texts may be long."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -97,9 +122,22 @@ def table(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(clean, before)
+    _swept(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_last = [0.0]
+
+
+def _swept(spark: SparkSession) -> None:
+    """Every few seconds, lets the driver give back what finished steps have left there: broadcast blocks and generated classes go with its garbage."""
+    if time.monotonic() - _last[0] > SWEEP_S:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _trim()
+        _last[0] = time.monotonic()
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the columns an operator reads, null texts as empty; rows without an id are left out."""
     settle(docs.sparkSession)
@@ -133,16 +171,18 @@ def fold_bucket(column: str, mod: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % mod
 
 
+def _power(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, U)
+    out[0] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i < n."""
-    have = _powers.get("p")
-    if have is None or len(have) < n:
-        size = max(n, CHUNK + 4096)
-        for key, base in (("p", BASE), ("q", BASE_INV)):
-            out = np.full(size, base, U)
-            out[0] = 1
-            np.multiply.accumulate(out, out=out)
-            _powers[key] = out
+    """BASE**i and BASE**-i modulo 2**64 for i < n; those for a usual chunk are kept."""
+    if n > CHUNK + 4096:
+        return _power(BASE, n), _power(BASE_INV, n)
+    if not _powers:
+        _powers.update(p=_power(BASE, CHUNK + 4096), q=_power(BASE_INV, CHUNK + 4096))
     return _powers["p"][:n], _powers["q"][:n]
 
 
@@ -159,7 +199,6 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 def strings(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (from 0) of a string or binary column without nulls."""
-    _lean()
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if col.null_count:
@@ -251,16 +290,12 @@ def marks(values: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def passing(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """The rows whose value may be among those marked: thins what a join has to shuffle."""
-    shared, last = df.sparkSession.sparkContext.broadcast(bits), len(bits) * 8 - 1
-
-    def run(batches):
-        for b in batches:
-            at = b.column(column).to_numpy(zero_copy_only=False).astype(np.int64) & last
-            yield b.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0))
-
-    return df.mapInArrow(run, df.schema)
+def passing(batches, column: str, bits: np.ndarray):
+    """The rows whose value may be among those marked: thins what is worked on and shuffled."""
+    last = len(bits) * 8 - 1
+    for b in batches:
+        at = b.column(column).to_numpy(zero_copy_only=False).astype(np.int64) & last
+        yield b.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0))
 
 
 def components(edges: DataFrame) -> DataFrame:

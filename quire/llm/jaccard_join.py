@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 from . import common as c
 
 WORDS, NUM, DEN = 5, 4, 5  # similarity of NUM / DEN or more
-BLOCK, PART = 1 << 21, 1 << 21  # bytes of text whose hashes travel together; shingles counted in one step
+BLOCK, PART = 1 << 20, 1 << 20  # bytes of text whose hashes travel together; shingles counted in one step
 SAMPLE, HOT = 1 << 26, 1 / 256  # bytes of the sample for hot shingles; share of its texts that makes a shingle hot
 TREE, NODE, LEAF = 1 << 22, 512, 64  # shingles of a cluster that is one tree; documents of a dealt subtree, of a leaf
+WIDE = 1 << 17  # shingles of a leaf with several documents
 SPREAD = 256  # members that a leader is checked against in one group
 
 
@@ -67,14 +68,18 @@ def _sized(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int32)), *(pa.array((s[at + n] - s[at]).view(np.int64)) for s in sums)], names=["doc_id", "n", "d1", "d2"])
 
 
-def _whole(batches):
-    """The sets themselves, and three minimal shingles of each under other orders."""
-    for ids, _, h, at, n in _sets(batches):
-        keys = np.zeros((len(ids), 3), np.int64)
-        for k in range(3):
-            if len(h):
-                keys[n > 0, k] = np.minimum.reduceat(c.mix(h, 21 + k), at[n > 0]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), _lists(keys.ravel(), np.full(len(ids), 3)), _lists(h.view(np.int64), n)], names=["doc_id", "keys", "shingles"])
+def _whole(marked):
+    """The sets themselves, of texts that may be among those marked, and three minimal shingles of each under other orders."""
+
+    def run(batches):
+        for ids, _, h, at, n in _sets(c.passing(batches, "doc_id", marked.value)):
+            keys = np.zeros((len(ids), 3), np.int64)
+            for k in range(3):
+                if len(h):
+                    keys[n > 0, k] = np.minimum.reduceat(c.mix(h, 21 + k), at[n > 0]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), _lists(keys.ravel(), np.full(len(ids), 3)), _lists(h.view(np.int64), n)], names=["doc_id", "keys", "shingles"])
+
+    return run
 
 
 # --- prefixes by exact frequency ------------------------------------------------------------------------
@@ -137,7 +142,7 @@ def _hot(texts: DataFrame, size: int, bits: int) -> np.ndarray:
             key, n = np.unique(h >> c.U(64 - bits), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["h", "n"])
 
-    found = sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h").toArrow()
+    found = sample.transform(c.mapped, run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h").toArrow()
     return np.sort(found["h"].to_numpy())
 
 
@@ -186,8 +191,8 @@ def prefixes(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(doc[first][ok]), pa.array(n[ok].astype(np.int32)), pa.array(rare[ok].astype(np.int32)), _lists(key[take], np.minimum(most, many)[ok])], names=["doc_id", "n", "rare", "prefix"])
 
     blobs = "to int, blob binary"
-    back = _dealt(_dealt(texts.mapInArrow(emit, blobs), parts).mapInArrow(count, blobs), parts)
-    return back.mapInArrow(choose, "doc_id long, n int, rare int, prefix array<long>")
+    back = _dealt(_dealt(texts.transform(c.mapped, emit, blobs), parts).transform(c.mapped, count, blobs), parts)
+    return back.transform(c.mapped, choose, "doc_id long, n int, rare int, prefix array<long>")
 
 
 # --- leaders --------------------------------------------------------------------------------------------
@@ -219,14 +224,15 @@ def _leaders(sets: DataFrame) -> DataFrame:
     """Links (a, b) between documents and the most central one of those with the same minimal shingle."""
     keyed = sets.select("doc_id", "n", "rare", F.posexplode("keys").alias("k", "key"))
     lead = keyed.groupBy("k", "key").agg(F.min(F.struct((F.col("rare") / F.col("n")).alias("odd"), "doc_id", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1")
-    lead = lead.select("k", "key", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na"))
+    # stored, here and below, so that the join reads rows of a hot key from an exchange of its own, which can be split
+    lead = c.table(lead.select("k", "key", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("na")), "lead")
     near = f"doc_id <> a and {DEN} * n >= {NUM} * na and {DEN} * na >= {NUM} * n"
     pairs = c.table(keyed.join(lead, ["k", "key"]).where(near).select("a", "doc_id").distinct(), "led")
     count = pairs.groupBy("a").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("parts"))
     member = pairs.join(count, "a").select("a", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"), "doc_id")
     heads = count.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("doc_id"))
     groups = member.unionByName(heads).join(sets.select("doc_id", "n", "shingles"), "doc_id").select("a", "part", "doc_id", "n", "shingles")
-    return groups.repartition("a", "part").sortWithinPartitions("a", "part", F.col("doc_id") != F.col("a")).mapInArrow(_led, "a long, b long")
+    return groups.repartition("a", "part").sortWithinPartitions("a", "part", F.col("doc_id") != F.col("a")).transform(c.mapped, _led, "a long, b long")
 
 
 # --- trees ----------------------------------------------------------------------------------------------
@@ -238,13 +244,13 @@ class Forest:
     def __init__(self, ids: np.ndarray, comp: np.ndarray, flat: np.ndarray, at: np.ndarray):
         self.ids, self.flat, self.at, self.n = ids, flat, at, np.diff(at)
         _, self.root = np.unique(comp, return_inverse=True)
-        width = 64
-        while width < 4 * min(int(self.n.max()), 1 << 16):
+        width = 64  # longer sets than the average have more excess, which the bound counts
+        while width < min(4 * len(flat) // len(ids), 1 << 14):
             width *= 2
-        bits = np.zeros((len(ids), width), bool)
-        bits[np.repeat(np.arange(len(ids)), self.n), ((flat >> c.U(11)) & c.U(width - 1)).astype(np.int64)] = True
-        self.excess = self.n - bits.sum(axis=1)
-        self.bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+        place = (flat >> c.U(11)) & c.U(width - 1)
+        self.bits = np.zeros((len(ids), width // 64), np.uint64)
+        np.bitwise_or.at(self.bits, (np.repeat(np.arange(len(ids)), self.n), (place >> c.U(6)).astype(np.int64)), c.U(1) << (place & c.U(63)))
+        self.excess = self.n - np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64)
         self.links: list[tuple[int, int]] = []
 
     def link(self, p: int, q: int) -> None:
@@ -260,7 +266,7 @@ class Node:
 
     def __init__(self, f: Forest, rows: np.ndarray, leaf: int):
         self.rows = rows
-        if len(rows) > leaf:
+        if len(rows) > leaf or len(rows) > 1 and f.n[rows].sum() > WIDE:
             half = len(rows) // 2
             self.kids = (Node(f, rows[:half], leaf), Node(f, rows[half:], leaf))
             self.bits = self.kids[0].bits | self.kids[1].bits
@@ -392,7 +398,7 @@ def _joined(rows: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
     if large.limit(1).count():
         dealt = dealt.unionByName(_by_shingle(c.table(rows.join(large, "doc_id", "left_semi").select("h", "doc_id", "n", "comp"), "large")))
     full = dealt.join(sets.select("doc_id", "shingles"), "doc_id")
-    return full.repartition("tree", "part").sortWithinPartitions("tree", "part").mapInArrow(_trees, "a long, b long")
+    return full.repartition("tree", "part").sortWithinPartitions("tree", "part").transform(c.mapped, _trees, "a long, b long")
 
 
 def components_of(texts: DataFrame) -> DataFrame:
@@ -402,14 +408,15 @@ def components_of(texts: DataFrame) -> DataFrame:
 
 
 def _components_of(texts: DataFrame) -> DataFrame:
-    sizes = c.table(texts.mapInArrow(_sized, "doc_id long, n int, d1 long, d2 long"), "sizes")
+    sizes = c.table(texts.transform(c.mapped, _sized, "doc_id long, n int, d1 long, d2 long"), "sizes")
     reps = c.table(sizes.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "reps")
     found = c.table(prefixes(texts), "prefixes")
     rows = found.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n", "rare", F.explode("prefix").alias("h"))
-    shared = rows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("h")
+    shared = c.table(rows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("h"), "twice")
     rows = c.table(rows.join(shared, "h"), "candidates")
     some = c.table(rows.select("doc_id", "n", "rare").distinct(), "some")
-    sets = c.passing(texts, "doc_id", c.marks(some, "doc_id")).join(some.select("doc_id"), "doc_id", "left_semi").mapInArrow(_whole, "doc_id long, keys array<long>, shingles array<long>")
+    marked = texts.sparkSession.sparkContext.broadcast(c.marks(some, "doc_id"))
+    sets = texts.transform(c.mapped, _whole(marked), "doc_id long, keys array<long>, shingles array<long>")
     sets = c.table(sets.join(some, "doc_id"), "sets")
     links = c.table(_leaders(sets), "leaders")
     comp = c.table(c.components(links), "leads")

@@ -11,13 +11,13 @@ that is broadcast.  Case is folded, and everything that is no letter separates w
 
 Cases: null texts and texts without a letter give `und` with score 0; ties go to the first language by
 name; without labelled rows all is `und`; labels, source and id are never read while predicting; repeated
-rows are predicted each, rows without an id are left out, other columns may have any name.
+rows are predicted each, rows without an id are left out (`known_language` judges them like others), other columns may
+have any name.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import common as c
 
 ROWS, BYTES = 400, 100_000
-SLOTS = 1 << 20
+SLOTS = 1 << 19
 _APART = np.ones(256, bool)
 _APART[97:123] = False
 _APART[65:91] = False
@@ -117,35 +117,47 @@ def phrases(auto, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return count + (state != 0)
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, size: int = BYTES) -> dict:
-    """{language: automaton} from a bounded sample of the labelled rows, chosen by a hash of the id."""
+def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, size: int = BYTES) -> DataFrame:
+    """(lang, texts): of each language a bounded sample of its rows, chosen by a hash of the id."""
     rows_in = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    per = {r["lang"]: r["n"] for r in rows_in.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not per:
-        return {}
-    share = F.create_map(*[F.lit(x) for k, n in per.items() for x in (k, min(1.0, rows / n))])
-    sample = rows_in.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-
-    def build(key, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.assign(o=pd.util.hash_array(part["doc_id"].to_numpy(np.int64))).sort_values(["o", "text"])
-        got, have = [], 0
-        for text in part["text"]:
-            raw = text.lower().encode()
-            word = bytes(np.where(_APART[np.frombuffer(raw, np.uint8)], 32, np.frombuffer(raw, np.uint8)).astype(np.uint8))
-            word = b" ".join(word.split())[: size - have]
-            got.append(word)
-            have += len(word) + 1
-            if have >= size:
-                break
-        table, state = automaton(b" " + b" ".join(got) + b" ")
-        return pd.DataFrame({"lang": [key[0]], "table": [table.tobytes()], "state": [state.tobytes()]})
-
-    found = sample.groupBy("lang").applyInPandas(build, "lang string, table binary, state binary").collect()  # one row a language, bounded by `size`
+    per = {r["lang"]: r["n"] for r in rows_in.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    share = F.create_map(*[F.lit(x) for k, n in per.items() for x in (k, min(1.0, rows / n))]) if per else F.lit(None).cast("map<string,double>")
+    picked = rows_in.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+
+    # about `rows` texts a language, of which no more than `size` characters can be used
+    return picked.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.crc32(F.encode("text", "UTF-8")).alias("k"), F.substring("text", 1, size).alias("t")))), lambda x: x["t"]).alias("texts"))
+
+
+def joined(texts: list[str], size: int) -> bytes:
+    """The words of texts in lower case, one blank between, up to `size` bytes, and a blank at both ends."""
+    got, have = [], 0
+    for text in texts:
+        raw = np.frombuffer(text.lower().encode(), np.uint8)
+        word = b" ".join(np.where(_APART[raw], 32, raw).astype(np.uint8).tobytes().split())[: size - have]
+        got.append(word)
+        have += len(word) + 1
+        if have >= size:
+            break
+    return b" " + b" ".join(got) + b" "
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, size: int = BYTES) -> dict:
+    """{language: automaton} of the languages' samples."""
+
+    def run(batches):
+        for b in batches:
+            made = [automaton(joined(x, size)) for x in b.column("texts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), *(pa.array([x[k].tobytes() for x in made], pa.binary()) for k in (0, 1))], names=["lang", "table", "state"])
+
+    found = samples(docs, id_col, text_col, lang_col, rows, size).transform(c.mapped, run, "lang string, table binary, state binary").collect()  # one row a language, bounded by `size`
     return {r["lang"]: (np.frombuffer(r["table"], np.int64), np.frombuffer(r["state"], np.int32)) for r in sorted(found, key=lambda r: r["lang"])}
 
 
-def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, lang_pred, score, entropy) and the columns to keep, as keep_<name>; the score is the lead over the second language, 0 to 1."""
+def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), every: bool = False) -> DataFrame:
+    """(doc_id, lang_pred, score, entropy) and the columns to keep, as keep_<name>; the score is the lead over the second language, 0 to 1.
+
+    Rows without an id are left out unless `every`.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = list(model)
 
@@ -165,6 +177,12 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
         return out, inverse
 
     def run(batches):
+        try:
+            yield from told(batches)
+        finally:
+            _cache.clear()  # workers outlive their tasks
+
+    def told(batches):
         for b in batches:
             text = pc.fill_null(b.column("text"), "")
             letters = pc.match_substring_regex(text, r"\pL").to_numpy(zero_copy_only=False)
@@ -191,15 +209,18 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             low = np.where(ok, per.min(axis=1) if names else 0.0, 0.0)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(low), *(b.column(f"keep_{k}") for k in keep)], names=["doc_id", "lang_pred", "score", "entropy", *(f"keep_{k}" for k in keep)])
 
-    cols = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(k).alias(f"keep_{k}") for k in keep))
+    c.settle(docs.sparkSession)
+    cols = (docs if every else docs.where(F.col(id_col).isNotNull())).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(k).alias(f"keep_{k}") for k in keep))
     more = "".join(f", `keep_{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
-    return cols.mapInArrow(run, "doc_id long, lang_pred string, score double, entropy double" + more)
+    return cols.transform(c.mapped, run, "doc_id long, lang_pred string, score double, entropy double" + more)
 
 
 def known_language(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, whose language can be told."""
+    """The documents, all columns, whose language can be told; where no language was learned, those with a letter. Rows without an id are judged like others."""
+    if not model:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
     keep = tuple(k for k in docs.columns if k != id_col)
-    told = predict(docs, model, id_col, text_col, keep).where("lang_pred <> 'und'")
+    told = predict(docs, model, id_col, text_col, keep, every=True).where("lang_pred <> 'und'")
     return told.select(*(F.col("doc_id").alias(id_col) if k == id_col else F.col(f"keep_{k}").alias(k) for k in docs.columns))
 
 

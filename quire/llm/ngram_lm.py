@@ -235,7 +235,7 @@ def _stored(rows: DataFrame, shards: int, folder: str, kind: str, arrays) -> lis
             save(folder, f"{kind}-{number}", ef_build(keys - keys[0], int(keys[-1] - keys[0]) + 1) | arrays(keys, t))
             yield pa.RecordBatch.from_pylist([{"number": number, "first": int(keys[0]), "n": len(keys), "total": int(t["n"].to_numpy().sum())}])
 
-    found = rows.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(run, "number long, first long, n long, total long").collect()  # a row for each file
+    found = rows.repartitionByRange(shards, "key").sortWithinPartitions("key").transform(c.mapped, run, "number long, first long, n long, total long").collect()  # a row for each file
     out, before = [], 0
     for r in sorted(found, key=lambda r: r["first"]):
         out.append((r["number"], r["first"], r["n"], before, r["total"]))
@@ -408,8 +408,8 @@ def _counted(texts: DataFrame, keys_of, part_of, parts: int, solve, schema: str)
                 held.append((np.cumsum(step), np.ascontiguousarray(raw[8 * m :].reshape(4, m).T).view(np.uint32).ravel()))
         yield from done()
 
-    blobs = texts.mapInArrow(emit, "part int, blob binary")
-    return blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, schema)
+    blobs = texts.transform(c.mapped, emit, "part int, blob binary")
+    return blobs.repartition(parts, "part").sortWithinPartitions("part").transform(c.mapped, merge, schema)
 
 
 def _level(texts: DataFrame, model: Model, parts: int, least: int) -> tuple[int, dict[int, int]]:
@@ -458,7 +458,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     folder = folder if "://" in folder else f"file://{folder}"
     texts = c.id_text(docs, id_col, text_col)
     with c.scratch():
-        words = c.table(texts.mapInArrow(_unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
+        words = c.table(texts.transform(c.mapped, _unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
         model = Model(folder, _stored(words, words.count() // SHARD + 1, folder, "words", lambda keys, t: {"n": t["n"].to_numpy()}))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), model.total // SHARD + 1)
     while model.total and len(model.levels) < order - 1:
@@ -483,7 +483,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    return c.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return c.id_text(docs, id_col, text_col).transform(c.mapped, run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
 def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -290,7 +290,7 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
         for _, ids_of, _, _, ids, n in _coded(batches, model, merging):
             yield pa.RecordBatch.from_arrays([ids_of, pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
 
-    return c.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return c.id_text(docs, id_col, text_col).transform(c.mapped, run, "doc_id long, ids array<int>")
 
 
 def decoded(rows: DataFrame, model: str | None = None) -> DataFrame:
@@ -306,7 +306,7 @@ def decoded(rows: DataFrame, model: str | None = None) -> DataFrame:
         finally:
             _state.clear()
 
-    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return rows.select("doc_id", "ids").transform(c.mapped, run, "doc_id long, text string")
 
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,4 +320,4 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
             rows = [(cut[k + 1] - cut[k], zlib.crc32(raw[4 * cut[k] : 4 * cut[k + 1]]), b"".join([spell[x] for x in ids[cut[k] : cut[k + 1]]])[1:] == text[at[k] : at[k + 1]]) for k in range(len(ids_of))]
             yield pa.RecordBatch.from_arrays([ids_of, *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.bool_()), strict=True))], names=["doc_id", "n_ids", "ids_crc32", "exact"])
 
-    return c.id_text(spark.read.parquet(f"{sf_dir}/documents.parquet")).mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, exact boolean")
+    return c.id_text(spark.read.parquet(f"{sf_dir}/documents.parquet")).transform(c.mapped, run, "doc_id long, n_ids long, ids_crc32 long, exact boolean")

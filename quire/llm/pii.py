@@ -188,7 +188,7 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             values = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(flat, one, strict=True)], fields=list(one))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(at), values)], names=["doc_id", "spans"])
 
-    return c.id_text(docs, id_col, text_col).mapInArrow(run, f"doc_id long, spans {SPANS}")
+    return c.id_text(docs, id_col, text_col).transform(c.mapped, run, f"doc_id long, spans {SPANS}")
 
 
 def unpack(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,7 +279,7 @@ def spans_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ac
             rows = [[dict(zip(one.names, x, strict=True)) for x in chosen([tuple(s.values()) for s in spans], w.value, accept)] for spans in b.column("spans").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(rows, pa.list_(one))], names=["doc_id", "spans"])
 
-    return every.mapInArrow(run, "doc_id long, spans array<struct<kind:int,start:int,end:int,strict:boolean>>")
+    return every.transform(c.mapped, run, "doc_id long, spans array<struct<kind:int,start:int,end:int,strict:boolean>>")
 
 
 def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -307,7 +307,7 @@ def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 texts.append(mask(text, spans) if spans else text)
             yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field(i).type) if i == at else x for i, x in enumerate(b.columns)], schema=b.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(c.mapped, run, docs.schema)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             at = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(NAMES))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(at, pa.array(x.ravel()))], names=["doc_id", "x"])
 
-    return c.table(c.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, x array<double>"), "features")
+    return c.table(c.id_text(docs, id_col, text_col).transform(c.mapped, run, "doc_id long, x array<double>"), "features")
 
 
 def _cuts(g: np.ndarray, h: np.ndarray, leaves: int = 3) -> np.ndarray:
@@ -187,7 +187,7 @@ def scored(described_: DataFrame, model: dict) -> DataFrame:
             x = b.column("x").flatten().to_numpy().reshape(-1, len(NAMES))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score(shared.value, x))], names=["doc_id", "score"])
 
-    return described_.mapInArrow(run, "doc_id long, score double")
+    return described_.transform(c.mapped, run, "doc_id long, score double")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,7 +92,7 @@ def _sampled(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     doc = np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(whole[0]), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in whole[1:])], names=["key", "doc_id", "first", "n", "place"])
 
-    return docs.mapInArrow(run, "key long, doc_id long, first int, n int, place int")
+    return docs.transform(c.mapped, run, "key long, doc_id long, first int, n int, place int")
 
 
 TUPLE = "key long, doc_id long, first int, place int, ctx binary, hot boolean"
@@ -286,10 +286,10 @@ def _counted(tuples: DataFrame, length: int) -> DataFrame:
     some = kinds.where(several).select("key", "digest").join(F.broadcast(often), ["key", "digest"], "left_anti")
     whole = [many.join(F.broadcast(often), ["key", "digest"], "left_semi"), many.join(some, ["key", "digest"], "left_semi")]
     ones = c.table(tuples.join(kinds.select("one.doc_id", "one.first", "n"), ["doc_id", "first"]).select("doc_id", "first", "ctx", "n"), "ones")
-    counts = c.table(ones.mapInArrow(_prints(length), "print long, n long").groupBy("print").agg(F.sum("n").alias("n")).where("n > 1"), "prints")
+    counts = c.table(ones.transform(c.mapped, _prints(length), "print long, n long").groupBy("print").agg(F.sum("n").alias("n")).where("n > 1"), "prints")
     limit = max(16, (counts.agg(F.sum("n")).first()[0] or 0) // HEAVY)
     heavy = np.sort(counts.where(F.col("n") > limit).select("print").toArrow()["print"].to_numpy())  # HEAVY rows at most
-    marked = c.table(ones.where("n = 1").mapInArrow(_marked(length, spark.sparkContext.broadcast(heavy)), "print long, doc_id long, start int, end int"), "marked")
+    marked = c.table(ones.where("n = 1").transform(c.mapped, _marked(length, spark.sparkContext.broadcast(heavy)), "print long, doc_id long, start int, end int"), "marked")
     light = marked.where("print IS NOT NULL").join(counts.where(F.col("n") <= limit).select("print"), "print")
     return reduce(DataFrame.unionByName, (x.select("doc_id", "start", "end") for x in (*whole, marked.where("print IS NULL"), light)))
 
@@ -310,8 +310,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     share = 2 * owned.count() // max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     hot = (F.col("members") > min(max(HOT[0], share), HOT[1])) | (F.col("least") < 0)
     lists = owned.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "n", "place", hot.alias("hot"))).alias("owned"))
-    contexts = texts.join(lists, "doc_id").mapInArrow(_contexts(length), TUPLE)
-    plain = contexts.where("not hot").drop("hot").repartition("key").sortWithinPartitions("key").mapInArrow(_induced(length), "doc_id long, start int, end int")
+    contexts = texts.join(lists, "doc_id").transform(c.mapped, _contexts(length), TUPLE)
+    plain = contexts.where("not hot").drop("hot").repartition("key").sortWithinPartitions("key").transform(c.mapped, _induced(length), "doc_id long, start int, end int")
     if owned.where(hot).limit(1).count():
         plain = plain.unionByName(_counted(contexts.where("hot").select("key", "doc_id", "first", "ctx"), length))
     spans = plain.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
@@ -343,7 +343,7 @@ def shortened(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, kept binary, n_removed, n_spans) of the texts (doc_id, text) that lose bytes; ids are unique."""
     with c.scratch():
         spans = repeated_spans(texts, length)
-        return c.table(texts.join(spans, "doc_id").mapInArrow(_kept, "doc_id long, kept binary, n_removed long, n_spans long"), "shortened", keep=True)
+        return c.table(texts.join(spans, "doc_id").transform(c.mapped, _kept, "doc_id long, kept binary, n_removed long, n_spans long"), "shortened", keep=True)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -355,7 +355,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     rows, _ = c.keyed(docs, id_col)
-    less = shortened(c.id_text(rows, c.ROW, text_col), length).select("doc_id", "kept").mapInArrow(run, "doc_id long, text string")
+    less = shortened(c.id_text(rows, c.ROW, text_col), length).select("doc_id", "kept").transform(c.mapped, run, "doc_id long, text string")
     return replaced(rows, less, c.ROW, text_col).select(*docs.columns)
 
 

@@ -151,7 +151,7 @@ def test_op10(spark, tables):
     """Phrases counted by looking for ever longer strings in the samples."""
     folder, rows, _ = tables
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    samples = {r["lang"]: bytes(r["sample"]) for r in language_id.samples(docs.where(common.fold_bucket("doc_id", 4) != 2)).collect()}
+    samples = {r["lang"]: language_id.joined(r["texts"], language_id.BYTES) for r in language_id.samples(docs.where(common.fold_bucket("doc_id", 4) != 2)).collect()}
     assert set(samples) <= {g for i, _, g in rows if g and bucket(i, 4) != 2}
 
     def phrases(sample, word):
