@@ -5,7 +5,7 @@ sequence, fullest first, and follow them depth first.  A filling is left out if
 filling seen before at the same place dominates it: its pieces can be laid, one or several each, into pieces of that
 one.  A branch is cut where the sequences used and a lower bound for what is left reach the incumbent's number; the
 waste that this allows also ends the enumeration of fillings.  The incumbent starts as the better of best fit and of
-the fullest filling at each step.
+the fullest filling at each step, whose emptiest sequences are then regrouped, a few at a time, by fullest fillings.
 
 Whatever the corpus, pieces have one of `capacity` lengths, so the search runs on counts by length: one filling is
 laid as often as its pieces allow, and less often only on the way back.  Only this histogram (capacity numbers at
@@ -23,9 +23,11 @@ has it; repeated ids are packed as separate documents, rows without an id are le
 from __future__ import annotations
 
 import json
+import random
 import re
 import zlib
 from array import array
+from bisect import insort
 from functools import cached_property
 
 import numpy as np
@@ -245,7 +247,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
                         start, end, piece = end, end + capacity, piece + 1
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return c.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return c.id_text(docs, id_col, text_col).transform(c.mapped, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -293,6 +295,32 @@ def _lay(left: np.ndarray, fill: tuple[int, ...], most: int | None = None) -> in
     return times
 
 
+def regrouped(plan: list[tuple[int, tuple[int, ...]]], capacity: int, floor: int, rounds: int, pool: int = 2000, seed: int = 1) -> list[tuple[int, tuple[int, ...]]]:
+    """The plan with fewer sequences where waste can be brought together.
+
+    In each round the pieces of the emptiest sequence and of a few others are laid anew, each time around the largest, as
+    full as can be; what comes out is kept if the emptiest one is emptier or gone.  At most `pool` sequences take part.
+    """
+    rng, open_, rest = random.Random(seed), [], []
+    for times, f in sorted(plan, key=lambda p: sum(p[1])):
+        part = min(times, pool - len(open_)) if len(f) > 1 or sum(f) < capacity else 0
+        open_ += [f] * part
+        rest += [(times - part, f)] if times > part else []
+    fixed = sum(t for t, _ in rest)
+    for _ in range(rounds):
+        if len(open_) < 2 or len(open_) + fixed <= floor:
+            break
+        pick = sorted(rng.sample(range(1, len(open_)), min(len(open_) - 1, rng.choice((3, 5, 8)))), reverse=True)
+        counts = np.bincount([x for i in (0, *pick) for x in open_[i]], minlength=capacity + 1)
+        laid = [f for times, f in fullest(counts, capacity) for _ in range(times)]
+        if len(laid) <= len(pick) or len(laid) == len(pick) + 1 and min(map(sum, laid)) < sum(open_[0]):
+            for i in (*pick, 0):
+                del open_[i]
+            for f in laid:
+                insort(open_, f, key=sum)
+    return [*rest, *((1, f) for f in open_)]
+
+
 def bound(counts: np.ndarray, capacity: int) -> int:
     """Sequences that are needed at least: pieces above half of the capacity have one each, and what the others, from some length on, cannot lay beside those needs more."""
     n, size = np.append(counts, 0), np.arange(len(counts) + 1)
@@ -358,12 +386,14 @@ def dominates(g: tuple[int, ...], f: tuple[int, ...]) -> bool:
     return lay(0)
 
 
-def plan(counts: np.ndarray, capacity: int, budget: int = 4000) -> list[tuple[int, tuple[int, ...]]]:
-    """(times, lengths) of as few sequences as `budget` nodes of the search find."""
+def plan(counts: np.ndarray, capacity: int, budget: int = 4000, rounds: int = 8000) -> list[tuple[int, tuple[int, ...]]]:
+    """(times, lengths) of as few sequences as `rounds` of regrouping and `budget` nodes of the search find."""
     counts = counts.astype(np.int64)
     size = np.arange(len(counts))
     best = min((best_fit(counts, capacity), fullest(counts, capacity)), key=lambda p: sum(t for t, _ in p))
-    best_n, floor = sum(t for t, _ in best), bound(counts, capacity)
+    floor = bound(counts, capacity)
+    best = regrouped(best, capacity, floor, rounds)
+    best_n = sum(t for t, _ in best)
 
     def branches(left: np.ndarray, used: int, banned: frozenset):
         """(times, filling) around the largest piece, best first; then the same less often."""
@@ -448,7 +478,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(seq), pa.array(off)], names=[*names, "sequence_id", "offset"])
 
     numbered = ranked.join(starts, ["block", "length"]).select(*names, (F.col("from") + F.col("rank") - 1).alias("number"))
-    return numbered.mapInArrow(run, schema)
+    return numbered.transform(c.mapped, run, schema)
 
 
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
