@@ -352,7 +352,7 @@ def csl_json(df: DataFrame) -> DataFrame:
 
 
 #: Identifiers of the flat table, in order (fixed values).
-TABULAR = ("ark", "arxiv", "core", "dblp", "doi", "fatcat_release", "fatcat_work", "hdl", "isbn13", "jstor", "mag", "mid", "oai", "openalex", "pii", "pmcid", "pmid", "wikidata_qid")
+TABULAR = ("ark", "arxiv", "core", "dblp", "doi", "release_ident", "work_ident", "hdl", "isbn13", "jstor", "mag", "mid", "oai", "openalex", "pii", "pmcid", "pmid", "wikidata_qid")
 
 
 def tabular(df: DataFrame, kinds: tuple[str, ...] = TABULAR) -> DataFrame:
