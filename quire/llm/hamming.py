@@ -6,12 +6,16 @@ searched to radius r, every code within m * (r + 1) - 1 has been seen.  Radii gr
 ring of segment values is joined with the index, candidates are verified on whole codes, and a query leaves
 the search when its k-th verified distance is within what has been covered.
 
+A ring names buckets, by the upper bits of a segment, each once: a query never probes more than all buckets of a segment, which
+is a scan of the index, however far its radius has grown.
+
 Equal codes are one entry with their k smallest ids, so a code that a third of the rows share is one row of
 the index, and candidates that are worse than the current k-th distance do not leave the join.
 
 Cases: vectors that are null or empty have no code and neither query nor answer; NaN and null components are zero
 bits; vectors of several lengths are compared with zero bits for what is missing; fewer than k rows give
-what there is; ties go to the smallest id; a query finds itself; repeated ids count once for each code.
+what there is; ties go to the smallest id; a query finds itself; repeated ids count once for each code; rows without an id are
+left out, other columns may have any name; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -44,7 +48,7 @@ def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * words), pa.array(w.ravel()))], names=["id", "w"])
 
     rows = vectors.where(F.col(id_col).isNotNull() & (F.size(vector_col) > 0)).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    return rows.mapInArrow(run, "id long, w array<long>")
+    return rows.transform(c.mapped, run, "id long, w array<long>")
 
 
 def _own(w: np.ndarray) -> np.ndarray:
@@ -113,7 +117,7 @@ def topk(codes: DataFrame, queries: DataFrame, k: int = K, block: int = 4096) ->
     ids = c.table(codes.groupBy("w", "id").agg(F.lit(1).alias("r")).withColumn("r", rank).where(F.col("r") <= k).groupBy("w").agg(F.array_sort(F.collect_list("id")).alias("ids")), "codes")  # k ids a code at most
     total = ids.count()
     prefix = min(BITS, max(0, (total // block).bit_length()))
-    dealt = ids.select("w", F.col("ids")[0].alias("x")).mapInArrow(_dealt(prefix, None), "seg long, prefix long, w array<long>, x long")
+    dealt = ids.select("w", F.col("ids")[0].alias("x")).transform(c.mapped, _dealt(prefix, None), "seg long, prefix long, w array<long>, x long")
     size = dealt.groupBy("seg", "prefix").agg(F.ceil(F.count("*") / block).alias("parts"))
     one = F.struct("w", "x")
     index = dealt.join(size, ["seg", "prefix"]).groupBy("seg", "prefix", F.pmod(F.xxhash64("w"), F.col("parts")).alias("part")).agg(F.collect_list(one).alias("codes"))
@@ -124,9 +128,9 @@ def topk(codes: DataFrame, queries: DataFrame, k: int = K, block: int = 4096) ->
     order = F.row_number().over(Window.partitionBy("w").orderBy("distance", "id"))
     best = done = None
     for radius in range(BITS + 1):
-        probes = live.mapInArrow(_dealt(prefix, radius), "seg long, prefix long, w array<long>, x long")
+        probes = live.transform(c.mapped, _dealt(prefix, radius), "seg long, prefix long, w array<long>, x long")
         probes = probes.groupBy("seg", "prefix", F.pmod(F.xxhash64("w", "x"), F.lit(groups)).alias("group")).agg(F.collect_list(one).alias("queries"))
-        found = probes.join(index, ["seg", "prefix"]).select("seg", "queries", "codes").mapInArrow(_compared(words, radius, k), "w array<long>, cw array<long>, distance int")
+        found = probes.join(index, ["seg", "prefix"]).select("seg", "queries", "codes").transform(c.mapped, _compared(words, radius, k), "w array<long>, cw array<long>, distance int")
         found = (found if best is None else found.unionByName(best)).distinct()
         wide = found.join(ids.withColumnRenamed("w", "cw"), "cw").select("w", "cw", "distance", F.explode("ids").alias("id"))
         top = c.table(wide.withColumn("rank", order).where(F.col("rank") <= k), "top")
