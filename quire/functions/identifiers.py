@@ -119,15 +119,11 @@ def access_url(url: Column, work: Column) -> Column:
     )
 
 
-#: Referrer buckets by a part of the host, first match wins (fixed values).
-REFERRERS = (("google_scholar", "scholar.google."), ("google", "google."))
-
-
-def referrer_bucket(referrer: Column) -> Column:
-    """Where a visit came from: no referrer is `direct`, an unknown or unreadable one `other`."""
+def referrer_bucket(referrer: Column, buckets: tuple[tuple[str, str], ...]) -> Column:
+    """Where a visit came from, by (name, part of the host) pairs, the first match winning: no referrer is `direct`, an unknown or unreadable one `other`."""
     host = F.lower(F.try_parse_url(referrer, F.lit("HOST")))
     out = F.when(F.coalesce(referrer, F.lit("")) == "", "direct")
-    for name, part in REFERRERS:
+    for name, part in buckets:
         out = out.when(F.contains(host, F.lit(part)), name)
     return out.otherwise("other")
 

@@ -212,7 +212,8 @@ def citation_key(key: Column, index: Column) -> Column:
 
 
 def size_label(n: Column) -> Column:
-    return F.when(n >= 1000000, F.format_string("%.1f MB", n / 1000000.0)).when(n >= 1000, F.format_string("%d kB", (n / 1000).cast("long"))).otherwise(F.format_string("%d B", n.cast("long")))
+    """Under a thousand bytes, or unknown: empty."""
+    return F.when(n >= 1000000, F.format_string("%.1f MB", n / 1000000.0)).when(n >= 1000, F.format_string("%d kB", (n / 1000).cast("long"))).otherwise("")
 
 
 #: Headings before abstracts, cut one after another, blanks included (fixed values).

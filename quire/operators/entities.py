@@ -50,10 +50,10 @@ def add_urls(file_url: DataFrame, urls: DataFrame) -> DataFrame:
     return file_url.unionByName(new_rows(urls, file_url, ["file_id", "url"]), allowMissingColumns=True)
 
 
-def best_access(urls: DataFrame, order: str) -> DataFrame:
-    """Per release the last web archive address, else the last repository's, else the last of all, by an explicit order."""
-    rank = F.when(F.col("rel") == "webarchive", 2).when(F.col("rel").isin("repository", "archive"), 1).otherwise(0)
-    return urls.groupBy("release_id").agg(F.max_by("url", F.struct(rank, F.col(order))).alias("access_url"))
+def best_access(urls: DataFrame, order: str, of: str = "release_id", host: str = "web.archive.org") -> DataFrame:
+    """The last address that names the web archive's host, else the last of kind `webarchive`, else the last of all, by an explicit order; for each release, or for each work where `of` is its column."""
+    rank = F.when(F.contains("url", F.lit(host)), 2).when(F.col("rel") == "webarchive", 1).otherwise(0)
+    return urls.groupBy(of).agg(F.max_by("url", F.struct(rank, F.col(order))).alias("access_url"))
 
 
 #: Fields by which entities are looked up besides their legacy identifier (fixed values).

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,16 +69,34 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sharded(df: DataFrame, order: str, size: int, name: str = "shard") -> DataFrame:
-    """Consecutive shards of `size` rows by the order column.
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table of its own in the shared folder, read again: later steps see one and the same rows, and read the columns they need."""
+    path = f"{shared_folder(df.sparkSession)}/quire-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+IN_PART = (1 << 33) - 1  # monotonically_increasing_id has the partition above these bits, and the place in it below
 
-    Numbers come in two steps, within ranges and from the counts of the ranges before, so no task sorts all rows.
+
+def numbered(df: DataFrame, *order: str, name: str = "n") -> DataFrame:
+    """All rows numbered from 0 in order, without sorting them in one task.
+
+    Rows are dealt into ranges and stored with their place in them once; counts and numbers both come from what is stored,
+    since ranges are sampled anew each time they are made.  Equal rows of the order take any order.
     """
-    parts = df.repartitionByRange(F.col(order)).withColumn("__p", F.spark_partition_id())
-    parts = parts.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(order)))
-    ends = parts.groupBy("__p").agg(F.max("__r").alias("__n"))
+    ranges = df.repartitionByRange(*map(F.col, order)).sortWithinPartitions(*order)
+    parts = written(ranges.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("__at", 33)
+    ends = parts.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
     before = ends.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))  # one row a partition
-    return parts.join(before, "__p").withColumn(name, F.floor((F.col("__b") + F.col("__r") - 1) / size)).drop("__p", "__r", "__b")
+    joined = parts.join(F.broadcast(before), part == F.col("__p"))
+    return joined.withColumn(name, F.col("__b") + F.col("__at").bitwiseAND(F.lit(IN_PART))).drop("__p", "__b", "__at")
+
+
+def sharded(df: DataFrame, order: str, size: int, name: str = "shard") -> DataFrame:
+    """Consecutive shards of `size` rows by the order column."""
+    return numbered(df, order, name=name).withColumn(name, F.floor(F.col(name) / size))
 
 
 def write_records(df: DataFrame, column: str, path: str, separator: str = "\x1e") -> None:
@@ -92,10 +111,31 @@ def sitemap_works(documents: DataFrame, this_year: int) -> DataFrame:
     return kept.where(~F.coalesce(F.col("access_url").rlike(r"web\.archive\.org/web/\d{12}/"), F.lit(False)))
 
 
-def write_sitemap(urls: DataFrame, path: str, base: str, size: int = 20000) -> None:
-    """Files of at most `size` addresses, and an index of them."""
-    shards = sharded(urls.select("url"), "url", size)
-    line = F.concat(F.lit("<url><loc>"), F.replace(F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</loc></url>"))
-    shards.select(line.alias("value"), "shard").write.mode("overwrite").partitionBy("shard").text(f"{path}/urls")
-    index = shards.select("shard").distinct().select(F.format_string(f"<sitemap><loc>{base}/urls/shard=%d</loc></sitemap>", "shard").alias("value"))
-    index.coalesce(1).write.mode("overwrite").text(f"{path}/index")
+def sitemap_lines(works: DataFrame, base: str) -> DataFrame:
+    """(kind, url): a work's own page under `works`, and under `access` its way to the archived full text, where its address has one."""
+    url = F.regexp_replace
+    wayback, item = r"^https?://web\.archive\.org/web/\d{14}/(.+)$", r"^https?://archive\.org/download/([^/]+)/(.+)$"
+    own, to = F.concat(F.lit(f"{base}/work/"), "ident"), F.col("access_url")
+    way = F.when((F.col("access_type") == "wayback") & to.rlike(wayback), F.concat(own, F.lit("/access/wayback/"), url(to, wayback, "$1")))
+    way = way.when((F.col("access_type") == "ia_file") & to.rlike(item), F.concat(own, F.lit("/access/ia_file/"), url(to, item, "$1/$2")))
+    named = works.where(F.coalesce("ident", F.lit("")) != "")
+    return named.select(F.explode(F.array(F.struct(F.lit("works").alias("kind"), own.alias("url")), F.struct(F.lit("access").alias("kind"), way.alias("url")))).alias("x")).select("x.*").where("url IS NOT NULL")
+
+
+def write_sitemap(urls: DataFrame, path: str, base: str, day: str, size: int = 20000) -> None:
+    """Text files of at most `size` addresses a kind, one address a line in order, and for each kind an index with the day.
+
+    urls: (kind, url).  Each file is a folder of one part, as Spark writes it.
+    """
+    rows = numbered(urls.select("kind", "url"), "kind", "url")
+    first = rows.groupBy("kind").agg(F.min("n").alias("first"))  # one row a kind
+    rows = rows.join(F.broadcast(first), "kind").withColumn("shard", F.floor((F.col("n") - F.col("first")) / size))
+    parts = rows.repartition("kind", "shard").sortWithinPartitions("kind", "shard", "n")
+    parts.select(F.col("url").alias("value"), "kind", F.format_string("%05d", "shard").alias("shard")).write.mode("overwrite").partitionBy("kind", "shard").text(f"{path}/urls")
+    head = ['<?xml version="1.0" encoding="UTF-8"?>', '<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">']
+    entry = lambda n: F.array(F.lit("  <sitemap>"), F.format_string(f"    <loc>{base}/urls/kind=%s/shard=%05d</loc>", "kind", n), F.lit(f"    <lastmod>{day}</lastmod>"), F.lit("  </sitemap>"))
+    ends = rows.groupBy("kind").agg(F.max("shard").alias("last"))
+    middle = ends.select("kind", F.posexplode(F.sequence(F.lit(0).cast("long"), "last")).alias("pos", "n")).select("kind", (F.col("pos") + 1).alias("k"), entry(F.col("n")).alias("lines"))
+    fixed = lambda k, lines: ends.select("kind", F.lit(k).alias("k"), F.array(*map(F.lit, lines)).alias("lines"))
+    lines = fixed(0, head).unionByName(middle).unionByName(fixed(1 << 30, ["</sitemapindex>"])).select("kind", "k", F.posexplode("lines").alias("i", "value"))
+    lines.repartition("kind").sortWithinPartitions("kind", "k", "i").select("value", "kind").write.mode("overwrite").partitionBy("kind").text(f"{path}/index")

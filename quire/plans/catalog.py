@@ -747,7 +747,7 @@ def item_of_url(spark, sf):
     return rd(spark, sf, "pages").select("page_id", F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1).alias("item"))
 
 
-@query("""SELECT doc_id, CASE WHEN n_chars >= 1000000 THEN printf('%.1f MB', n_chars / 1000000) WHEN n_chars >= 1000 THEN (n_chars // 1000) || ' kB' ELSE n_chars || ' B' END AS label FROM documents""")
+@query("""SELECT doc_id, CASE WHEN n_chars >= 1000000 THEN printf('%.1f MB', n_chars / 1000000) WHEN n_chars >= 1000 THEN (n_chars // 1000) || ' kB' ELSE '' END AS label FROM documents""")
 def size_labels(spark, sf):
     return rd(spark, sf, "documents").select("doc_id", text.size_label(F.col("n_chars")).alias("label"))
 
@@ -803,11 +803,11 @@ def best_pdf(spark, sf):
     return urls.select("l_orderkey", "file_count", documents.best_pdf(F.col("urls")).alias("b")).select("l_orderkey", "file_count", "b.url", "b.in_ia")
 
 
-@query("""SELECT o_orderkey, CASE o_custkey % 5 WHEN 0 THEN 'google' WHEN 1 THEN 'direct' WHEN 2 THEN 'google_scholar' ELSE 'other' END AS bucket FROM orders""")
+@query("""SELECT o_orderkey, CASE o_custkey % 5 WHEN 0 THEN 'finder' WHEN 1 THEN 'direct' WHEN 2 THEN 'finder_papers' ELSE 'other' END AS bucket FROM orders""")
 def referrer_buckets(spark, sf):
     k = F.col("o_custkey") % 5
-    ref = F.when(k == 0, "https://www.Google.de/search?q=x").when(k == 1, "").when(k == 2, "https://scholar.google.com/x").when(k == 3, "https://www.bing.com/").otherwise("no address")
-    return rd(spark, sf, "orders").select("o_orderkey", ids.referrer_bucket(ref).alias("bucket"))
+    ref = F.when(k == 0, "https://www.Finder.example/search?q=x").when(k == 1, "").when(k == 2, "https://papers.finder.example/x").when(k == 3, "https://www.other.example/").otherwise("no address")
+    return rd(spark, sf, "orders").select("o_orderkey", ids.referrer_bucket(ref, (("finder_papers", "papers.finder."), ("finder", "finder."))).alias("bucket"))
 
 
 @query("""SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'https://x.org/p/a' || page_id || '.pdf' WHEN 1 THEN 'https://j.org/article/view/' || page_id || '/download' WHEN 2 THEN 'https://x.org/b' || page_id || '.pdf' WHEN 3 THEN 'https://pure.tue.nl/ws/portalfiles/portal/' || page_id || '/x.pdf'

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import io
+import re
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from quire.sources import stores
+
 #: Columns of a capture index line and their places (fixed values).
 CDX = ("surt", "ts", "url", "mimetype", "status", "sha1_b32", "redirect", "meta", "size", "offset", "warc_path")
 #: Largest line that is parsed.
 LARGEST = 256 << 20
+BLOCK = 1 << 20  # bytes read of an archive at a time
 
 
 def lines(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
@@ -56,7 +63,7 @@ def arxiv_records(spark: SparkSession, path: str) -> DataFrame:
     x, m = xml_records(spark, path, "record", ARXIV_SCHEMA), "metadata.arXiv"
     people = F.transform(F.col(f"{m}.authors.author"), lambda a: F.struct(a["forenames"].alias("forename"), a["keyname"].alias("keyname"), a["suffix"].alias("suffix"), F.try_element_at(a["affiliation"], F.lit(1)).alias("affiliation")))
     return x.select(
-        F.col("header.identifier").alias("identifier"), F.col("header._status").alias("status"), *(F.col(f"{m}.{f}").alias(f) for f in ("id", "title", "abstract", "doi", "created", "updated", "license")),
+        F.col("header.identifier").alias("identifier"), F.col("header._status").alias("status"), F.col("header.datestamp").alias("datestamp"), *(F.col(f"{m}.{f}").alias(f) for f in ("id", "title", "abstract", "doi", "created", "updated", "license")),
         F.col(f"{m}.journal-ref").alias("journal_ref"), F.col(f"{m}.report-no").alias("report_no"), people.alias("authors"),
     )
 
@@ -205,28 +212,126 @@ def response(head: dict, body: bytes, cut: bool) -> Iterator[tuple]:
         yield (head.get("warc-target-uri"), head.get("warc-date"), "response", int(code) if code.isdigit() else None, kind, payload, cut, hashlib.sha1(payload).hexdigest())
 
 
-def warc_records(spark: SparkSession, path: str, process: Callable[[dict, bytes, bool], Iterable[tuple]], schema: str, keep: Callable[[dict], bool] = lambda head: True, largest: int = 500 << 20, block: int = 64) -> DataFrame:
-    """The rows that `process(head, body, cut)` makes of each record that `keep(head)` takes, with the file's name first; one task a file.
+class _Part(io.RawIOBase):
+    """Bytes [offset, offset + length) of an open file, unpacked if they are gzip; what ends early ends there."""
+
+    def __init__(self, file, offset: int, length: int, packed: bool):
+        file.seek(offset)
+        self.file, self.left, self.rest = file, length, b""
+        self.unpack = zlib.decompressobj(31) if packed else None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, out) -> int:
+        while not self.rest:
+            held = self.unpack.unconsumed_tail if self.unpack else b""
+            block = held or self.file.read(min(self.left, BLOCK))
+            if not held:
+                self.left -= len(block)
+            if not block:
+                return 0
+            try:
+                self.rest = self.unpack.decompress(block, BLOCK) if self.unpack else block
+            except zlib.error:
+                return 0
+            if self.unpack and self.unpack.eof:
+                self.left = 0
+        n = min(len(out), len(self.rest))
+        out[:n], self.rest = self.rest[:n], self.rest[n:]
+        return n
+
+
+def _members(file, size: int) -> Iterator[tuple[int, int, bool]]:
+    """(offset, length, packed) of the gzip members of an archive, or of the records of one that is not packed; in one pass, a block at a time."""
+    file.seek(0)
+    if file.read(2) != b"\x1f\x8b":
+        at = 0
+        while at < size:
+            file.seek(at)
+            head, blank = b"", 0
+            while b"\r\n\r\n" not in head.lstrip(b"\r\n") and (block := file.read(4096)):
+                head += block
+            blank = len(head) - len(head.lstrip(b"\r\n"))
+            fields, found, _ = head[blank:].partition(b"\r\n\r\n")
+            length = re.search(rb"(?im)^content-length:[ \t]*(\d+)", fields)
+            if not fields.startswith(b"WARC/") or not found or not length:
+                if blank < len(head):
+                    yield at, size - at, False
+                return
+            step = min(blank + len(fields) + 4 + int(length[1]), size - at)
+            yield at, step, False
+            at += step
+        return
+    file.seek(0)
+    start, at, held = 0, 0, b""
+    while start < size:
+        unpack = zlib.decompressobj(31)
+        while not unpack.eof:
+            block = held or file.read(BLOCK)
+            held = b""
+            if not block:
+                break
+            at += len(block)
+            try:
+                while block and not unpack.eof:
+                    unpack.decompress(block, BLOCK)
+                    block = unpack.unconsumed_tail
+            except zlib.error:  # what follows is no gzip: it goes with the member that it breaks
+                yield start, size - start, True
+                return
+        held = unpack.unused_data
+        at -= len(held)
+        yield start, at - start, True
+        start = at
+        if not unpack.eof:
+            return
+
+
+def warc_index(spark: SparkSession, path: str) -> DataFrame:
+    """(path, offset, length, packed) of each part of archives that can be read by itself; one task a file, a block at a time. Store it for archives that are read again."""
 
-    A record that ends early or is larger than `largest` is cut, and one that makes `process` fail gives nothing.
+    def run(batches: Iterator):
+        for b in batches:
+            for name, size in zip(b.column("path").to_pylist(), b.column("length").to_pylist(), strict=True):
+                store, at = stores.opened(name)
+                with store.open_input_file(at) as f:
+                    rows: list[tuple] = []
+                    for row in _members(f, size):
+                        rows.append((name, *row))
+                        if len(rows) == 10_000:
+                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], ["path", "offset", "length", "packed"])
+                            rows = []
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], ["path", "offset", "length", "packed"])
+
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length")
+    return files.mapInArrow(run, "path string, offset long, length long, packed boolean")
+
+
+def warc_records(
+    spark: SparkSession, path: str, process: Callable[[dict, bytes, bool], Iterable[tuple]], schema: str, keep: Callable[[dict], bool] = lambda head: True, largest: int = 500 << 20, block: int = 64,
+    share: int = 64 << 20, index: DataFrame | None = None,
+) -> DataFrame:
+    """The rows that `process(head, body, cut)` makes of each record that `keep(head)` takes, with the file's name first.
+
+    Tasks take `share` bytes of an archive each, by an index of its parts (made where none is given).  A record that ends
+    early or is larger than `largest` is cut, and one that makes `process` fail gives nothing.
     """
     names = [f.name for f in StructType.fromDDL(schema).fields]
     types = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(batches: Iterator):
-        import gzip
-        import io
-
-        import pyarrow as pa
-
-        def batch(rows):
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types.field(i).type) for i in range(len(names))], names=names)
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types.field(i).type) for i in range(len(names))], names=names)
 
+    def run(batches: Iterator):
+        opened, file, rows, size = None, None, [], 0
         for b in batches:
-            for name, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
-                stream = gzip.open(io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
-                rows, size = [], 0
-                for head, body, cut in _warc_parts(stream, largest):
+            for name, offset, length, packed in zip(*(b.column(c).to_pylist() for c in ("path", "offset", "length", "packed")), strict=True):
+                if name != opened:
+                    store, at = stores.opened(name)
+                    opened, file = name, store.open_input_file(at)
+                for head, body, cut in _warc_parts(io.BufferedReader(_Part(file, offset, length, packed)), largest):
                     if not keep(head):
                         continue
                     try:
@@ -238,11 +343,17 @@ def warc_records(spark: SparkSession, path: str, process: Callable[[dict, bytes,
                     if len(rows) >= block or size > 8 << 20:
                         yield batch(rows)
                         rows, size = [], 0
-                if rows:
-                    yield batch(rows)
-
-    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
-    return files.mapInArrow(run, schema)
+        if rows:
+            yield batch(rows)
+
+    if index is None:
+        files = spark.read.format("binaryFile").load(path).select("length")
+        index = warc_index(spark, path)
+    else:
+        files = index
+    tasks = files.agg(F.sum(F.ceil(F.col("length") / share)) if files is not index else F.ceil(F.sum("length") / share)).first()[0]  # rows of the index are small, so Spark would put all into few tasks
+    dealt = index.repartition(max(int(tasks or 1), 1), "path", F.floor(F.col("offset") / share)).sortWithinPartitions("path", "offset")
+    return dealt.mapInArrow(run, schema)
 
 
 def warc_responses(spark: SparkSession, path: str, largest: int = 500 << 20) -> DataFrame:

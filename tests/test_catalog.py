@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from quire.functions.text import STOP_WORDS
-from quire.plans import catalog, services, upstream  # noqa: F401  these register their queries in catalog
+from quire.plans import catalog, flows, services, upstream  # noqa: F401  these register their queries in catalog
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

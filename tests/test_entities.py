@@ -35,6 +35,8 @@ def test_current_and_legacy(spark):
 def test_best_access(spark):
     u = spark.createDataFrame([("r", "w1", "webarchive", 1), ("r", "w2", "webarchive", 2), ("r", "z", "web", 9), ("s", "z", "web", 1)], "release_id string, url string, rel string, o int")
     assert {r["release_id"]: r["access_url"] for r in entities.best_access(u, "o").collect()} == {"r": "w2", "s": "z"}
+    more = spark.createDataFrame([("r", "https://web.archive.org/web/1/a", "repository", 1), ("r", "w", "webarchive", 2)], u.schema)
+    assert entities.best_access(more, "o").first()["access_url"] == "https://web.archive.org/web/1/a"
 
 
 def test_report(spark):

@@ -124,7 +124,6 @@ def test_intervals(spark, start, end, unit, n):
 def test_urls(spark):
     assert one(spark, ids.url_host, "https://u@Example.org:8080/x") == "example.org:8080"
     assert one(spark, ids.registered_domain, "www.journals.ac.uk") == "journals.ac.uk"
-    assert one(spark, ids.referrer_bucket, "https://www.google.com/search") == "google"
     assert one(spark, ids.arxiv_versioned, "2301.12345") == "2301.12345v1"
     assert one(spark, ids.arxiv_versioned, "2301.12345v2") == "2301.12345v2"
     assert one(spark, ids.blob_path, "abcdef") == "ab/cd/abcdef"
@@ -147,10 +146,10 @@ def test_access_url(spark, raw, work, want):
 
 @pytest.mark.parametrize(
     "raw, want",
-    [("", "direct"), (None, "direct"), ("https://scholar.google.com/scholar?q=x", "google_scholar"), ("https://www.google.co.uk/", "google"), ("https://duckduckgo.com/", "other"), ("https://www.bing.com/", "other"), ("not an address", "other")],
+    [("", "direct"), (None, "direct"), ("https://papers.finder.example/list?q=x", "finder_papers"), ("https://www.Finder.example/", "finder"), ("https://www.other.example/", "other"), ("not an address", "other")],
 )
 def test_referrer_bucket(spark, raw, want):
-    assert one(spark, ids.referrer_bucket, raw) == want
+    assert one(spark, lambda x: ids.referrer_bucket(x, (("finder_papers", "papers.finder."), ("finder", "finder."))), raw) == want
 
 
 @pytest.mark.parametrize(

@@ -275,3 +275,32 @@ def test_lookup_first(spark):
 def test_pipeline_of_columns(spark):
     f = text.pipeline(F.trim, F.upper)
     assert spark.range(1).select(f(F.lit(" a ")).alias("x")).first()["x"] == "A"
+
+
+@pytest.mark.parametrize("coalesced", ["true", "false"])
+def test_shards_of_many_wide_rows(spark, coalesced):
+    """1.5 million rows with long addresses: all rows are there, all shards are consecutive and full, whatever the partitions become."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, coalesced)
+    try:
+        n = 1_500_000
+        key = F.lpad(F.pmod(F.col("id") * 7919, F.lit(n)).cast("string"), 7, "0")
+        wide = spark.range(n).select(F.concat(key, F.lit("/" + "x" * 248)).alias("url"), "id").repartition(13)
+        at = F.substring("url", 1, 7).cast("long")
+        got = sinks.sharded(wide, "url", 1000).groupBy("shard").agg(F.count("*").alias("n"), F.min(at).alias("a"), F.max(at).alias("b")).collect()
+        assert sorted(tuple(r) for r in got) == [(i, 1000, 1000 * i, 1000 * i + 999) for i in range(1500)]
+    finally:
+        spark.conf.unset(name)
+
+
+def test_numbers_with_ties_nulls_and_no_rows(spark):
+    df = spark.createDataFrame([(x, i) for i, x in enumerate([None, "b", "a", "a", None, "c"] * 20)], "k string, i int")
+    rows = sinks.numbered(df, "k").orderBy("n").collect()
+    assert [r["n"] for r in rows] == list(range(120)) and [r["k"] for r in rows] == [None] * 40 + ["a"] * 40 + ["b"] * 20 + ["c"] * 20
+    assert sinks.numbered(df.limit(0), "k").count() == 0
+
+
+def test_sitemap_lines(spark):
+    rows = [("w1", "wayback", "https://web.archive.org/web/20200101000000/http://a/b"), ("w2", "wayback", "https://web.archive.org/web/202001010000/http://a/b"), ("w3", "ia_file", "http://archive.org/download/i/x/y.pdf"), ("w4", "wayback", ""), ("", "wayback", "x"), (None, None, None), ("w5", None, None)]
+    got = sinks.sitemap_lines(spark.createDataFrame(rows, "ident string, access_type string, access_url string"), "B").collect()
+    assert sorted(map(tuple, got)) == [("access", "B/work/w1/access/wayback/http://a/b"), ("access", "B/work/w3/access/ia_file/i/x/y.pdf"), *(("works", f"B/work/w{i}") for i in range(1, 6))]
