@@ -153,17 +153,52 @@ def index_to_display(name: Column) -> Column:
     return F.when(stays, name).otherwise(F.concat_ws(" ", F.trim(F.substring_index(name, ",", -1)), F.trim(F.substring_index(name, ",", 1))))
 
 
-@F.pandas_udf(StringType())
-def decoded(body: pd.Series, charset: pd.Series) -> pd.Series:
-    """The text of a page's bytes: by the character set given, else as UTF-8; a name that is unknown gives NULL."""
-
-    def one(data, name):
+#: Marks at a file's start that name its encoding (fixed values).
+MARKS = ((b"\xef\xbb\xbf", "utf-8"), (b"\xfe\xff", "utf-16-be"), (b"\xff\xfe", "utf-16-le"))
+#: Names that pages give, and what they are read as (fixed values).
+READ_AS = {"iso-8859-1": "cp1252", "latin1": "cp1252", "latin-1": "cp1252", "iso8859-1": "cp1252", "us-ascii": "cp1252", "ascii": "cp1252", "windows-1252": "cp1252", "iso-8859-9": "cp1254", "gb2312": "gb18030", "gbk": "gb18030", "x-sjis": "shift_jis", "utf-16": "utf-16-le"}
+PRESCAN = 1024  # bytes of a page in which it may name its own character set
+
+
+def charset_of(body: bytes, header: str | None) -> tuple[str, int]:
+    """(codec, length of the mark to cut): by the mark, the header's charset, what the page's first bytes say, UTF-8 if it reads as that, else windows-1252."""
+    import codecs
+    import re
+
+    for mark, name in MARKS:
+        if body.startswith(mark):
+            return name, len(mark)
+    found = re.search(r"charset\s*=\s*[\"']?([^\s\"';,]+)", header or "", re.I) or re.fullmatch(r"\s*([\w.:-]+)\s*()", header or "")
+    inside = re.search(rb"<meta[^>]+charset\s*=\s*[\"']?\s*([\w.:-]+)", body[:PRESCAN], re.I)
+    for name in (found and found[1], inside and inside[1].decode("latin-1")):
+        name = READ_AS.get((name or "").lower(), name)
+        if name and inside is not None and found is None and name.lower().startswith("utf-16"):
+            name = "utf-8"  # a page that can be read so far is not in UTF-16
         try:
-            return None if data is None else bytes(data).decode(name or "utf-8", "replace")
+            if name:
+                codecs.lookup(name)
+                return name, 0
         except LookupError:
+            continue
+    try:
+        body.decode("utf-8")
+    except UnicodeDecodeError:
+        return "cp1252", 0
+    return "utf-8", 0
+
+
+@F.pandas_udf(StringType())
+def decoded(body: pd.Series, header: pd.Series) -> pd.Series:
+    """The text of a page's bytes, by its mark, the content type's charset (or a bare name), its own words, or what its bytes look like; NULL of NULL."""
+
+    def one(data, head):
+        if data is None:
             return None
+        data = bytes(data)
+        name, cut = charset_of(data, head if isinstance(head, str) else None)
+        return data[cut:].decode(name, "replace")
 
-    return pd.Series([one(b, c) for b, c in zip(body, charset, strict=True)], dtype=object)
+    return pd.Series([one(b, h) for b, h in zip(body, header, strict=True)], dtype=object)
 
 
 def display_name(creator_id: Column, creator_name: Column, raw: Column, given: Column, surname: Column) -> Column:

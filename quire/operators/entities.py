@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import identifiers as ids, text
-from quire.operators.cluster import match_titles
+from quire.operators.cluster import match_titles, title_pairs
 from quire.operators.relational import delete_rows, insert_ignore, new_rows, replace_rows
 
 
@@ -112,18 +112,52 @@ def incoming(edges: DataFrame, releases: DataFrame, release_id) -> DataFrame:
     return edges.where(F.col("target_release_id") == release_id).join(releases.select(F.col("id").alias("release_id"), "title", "release_year"), "release_id", "left").orderBy(F.desc_nulls_last("release_year"), "release_id")
 
 
-def match_citations(refs: DataFrame, releases: DataFrame) -> DataFrame:
-    """(ref_id, id, status) of refs (ref_id, doi, title) among releases (id, doi, title): by identifier, else by title, the best of several.
+def access_redirects(asked: DataFrame, urls: DataFrame, order: str, archive: str = "://web.archive.org/web/", store: str = "://archive.org/") -> DataFrame:
+    """(ask_id, target) of asked (ask_id, work_id, original_url, path) by the works' addresses (work_id, url): the first, by an explicit order, that fits.
 
-    Only what identifiers leave open is compared by tokens.
+    An archived copy fits if it ends with the original address, and is answered by its raw form; a stored file fits if its address contains
+    the path.  One join by work; none that fits: NULL.
     """
-    r = refs.withColumn("key", ids.lenient_doi(F.col("doi")))
-    known = releases.select("id", ids.lenient_doi(F.col("doi")).alias("key")).where("key IS NOT NULL").dropDuplicates(["key"])
-    exact = r.join(known, "key").select("ref_id", "id", F.lit("exact").alias("status"))
-    rest = r.join(exact.select("ref_id"), "ref_id", "left_anti").where("title IS NOT NULL")
-    near = match_titles(rest.select(F.col("ref_id").alias("id"), "title"), releases.select(F.col("id").alias("target"), "title"))
-    best = near.groupBy(F.col("id").alias("ref_id")).agg(F.max_by("target", F.struct("shared", "target")).alias("id"))
-    return exact.unionByName(best.withColumn("status", F.lit("fuzzy")).select("ref_id", "id", "status"))
+    j = asked.join(urls.select("work_id", "url", F.col(order).alias("__o")), "work_id")
+    copy = F.contains("url", F.lit(archive)) & (F.coalesce("original_url", F.lit("")) != "") & F.endswith("url", F.col("original_url"))
+    file = F.contains("url", F.lit(store)) & (F.coalesce("path", F.lit("")) != "") & F.contains("url", F.col("path"))
+    raw = F.concat(F.substring_index("url", "/", 4), F.lit("/"), F.split_part("url", F.lit("/"), F.lit(5)), F.lit("id_/"), F.col("original_url"))
+    fits = j.where(copy | file).groupBy("ask_id").agg(F.min_by(F.when(copy, F.regexp_replace(raw, "^http:", "https:")).otherwise(F.col("url")), "__o").alias("target"))
+    return asked.select("ask_id").distinct().join(fits, "ask_id", "left")
+
+
+#: Weights of what a citation and a release may agree in; the title's counts by the rarity of its tokens.
+CITED_TITLE, CITED_NAMES, CITED_YEAR = 1.5, 1.0, 0.5
+
+
+def match_citations(refs: DataFrame, releases: DataFrame, fallback: DataFrame | None = None, least: float = 80) -> DataFrame:
+    """(ref_id, id, status, score) of every one of refs (ref_id, doi, title, and maybe year, creators) among releases (id, doi, title, and maybe release_year, contrib_names).
+
+    A reference with an identifier is looked up by it: in the releases (`exact`), else in the fallback (id, doi; `fallback`), else it is `unknown`, as its
+    title is not asked.  Others are compared by tokens: of what the reference gives, the share that the release agrees in, out of 100: tokens of the
+    title by their rarity, surnames, the year.  The best of `least` or more is `fuzzy`, nothing that good `refused`.  What stands behind `Archived ` in a title is no title.
+    """
+    maybe = lambda df, c, kind: F.col(c) if c in df.columns else F.lit(None).cast(kind)
+    r = refs.select(F.col("ref_id"), ids.lenient_doi(F.col("doi")).alias("key"), F.regexp_replace("title", "(?s)^(.+?)\\s*Archived .*$", "$1").alias("title"), maybe(refs, "year", "int").alias("year"), maybe(refs, "creators", "string").alias("creators"))
+    table = lambda d: d.select("id", ids.lenient_doi(F.col("doi")).alias("key")).where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
+    nil = F.lit(None).cast("double")
+    named = r.where("key IS NOT NULL").select("ref_id", "key").join(table(releases).withColumnRenamed("id", "own"), "key", "left")
+    named = named.join(table(fallback).withColumnRenamed("id", "other"), "key", "left") if fallback is not None else named.withColumn("other", F.lit(None).cast(releases.schema["id"].dataType))
+    status = F.when(F.col("own").isNotNull(), "exact").when(F.col("other").isNotNull(), "fallback").otherwise("unknown")
+    named = named.select("ref_id", F.coalesce("own", "other").alias("id"), status.alias("status"), nil.alias("score"))
+
+    rest = r.where("key IS NULL")
+    near = title_pairs(rest.where("title IS NOT NULL").select(F.col("ref_id").alias("id"), "title"), releases.select(F.col("id").alias("target"), "title")).select(F.col("id").alias("ref_id"), F.col("target").alias("id"), "share")
+    theirs = releases.select("id", maybe(releases, "release_year", "int").alias("release_year"), F.lower(F.coalesce(maybe(releases, "contrib_names", "string"), F.lit(""))).alias("names"))
+    surnames = F.transform(text.split_creators(F.coalesce("creators", F.lit(""))), lambda x: F.lower(text.split_name(x)["surname"]))
+    j = near.join(rest.select("ref_id", "year", surnames.alias("asked")), "ref_id").join(theirs, "id")
+    people = F.when(F.size("asked") > 0, F.size(F.filter("asked", lambda x: F.contains("names", x))) / F.size("asked"))
+    year = F.when(F.col("year").isNotNull(), (F.col("year") == F.col("release_year")).cast("double"))
+    given = F.lit(CITED_TITLE) + F.when(people.isNotNull(), CITED_NAMES).otherwise(0.0) + F.when(year.isNotNull(), CITED_YEAR).otherwise(0.0)
+    score = 100 * (CITED_TITLE * F.col("share") + CITED_NAMES * F.coalesce(people, F.lit(0.0)) + CITED_YEAR * F.coalesce(year, F.lit(0.0))) / given
+    best = j.select("ref_id", "id", F.round(score, 3).alias("score")).where(F.col("score") >= least).groupBy("ref_id").agg(F.min_by(F.struct("id", "score"), F.struct((-F.col("score")).alias("s"), "id")).alias("b"))
+    found = rest.select("ref_id").join(best, "ref_id", "left").select("ref_id", F.col("b.id").alias("id"), F.when(F.col("b").isNull(), "refused").otherwise("fuzzy").alias("status"), F.col("b.score").alias("score"))
+    return named.unionByName(found)
 
 
 def match_records(left: DataFrame, right: DataFrame) -> DataFrame:

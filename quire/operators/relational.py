@@ -47,6 +47,33 @@ def by_suffix(rows: DataFrame, column: str, suffixes: DataFrame, suffix: str) ->
     return rows.join(keys, rows[column] == keys["__own"]).drop("__own")
 
 
+GRAM = 3
+
+
+def _grams(column: str, lengths: list[int]):
+    """Distinct pieces of the text, of each length."""
+    one = lambda n: F.transform(F.sequence(F.lit(1), F.length(column) - n + 1), lambda i: F.substr(F.col(column), i, F.lit(n)))
+    return F.array_distinct(F.concat(*(F.when(F.length(column) >= n, one(n)).otherwise(F.array().cast("array<string>")) for n in lengths)))
+
+
+def by_substring(rows: DataFrame, column: str, patterns: DataFrame, pattern: str) -> DataFrame:
+    """rows with each pattern (one row each) that their column contains.
+
+    A pattern is looked for by its rarest piece of three characters (all of it, if it is shorter), as counted in the distinct
+    values, so this is an equi-join whose pairs are checked, instead of a nested loop.  Empty patterns and nulls find nothing.
+    """
+    own = rows.select(F.col(column).alias("__own")).where("__own <> ''").distinct()
+    asked = patterns.select(F.col(pattern).alias("__p")).where("__p <> ''").distinct()
+    shorter = F.least(F.length("__p"), F.lit(GRAM))
+    pieces = own.select("__own", F.explode(_grams("__own", list(range(1, GRAM + 1)))).alias("__g"))
+    wanted = asked.select("__p", F.explode(F.filter(_grams("__p", list(range(1, GRAM + 1))), lambda g: F.length(g) == shorter)).alias("__g"))
+    used = pieces.join(wanted.select("__g").distinct(), "__g", "left_semi")
+    counts = used.groupBy("__g").agg(F.count("*").alias("__n"))
+    rarest = wanted.join(counts, "__g", "left").groupBy("__p").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__g").alias("g"))).alias("k")).where("k.n > 0").select("__p", F.col("k.g").alias("__g"))
+    hits = used.join(rarest, "__g").where(F.contains("__own", F.col("__p"))).select("__own", F.col("__p").alias(pattern))
+    return rows.join(hits, rows[column] == hits["__own"]).drop("__own")
+
+
 def missing(sets: list[DataFrame], known: DataFrame, key: str) -> DataFrame:
     """Distinct keys of any of the sets that are not known."""
     every = reduce(DataFrame.unionByName, (d.select(F.col(key).cast("string").alias(key)) for d in sets)).where(F.col(key).isNotNull())

@@ -147,3 +147,14 @@ def islands(df: DataFrame, key: str, value: str) -> DataFrame:
 def contiguous(df: DataFrame, key: str, value: str) -> DataFrame:
     agg = df.groupBy(key).agg(F.min(value).alias("first"), F.max(value).alias("last"), F.count_distinct(value).alias("distinct_values"))
     return agg.withColumn("contiguous", F.col("last") - F.col("first") + 1 == F.col("distinct_values"))
+
+
+def day_sketches(df: DataFrame, key: str, day: Column, value: str, precision: int = 12) -> DataFrame:
+    """(key, day, sketch): mergeable sketches of the distinct values of each key and day, to be stored and added to day by day."""
+    return df.groupBy(key, day.alias("day")).agg(F.hll_sketch_agg(F.col(value), F.lit(precision)).alias("sketch"))
+
+
+def span_distinct(sketches: DataFrame, key: str, begin: str, end: str) -> DataFrame:
+    """(key, about): distinct values of the days [begin, end), from sketches alone; the relative error has a deviation of about 1.04 / sqrt(2**precision)."""
+    some = sketches.where((F.col("day") >= F.lit(begin).cast("date")) & (F.col("day") < F.lit(end).cast("date")))
+    return some.groupBy(key).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about"))

@@ -220,6 +220,27 @@ def full_text_link(html: pd.Series, base: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([next_link(p or "", u or "") for p, u in zip(html, base, strict=True)], columns=["url", "rule", "hop"])
 
 
+def registered_domains(df: DataFrame, host: str, rules: DataFrame, name: str = "domain") -> DataFrame:
+    """df with the registered domain of each host: one label more than the longest public suffix that a rule (one column `rule`) names.
+
+    Rules are as public suffix lists write them: `co.uk`, `*.ck` for every label below, `!www.ck` for an exception to that; a host that none
+    names has its last label as suffix.  Each host's own suffixes are looked up in the rules by an equi-join over the distinct hosts.  Ports do
+    not count; a host that is a suffix itself, an address of numbers, or none has no registered domain.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.lower(F.col(host)), r":\d*$", ""), r"\.$", "")
+    hosts = df.select(F.col(host).alias("__h"), F.split(bare, r"\.").alias("__l")).where("__h IS NOT NULL").distinct()
+    ends = hosts.select("__h", "__l", F.explode(F.sequence(F.lit(1), F.size("__l"))).alias("__n"))
+    tail = lambda n: F.array_join(F.slice("__l", F.size("__l") - n + 1, n), ".")
+    keys = ends.select("__h", "__n", F.explode(F.array(F.struct(tail(F.col("__n")).alias("k"), F.col("__n").alias("labels"), F.lit(0).alias("rank")), F.struct(F.concat(F.lit("!"), tail(F.col("__n"))).alias("k"), (F.col("__n") - 1).alias("labels"), F.lit(1).alias("rank")),
+        F.struct(F.when(F.col("__n") > 1, F.concat(F.lit("*."), tail(F.col("__n") - 1))).alias("k"), F.col("__n").alias("labels"), F.lit(0).alias("rank")))).alias("x")).select("__h", F.col("x.k").alias("rule"), "x.labels", "x.rank")
+    best = keys.join(rules.select(F.lower(F.trim("rule")).alias("rule")).distinct(), "rule").groupBy("__h").agg(F.max_by("labels", F.struct("rank", "labels")).alias("suffix"))
+    own = hosts.join(best, "__h", "left").withColumn("suffix", F.coalesce("suffix", F.lit(1)))
+    numbers = F.array_join("__l", ".").rlike(r"^\d+(\.\d+){3}$|:")
+    good = (F.size("__l") > F.col("suffix")) & ~numbers & ~F.exists("__l", lambda x: x == "")
+    domains = own.select("__h", F.when(good, F.array_join(F.slice("__l", F.size("__l") - F.col("suffix"), F.col("suffix") + 1), ".")).alias(name))
+    return df.join(domains, F.col(host) == F.col("__h"), "left").drop("__h")
+
+
 def hops(starts: DataFrame, links: DataFrame, most: int = 8) -> DataFrame:
     """(start, url, hop, outcome) after following captured links (url, next) for at most `most` steps.
 

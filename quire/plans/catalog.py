@@ -153,6 +153,17 @@ def exact_distinct(spark, sf):
     return stats.distinct_counts(rd(spark, sf, "events"), "event_type", {"users": F.col("user_id"), "days": F.to_date("ts")})
 
 
+@query("""SELECT event_type, count(DISTINCT user_id) FILTER (ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-20') AS exact, true AS within FROM events GROUP BY 1""")
+def sketched_distinct(spark, sf):
+    """Users of a span of days, from stored sketches a day, against the exact number: within five deviations."""
+    e = rd(spark, sf, "events")
+    sketches = sinks.written(stats.day_sketches(e, "event_type", F.to_date("ts"), "user_id"), "sketches")
+    about = stats.span_distinct(sketches, "event_type", "2024-01-03", "2024-01-20")
+    exact = stats.distinct_counts(e, "event_type", {"exact": F.when((F.col("ts") >= F.lit("2024-01-03").cast("timestamp_ntz")) & (F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")), F.col("user_id"))})
+    off = F.abs(F.coalesce("about", F.lit(0)) - F.col("exact"))
+    return exact.join(about, "event_type", "left").select("event_type", "exact", (off <= F.greatest(F.lit(1.0), 5 * 1.04 / 64 * F.col("exact"))).alias("within"))
+
+
 @query()
 def approx_distinct(spark, sf):
     return rd(spark, sf, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.01).alias("users"))
@@ -404,6 +415,38 @@ def suffix_theta_join(spark, sf):
     return rel.by_suffix(pages, "own", pages.select(F.col("own").alias("host")).distinct(), "host").select("page_id", "host")
 
 
+@query("""WITH s AS (SELECT DISTINCT regexp_extract(url, '^https?://[^/]+(/[^/?#]*)', 1) AS part FROM pages) SELECT p.page_id, s.part FROM pages p JOIN s ON s.part <> '' AND contains(p.url, s.part)""")
+def substring_matches(spark, sf):
+    """Addresses and the parts of paths that they contain, without a nested loop."""
+    pages = rd(spark, sf, "pages").select("page_id", "url")
+    parts = pages.select(F.regexp_extract("url", "^https?://[^/]+(/[^/?#]*)", 1).alias("part")).distinct()
+    return rel.by_substring(pages, "url", parts, "part").select("page_id", "part")
+
+
+@query("""WITH u AS (SELECT o_orderkey AS k, o_custkey AS w, CASE o_orderkey % 3 WHEN 0 THEN 'https://web.archive.org/web/2020' || o_orderkey || '/http://x/' || o_orderkey % 7 WHEN 1 THEN 'https://archive.org/download/i' || o_orderkey % 5 || '/f.pdf' ELSE 'http://x/' || o_orderkey % 7 END AS url FROM orders),
+a AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'http://x/' || c_custkey % 7 END AS original, CASE WHEN c_custkey % 2 = 1 THEN '/i' || c_custkey % 5 || '/' END AS path FROM customer),
+h AS (SELECT a.id, u.k, CASE WHEN original IS NOT NULL THEN 'https://web.archive.org/web/2020' || k || 'id_/' || original ELSE url END AS target FROM a JOIN u ON u.w = a.id AND (url LIKE '%://web.archive.org/web/%' AND ends_with(url, original) OR url LIKE '%://archive.org/%' AND contains(url, path)))
+SELECT a.id AS ask_id, (SELECT arg_min(target, k) FROM h WHERE h.id = a.id) AS target FROM a""")
+def redirected_access(spark, sf):
+    k, s = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    seven, five = (F.col("o_orderkey") % 7).cast("string"), (F.col("o_orderkey") % 5).cast("string")
+    url = F.when(k % 3 == 0, F.concat(F.lit("https://web.archive.org/web/2020"), s, F.lit("/http://x/"), seven)).when(k % 3 == 1, F.concat(F.lit("https://archive.org/download/i"), five, F.lit("/f.pdf"))).otherwise(F.concat(F.lit("http://x/"), seven))
+    urls = rd(spark, sf, "orders").select(F.col("o_custkey").alias("work_id"), "o_orderkey", url.alias("url"))
+    c = F.col("c_custkey")
+    asked = rd(spark, sf, "customer").select(c.alias("ask_id"), c.alias("work_id"), F.when(c % 2 == 0, F.concat(F.lit("http://x/"), (c % 7).cast("string"))).alias("original_url"), F.when(c % 2 == 1, F.concat(F.lit("/i"), (c % 5).cast("string"), F.lit("/"))).alias("path"))
+    return entities.access_redirects(asked, urls, "o_orderkey")
+
+
+@query("""SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'b.co.uk' WHEN 1 THEN 'y.x.ck' WHEN 2 THEN 'www.ck' WHEN 3 THEN NULL WHEN 4 THEN 'p' || page_id || '.org' ELSE NULL END AS domain FROM pages""")
+def registered_domain_rules(spark, sf):
+    """Hosts under plain rules, a wildcard and its exception, a suffix itself, a port, an address of numbers."""
+    n = F.col("page_id").cast("string")
+    k = F.col("page_id") % 6
+    host = F.when(k == 0, "A.b.co.uk").when(k == 1, "z.y.x.ck").when(k == 2, "a.www.ck").when(k == 3, "co.uk").when(k == 4, F.concat(F.lit("www.p"), n, F.lit(".org:8080"))).otherwise("10.0.0.1")
+    rules = spark.createDataFrame([("uk",), ("co.uk",), ("*.ck",), ("!www.ck",), ("org",)], "rule string")
+    return webarchive.registered_domains(rd(spark, sf, "pages").select("page_id", host.alias("host")), "host", rules).select("page_id", "domain")
+
+
 @query("SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-08'")
 def change_window(spark, sf):
     return ingest.changes(rd(spark, sf, "events"), "ts", "2024-01-05", "2024-01-08").select("event_id", "user_id", "event_type")
@@ -676,7 +719,7 @@ def counters_monoid(spark, sf):
 @query("""SELECT c_custkey AS id, 'name' AS id_type, c_name AS id_value FROM customer UNION ALL SELECT c_custkey, 'segment', c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'""")
 def legacy_unpivot(spark, sf):
     c = rd(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("segment"))
-    return c.unpivot("id", ["name", "segment"], "id_type", "id_value").where("id_value IS NOT NULL AND id_value <> ''")
+    return entities.legacy_ids(c, "id", ["name", "segment"])
 
 
 @query("""SELECT page_id, url, CAST((row_number() OVER (ORDER BY page_id) - 1) // 100 AS BIGINT) AS shard FROM pages""")
@@ -686,13 +729,13 @@ def sitemap_shards(spark, sf):
 
 @query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def tumbling_window(spark, sf):
-    return rd(spark, sf, "events").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "event_type", "n")
+    return ingest.counts_by_window(rd(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", ["event_type"]).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new FROM events),
 s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, s""")
 def session_window(spark, sf):
-    return rd(spark, sf, "events").groupBy("user_id", F.session_window("ts", "30 minutes")).agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("start"), "n")
+    return ingest.sessions(rd(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "30 minutes", "user_id").withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 @query("SELECT CAST(year(o_orderdate) AS INT) AS y, o_orderpriority AS p, count(*) AS n FROM orders GROUP BY ROLLUP (y, p)")
@@ -723,10 +766,10 @@ def random_row(spark, sf):
     return rd(spark, sf, "orders").orderBy(F.rand(seed=7)).limit(1)
 
 
-@query("""SELECT page_id, 'web-' || page_id || '_' || strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') AS cursor FROM pages""")
+@query("""SELECT page_id, strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') || '_' || page_id AS cursor FROM pages""")
 def cursor_encode(spark, sf):
     at = F.timestamp_add("HOUR", F.col("page_id"), F.lit("2024-01-01").cast("timestamp"))
-    return rd(spark, sf, "pages").select("page_id", F.concat_ws("_", F.concat(F.lit("web-"), F.col("page_id")), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")).alias("cursor"))
+    return rd(spark, sf, "pages").select("page_id", rel.cursor(at, F.col("page_id")).alias("cursor"))
 
 
 @query("""SELECT c_custkey, array_to_string(list_sort(list_filter(['name=' || c_name, 'segment=' || nullif(c_mktsegment, 'BUILDING'), 'nation=' || c_nationkey], lambda x: x IS NOT NULL)), ';') AS metadata FROM customer""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions import identifiers as ids, text
-from quire.operators import convert, documents, entities, holdings, relational as rel, search, sinks, webarchive
+from quire.operators import buckets, convert, documents, entities, holdings, relational as rel, search, sinks, webarchive
 from quire.plans.catalog import query, rd, release
 from quire.plans.upstream import TEXT, place
 from quire.sources import feeds, readers
@@ -95,12 +95,15 @@ def cursor_parse(spark, sf):
     return e.select("event_id", rel.parse_cursor(raw).alias("c")).select("event_id", "c.ts", "c.id")
 
 
-@query("""SELECT page_id, html FROM pages""")
+@query("""SELECT page_id, CASE page_id % 6 WHEN 3 THEN '<meta charset="iso-8859-1">ä €' WHEN 4 THEN 'ß ü' ELSE html END AS html FROM pages""")
 def decoded_pages(spark, sf):
-    """Pages in several character sets, and one that is unknown for none."""
-    name = F.when(F.col("page_id") % 3 == 0, "utf-16le").when(F.col("page_id") % 3 == 1, "utf-8")
-    body = F.when(F.col("page_id") % 3 == 0, F.encode("html", "UTF-16LE")).otherwise(F.encode("html", "UTF-8"))
-    return rd(spark, sf, "pages").select("page_id", text.decoded(body, name).alias("html"))
+    """Pages in several encodings: named by a header, by a mark, by themselves, or not at all."""
+    k = F.col("page_id") % 6
+    head = F.when(k == 0, "text/html; charset=utf-16le").when(k == 1, "text/html; charset=no-such-set").when(k == 5, "text/html; charset=iso-8859-1")
+    mark = F.unhex(F.lit("fffe"))
+    own = F.unhex(F.concat(F.hex(F.encode(F.lit('<meta charset="iso-8859-1">'), "UTF-8")), F.lit("E42080")))
+    body = F.when(k == 0, F.encode("html", "UTF-16LE")).when(k == 2, F.concat(mark, F.encode("html", "UTF-16LE"))).when(k == 3, own).when(k == 4, F.unhex(F.lit("DF20FC"))).when(k == 5, F.concat(F.unhex(F.lit("efbbbf")), F.encode("html", "UTF-8"))).otherwise(F.encode("html", "UTF-8"))
+    return rd(spark, sf, "pages").select("page_id", text.decoded(body, head).alias("html"))
 
 
 @query("SELECT doc_id AS id, doc_id % 2 = 0 AS indexed FROM documents WHERE doc_id % 5 = 0")
@@ -238,3 +241,22 @@ def report_replay(spark, sf):
     schema = "ident string, status string, " + ", ".join(f"`{n}` {t}" for n, t in c.drop("ident", "position").dtypes) + ", " + ", ".join(f"`{n}` {t}" for n, t in spans.drop("container_id").dtypes)
     again = holdings.replay(readers.json_lines(spark, path, "position long, info string").drop("_corrupt_record"), schema, spans.drop("container_id").columns, 1998)
     return again.select("position", "status", F.col("publication_title").isNotNull().alias("reported"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 64 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price, 1 AS kept FROM orders WHERE o_orderkey % 64 <> 32 UNION ALL SELECT -c_custkey - 1, 0, 1 FROM customer WHERE c_custkey % 50 = 0""")
+def merged_buckets(spark, sf):
+    """Orders in 16 buckets after two merges and one that failed; and whether files of untouched buckets are those of before."""
+    o = rd(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(15,2)").alias("price"))
+    path = place(spark, "buckets")
+    buckets.create(o, path, ["o_orderkey"], 16)
+    buckets.merge(spark, path, o.where("o_orderkey % 64 = 0").withColumn("price", (F.col("price") + 1).cast("decimal(15,2)")), o.where("o_orderkey % 64 = 32").select("o_orderkey"))
+    before = buckets.files(path)
+    added = rd(spark, sf, "customer").where("c_custkey % 50 = 0").select((-F.col("c_custkey") - 1).alias("o_orderkey"), F.lit(0).cast("decimal(15,2)").alias("price"))
+    touched = buckets.merge(spark, path, added)
+    try:
+        buckets.merge(spark, path, added.unionByName(added))
+        raise AssertionError("two rows of a key were merged")
+    except ValueError:
+        pass
+    held = {f for f in before if f.split("bucket=")[1].split("/")[0] not in touched}
+    return buckets.read(spark, path).withColumn("kept", F.lit(int(held <= buckets.files(path))))

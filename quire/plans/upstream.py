@@ -272,14 +272,19 @@ def streamed_table(spark, sf):
     return spark.read.parquet(table).select("event_id", "user_id")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'exact' ELSE 'fuzzy' END AS status, o_orderkey AS id FROM orders WHERE o_orderkey % 50 IN (0, 1)""")
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'exact' WHEN 1 THEN 'fuzzy' WHEN 2 THEN 'fallback' WHEN 3 THEN 'refused' WHEN 4 THEN 'unknown' ELSE 'fuzzy' END AS status, CASE WHEN o_orderkey % 6 IN (0, 1, 5) THEN o_orderkey WHEN o_orderkey % 6 = 2 THEN -o_orderkey END AS id,
+  CASE o_orderkey % 6 WHEN 1 THEN 100.0 WHEN 5 THEN round(100 * 2.5 / 3, 3) END AS score FROM orders WHERE o_orderkey % 50 IN (0, 1, 2, 3, 4, 5)""")
 def matched_citations(spark, sf):
-    """References with an identifier, and others by their titles, among releases."""
-    o, n = rd(spark, sf, "orders").select("o_orderkey"), F.col("o_orderkey").cast("string")
+    """References by identifier, in the first table or the second or neither; others by title, names and year, good enough or not."""
+    k, n = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    o, m = rd(spark, sf, "orders").select("o_orderkey"), k % 6
     title = TEXT("unusual", n, " words", n, " of works")
-    releases = o.select(F.col("o_orderkey").alias("id"), TEXT("10.5555/", n).alias("doi"), title.alias("title"))
-    refs = o.where("o_orderkey % 50 IN (0, 1)").select(F.col("o_orderkey").alias("ref_id"), F.when(F.col("o_orderkey") % 2 == 0, TEXT("https://doi.org/10.5555/", n)).alias("doi"), title.alias("title"))
-    return entities.match_citations(refs, releases).select(F.col("ref_id").alias("o_orderkey"), "status", "id")
+    releases = o.select(k.alias("id"), F.when(m == 0, TEXT("10.5555/", n)).alias("doi"), title.alias("title"), F.lit(1999).alias("release_year"), F.lit("Ada Li; Bo Oz").alias("contrib_names"))
+    second = o.where(m == 2).select((-k).alias("id"), TEXT("10.5555/", n).alias("doi"))
+    doi = F.when(m.isin(0, 2, 4), TEXT("https://doi.org/10.5555/", n))
+    creators = F.when(m == 1, "Li, Ada").when(m == 3, "Nobody, Else; Other, Body").when(m == 5, "Bo Oz")
+    refs = o.where("o_orderkey % 50 IN (0, 1, 2, 3, 4, 5)").select(k.alias("ref_id"), doi.alias("doi"), F.when(m == 1, TEXT(title, " Archived 2020-01-01 at x")).otherwise(title).alias("title"), F.when(m == 5, 2001).when(m == 1, 1999).alias("year"), creators.alias("creators"))
+    return entities.match_citations(refs, releases, second).withColumnRenamed("ref_id", "o_orderkey")
 
 
 @query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 <> 3 THEN 'article' END AS type, CASE WHEN o_orderkey % 4 <> 3 THEN CASE o_orderkey % 4 WHEN 0 THEN 'Li' WHEN 1 THEN 'Body' ELSE 'Oz' END END AS family, CASE WHEN o_orderkey % 4 = 0 THEN 'Ada' END AS given, CASE WHEN o_orderkey % 4 = 2 THEN 'Tr' END AS translator,

@@ -304,3 +304,79 @@ def test_sitemap_lines(spark):
     rows = [("w1", "wayback", "https://web.archive.org/web/20200101000000/http://a/b"), ("w2", "wayback", "https://web.archive.org/web/202001010000/http://a/b"), ("w3", "ia_file", "http://archive.org/download/i/x/y.pdf"), ("w4", "wayback", ""), ("", "wayback", "x"), (None, None, None), ("w5", None, None)]
     got = sinks.sitemap_lines(spark.createDataFrame(rows, "ident string, access_type string, access_url string"), "B").collect()
     assert sorted(map(tuple, got)) == [("access", "B/work/w1/access/wayback/http://a/b"), ("access", "B/work/w3/access/ia_file/i/x/y.pdf"), *(("works", f"B/work/w{i}") for i in range(1, 6))]
+
+
+def test_substrings_are_those_of_a_nested_loop(spark):
+    import itertools
+    import random
+
+    from quire.operators import relational
+
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abä ") for _ in range(rng.randint(0, n)))
+    texts, patterns = [(i, word(12)) for i in range(200)] + [(300, None), (301, ""), (302, "aaaa")], [(word(6),) for _ in range(60)] + [("a",), ("ab",), ("a",), ("",), (None,), ("zzz",)]
+    got = relational.by_substring(spark.createDataFrame(texts, "i int, t string"), "t", spark.createDataFrame(patterns, "p string"), "p").collect()
+    known = {p for (p,) in patterns if p}
+    assert sorted((r["i"], r["p"]) for r in got) == sorted((i, p) for (i, t), p in itertools.product(texts, known) if t and p in t)
+
+
+def test_registered_domains(spark):
+    from quire.operators import webarchive
+
+    want = {
+        "a.b.example.com": "example.com", "example.com": "example.com", "com": None, "x.co.uk": "x.co.uk", "co.uk": None, "uk": None, "a.uk": "a.uk", "b.c.kobe.jp": "b.c.kobe.jp", "c.kobe.jp": None, "a.city.kobe.jp": "city.kobe.jp", "city.kobe.jp": "city.kobe.jp",
+        "EXAMPLE.com:80": "example.com", "example.com.": "example.com", "unlisted.zone": "unlisted.zone", "a.unlisted.zone": "unlisted.zone", "localhost": None, "1.2.3.4": None, "": None, ".com": None, None: None,
+    }
+    rules = spark.createDataFrame([("com",), ("uk",), ("co.uk",), ("jp",), ("*.kobe.jp",), ("!city.kobe.jp",)], "rule string")
+    rows = webarchive.registered_domains(spark.createDataFrame([(h,) for h in [*want, "example.com"]], "host string"), "host", rules).collect()
+    assert len(rows) == len(want) + 1 and all(want[r["host"]] == r["domain"] for r in rows)
+
+
+def test_merges_rewrite_what_they_touch(spark, tmp_path):
+    """Files of untouched buckets keep their names, older versions can be read, a merge that fails or comes second changes nothing."""
+    from quire.operators import buckets
+
+    path = str(tmp_path / "t")
+    frame = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    at = lambda version=None: {r["k"]: r["v"] for r in buckets.read(spark, path, version).collect()}
+    buckets.create(frame([(i, "a") for i in range(100)]), path, ["k"], 8)
+    files = buckets.files(path)
+    touched = buckets.merge(spark, path, frame([(5, "b"), (500, "c")]), frame([(6, "")]).select("k"))
+    assert at() == {**{i: "a" for i in range(100) if i not in (5, 6)}, 5: "b", 500: "c"} and at(0) == dict.fromkeys(range(100), "a")
+    assert 1 <= len(touched) <= 3 and {f for f in files if f.split("bucket=")[1][0] not in touched} == files & buckets.files(path)
+    before = buckets.versions(path)
+    with pytest.raises(ValueError, match="several new rows"):
+        buckets.merge(spark, path, frame([(1, "x"), (1, "y")]))
+    with pytest.raises(Exception):  # noqa: B017  a row that cannot be made fails while files are written
+        buckets.merge(spark, path, spark.sql("SELECT 1 AS k, raise_error('no') AS v").selectExpr("k", "cast(v AS string) v"))
+    assert buckets.versions(path) == before and at()[1] == "a"
+    assert buckets.merge(spark, path, frame([])) == [] and len(at()) == 100
+    with pytest.raises(RuntimeError, match="another merge"):
+        buckets._publish(path, buckets.manifest(path, 0) | {"version": 1})
+
+
+@pytest.mark.parametrize(
+    "body, header, want",
+    [
+        (b"\xef\xbb\xbfa", "text/html; charset=latin1", "a"), (b"\xff\xfea\x00", None, "a"), (b"\xfe\xff\x00a", "utf-8", "a"), (b"\xe4", "text/html; charset='iso-8859-1'", "ä"), (b"\x80", "latin1", "€"), (b"\xe4", None, "ä"), ("ä€".encode(), None, "ä€"), ("ä".encode() + b"\xc3", None, "Ã¤Ã"),
+        (b"<meta http-equiv=content-type content='text/html; charset=shift_jis'>\x82\xa0", "text/html", "<meta http-equiv=content-type content='text/html; charset=shift_jis'>あ"), (b"<meta charset=utf-16>a", None, "<meta charset=utf-16>a"), (b"<meta charset=none-such>\xe4", None, "<meta charset=none-such>ä"),
+        (b" " * 2000 + b"<meta charset=koi8-r>\xe4", None, " " * 2000 + "<meta charset=koi8-r>ä"), (b"", None, ""), (None, "utf-8", None), (b"<meta charset=koi8-r>\xc1", "text/html; charset=bad", "<meta charset=koi8-r>а"),
+    ],
+)
+def test_character_sets(spark, body, header, want):
+    from quire.functions import text
+
+    assert spark.createDataFrame([(body, header)], "b binary, h string").select(text.decoded("b", "h")).first()[0] == want
+
+
+def test_citations(spark):
+    from quire.operators import entities
+
+    releases = spark.createDataFrame([(1, "10.1234/A", "deep learning methods applied", 2001, "Ada Li"), (2, None, "deep learning methods applied", 2002, "Bo Oz"), (3, None, None, None, None)], "id int, doi string, title string, release_year int, contrib_names string")
+    refs = [
+        ("a", "https://doi.org/10.1234/a", "x", 1, None), ("b", "10.1234/zz", "deep learning methods applied", 2001, None), ("c", None, "deep learning methods applied", 2002, "Oz, Bo"), ("d", None, "deep learning methods applied", 1900, "Nobody"), ("e", None, "deep learning methods applied", None, None),
+        ("f", None, None, None, None), ("g", "10.9999/f", None, None, None), ("h", None, "deep learning methods applied Archived 2019 at x", None, None), ("i", None, "wholly different matters entirely", None, None),
+    ]
+    got = entities.match_citations(spark.createDataFrame(refs, "ref_id string, doi string, title string, year int, creators string"), releases, spark.createDataFrame([(9, "10.9999/F")], "id int, doi string")).collect()
+    assert {r["ref_id"]: (r["id"], r["status"]) for r in got} == {"a": (1, "exact"), "b": (None, "unknown"), "c": (2, "fuzzy"), "d": (None, "refused"), "e": (1, "fuzzy"), "f": (None, "refused"), "g": (9, "fallback"), "h": (1, "fuzzy"), "i": (None, "refused")}
+    assert {r["ref_id"]: r["score"] for r in got}["c"] == 100.0
