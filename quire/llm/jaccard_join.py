@@ -11,8 +11,9 @@ Which documents meet in a tree: two sets with similarity t share one of their fi
 any common order.  The order is by exact document frequency, rarest first: each shingle of each text is counted by
 one shuffle of packed hashes, a second one brings those found twice or more back to their documents, so that a
 text of which a fifth occurs nowhere else has no prefix and goes no further.  Documents that share a prefix shingle
-with another component form clusters, a tree each; a cluster too large for a task is dealt by shingle, and a shingle
-too hot for a task by pairs of subtrees.  Before that, equal sets become one document, and documents with the same
+with another component form clusters, a tree each; a cluster too large for a task is dealt by shingle or as a whole by
+pairs of subtrees, whichever copies fewer sets, and a shingle too hot for a task by pairs of subtrees, all measured in shingles.  Prefix
+shingles that the same documents have (those of a line that several texts share) bring the same documents together, so one of them stands for all.  Before that, equal sets become one document, and documents with the same
 minimal shingle are checked against the most central of them, so that a group of near copies is mostly one component.
 
 Shingles in a large share of a bounded sample of texts count as last in the order and are dealt out by document, not
@@ -37,7 +38,7 @@ from . import common as c
 WORDS, NUM, DEN = 5, 4, 5  # similarity of NUM / DEN or more
 BLOCK, PART = 1 << 20, 1 << 20  # bytes of text whose hashes travel together; shingles counted in one step
 SAMPLE, HOT = 1 << 26, 1 / 256  # bytes of the sample for hot shingles; share of its texts that makes a shingle hot
-TREE, NODE, LEAF = 1 << 22, 512, 64  # shingles of a cluster that is one tree; documents of a dealt subtree, of a leaf
+TREE, NODE, LEAF = 1 << 22, 1 << 22, 64  # shingles of a cluster that is one tree, of a dealt subtree; documents of a leaf
 WIDE = 1 << 17  # shingles of a leaf with several documents
 SPREAD = 256  # members that a leader is checked against in one group
 
@@ -363,17 +364,19 @@ def _trees(batches):
     yield from done()
 
 
-def _by_shingle(rows: DataFrame) -> DataFrame:
-    """Rows (h, doc_id, n, comp) of clusters too large for a tree, dealt by shingle, and hot shingles by pairs of subtrees."""
-    rows = rows.join(rows.groupBy("h").agg(F.count("*").alias("members")), "h")
-    small = rows.where(F.col("members") <= NODE).select(F.col("h").alias("tree"), F.lit(0).alias("part"), F.lit(0).alias("side"), "doc_id", "comp")
-    large = rows.where(F.col("members") > NODE)
-    # a component with many members gets subtrees of its own, the others share theirs by size
-    own = large.groupBy("h", "comp").agg(F.count("*").alias("own"))
+def _in_subtrees(rows: DataFrame) -> DataFrame:
+    """Rows (h, doc_id, n, comp), a group h in which documents meet, as trees: whole where a task holds the group's shingles, else by pairs of subtrees whose sizes allow links."""
+    rows = rows.join(rows.groupBy("h").agg(F.sum("n").alias("total")), "h")
+    small = rows.where(F.col("total") <= TREE).select(F.col("h").alias("tree"), F.lit(0).alias("part"), F.lit(0).alias("side"), "doc_id", "comp")
+    large = rows.where(F.col("total") > TREE)
+    # a component with many shingles gets subtrees of its own, the others share theirs by size
+    own = large.groupBy("h", "comp").agg(F.sum("n").alias("own"))
     large = large.join(own, ["h", "comp"])
     alone = F.col("own") > NODE // 2
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM))).cast("string")
-    sub = F.when(alone, F.concat_ws(":", "comp", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("own") / NODE)))).otherwise(F.concat_ws(":", F.lit("x"), step, F.pmod(F.xxhash64("comp"), F.ceil(F.col("members") / NODE))))
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM))).cast("int")
+    large = large.withColumn("step", F.when(~alone, step))
+    large = large.join(large.where("step is not null").groupBy("h", "step").agg(F.sum("n").alias("stepped")), ["h", "step"], "left")
+    sub = F.when(alone, F.concat_ws(":", "comp", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("own") / NODE)))).otherwise(F.concat_ws(":", F.lit("x"), F.col("step").cast("string"), F.pmod(F.xxhash64("comp"), F.ceil(F.col("stepped") / NODE))))
     large = large.withColumn("sub", sub).withColumn("pure", F.when(alone, F.col("comp")))
     nodes = large.groupBy("h", "sub").agg(F.first("pure").alias("pure"), F.min("n").alias("low"), F.max("n").alias("high"))
     x, y = (nodes.select("h", *[F.col(k).alias(k + s) for k in ("sub", "pure", "low", "high")]) for s in "xy")
@@ -394,9 +397,15 @@ def _joined(rows: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
     size = member.groupBy("cluster").agg(F.sum("n").alias("size"))
     member = c.table(member.join(size, "cluster"), "clusters")
     dealt = member.where(F.col("size") <= TREE).select(F.col("cluster").alias("tree"), F.lit(0).alias("part"), F.lit(0).alias("side"), "doc_id", "comp")
-    large = member.where(F.col("size") > TREE).select("doc_id")
+    large = c.table(member.where(F.col("size") > TREE), "big")
     if large.limit(1).count():
-        dealt = dealt.unionByName(_by_shingle(c.table(rows.join(large, "doc_id", "left_semi").select("h", "doc_id", "n", "comp"), "large")))
+        met = c.table(rows.select("h", "doc_id").join(large, "doc_id").select("h", "doc_id", "n", "comp", "cluster", "size"), "large")
+        # a set goes to as many tasks as it has shingles here, or else, dealt by subtrees of the whole cluster, to about as many as there are subtrees
+        copied = met.groupBy("cluster").agg((F.sum("n") / F.first("size")).alias("by_shingle"), F.ceil(F.first("size") / max(NODE, 1)).alias("by_subtree"))
+        whole = copied.where("by_subtree <= by_shingle").select("cluster")
+        key = F.xxhash64(F.lit("cluster"), "cluster").alias("h")
+        groups = large.join(whole, "cluster", "left_semi").select(key, "doc_id", "n", "comp").unionByName(met.join(whole, "cluster", "left_anti").select("h", "doc_id", "n", "comp"))
+        dealt = dealt.unionByName(_in_subtrees(c.table(groups, "groups")))
     full = dealt.join(sets.select("doc_id", "shingles"), "doc_id")
     return full.repartition("tree", "part").sortWithinPartitions("tree", "part").transform(c.mapped, _trees, "a long, b long")
 
@@ -411,8 +420,10 @@ def _components_of(texts: DataFrame) -> DataFrame:
     sizes = c.table(texts.transform(c.mapped, _sized, "doc_id long, n int, d1 long, d2 long"), "sizes")
     reps = c.table(sizes.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "reps")
     found = c.table(prefixes(texts), "prefixes")
-    rows = found.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n", "rare", F.explode("prefix").alias("h"))
-    shared = c.table(rows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("h"), "twice")
+    rows = found.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n", "rare", F.explode(F.array_distinct("prefix")).alias("h"))
+    digests = (F.bit_xor(F.xxhash64("doc_id", F.lit(k))).alias(f"x{k}") for k in (1, 2))  # of the documents that have the shingle, each once
+    shared = rows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("m"), *digests).where("lo <> hi")
+    shared = c.table(shared.groupBy("lo", "hi", "m", "x1", "x2").agg(F.min("h").alias("h")).select("h"), "twice")
     rows = c.table(rows.join(shared, "h"), "candidates")
     some = c.table(rows.select("doc_id", "n", "rare").distinct(), "some")
     marked = texts.sparkSession.sparkContext.broadcast(c.marks(some, "doc_id"))

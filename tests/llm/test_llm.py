@@ -157,6 +157,32 @@ def test_jaccard_join_without_leaders(spark, monkeypatch):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.classes(spark.createDataFrame(some, SCHEMA)).collect()} == want
 
 
+def test_jaccard_join_of_shared_lines(spark, monkeypatch):
+    """Texts put together from shared lines: sets travel a few times, not once for each of their prefix shingles."""
+    rng = np.random.default_rng(2)
+    lines = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 40)) for _ in range(40)]
+    some = [(i, "\n".join(lines[k] for k in rng.choice(40, 8, replace=False)), None, None, 1) for i in range(150)]
+    some += [(500 + i, some[3 * i][1] + " and more", None, None, 1) for i in range(10)]
+    sent = []
+
+    def spied(df, run, schema, f=common.mapped):
+        if run is jaccard_join._trees:
+            df = common.table(df, "sent")
+            sent.append(df.agg(F.sum(F.size("shingles"))).first()[0])
+            df = df.repartition("tree", "part").sortWithinPartitions("tree", "part")
+        return f(df, run, schema)
+
+    monkeypatch.setattr(jaccard_join, "_leaders", lambda sets: spark.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(common, "mapped", spied)
+    want = brute_classes(some)
+    total = sum(n for n, _ in want.values())
+    for k in ("TREE", "NODE"):
+        monkeypatch.setattr(jaccard_join, k, total // 2)
+    got = jaccard_join.classes(spark.createDataFrame(some, SCHEMA)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert sent[0] <= 4 * total
+
+
 def test_jaccard_join_repeated_ids(spark):
     t = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abc"}
     some = [(7, t["a"]), (7, t["a"]), (7, t["b"]), (9, t["b"] + " x"), (9, t["c"]), (3, None), (3, "")]
