@@ -353,22 +353,36 @@ class Model:
         return out
 
 
-def _counted(texts: DataFrame, keys_of, part_of, parts: int, solve, schema: str) -> DataFrame:
+KEYS = 1 << 63  # numbers of n-grams under this are one integer, others two
+
+
+def _tallied(part: np.ndarray, key: np.ndarray, n: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different (part, key), sorted, with the sums of their numbers; keys are below span."""
+    if not len(key):
+        return part, key, n
+    if (int(part.max()) + 1) * span < KEYS:
+        x, at = np.unique(part * span + key, return_inverse=True)
+        return x // span, x % span, np.bincount(at, n).astype(np.int64)
+    order = np.lexsort((key, part))
+    part, key = part[order], key[order]
+    first = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (key[1:] != key[:-1])))
+    return part[first], key[first], np.add.reduceat(n[order], first)
+
+
+def _counted(texts: DataFrame, keys_of, span: int, parts: int, solve, schema: str) -> DataFrame:
     """What solve(part, keys, counts) makes of the n-grams of each part; sorted key lists travel as compressed blobs.
 
-    keys_of gives the keys of a chunk's tokens (negative: none), part_of the part of each key.
+    keys_of gives the part of each of a chunk's tokens (negative: none) and its key there, which is below span.
     """
 
     def flush(kept):
-        key, at = np.unique(np.concatenate([k for k, _ in kept]), return_inverse=True)
-        n = np.bincount(at, np.concatenate([m for _, m in kept])).astype(np.uint32)
-        part = part_of(key)
-        order = np.argsort(part, kind="stable")
-        cut = np.searchsorted(part[order], np.arange(parts + 1))
+        part, key, n = _tallied(*(np.concatenate(x) for x in zip(*kept, strict=True)), span)
+        n = n.astype(np.uint32)
+        cut = np.searchsorted(part, np.arange(parts + 1))
         zip_, names, blobs = zstandard.ZstdCompressor(level=1), [], []
         for p in range(parts):
-            rows = order[cut[p] : cut[p + 1]]
-            if len(rows):
+            rows = slice(cut[p], cut[p + 1])
+            if cut[p] < cut[p + 1]:
                 step = np.diff(key[rows], prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes()
                 names.append(p)
                 blobs.append(zip_.compress(step + n[rows].view(np.uint8).reshape(-1, 4).T.tobytes()))
@@ -377,8 +391,9 @@ def _counted(texts: DataFrame, keys_of, part_of, parts: int, solve, schema: str)
     def emit(batches):
         kept, size = [], 0
         for _, _, _, tok, _ in _chunks(batches):
-            key = keys_of(tok)
-            kept.append(np.unique(key[key >= 0], return_counts=True))
+            part, key = keys_of(tok)
+            ok = part >= 0
+            kept.append(_tallied(part[ok], key[ok], np.ones(int(ok.sum()), np.int64), span))
             size += len(kept[-1][0])
             if size > 1_500_000:
                 yield flush(kept)
@@ -421,16 +436,19 @@ def _level(texts: DataFrame, model: Model, parts: int, least: int) -> tuple[int,
     level, folder, size = len(model.levels), model.folder, max(model.kinds, 1)
     contexts = model.kinds if not level else model.ranks
     width, bits = -(-max(contexts, 1) // parts), (size - 1).bit_length()
+    if width * size >= 1 << 63:
+        raise ValueError(f"{width} contexts a file and {size} words are too many for one number; more shuffle partitions make files smaller")
 
     def keys(tok):
         word = ranks = model.ids(tok)[0]
         for k in range(level):
             ranks = model.successors(k, model.contexts(tok, ranks, k), word)[0]
         ctx = model.contexts(tok, ranks, level)
-        return np.where((ctx >= 0) & (word >= 0), ctx * size + word, -1)
+        ok = (ctx >= 0) & (word >= 0)
+        return np.where(ok, ctx // width, -1), np.where(ok, ctx % width * size + word, 0)
 
     def write(part, k, m):
-        ctx = k // size - part * width
+        ctx = k // size
         n = min(width, contexts - part * width)
         whole = np.bincount(ctx, m, minlength=n)
         keep = m >= least
@@ -442,7 +460,7 @@ def _level(texts: DataFrame, model: Model, parts: int, least: int) -> tuple[int,
         save(folder, f"level{level + 2}-{part}", pointer | {"words": pack(k % size, bits), "bits": np.array([bits]), "gain": quantised(gain), "rest": quantised(rest)})
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, len(k))], names=["number", "n"])
 
-    found = _counted(texts, keys, lambda key: key // size // width, parts, write, "number long, n long").collect()  # a row for each file
+    found = _counted(texts, keys, width * size, parts, write, "number long, n long").collect()  # a row for each file
     files, before = {}, 0
     for r in sorted(found, key=lambda r: r["number"]):
         files[r["number"]] = before
