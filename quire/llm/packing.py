@@ -17,7 +17,7 @@ answer can be above the least number.
 
 Cases: null and empty texts have one token, the end mark; texts with more than `capacity` tokens are cut into full
 pieces and one shorter first piece; a literal special token of the vocabulary is that token, as the tokenizers library
-has it; repeated ids are packed as separate documents, rows without an id are left out; an empty table has no pieces.
+has it; repeated ids and rows without an id are packed as separate documents; an empty table has no pieces.
 """
 
 from __future__ import annotations
@@ -226,7 +226,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def cut(enc, batches):
         for b in batches:
             data, off = c.strings(b.column("text"))
-            ids_of = b.column("doc_id").to_numpy(zero_copy_only=False)
+            ids_of = b.column("doc_id").to_pylist()
             for i, j in c.pieces(off, 1 << 20):
                 part, at = data[off[i] : off[j]], off[i : j + 1] - off[i]
                 easy = enc.simple(part, at) if len(part) else np.ones(j - i, bool)
@@ -247,7 +247,9 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
                         start, end, piece = end, end + capacity, piece + 1
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return c.id_text(docs, id_col, text_col).transform(c.mapped, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    c.settle(docs.sparkSession)
+    every = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return every.transform(c.mapped, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -445,8 +447,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     spark = cut.sparkSession
     blocks = int(cut.count() ** 0.5) + 1
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))
-    ranked = cut.withColumn("rank", F.row_number().over(Window.partitionBy("block", "length").orderBy("doc_id", "piece", "ids_crc32")))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(blocks)))
+    ranked = cut.withColumn("rank", F.row_number().over(Window.partitionBy("block", "length").orderBy("doc_id", "piece", "ids_crc32", "start")))
     by = cut.groupBy("block", "length").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     starts = by.select("block", "length", F.coalesce(before, F.lit(0)).alias("from"))

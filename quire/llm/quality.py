@@ -9,7 +9,8 @@ Features are read from the whole text in one pass (bytes, words and lines of an
 as a table; the model is fitted on at most about SAMPLE labelled rows, which is all the driver sees.
 
 Cases: null and empty texts have features of zero and get a score like any other; a document with several
-labels has their mean, half counting as 1; without labelled rows every score is 0.5; repeated ids give a row each.
+labels has their mean, half counting as 1; without labelled rows every score is 0.5; repeated ids give a row each, rows without an id are left out.
+Ids are 64-bit integers.
 """
 
 from __future__ import annotations
