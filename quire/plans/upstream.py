@@ -36,7 +36,7 @@ def place(spark, name: str) -> str:
 def reread(df: DataFrame, name: str, schema: str) -> DataFrame:
     """The rows as JSON lines, read again."""
     path = place(df.sparkSession, name)
-    sinks.write_json(df, path)
+    sinks.write_json(df.repartition(df.sparkSession.sparkContext.defaultParallelism), path)  # a table of one file would be made and written in one task
     return readers.json_lines(df.sparkSession, path, schema)
 
 
