@@ -356,28 +356,32 @@ class Model:
 KEYS = 1 << 63  # numbers of n-grams under this are one integer, others two
 
 
-def _tallied(part: np.ndarray, key: np.ndarray, n: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different (part, key), sorted, with the sums of their numbers; keys are below span."""
+def _tallied(part: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different (part, key), sorted, with the sums of their numbers."""
     if not len(key):
         return part, key, n
-    if (int(part.max()) + 1) * span < KEYS:
-        x, at = np.unique(part * span + key, return_inverse=True)
-        return x // span, x % span, np.bincount(at, n).astype(np.int64)
     order = np.lexsort((key, part))
     part, key = part[order], key[order]
     first = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (key[1:] != key[:-1])))
     return part[first], key[first], np.add.reduceat(n[order], first)
 
 
-def _counted(texts: DataFrame, keys_of, span: int, parts: int, solve, schema: str) -> DataFrame:
+def _counted(texts: DataFrame, grams_of, contexts: int, width: int, kinds: int, parts: int, solve, schema: str) -> DataFrame:
     """What solve(part, keys, counts) makes of the n-grams of each part; sorted key lists travel as compressed blobs.
 
-    keys_of gives the part of each of a chunk's tokens (negative: none) and its key there, which is below span.
+    grams_of gives context (negative: none) and word (below kinds) of each of a chunk's tokens; a part has `width` contexts, and a
+    key is the context within its part, times kinds, and the word.
     """
+    span, narrow = width * kinds, contexts * kinds < KEYS
 
     def flush(kept):
-        part, key, n = _tallied(*(np.concatenate(x) for x in zip(*kept, strict=True)), span)
-        n = n.astype(np.uint32)
+        if narrow:
+            x, at = np.unique(np.concatenate([k for k, _ in kept]), return_inverse=True)
+            n, part = np.bincount(at, np.concatenate([m for _, m in kept])).astype(np.uint32), x // span
+            key = x - part * span
+        else:
+            part, key, n = _tallied(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+            n = n.astype(np.uint32)
         cut = np.searchsorted(part, np.arange(parts + 1))
         zip_, names, blobs = zstandard.ZstdCompressor(level=1), [], []
         for p in range(parts):
@@ -391,9 +395,12 @@ def _counted(texts: DataFrame, keys_of, span: int, parts: int, solve, schema: st
     def emit(batches):
         kept, size = [], 0
         for _, _, _, tok, _ in _chunks(batches):
-            part, key = keys_of(tok)
-            ok = part >= 0
-            kept.append(_tallied(part[ok], key[ok], np.ones(int(ok.sum()), np.int64), span))
+            ctx, word = grams_of(tok)
+            ctx, word = ctx[ctx >= 0], word[ctx >= 0]
+            if narrow:
+                kept.append(np.unique(ctx * kinds + word, return_counts=True))
+            else:
+                kept.append(_tallied(ctx // width, ctx % width * kinds + word, np.ones(len(ctx), np.int64)))
             size += len(kept[-1][0])
             if size > 1_500_000:
                 yield flush(kept)
@@ -439,13 +446,12 @@ def _level(texts: DataFrame, model: Model, parts: int, least: int) -> tuple[int,
     if width * size >= 1 << 63:
         raise ValueError(f"{width} contexts a file and {size} words are too many for one number; more shuffle partitions make files smaller")
 
-    def keys(tok):
+    def grams(tok):
         word = ranks = model.ids(tok)[0]
         for k in range(level):
             ranks = model.successors(k, model.contexts(tok, ranks, k), word)[0]
         ctx = model.contexts(tok, ranks, level)
-        ok = (ctx >= 0) & (word >= 0)
-        return np.where(ok, ctx // width, -1), np.where(ok, ctx % width * size + word, 0)
+        return np.where(word >= 0, ctx, -1), word
 
     def write(part, k, m):
         ctx = k // size
@@ -460,7 +466,7 @@ def _level(texts: DataFrame, model: Model, parts: int, least: int) -> tuple[int,
         save(folder, f"level{level + 2}-{part}", pointer | {"words": pack(k % size, bits), "bits": np.array([bits]), "gain": quantised(gain), "rest": quantised(rest)})
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, len(k))], names=["number", "n"])
 
-    found = _counted(texts, keys, width * size, parts, write, "number long, n long").collect()  # a row for each file
+    found = _counted(texts, grams, contexts, width, size, parts, write, "number long, n long").collect()  # a row for each file
     files, before = {}, 0
     for r in sorted(found, key=lambda r: r["number"]):
         files[r["number"]] = before

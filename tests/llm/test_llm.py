@@ -426,11 +426,18 @@ def test_numbers_of_ngrams_beyond_one_integer():
     want = collections.Counter()
     for p, k, m in zip(part.tolist(), key.tolist(), n.tolist(), strict=True):
         want[p, k] += m
-    got = ngram_lm._tallied(part, key, n, 1 << 62)
+    got = ngram_lm._tallied(part, key, n)
     assert [(p, k, m) for (p, k), m in sorted(want.items())] == list(zip(*(x.tolist() for x in got), strict=True))
-    small = ngram_lm._tallied(part, key // 10**17, n, 40)
-    assert [x.tolist() for x in small] == [got[0].tolist(), (got[1] // 10**17).tolist(), got[2].tolist()]
-    assert [len(x) for x in ngram_lm._tallied(part[:0], key[:0], n[:0], 40)] == [0, 0, 0]
+    assert [len(x) for x in ngram_lm._tallied(part[:0], key[:0], n[:0])] == [0, 0, 0]
+
+
+def test_model_is_the_same_by_two_columns(spark, docs, monkeypatch):
+    some = docs.where("doc_id < 30")
+    key = lambda r: (repr(r["doc_id"]), r["score"])
+    want = sorted(ngram_lm.scored(some, ngram_lm.train(some)).collect(), key=key)
+    counted = ngram_lm._counted
+    monkeypatch.setattr(ngram_lm, "_counted", lambda texts, grams, contexts, *more: counted(texts, grams, max(contexts, ngram_lm.KEYS), *more))
+    assert sorted(ngram_lm.scored(some, ngram_lm.train(some)).collect(), key=key) == want
 
 
 def test_elias_fano():
