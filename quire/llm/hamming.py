@@ -12,6 +12,9 @@ is a scan of the index, however far its radius has grown.
 Equal codes are one entry with their k smallest ids, so a code that a third of the rows share is one row of
 the index, and candidates that are worse than the current k-th distance do not leave the join.
 
+Joins of codes, queries and candidates are merges, as a file's size says little of what a broadcast of it takes of the driver: codes
+and ids pack well.  Only the numbers of buckets' parts are broadcast, at most 2**18 rows.
+
 Cases: vectors that are null or empty have no code and neither query nor answer; NaN and null components are zero
 bits; vectors of several lengths are compared with zero bits for what is missing; fewer than k rows give
 what there is; ties go to the smallest id; a query finds itself; repeated ids count once for each code; rows without an id are
@@ -120,7 +123,7 @@ def topk(codes: DataFrame, queries: DataFrame, k: int = K, block: int = 4096) ->
     dealt = ids.select("w", F.col("ids")[0].alias("x")).transform(c.mapped, _dealt(prefix, None), "seg long, prefix long, w array<long>, x long")
     size = dealt.groupBy("seg", "prefix").agg(F.ceil(F.count("*") / block).alias("parts"))
     one = F.struct("w", "x")
-    index = dealt.join(size, ["seg", "prefix"]).groupBy("seg", "prefix", F.pmod(F.xxhash64("w"), F.col("parts")).alias("part")).agg(F.collect_list(one).alias("codes"))
+    index = dealt.join(F.broadcast(size), ["seg", "prefix"]).groupBy("seg", "prefix", F.pmod(F.xxhash64("w"), F.col("parts")).alias("part")).agg(F.collect_list(one).alias("codes"))
     index = c.table(index, "index")
     asked = c.table(queries.distinct(), "asked")
     live = c.table(asked.select("w").distinct().withColumn("x", F.lit(64 * words).cast("long")), "live")
@@ -130,20 +133,20 @@ def topk(codes: DataFrame, queries: DataFrame, k: int = K, block: int = 4096) ->
     for radius in range(BITS + 1):
         probes = live.transform(c.mapped, _dealt(prefix, radius), "seg long, prefix long, w array<long>, x long")
         probes = probes.groupBy("seg", "prefix", F.pmod(F.xxhash64("w", "x"), F.lit(groups)).alias("group")).agg(F.collect_list(one).alias("queries"))
-        found = probes.join(index, ["seg", "prefix"]).select("seg", "queries", "codes").transform(c.mapped, _compared(words, radius, k), "w array<long>, cw array<long>, distance int")
+        found = probes.join(index.hint("merge"), ["seg", "prefix"]).select("seg", "queries", "codes").transform(c.mapped, _compared(words, radius, k), "w array<long>, cw array<long>, distance int")
         found = (found if best is None else found.unionByName(best)).distinct()
-        wide = found.join(ids.withColumnRenamed("w", "cw"), "cw").select("w", "cw", "distance", F.explode("ids").alias("id"))
+        wide = found.join(ids.withColumnRenamed("w", "cw").hint("merge"), "cw").select("w", "cw", "distance", F.explode("ids").alias("id"))
         top = c.table(wide.withColumn("rank", order).where(F.col("rank") <= k), "top")
         state = top.groupBy("w").agg(F.count("*").alias("n"), F.max("distance").alias("last"))
         covered = F.coalesce((F.col("n") >= k) & (F.col("last") <= m * (radius + 1) - 1), F.lit(False)) | F.lit(radius == BITS)
-        joined = c.table(live.select("w").join(state, "w", "left").withColumn("covered", covered), "state")
-        ended = top.join(joined.where("covered").select("w"), "w", "left_semi").select("w", "rank", "id", "distance")
+        joined = c.table(live.select("w").join(state.hint("merge"), "w", "left").withColumn("covered", covered), "state")
+        ended = top.join(joined.where("covered").select("w").hint("merge"), "w", "left_semi").select("w", "rank", "id", "distance")
         done = ended if done is None else done.unionByName(ended)
         live = joined.where("not covered").select("w", F.when(F.col("n") >= k, F.col("last")).otherwise(64 * words).cast("long").alias("x"))
         if not live.limit(1).count():
             break
-        best = top.join(live.select("w"), "w", "left_semi").select("w", "cw", "distance").distinct()
-    return asked.select(F.col("id").alias("query_id"), "w").join(done, "w").select("query_id", "rank", "id", "distance")
+        best = top.join(live.select("w").hint("merge"), "w", "left_semi").select("w", "cw", "distance").distinct()
+    return asked.select(F.col("id").alias("query_id"), "w").join(done.hint("merge"), "w").select("query_id", "rank", "id", "distance")
 
 
 def op2_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

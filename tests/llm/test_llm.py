@@ -474,6 +474,17 @@ def test_hamming_topk(spark):
     assert hamming.topk(none, none).count() == 0
 
 
+def test_hamming_topk_broadcasts_no_codes(spark):
+    x = np.random.default_rng(4).normal(size=(300, 64))
+    codes = hamming.sign_codes(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).cache()
+    runs = lambda: spark._jsparkSession.sharedState().statusStore().executionsList()
+    before = runs().size()
+    assert hamming.topk(codes, codes.where("id % 20 = 0"), 5, block=16).count() == 75
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    plans = [runs().apply(i).physicalPlanDescription() for i in range(before, runs().size())]
+    assert len(plans) > 5 and sum("BroadcastExchange" in p for p in plans) == 1  # the parts of the buckets
+
+
 def best_pieces(v, word):
     """Highest sum of scores over all segmentations of a word (given with its mark), by plain recursion over prefixes."""
     score = dict(zip((v.bytes_of[i].decode().replace(" ", "▁") for i in v.ids.tolist()), v.scores.tolist(), strict=True))
