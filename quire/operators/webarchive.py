@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from quire.operators.relational import first_of
 from quire.operators.search import first_reason, first_value
 from quire.operators.sinks import stored
 
@@ -107,9 +108,10 @@ def wanted_captures(captures: DataFrame, cursed: DataFrame, ignored: tuple[str,
     return marked.select(*captures.columns, F.when(F.col("__cursed"), "cursed").when(part, "ignored").alias("skip"))
 
 
-def unseen(captures: DataFrame, files: DataFrame) -> DataFrame:
-    """Captures (sha1_hex, url, ...) whose file is not held yet, one of each, so that only these are fetched; files have sha1."""
-    return captures.dropDuplicates(["sha1_hex"]).join(files.select(F.col("sha1").alias("sha1_hex")), "sha1_hex", "left_anti")
+def unseen(captures: DataFrame, files: DataFrame, *order: Column | str) -> DataFrame:
+    """Captures (sha1_hex, url, ...) whose file is not held yet, the first of each by `order`, so that only these are fetched; files have sha1. Captures without a digest are left out."""
+    new = captures.where("sha1_hex IS NOT NULL").join(files.select(F.col("sha1").alias("sha1_hex")), "sha1_hex", "left_anti")
+    return first_of(new, "sha1_hex", [F.col(x) if isinstance(x, str) else x for x in order]).select(*captures.columns)
 
 
 def capture_counts(urls: DataFrame, captures: DataFrame) -> DataFrame:

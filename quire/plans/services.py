@@ -131,7 +131,7 @@ def url_digests(spark, sf):
 @query("SELECT page_id, sha1(url) AS sha1_hex FROM pages WHERE page_id % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1 AND url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0)")
 def unseen_captures(spark, sf):
     p = rd(spark, sf, "pages").select("page_id", F.sha1(F.col("url").cast("binary")).alias("sha1_hex"))
-    return webarchive.unseen(p.where("page_id % 3 <> 0"), p.where("page_id % 3 = 0").select(F.col("sha1_hex").alias("sha1"))).select("page_id", "sha1_hex")
+    return webarchive.unseen(p.where("page_id % 3 <> 0"), p.where("page_id % 3 = 0").select(F.col("sha1_hex").alias("sha1")), "page_id").select("page_id", "sha1_hex")
 
 
 @query("""SELECT page_id, CASE WHEN page_id % 6 = 0 THEN 'cursed' WHEN page_id % 5 = 0 THEN 'ignored' END AS skip FROM pages""")

@@ -380,3 +380,11 @@ def test_citations(spark):
     got = entities.match_citations(spark.createDataFrame(refs, "ref_id string, doi string, title string, year int, creators string"), releases, spark.createDataFrame([(9, "10.9999/F")], "id int, doi string")).collect()
     assert {r["ref_id"]: (r["id"], r["status"]) for r in got} == {"a": (1, "exact"), "b": (None, "unknown"), "c": (2, "fuzzy"), "d": (None, "refused"), "e": (1, "fuzzy"), "f": (None, "refused"), "g": (9, "fallback"), "h": (1, "fuzzy"), "i": (None, "refused")}
     assert {r["ref_id"]: r["score"] for r in got}["c"] == 100.0
+
+
+def test_unseen_captures_are_the_first(spark):
+    rows = [(k, f"d{k % 3}") for k in range(9, 0, -1)] + [(0, None)]
+    captures = spark.createDataFrame(rows, "page_id long, sha1_hex string").repartition(4)
+    files = spark.createDataFrame([("d2",), (None,)], "sha1 string")
+    got = webarchive.unseen(captures, files, "page_id")
+    assert got.columns == captures.columns and sorted(map(tuple, got.collect())) == [(1, "d1"), (3, "d0")]
