@@ -50,3 +50,16 @@ def test_feeds(spark, tmp_path):
     (tmp_path / "x-2024-01-03.json").write_text('{"k": 2}\n')
     got = feeds.daily(spark, str(tmp_path) + "/x-{day}.json", "2024-01-01", "2024-01-03", "k int").collect()
     assert [(r["k"], str(r["day"])) for r in got] == [(1, "2024-01-01")] and feeds.window("2024-03-01") == ("2024-02-29", "2024-03-01")
+
+
+def test_cited_deals_by_source_once(spark):
+    edges = spark.createDataFrame([(k % 7, k % 50 if k % 11 else None) for k in range(400)], "target long, source long")
+    dates = spark.createDataFrame([(k, f"2020-01-{k % 28 + 1:02d}") for k in range(0, 50, 2)], "source long, date string")
+    got = entities.cited(edges, "target", "source", dates, size=20)
+    want: dict = {}
+    for k in range(400):
+        if k % 11 and k % 50 % 2 == 0:
+            want.setdefault(k % 7, set()).add(k % 50)
+    assert {r["target"]: (r["cited_by"], r["first_cited"]) for r in got.collect()} == {t: (len(s), min(f"2020-01-{k % 28 + 1:02d}" for k in s)) for t, s in want.items()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(target" in plan and ", source" not in "".join(x for x in plan.split("\n") if "ENSURE_REQUIREMENTS" in x and "hashpartitioning" in x)
