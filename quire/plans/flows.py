@@ -59,16 +59,21 @@ def _written(rows, path: str, cut: bool):
     return rows.mapInArrow(run, "n long").count()
 
 
+FILE = 100_000  # lines of a growing file
+
+
 @query("SELECT o_orderkey, o_orderpriority FROM orders")
 def growing_files(spark, sf):
     """Orders as lines of files that have grown between two runs, with a line half written at first: each line once."""
     source, table, state = (place(spark, x) for x in ("growing", "grown", "state"))
     o = rd(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.to_json(F.struct("o_orderkey", "o_orderpriority")).alias("value"), (F.col("o_orderkey") % 97 == 0).alias("stop"))
-    lines = sinks.written(o.repartitionByRange(4, "k").sortWithinPartitions("k").withColumn("part", F.spark_partition_id()), "lines").repartition(4, "part").sortWithinPartitions("part", "k")
+    total = o.count()
+    n = max(4, -(-total // FILE))
+    lines = sinks.written(o.repartitionByRange(n, "k").sortWithinPartitions("k").withColumn("part", F.spark_partition_id()), "lines").repartitionById(n, "part").sortWithinPartitions("part", "k")
     growing.register(spark)
     for cut in (True, False):
         _written(lines, source, cut)
-        stream = spark.readStream.format("quire_growing").option("range", 1 << 16).load(source)
+        stream = spark.readStream.format("quire_growing").option("range", max(1 << 16, 16 * total // n)).load(source)  # some ranges a file
         ingest.appended(stream, table, state).awaitTermination()
     return spark.read.parquet(table).select(F.from_json("value", "o_orderkey long, o_orderpriority string").alias("x")).select("x.*")
 

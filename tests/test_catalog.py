@@ -64,3 +64,17 @@ def test_approx_distinct_is_near(spark, sf):
     near = {r["event_type"]: r["users"] for r in catalog.QUERIES["approx_distinct"](spark, sf).collect()}
     exact = {r["event_type"]: r["users"] for r in catalog.QUERIES["exact_distinct"](spark, sf).collect()}
     assert all(abs(near[k] - exact[k]) <= 0.05 * exact[k] + 1 for k in exact)
+
+
+def made(spark, name: str) -> list:
+    """Folders of that name in the shared folder."""
+    from pathlib import Path
+
+    return sorted(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:").replace("//", "/")).glob(f"quire-{name}-*"))
+
+
+def test_growing_files_are_as_many_as_lines_need(spark, sf, duck, monkeypatch):
+    monkeypatch.setattr(flows, "FILE", 100)
+    got = sorted(map(tuple, catalog.QUERIES["growing_files"](spark, sf).collect()))
+    assert got == sorted(duck.sql(catalog.ORACLES["growing_files"]).fetchall())
+    assert max(len(list(p.glob("part-*.jsonl"))) for p in made(spark, "growing")) == -(-len(got) // 100)
