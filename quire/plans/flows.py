@@ -89,9 +89,12 @@ def carried_counts(spark, sf):
     return ingest.tallies(spark, table)
 
 
+ARCHIVE = 32 << 20  # bytes of pages in a file of an archive
+
+
 @query("""SELECT page_id % 2 AS archive, count(*) AS records, CAST(sum(octet_length(encode(html))) AS BIGINT) AS bytes, 1 AS same, count(DISTINCT url) AS urls FROM pages WHERE html IS NOT NULL GROUP BY 1""")
 def archives_in_parts(spark, sf):
-    """Two archives of a gzip member a page, indexed once and read in small shares, against both read in one share each."""
+    """Two archives of a gzip member a page, in files of about ARCHIVE bytes, indexed once and read in small shares, against each file read in one share."""
     crlf = "\r\n"
     http = TEXT("HTTP/1.1 200 OK", crlf, "Content-Type: text/html", crlf, crlf, F.col("html"))
     record = TEXT("WARC/1.0", crlf, "WARC-Type: response", crlf, "WARC-Target-URI: ", F.col("url"), crlf, "Content-Length: ", F.octet_length(http).cast("string"), crlf, crlf, http, crlf, crlf)
@@ -102,24 +105,27 @@ def archives_in_parts(spark, sf):
 
         files: dict = {}
         for b in batches:
-            for k, text in zip(b.column("archive").to_pylist(), b.column("value").to_pylist(), strict=True):
-                if k not in files:
-                    store, at = stores.opened(f"{path}/{k}.warc.gz")
+            for k, part, text in zip(*(b.column(c).to_pylist() for c in ("archive", "part", "value")), strict=True):
+                if (k, part) not in files:
+                    store, at = stores.opened(f"{path}/{k}-{part}.warc.gz")
                     store.create_dir(at.rpartition("/")[0], recursive=True)
-                    files[k] = store.open_output_stream(at, compression=None)
-                files[k].write(gzip.compress(text.encode(), 1))
+                    files[k, part] = store.open_output_stream(at, compression=None)
+                files[k, part].write(gzip.compress(text.encode(), 1))
         for f in files.values():
             f.close()
         yield from ()
 
-    rows = rd(spark, sf, "pages").where("html IS NOT NULL").select((F.col("page_id") % 2).alias("archive"), record.alias("value"))
-    rows.repartition(2, "archive").mapInArrow(run, "n long").count()
+    pages = rd(spark, sf, "pages").where("html IS NOT NULL")
+    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    n = -(-total // (2 * ARCHIVE)) or 1
+    rows = pages.select((F.col("page_id") % 2).alias("archive"), F.pmod(F.xxhash64("page_id"), F.lit(n)).alias("part"), record.alias("value"))
+    rows.repartitionById(2 * n, (F.col("archive") * n + F.col("part")).cast("int")).mapInArrow(run, "n long").count()
     index = sinks.written(readers.warc_index(spark, path), "index")
 
     def read(share: int):
-        return readers.warc_records(spark, path, readers.response, readers.WARC, share=share, index=index).select(F.regexp_extract("warc", r"(\d+)\.warc\.gz$", 1).cast("long").alias("archive"), "target_uri", "sha1", F.octet_length("payload").alias("n"))
+        return readers.warc_records(spark, path, readers.response, readers.WARC, share=share, index=index).select(F.regexp_extract("warc", r"(\d+)-\d+\.warc\.gz$", 1).cast("long").alias("archive"), "target_uri", "sha1", F.octet_length("payload").alias("n"))
 
     of = lambda share, x: read(share).groupBy("archive").agg(F.count("*").alias(f"n{x}"), F.sum(F.xxhash64("target_uri", "sha1") % 1000003).alias(f"h{x}"), F.sum("n").cast("long").alias(f"b{x}"), F.countDistinct("target_uri").alias(f"u{x}"))
-    both = of(1 << 15, 1).join(of(1 << 40, 2), "archive")
+    both = of(max(1 << 15, total // n // 128), 1).join(of(1 << 40, 2), "archive")
     same = (F.col("n1") == F.col("n2")) & (F.col("h1") == F.col("h2"))
     return both.select("archive", F.col("n1").alias("records"), F.col("b1").alias("bytes"), same.cast("int").alias("same"), F.col("u1").alias("urls"))

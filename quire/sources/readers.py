@@ -350,8 +350,8 @@ def warc_records(
         files = spark.read.format("binaryFile").load(path).select("length")
         index = warc_index(spark, path)
     else:
-        files = index
-    tasks = files.agg(F.sum(F.ceil(F.col("length") / share)) if files is not index else F.ceil(F.sum("length") / share)).first()[0]  # rows of the index are small, so Spark would put all into few tasks
+        files = index.groupBy("path").agg(F.max(F.col("offset") + F.col("length")).alias("length"))
+    tasks = files.agg(F.sum(F.ceil(F.col("length") / share))).first()[0]  # rows of the index are small, so Spark would put all into few tasks
     dealt = index.repartition(max(int(tasks or 1), 1), "path", F.floor(F.col("offset") / share)).sortWithinPartitions("path", "offset")
     return dealt.mapInArrow(run, schema)
 

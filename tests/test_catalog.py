@@ -78,3 +78,10 @@ def test_growing_files_are_as_many_as_lines_need(spark, sf, duck, monkeypatch):
     got = sorted(map(tuple, catalog.QUERIES["growing_files"](spark, sf).collect()))
     assert got == sorted(duck.sql(catalog.ORACLES["growing_files"]).fetchall())
     assert max(len(list(p.glob("part-*.jsonl"))) for p in made(spark, "growing")) == -(-len(got) // 100)
+
+
+def test_archives_are_files_of_bounded_size(spark, sf, duck, monkeypatch):
+    monkeypatch.setattr(flows, "ARCHIVE", 1 << 14)
+    got = sorted(map(tuple, catalog.QUERIES["archives_in_parts"](spark, sf).collect()))
+    assert got == sorted(duck.sql(catalog.ORACLES["archives_in_parts"]).fetchall())
+    assert max(len(list(p.glob("*.warc.gz"))) for p in made(spark, "archives")) > 2
