@@ -13,8 +13,8 @@ from quire.functions.identifiers import blob_path
 from quire.operators.relational import insert_ignore
 
 
-def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).json(path)
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    df.write.mode(mode).json(path, compression=compression)
 
 
 def write_slice(df: DataFrame, path: str) -> None:

@@ -34,15 +34,20 @@ def place(spark, name: str) -> str:
 
 
 def reread(df: DataFrame, name: str, schema: str) -> DataFrame:
-    """The rows as JSON lines, read again."""
+    """The rows as packed JSON lines, read again; a file a task, so rows come dealt out."""
     path = place(df.sparkSession, name)
-    sinks.write_json(df.repartition(df.sparkSession.sparkContext.defaultParallelism), path)  # a table of one file would be made and written in one task
+    sinks.write_json(df, path, compression="gzip")
     return readers.json_lines(df.sparkSession, path, schema)
 
 
+RECORDS = 200_000  # records of a task and file
+
+
 def orders(spark, sf) -> DataFrame:
-    """o_orderkey, its text, and the parts of the order's date."""
-    o = rd(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("s"), F.col("o_custkey").cast("string").alias("c"), F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("d"))
+    """o_orderkey, its text, and the parts of the order's date; dealt out while rows are narrow, as a table of one file would be made into records and written in one task."""
+    o = rd(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("d"))
+    o = o.repartition(max(spark.sparkContext.defaultParallelism, -(-o.count() // RECORDS)))
+    o = o.select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("s"), F.col("o_custkey").cast("string").alias("c"), F.col("o_orderpriority").alias("p"), "d")
     return o.withColumn("day", F.date_format("d", "yyyy-MM-dd"))
 
 

@@ -85,3 +85,15 @@ def test_archives_are_files_of_bounded_size(spark, sf, duck, monkeypatch):
     got = sorted(map(tuple, catalog.QUERIES["archives_in_parts"](spark, sf).collect()))
     assert got == sorted(duck.sql(catalog.ORACLES["archives_in_parts"]).fetchall())
     assert max(len(list(p.glob("*.warc.gz"))) for p in made(spark, "archives")) > 2
+
+
+def test_upstream_records_are_dealt_narrow_and_written_packed(spark, sf):
+    before = set(made(spark, "datacite"))
+    runs = lambda: spark._jsparkSession.sharedState().statusStore().executionsList()
+    first = runs().size()
+    assert catalog.QUERIES["datacite_works"](spark, sf).columns
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    (path,) = set(made(spark, "datacite")) - before
+    assert {p.name.partition(".")[2] for p in path.glob("part-*")} == {"json.gz"}
+    written = [p for p in (runs().apply(i).physicalPlanDescription() for i in range(first, runs().size())) if "InsertIntoHadoopFsRelationCommand" in p]
+    assert len(written) == 1 and "titles" not in "".join(x for x in written[0].split("\n\n") if x.lstrip().partition(" ")[2].startswith("Exchange"))
